@@ -237,7 +237,7 @@ ORACLE = {
         SELECT doc_id, line_no, {joined('ids[greatest(len(ids) - 127, 1):len(ids)]')} AS ids
         FROM wrapped""",
     "doc_draws": f"""WITH {SPLIT},{draws(64)}
-        SELECT split, example, k, split_ord FROM draws""",
+        SELECT split, example, k::INT AS k, split_ord FROM draws""",
     "packed_examples": f"WITH {PACKED} SELECT split, example, {joined('ids')} AS ids FROM packed",
     "shifted_pairs": f"""WITH {PACKED}
         SELECT split, example, {joined('ids[1:128]')} AS input_ids,

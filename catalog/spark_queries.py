@@ -20,7 +20,7 @@ from loomline.operators.tokens import (
 )
 from loomline.plans.training_rows import Settings, index_table, packed_rows
 from loomline.sources.corpus_files import index_corpus
-from loomline.sources.tables import line_slots, lines_from_table, table_positions
+from loomline.sources.tables import line_slots, lines_from_table, slot_positions
 from loomline.staging import new_folder, staged
 
 LINE = ["doc_id", "line_no"]
@@ -74,29 +74,27 @@ def text_strip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_ordinals(spark: SparkSession, sf: str) -> DataFrame:
-    return table_positions(views.documents(spark, sf))
+    return slot_positions(views.written_slots(views.documents(spark, sf)))
 
 
-def _split_index(docs: DataFrame) -> DataFrame:
-    return assign_split(table_positions(docs), views.line_count(docs), views.VAL_FRACTION)
+def _split_index(spark: SparkSession, sf: str) -> tuple[DataFrame, Column]:
+    slots = views.written_slots(views.documents(spark, sf))
+    n = views.line_count(slots)
+    return assign_split(slot_positions(slots), n, views.VAL_FRACTION), n
 
 
 def split_docs(spark: SparkSession, sf: str) -> DataFrame:
-    return _split_index(views.documents(spark, sf))
+    return _split_index(spark, sf)[0]
 
 
 def split_fraction(spark: SparkSession, sf: str) -> DataFrame:
-    docs = views.documents(spark, sf)
-    n = views.line_count(docs)
-    return limit_splits(_split_index(docs), n, views.VAL_FRACTION, DATA_FRACTION)
+    index, n = _split_index(spark, sf)
+    return limit_splits(index, n, views.VAL_FRACTION, DATA_FRACTION)
 
 
 def split_caps(spark: SparkSession, sf: str) -> DataFrame:
-    docs = views.documents(spark, sf)
-    n = views.line_count(docs)
-    return limit_splits(
-        _split_index(docs), n, views.VAL_FRACTION, None, MAX_TRAIN_DOCS, MAX_VAL_DOCS
-    )
+    index, n = _split_index(spark, sf)
+    return limit_splits(index, n, views.VAL_FRACTION, None, MAX_TRAIN_DOCS, MAX_VAL_DOCS)
 
 
 # ---- tokens --------------------------------------------------------------------------
@@ -150,9 +148,8 @@ def window_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_draws(spark: SparkSession, sf: str) -> DataFrame:
-    docs = views.documents(spark, sf)
-    index = staged(_split_index(docs), "positions")
-    sizes = split_sizes(views.line_count(docs), views.VAL_FRACTION)
+    index, n = _split_index(spark, sf)
+    sizes = split_sizes(n, views.VAL_FRACTION)
     n_docs = F.when(F.col("split") == "train", sizes["train"]).otherwise(sizes["val"])
     examples = index.select("split", F.col("split_ord").alias("example"))
     return draw_documents(examples, n_docs, 0, 64)

@@ -5,17 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The 29 code points str.strip() removes, as a character class body.
-SPACE_CLASS = (
-    r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+# The 29 code points str.strip() removes, as ranges and as text.
+SPACE_RANGES = (
+    (0x09, 0x0D),
+    (0x1C, 0x20),
+    (0x85, 0x85),
+    (0xA0, 0xA0),
+    (0x1680, 0x1680),
+    (0x2000, 0x200A),
+    (0x2028, 0x2029),
+    (0x202F, 0x202F),
+    (0x205F, 0x205F),
+    (0x3000, 0x3000),
 )
+SPACES = "".join(chr(c) for low, high in SPACE_RANGES for c in range(low, high + 1))
+SPACE_CLASS = "".join(rf"\x{{{low:X}}}-\x{{{high:X}}}" for low, high in SPACE_RANGES)
 
-BOM = "\ufeff"
+# The same 29 in the form Java's regex tests fastest.
+_SPACE_RUN = r"(?U)[\s\x{1C}-\x{1F}]+"
 
-# The look-behind lets each inner run of blanks be tried once, at its start,
-# so the strip stays linear on long runs.
-_EDGES = rf"\A[{SPACE_CLASS}]+|(?<![{SPACE_CLASS}])[{SPACE_CLASS}]+\z"
+BOM = "\ufeff"
 
 
 def lossy_utf8(raw: Column) -> Column:
@@ -24,7 +33,8 @@ def lossy_utf8(raw: Column) -> Column:
 
 
 def strip_space(text: Column) -> Column:
-    return F.regexp_replace(text, _EDGES, "")
+    """trim with its own character set: it looks at the edges only."""
+    return F.btrim(text, F.lit(SPACES))
 
 
 def has_ink(text: Column) -> Column:
@@ -34,7 +44,7 @@ def has_ink(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Words of a stripped, non-empty text."""
-    return F.split(text, f"[{SPACE_CLASS}]+")
+    return F.split(text, _SPACE_RUN)
 
 
 def html_escape(text: Column) -> Column:

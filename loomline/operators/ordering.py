@@ -33,10 +33,12 @@ def exclusive_prefix(
 
 
 def holdout_size(n: Column, val_fraction: float) -> Column:
-    """Documents held out: the truncated fraction, but at least one if it is positive."""
+    """Documents held out: the truncated fraction, but at least one if it is positive
+    and there is one."""
     if val_fraction <= 0:
         return F.lit(0).cast("bigint")
-    return F.greatest(F.floor(n * F.lit(float(val_fraction))), F.lit(1).cast("bigint"))
+    share = F.greatest(F.floor(n * F.lit(float(val_fraction))), F.lit(1).cast("bigint"))
+    return F.least(share, n)
 
 
 def assign_split(index: DataFrame, n: Column, val_fraction: float = 0.05) -> DataFrame:

@@ -22,6 +22,11 @@ def draw_documents(
 
     n_docs is the size of the row's split.
     """
+    # One narrow row turns into many draws and later their ids, so the examples are
+    # spread first, by the key the packing windows need; the count is given to keep
+    # adaptive execution from merging these small partitions.
+    width = int(examples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    examples = examples.repartition(width, *_EXAMPLE)
     k = F.explode(F.sequence(F.lit(first), F.lit(last))).alias("k")
     split_ord = keyed_draw(
         n_docs, F.lit(seed), F.col("split"), F.col("example"), F.col("k")
@@ -32,7 +37,8 @@ def draw_documents(
 def size_of_split(sizes: Mapping[str, int]) -> Column:
     """The row's split size, from a few known numbers."""
     pairs = [F.lit(x) for name, n in sorted(sizes.items()) for x in (name, n)]
-    return F.element_at(F.create_map(*pairs), F.col("split")).cast("bigint")
+    size = F.element_at(F.create_map(*pairs), F.col("split"))
+    return F.coalesce(size, F.lit(1)).cast("bigint")
 
 
 def _gather(
@@ -52,7 +58,8 @@ def _gather(
         parts.append(draws.filter(held).join(F.broadcast(docs.filter(held)), _DOC))
     if large:
         held = F.col("split").isin(large)
-        parts.append(draws.filter(held).join(docs.filter(held), _DOC))
+        # The planner takes exploded draws for small and might broadcast them.
+        parts.append(draws.filter(held).join(docs.filter(held).hint("merge"), _DOC))
     return reduce(DataFrame.unionByName, parts)
 
 

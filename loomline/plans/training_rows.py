@@ -65,6 +65,14 @@ def _sizes(spark: SparkSession, n_docs: int, settings: Settings) -> dict[str, in
     return row.asDict()
 
 
+def _counted(wanted: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Write the wanted rows; their count decides whether they, or a table with one
+    row for each, are broadcast."""
+    wanted = staged(wanted, "wanted")
+    n = wanted.count()
+    return wanted, lambda df: broadcast_if_within(df, n, FETCH_BROADCAST_ROWS)
+
+
 def index_table(docs: DataFrame, key: str, text: str, settings: Settings) -> SplitIndex:
     """Index a document table. The index is narrow and written once; text is
     read again only for the lines that are wanted."""
@@ -74,8 +82,8 @@ def index_table(docs: DataFrame, key: str, text: str, settings: Settings) -> Spl
     rows = staged(_split_rows(slot_positions(slots, key), n_docs, settings), "positions")
 
     def fetch_text(wanted: DataFrame) -> DataFrame:
-        places = staged(wanted.join(rows, ["split", "split_ord"]), "wanted")
-        places = broadcast_if_within(places, places.count(), FETCH_BROADCAST_ROWS)
+        wanted, small = _counted(wanted)
+        places = small(rows.join(small(wanted), ["split", "split_ord"]))
         return (
             lines_from_table(docs, key, text)
             .join(places, [key, "line_no"])
@@ -93,9 +101,8 @@ def index_files(corpus: CorpusIndex, settings: Settings) -> SplitIndex:
     rows = documents.select("split", "split_ord")
 
     def fetch_text(wanted: DataFrame) -> DataFrame:
-        places = staged(wanted, "wanted")
-        places = broadcast_if_within(places, places.count(), FETCH_BROADCAST_ROWS)
-        return documents.join(places, ["split", "split_ord"]).select(
+        wanted, small = _counted(wanted)
+        return documents.join(small(wanted), ["split", "split_ord"]).select(
             "split", "split_ord", "text"
         )
 

@@ -26,6 +26,7 @@ class CorpusFile:
     name: str
     path: str
     size: int
+    scan_name: str  # the name as Spark's file metadata spells it, percent-encoded
 
     @property
     def hidden(self) -> bool:
@@ -38,7 +39,12 @@ def list_corpus(spark: SparkSession, folder: str, pattern: str = "*.json") -> li
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     root = jvm.org.apache.hadoop.fs.Path(folder)
     found = [
-        CorpusFile(s.getPath().getName(), s.getPath().toString(), s.getLen())
+        CorpusFile(
+            s.getPath().getName(),
+            s.getPath().toString(),
+            s.getLen(),
+            s.getPath().toUri().getRawPath().rpartition("/")[2],
+        )
         for s in root.getFileSystem(conf).listStatus(root)
         if s.isFile() and fnmatch.fnmatchcase(s.getPath().getName(), pattern)
     ]
@@ -212,7 +218,7 @@ def index_corpus(spark: SparkSession, folder: str, pattern: str = "*.json") -> C
         stats = staged(_split_stats(lines, bare_bom_rows), "corpus-splits")
 
     listing = spark.createDataFrame(
-        [(i, f.name, f.size) for i, f in enumerate(files) if not f.hidden],
+        [(i, f.scan_name, f.size) for i, f in enumerate(files) if not f.hidden],
         "file_idx int, file_name string, listed_size bigint",
     )
     # A file that holds nothing but a mark gives the reader no line at all.

@@ -50,9 +50,8 @@ def corpus_files(spark: SparkSession, sf: str) -> DataFrame:
     """The documents written as text files and read back through the file index."""
     folder = new_folder(spark, "corpus")
     views.documents(spark, sf).select("text").write.text(folder)
-    corpus = index_corpus(spark, folder, "*.txt")
-    placed = corpus.documents().join(corpus.positions(), ["ord", "file_idx"])
-    return placed.groupBy("text").agg(F.count("*").alias("copies"))
+    lines = index_corpus(spark, folder, "*.txt").documents()
+    return lines.groupBy("text").agg(F.count("*").alias("copies"))
 
 
 def lossy_decode(spark: SparkSession, sf: str) -> DataFrame:
@@ -304,7 +303,8 @@ def chat_segments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def seed_greetings(spark: SparkSession, sf: str) -> DataFrame:
-    return chat.seed_greetings(chat.chat_segments(views.actions(spark, sf)))
+    actions = views.actions(spark, sf)
+    return chat.seed_greetings(chat.chat_segments(actions), actions)
 
 
 QUERIES = {

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.functions.text import html_escape, strip_space
+from loomline.functions.times import seconds_between
 
 # Tags and texts that must equal the chat page's.
 THINK_OPEN, THINK_CLOSE = "<think>", "</think>"
@@ -16,7 +20,7 @@ GREETINGS = {
     "cleared": "Conversation reset. How can I help?",
 }
 
-_NO_TIME = "INTERVAL '0' SECOND"
+MAX_BUCKETS = 1000
 
 
 # ---- single messages -------------------------------------------------------------
@@ -87,26 +91,39 @@ def _with_part(messages: DataFrame, part_turns: int) -> DataFrame:
     return messages.withColumn("part", F.expr(f"turn div {part_turns}"))
 
 
+def _last_is_user() -> Column:
+    """Aggregate: does the message of the highest turn come from the user?
+
+    The flag rides in the lowest bit of the turn, so the aggregate is one number
+    and combines on the map side by hash, without a sort.
+    """
+    coded = F.col("turn") * 2 + (F.col("role") == "user").cast("bigint")
+    return F.max(coded)
+
+
 def chat_parts(messages: DataFrame, part_turns: int = 1000) -> DataFrame:
-    """One narrow row per (conv_id, part): opens, closes, last_role of the chat.
+    """One narrow row per (conv_id, part): opens, closes, and waiting for the chat.
 
     A chat may hold a third of all messages, so it is never gathered whole: a part
-    covers part_turns consecutive turns. Most chats have one part.
+    covers part_turns consecutive turns. Most chats have one part. A chat waits
+    when its last message is from the user.
     """
-    parts = _with_part(messages, part_turns).groupBy("conv_id", "part").agg(
-        F.max("turn").alias("_turn"), F.max_by("role", "turn").alias("_role")
+    parts = (
+        _with_part(messages, part_turns)
+        .groupBy("conv_id", "part")
+        .agg(_last_is_user().alias("_last"))
     )
     ends = parts.groupBy("conv_id").agg(
-        F.min("part").alias("_first"),
-        F.max("part").alias("_last"),
-        F.max_by("_role", "_turn").alias("last_role"),
+        F.min("part").alias("_first_part"),
+        F.max("part").alias("_last_part"),
+        (F.max("_last") % 2 != 0).alias("waiting"),
     )
     return parts.join(ends, "conv_id").select(
         "conv_id",
         "part",
-        (F.col("part") == F.col("_first")).alias("opens"),
-        (F.col("part") == F.col("_last")).alias("closes"),
-        "last_role",
+        (F.col("part") == F.col("_first_part")).alias("opens"),
+        (F.col("part") == F.col("_last_part")).alias("closes"),
+        "waiting",
     )
 
 
@@ -154,8 +171,8 @@ def pending_chats(messages: DataFrame) -> DataFrame:
     """Chats whose last message is from the user."""
     return (
         messages.groupBy("conv_id")
-        .agg(F.max("turn").alias("last_turn"), F.max_by("role", "turn").alias("last_role"))
-        .filter(F.col("last_role") == "user")
+        .agg(F.max("turn").alias("last_turn"), _last_is_user().alias("_last"))
+        .filter(F.col("_last") % 2 != 0)
         .select("conv_id", "last_turn")
     )
 
@@ -167,7 +184,7 @@ def prompts(messages: DataFrame, system_text: str, part_turns: int = 1000) -> Da
     def record(role: Column, content: Column) -> Column:
         return F.to_json(F.struct(role.alias("role"), content.alias("content")))
 
-    waiting = chat_parts(messages, part_turns).filter(F.col("last_role") == "user")
+    waiting = chat_parts(messages, part_turns).filter("waiting")
     pieces = messages.select(
         "conv_id", "turn", record(F.col("role"), F.col("text")).alias("piece")
     )
@@ -203,6 +220,25 @@ def chat_id(user: Column, seq: Column) -> Column:
     return F.sha2(F.concat_ws("|", user.cast("string"), seq.cast("string")), 256)
 
 
+def _with_bucket(actions: DataFrame, rows_per_bucket: int) -> DataFrame:
+    """Add bucket: time ranges of about equally many rows of all users together.
+
+    The borders are quantiles, so neither a busy hour nor a stray date fills one
+    bucket. Only they, at most MAX_BUCKETS numbers, come to the driver. Up to
+    rows_per_bucket rows there is a single bucket.
+    """
+    n_buckets = min(math.ceil(actions.count() / rows_per_bucket), MAX_BUCKETS)
+    if n_buckets <= 1:
+        return actions.withColumn("bucket", F.lit(0))
+    started = actions.agg(F.min("ts")).scalar()
+    timed = actions.withColumn("_t", seconds_between(F.col("ts"), started))
+    shares = [i / n_buckets for i in range(1, n_buckets)]
+    borders = sorted(set(timed.approxQuantile("_t", shares, 1 / (4 * n_buckets))))
+    splits = [-math.inf, *borders, math.inf]
+    bucketed = Bucketizer(splits=splits, inputCol="_t", outputCol="bucket").transform(timed)
+    return bucketed.withColumn("bucket", F.col("bucket").cast("int")).drop("_t")
+
+
 def chat_segments(actions: DataFrame, rows_per_bucket: int = 1_000_000) -> DataFrame:
     """Add is_reset, chat_seq and chat_id to (user_id, ts, event_id, action).
 
@@ -210,25 +246,16 @@ def chat_segments(actions: DataFrame, rows_per_bucket: int = 1_000_000) -> DataF
     before it, new_chat left aside, is clear.
 
     One user may own a third of the rows, so a user's stream is cut into time
-    buckets that hold about rows_per_bucket rows of all users together. Windows
-    run inside a bucket; what one bucket hands to the next is one row each.
+    buckets. Windows run inside a bucket; what one bucket hands to the next is one
+    row each. The actions are shuffled once.
     """
-    stats = actions.agg(
-        F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.count("*").alias("n")
-    )
-    lo, hi, n = (stats.select(c).scalar() for c in ("lo", "hi", "n"))
-    bucket = F.width_bucket(
-        F.col("ts") - lo, F.expr(_NO_TIME), hi - lo, F.ceil(n / F.lit(rows_per_bucket))
-    )
     chunk = ["user_id", "bucket"]
     order = Window.partitionBy(*chunk).orderBy("ts", "event_id")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     moves = F.when(F.col("action") != "new_chat", F.col("action"))
-    local = (
-        actions.select("user_id", "ts", "event_id", "action")
-        .withColumn("bucket", F.coalesce(bucket, F.lit(0)))
-        .withColumn("prior", F.last(moves, ignorenulls=True).over(before))
-    )
+    local = _with_bucket(
+        actions.select("user_id", "ts", "event_id", "action"), rows_per_bucket
+    ).withColumn("prior", F.last(moves, ignorenulls=True).over(before))
 
     # What each bucket looks like from outside: its first and last move, and the
     # resets that do not depend on what came before it.
@@ -272,14 +299,19 @@ def chat_segments(actions: DataFrame, rows_per_bucket: int = 1_000_000) -> DataF
     )
 
 
-def seed_greetings(segments: DataFrame, name: str = "Assistant") -> DataFrame:
-    """The first assistant message of every chat, including each user's first."""
+def seed_greetings(
+    segments: DataFrame, users: DataFrame, name: str = "Assistant"
+) -> DataFrame:
+    """The first assistant message of every chat, including each user's first.
+
+    users may repeat a user_id.
+    """
     opened = segments.filter("is_reset").select(
         "user_id",
         "chat_seq",
         F.when(F.col("action") == "new_chat", "new_chat").otherwise("cleared").alias("kind"),
     )
-    visits = segments.select("user_id").distinct().select(
+    visits = users.select("user_id").distinct().select(
         "user_id", F.lit(0).cast("bigint").alias("chat_seq"), F.lit("first").alias("kind")
     )
     text = F.lit(None).cast("string")

@@ -6,27 +6,49 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Rows the one table that is summed in a single task may have.
+TOP_ROWS = 1_000_000
+
+
+def prefix_levels(df: DataFrame, key: str, width: int = 10_000) -> int:
+    """Levels exclusive_prefix needs so that its top table stays within TOP_ROWS.
+
+    One for keys that are nearly dense; more for sparse ones such as hashes. Reads
+    only the smallest and largest key.
+    """
+    low, high = df.agg(F.min(key), F.max(key)).first()
+    blocks, levels = ((high or 0) - (low or 0)) // width, 1
+    while blocks > TOP_ROWS:
+        blocks, levels = blocks // width, levels + 1
+    return levels
+
+
 def exclusive_prefix(
-    df: DataFrame, key: str, amount: str, out: str, width: int = 10_000
+    df: DataFrame, key: str, amount: str, out: str, width: int = 10_000, levels: int = 1
 ) -> DataFrame:
     """Add `out`: the sum of `amount` over all rows with a smaller integer `key`.
 
-    A global running sum would sort every row in one task. Here rows fall into
-    blocks of `width` consecutive keys, so a block has at most `width` rows; only
-    the table of block totals, one row per block, is summed in a single task.
+    Keys are unique. A global running sum would sort every row in one task. Here
+    rows fall into blocks of `width` consecutive keys, so a block has at most
+    `width` rows; the table of block totals, one row per block, is summed the same
+    way, level by level, and only the last one in a single task.
     """
     blocked = df.withColumn("_block", F.expr(f"`{key}` div {width}"))
-    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        blocked.groupBy("_block")
-        .agg(F.sum(amount).alias("_total"))
-        .select("_block", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_base"))
-    )
+    totals = blocked.groupBy("_block").agg(F.sum(amount).alias("_total"))
+    if levels > 1:
+        totals = totals.withColumnsRenamed({"_block": "_key"})
+        bases = exclusive_prefix(totals, "_key", "_total", "_below", width, levels - 1)
+        bases = bases.select(F.col("_key").alias("_block"), F.col("_below").alias("_base"))
+    else:
+        earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        bases = totals.select(
+            "_block", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_base")
+        )
     inside = (
         Window.partitionBy("_block").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        blocked.join(totals, "_block")
+        blocked.join(bases, "_block")
         .withColumn(out, F.col("_base") + F.coalesce(F.sum(amount).over(inside), F.lit(0)))
         .drop("_block", "_base")
     )

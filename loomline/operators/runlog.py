@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.functions.schedule import learning_rate
+from loomline.functions.times import seconds_between
 
 _INF = float("inf")
 
@@ -51,11 +52,6 @@ def mark_best(log: DataFrame, steps_per_block: int = 1_000_000) -> DataFrame:
     )
 
 
-def seconds_between(later: Column, earlier: Column) -> Column:
-    gap = (later - earlier).cast("interval second")
-    return gap.cast("decimal(20,6)").cast("double")
-
-
 def eval_log(losses: DataFrame, eval_every: int = 200, **schedule) -> DataFrame:
     """step, train_loss, val_loss, lr, elapsed_s, best_val, is_best of a run."""
     started = losses.agg(F.min("ts")).scalar()

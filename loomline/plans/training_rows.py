@@ -79,7 +79,8 @@ def index_table(docs: DataFrame, key: str, text: str, settings: Settings) -> Spl
     slots = staged(line_slots(docs, key, text), "line-slots")
     n_docs = slots.agg(F.sum("n_lines")).first()[0] or 0
     sizes = _sizes(docs.sparkSession, n_docs, settings)
-    rows = staged(_split_rows(slot_positions(slots, key), n_docs, settings), "positions")
+    rows = _split_rows(slot_positions(slots, key), n_docs, settings)
+    rows = staged(rows.select("split", "split_ord", key, "line_no"), "positions")
 
     def fetch_text(wanted: DataFrame) -> DataFrame:
         wanted, small = _counted(wanted)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomline.functions.arrays import running_starts
 from loomline.functions.text import has_ink, strip_space
-from loomline.operators.ordering import exclusive_prefix
+from loomline.operators.ordering import exclusive_prefix, prefix_levels
 
 
 SPREAD_BYTES = 256 * 1024 * 1024
@@ -74,7 +74,8 @@ def table_positions(
 
 
 def slot_positions(slots: DataFrame, key: str = "doc_id", width: int = 10_000) -> DataFrame:
-    based = exclusive_prefix(slots, key, "n_lines", "_first", width)
+    levels = prefix_levels(slots, key, width)
+    based = exclusive_prefix(slots, key, "n_lines", "_first", width, levels)
     return based.select(key, "_first", F.posexplode("slots").alias("_i", "line_no")).select(
         key, "line_no", (F.col("_first") + F.col("_i")).alias("ord")
     )

@@ -183,7 +183,8 @@ def test_segments_across_buckets_with_a_hot_user(spark, kind, per_bucket):
         )
         for i in range(1500)
     ]
-    segments = chat.chat_segments(actions_table(spark, rows, kind).repartition(6), per_bucket)
+    actions = actions_table(spark, rows, kind).repartition(6)
+    segments = chat.chat_segments(actions, per_bucket)
     got = segments.collect()
     want = {}
     for user in {r[0] for r in rows}:
@@ -193,7 +194,7 @@ def test_segments_across_buckets_with_a_hot_user(spark, kind, per_bucket):
     assert {r.event_id: (r.is_reset, r.chat_seq) for r in got} == want
     assert len({r.chat_id for r in got}) == len({(r.user_id, r.chat_seq) for r in got})
 
-    greetings = chat.seed_greetings(segments, "Bot").collect()
+    greetings = chat.seed_greetings(segments, actions, "Bot").collect()
     ids = {(r.user_id, r.chat_seq): r for r in greetings}
     assert len(ids) == len(greetings)
     assert set(ids) == {(r.user_id, s) for r in got for s in range(r.chat_seq + 1)}

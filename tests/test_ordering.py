@@ -12,6 +12,7 @@ from loomline.operators.ordering import (
     exclusive_prefix,
     limit_splits,
     mark_split,
+    prefix_levels,
     split_sizes,
 )
 from loomline.sources.tables import lines_from_table, table_positions
@@ -29,6 +30,31 @@ def test_exclusive_prefix_over_many_blocks(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("levels", [1, 2, 4])
+def test_exclusive_prefix_over_sparse_keys(spark, levels):
+    rng = random.Random(levels)
+    rows = [(rng.randint(-(2**62), 2**62), rng.randint(0, 5)) for _ in range(300)]
+    rows += [(k, 1) for k in range(50)]
+    df = spark.createDataFrame(rows, "k bigint, n bigint")
+    got = {
+        r.k: r.before for r in exclusive_prefix(df, "k", "n", "before", 10, levels).collect()
+    }
+    total, want = 0, {}
+    for k, n in sorted(rows):
+        want[k], total = total, total + n
+    assert got == want
+
+
+def test_prefix_levels(spark):
+    def keys(*ks):
+        return spark.createDataFrame([(k,) for k in ks], "k bigint")
+
+    assert prefix_levels(keys(0, 10**9), "k") == 1
+    assert prefix_levels(keys(0, 10**11), "k") == 2
+    assert prefix_levels(keys(-(2**62), 2**62), "k") == 4
+    assert prefix_levels(keys(), "k") == 1
+
+
 def documents(spark):
     texts = ["a\n\nb", "", " \n\t", "c", "d\ne\nf\n", None, " g"]
     return spark.createDataFrame([(i * 3, t) for i, t in enumerate(texts)], "doc_id bigint, text string")

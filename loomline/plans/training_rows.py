@@ -48,7 +48,8 @@ class SplitIndex:
 
     positions: DataFrame  # split, split_ord, ...
     sizes: Mapping[str, int]
-    fetch_text: Callable[[DataFrame], DataFrame]  # wanted -> split, split_ord, text
+    # wanted (split, split_ord), or None for all -> split, split_ord, text
+    fetch_text: Callable[[DataFrame | None], DataFrame]
 
 
 def _split_rows(positions: DataFrame, n_docs: int, settings: Settings) -> DataFrame:
@@ -82,9 +83,12 @@ def index_table(docs: DataFrame, key: str, text: str, settings: Settings) -> Spl
     rows = _split_rows(slot_positions(slots, key), n_docs, settings)
     rows = staged(rows.select("split", "split_ord", key, "line_no"), "positions")
 
-    def fetch_text(wanted: DataFrame) -> DataFrame:
-        wanted, small = _counted(wanted)
-        places = small(rows.join(small(wanted), ["split", "split_ord"]))
+    def fetch_text(wanted: DataFrame | None) -> DataFrame:
+        if wanted is None:
+            places = broadcast_if_within(rows, sum(sizes.values()), FETCH_BROADCAST_ROWS)
+        else:
+            wanted, small = _counted(wanted)
+            places = small(rows.join(small(wanted), ["split", "split_ord"]))
         return (
             lines_from_table(docs, key, text)
             .join(places, [key, "line_no"])
@@ -101,11 +105,12 @@ def index_files(corpus: CorpusIndex, settings: Settings) -> SplitIndex:
     documents = _split_rows(corpus.documents(), corpus.n_docs, settings)
     rows = documents.select("split", "split_ord")
 
-    def fetch_text(wanted: DataFrame) -> DataFrame:
-        wanted, small = _counted(wanted)
-        return documents.join(small(wanted), ["split", "split_ord"]).select(
-            "split", "split_ord", "text"
-        )
+    def fetch_text(wanted: DataFrame | None) -> DataFrame:
+        found = documents
+        if wanted is not None:
+            wanted, small = _counted(wanted)
+            found = found.join(small(wanted), ["split", "split_ord"])
+        return found.select("split", "split_ord", "text")
 
     return SplitIndex(rows, sizes, fetch_text)
 
@@ -120,7 +125,7 @@ def packed_rows(
 ) -> DataFrame:
     """(split, example, ids): block_size + 1 ids for each asked (split, example)."""
 
-    def fetch_ids(wanted: DataFrame) -> DataFrame:
+    def fetch_ids(wanted: DataFrame | None) -> DataFrame:
         found = index.fetch_text(wanted)
         ids = tokenizer_ids(
             found.sparkSession, F.col("text"), tokenizer_json, add_special_tokens

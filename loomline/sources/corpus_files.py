@@ -167,24 +167,16 @@ def _document_rows(lines: DataFrame, bare_bom_rows: list[int]) -> DataFrame:
     )
 
 
-def _split_stats(lines: DataFrame, bare_bom_rows: list[int]) -> DataFrame:
-    """Per input split: bytes and rows of all lines, count and first id of documents.
-
-    The two parts scan the same files in the same splits, so their ids agree.
-    """
-    blank = ~has_ink(lossy_utf8(F.col("line")))
-    every = lines.groupBy(*_SPLIT).agg(
+def _split_stats(lines: DataFrame) -> DataFrame:
+    """One row per input split, from one scan of the text."""
+    inked = has_ink(lossy_utf8(F.col("line")))
+    return lines.groupBy(*_SPLIT).agg(
         F.first("file_size").alias("file_size"),
         F.sum(F.octet_length("line") + 1).alias("bytes"),
+        F.count_if(inked).alias("inked"),
         F.min("row").alias("first_row"),
-        F.min_by(blank, "row").alias("first_blank"),
+        F.min_by(~inked, "row").alias("first_blank"),
     )
-    docs = (
-        _document_rows(lines, bare_bom_rows)
-        .groupBy(*_SPLIT)
-        .agg(F.count("*").alias("n_docs"), F.min("doc").alias("first_doc"))
-    )
-    return every.join(docs, _SPLIT, "left").fillna(0, ["n_docs"])
 
 
 def index_corpus(spark: SparkSession, folder: str, pattern: str = "*.json") -> CorpusIndex:
@@ -198,24 +190,14 @@ def index_corpus(spark: SparkSession, folder: str, pattern: str = "*.json") -> C
     require_files([f.name for f in files], folder)
     warn_hidden([f.name for f in files])
 
-    lines = _scan(spark, files)
-    stats = staged(_split_stats(lines, []), "corpus-splits")
-    per_file = stats.groupBy("file_name").agg(
+    stats = staged(_split_stats(_scan(spark, files)), "corpus-splits")
+    marked = stats.groupBy("file_name").agg(
         (F.first("file_size") - F.sum("bytes") >= 2).alias("has_bom")
     )
-    bom_files = sorted(r.file_name for r in per_file.filter("has_bom").collect())
-    bare_bom_rows: list[int] = []
-    if bom_files:
-        bare_bom_rows = [
-            r.first_row
-            for r in stats.filter(
-                F.col("file_name").isin(bom_files)
-                & (F.col("split_start") == 0)
-                & F.col("first_blank")
-            ).collect()
-        ]
-    if bare_bom_rows:
-        stats = staged(_split_stats(lines, bare_bom_rows), "corpus-splits")
+    bom_files = sorted(r.file_name for r in marked.filter("has_bom").collect())
+    has_bom = F.col("file_name").isin(bom_files) if bom_files else F.lit(False)
+    bare_mark = has_bom & (F.col("split_start") == 0) & F.col("first_blank")
+    bare_bom_rows = [r.first_row for r in stats.filter(bare_mark).collect()] if bom_files else []
 
     listing = spark.createDataFrame(
         [(i, f.scan_name, f.size) for i, f in enumerate(files) if not f.hidden],
@@ -233,32 +215,32 @@ def index_corpus(spark: SparkSession, folder: str, pattern: str = "*.json") -> C
             F.lit(True).alias("bom_only"),
         )
     )
-    known = stats.withColumn("bom_only", F.lit(False)).unionByName(
-        alone, allowMissingColumns=True
-    )
+    known = stats.withColumns(
+        {"n_docs": F.col("inked") + bare_mark.cast("bigint"), "bom_only": F.lit(False)}
+    ).unionByName(alone, allowMissingColumns=True)
     # One row per input split: small enough for a window over each file's splits
-    # and one over all of them.
-    in_file = (
-        Window.partitionBy("file_name")
-        .orderBy("split_start")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    overall = (
-        Window.orderBy("file_idx", "split_start").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    # and one over all of them. An id's upper bits are the task it was made in, so
+    # a task's first document id is known, and the next split it read follows on.
+    until = (Window.unboundedPreceding, -1)
+    in_file = Window.partitionBy("file_name").orderBy("split_start").rowsBetween(*until)
+    overall = Window.orderBy("file_idx", "split_start").rowsBetween(*until)
+    task = F.shiftright("first_row", 33)
+    in_task = Window.partitionBy(task).orderBy("first_row").rowsBetween(*until)
+
+    def total(column: str, window) -> Column:
+        return F.coalesce(F.sum(column).over(window), F.lit(0))
+
     splits = staged(
         known.join(listing, "file_name").select(
             "file_idx",
             *_SPLIT,
             "first_row",
-            "first_doc",
             "n_docs",
             "bom_only",
-            F.coalesce(F.sum("bytes").over(in_file), F.lit(0)).alias("byte_base"),
-            F.coalesce(F.sum("n_docs").over(overall), F.lit(0)).alias("ord_base"),
-            F.when(F.col("file_name").isin(bom_files), 3).otherwise(0).alias("bom_bytes")
-            if bom_files
-            else F.lit(0).alias("bom_bytes"),
+            (F.shiftleft(task, 33) + total("n_docs", in_task)).alias("first_doc"),
+            total("bytes", in_file).alias("byte_base"),
+            total("n_docs", overall).alias("ord_base"),
+            F.when(has_bom, 3).otherwise(0).alias("bom_bytes"),
         ),
         "corpus-index",
     )

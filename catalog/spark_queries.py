@@ -20,8 +20,8 @@ from loomline.operators.tokens import (
 )
 from loomline.plans.training_rows import Settings, index_table, packed_rows
 from loomline.sources.corpus_files import index_corpus
-from loomline.sources.tables import line_slots, lines_from_table, slot_positions
-from loomline.staging import new_folder, staged
+from loomline.sources.tables import line_slots, lines_from_table, slot_positions, written_slots
+from loomline.staging import new_folder
 
 LINE = ["doc_id", "line_no"]
 DATA_FRACTION = 0.29
@@ -73,11 +73,11 @@ def text_strip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_ordinals(spark: SparkSession, sf: str) -> DataFrame:
-    return slot_positions(views.written_slots(views.documents(spark, sf)))
+    return slot_positions(written_slots(views.documents(spark, sf)))
 
 
 def _split_index(spark: SparkSession, sf: str) -> tuple[DataFrame, Column]:
-    slots = views.written_slots(views.documents(spark, sf))
+    slots = written_slots(views.documents(spark, sf))
     n = views.line_count(slots)
     return assign_split(slot_positions(slots), n, views.VAL_FRACTION), n
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from loomline.functions.text import words
 from loomline.operators.chat import ERROR_PREFIX
 from loomline.operators.ordering import mark_split
-from loomline.sources.tables import line_slots, lines_from_table, read_table, slot_positions
+from loomline.sources.tables import lines_from_table, read_table, slot_positions, written_slots
 from loomline.sources.vocabulary import BOS, EOS, Vocabulary, vocabulary
 from loomline.staging import staged
 
@@ -33,12 +33,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/documents.parquet").select("doc_id", "text")
 
 
-def written_slots(docs: DataFrame) -> DataFrame:
-    """doc_id, slots, n_lines: narrow and written, so the texts are read only once
-    for the count and the order of the lines."""
-    return staged(line_slots(docs), "line-slots")
-
-
 def line_count(slots: DataFrame) -> Column:
     return slots.agg(F.coalesce(F.sum("n_lines"), F.lit(0))).scalar()
 

@@ -13,7 +13,7 @@ from loomline.operators.ordering import assign_split, limit_splits, split_sizes
 from loomline.operators.packing import pack_examples
 from loomline.operators.tokens import tokenizer_ids, wrap
 from loomline.sources.corpus_files import CorpusIndex
-from loomline.sources.tables import line_slots, lines_from_table, slot_positions
+from loomline.sources.tables import pick_lines, slot_positions, written_slots
 from loomline.sources.vocabulary import Vocabulary
 from loomline.staging import broadcast_if_within, staged
 
@@ -66,18 +66,16 @@ def _sizes(spark: SparkSession, n_docs: int, settings: Settings) -> dict[str, in
     return row.asDict()
 
 
-def _counted(wanted: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
-    """Write the wanted rows; their count decides whether they, or a table with one
-    row for each, are broadcast."""
+def _counted(wanted: DataFrame) -> tuple[DataFrame, int]:
+    """Write the wanted rows and count them: their number decides what is broadcast."""
     wanted = staged(wanted, "wanted")
-    n = wanted.count()
-    return wanted, lambda df: broadcast_if_within(df, n, FETCH_BROADCAST_ROWS)
+    return wanted, wanted.count()
 
 
 def index_table(docs: DataFrame, key: str, text: str, settings: Settings) -> SplitIndex:
     """Index a document table. The index is narrow and written once; text is
     read again only for the lines that are wanted."""
-    slots = staged(line_slots(docs, key, text), "line-slots")
+    slots = written_slots(docs, key, text)
     n_docs = slots.agg(F.sum("n_lines")).first()[0] or 0
     sizes = _sizes(docs.sparkSession, n_docs, settings)
     rows = _split_rows(slot_positions(slots, key), n_docs, settings)
@@ -85,15 +83,16 @@ def index_table(docs: DataFrame, key: str, text: str, settings: Settings) -> Spl
 
     def fetch_text(wanted: DataFrame | None) -> DataFrame:
         if wanted is None:
-            places = broadcast_if_within(rows, sum(sizes.values()), FETCH_BROADCAST_ROWS)
+            n, places = sum(sizes.values()), rows
         else:
-            wanted, small = _counted(wanted)
-            places = small(rows.join(small(wanted), ["split", "split_ord"]))
-        return (
-            lines_from_table(docs, key, text)
-            .join(places, [key, "line_no"])
-            .select("split", "split_ord", "text")
+            wanted, n = _counted(wanted)
+            places = rows.join(
+                broadcast_if_within(wanted, n, FETCH_BROADCAST_ROWS), ["split", "split_ord"]
+            )
+        per_row = places.groupBy(key).agg(
+            F.collect_list(F.struct("split", "split_ord", "line_no")).alias("places")
         )
+        return pick_lines(docs, broadcast_if_within(per_row, n, FETCH_BROADCAST_ROWS), key, text)
 
     return SplitIndex(rows, sizes, fetch_text)
 
@@ -108,8 +107,9 @@ def index_files(corpus: CorpusIndex, settings: Settings) -> SplitIndex:
     def fetch_text(wanted: DataFrame | None) -> DataFrame:
         found = documents
         if wanted is not None:
-            wanted, small = _counted(wanted)
-            found = found.join(small(wanted), ["split", "split_ord"])
+            wanted, n = _counted(wanted)
+            wanted = broadcast_if_within(wanted, n, FETCH_BROADCAST_ROWS)
+            found = found.join(wanted, ["split", "split_ord"])
         return found.select("split", "split_ord", "text")
 
     return SplitIndex(rows, sizes, fetch_text)
@@ -127,6 +127,9 @@ def packed_rows(
 
     def fetch_ids(wanted: DataFrame | None) -> DataFrame:
         found = index.fetch_text(wanted)
+        if wanted is not None:
+            # A scan of very many splits leaves a few wanted texts in each task.
+            found = found.hint("rebalance")
         ids = tokenizer_ids(
             found.sparkSession, F.col("text"), tokenizer_json, add_special_tokens
         )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomline.functions.arrays import running_starts
 from loomline.functions.text import has_ink, strip_space
 from loomline.operators.ordering import exclusive_prefix, prefix_levels
+from loomline.staging import staged
 
 
 SPREAD_BYTES = 256 * 1024 * 1024
@@ -66,6 +67,32 @@ def line_slots(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return docs.select(key, slots.alias("slots")).withColumn("n_lines", F.size("slots"))
 
 
+def written_slots(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """line_slots, written once, so that the texts are read once for the count and the
+    order of their lines. Rebalanced, as each task of the scan writes very little."""
+    return staged(line_slots(docs, key, text).hint("rebalance"), "line-slots")
+
+
+def pick_lines(
+    docs: DataFrame, places: DataFrame, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """Lines by position, stripped: split, split_ord, text.
+
+    places has one row per wanted key, an array of (split, split_ord, line_no). Rows
+    without a wanted line are dropped before their text is cut into lines.
+    """
+    found = docs.join(places, key).select("places", F.split(text, "\n").alias("_raw"))
+    picked = F.transform(
+        "places",
+        lambda p: F.struct(
+            p["split"].alias("split"),
+            p["split_ord"].alias("split_ord"),
+            strip_space(F.get("_raw", p["line_no"])).alias("text"),
+        ),
+    )
+    return found.select(F.explode(picked).alias("_p")).select("_p.*")
+
+
 def table_positions(
     docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 10_000
 ) -> DataFrame:

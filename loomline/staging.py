@@ -19,14 +19,14 @@ def work_folder(spark: SparkSession) -> str:
     temporary folder. A cluster session without one is refused, because a
     machine-local folder would not outlive a lost executor.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="loomline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="loomline-"))
+    return context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("loomline-tests")
@@ -21,8 +21,6 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "6g")
     )
     session = builder.getOrCreate()
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("staged")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -6,10 +6,8 @@ import hashlib
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from loomline.operators.packing import pack_examples, shift_pairs, to_batches
-from loomline.operators.tokens import wrap
 from loomline.plans.training_rows import Settings, index_files, index_table, packed_rows
 from loomline.sources.corpus_files import index_corpus
 from loomline.sources.vocabulary import vocabulary
@@ -123,7 +121,8 @@ def plain_rows(settings, asked):
     "settings", [Settings(seed=3), Settings(0.3, 0.5, 20, 4, block_size=16, seed=5)]
 )
 @pytest.mark.parametrize("source", ["table", "files"])
-def test_corpus_to_batches(spark, corpus, settings, source):
+@pytest.mark.parametrize("n_train,n_val", [(70, 10), (3, 1)])
+def test_corpus_to_batches(spark, corpus, settings, source, n_train, n_val):
     if source == "table":
         # three lines a row, blank ones between
         texts = ["\n \n".join(lines()[i : i + 3]) for i in range(0, 120, 3)]
@@ -136,7 +135,7 @@ def test_corpus_to_batches(spark, corpus, settings, source):
         )
         index = index_files(index_corpus(spark, folder), settings)
     vocab = vocabulary(spark.createDataFrame(list(WORDS.items()), "token string, id int"), 7)
-    asked = [("train", e) for e in range(70)] + [("val", e) for e in range(10)]
+    asked = [("train", e) for e in range(n_train)] + [("val", e) for e in range(n_val)]
     examples = spark.createDataFrame(asked, "split string, example bigint")
     packed = packed_rows(index, examples, vocab, tokenizer_json(), settings)
     got = {(r.split, r.example): r.ids for r in packed.collect()}

@@ -125,7 +125,7 @@ EVAL_LOG = f"""{LOSSES},
 log AS (
   SELECT step, round(train_loss, 9) AS train_loss, round(val_loss, 9) AS val_loss,
          round({rate('step', '(SELECT max(step) FROM losses)')}, 12) AS lr,
-         round((epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM losses)) / 1e6, 3) AS elapsed_s,
+         round((epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM losses)) / 1e6, 6) AS elapsed_s,
          round(best_val, 9) AS best_val, is_best
   FROM marked WHERE step % 200 = 0)"""
 

@@ -227,7 +227,7 @@ def _rounded_log(log: DataFrame) -> DataFrame:
         F.round("train_loss", 9).alias("train_loss"),
         F.round("val_loss", 9).alias("val_loss"),
         F.round("lr", 12).alias("lr"),
-        F.round("elapsed_s", 3).alias("elapsed_s"),
+        F.round("elapsed_s", 6).alias("elapsed_s"),
         F.round("best_val", 9).alias("best_val"),
         "is_best",
     )
@@ -247,7 +247,7 @@ def eval_log_written(spark: SparkSession, sf: str) -> DataFrame:
 
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     return runlog.run_summary(_eval_log(spark, sf)).select(
-        F.round("total_s", 3).alias("total_s"), F.round("best_val", 9).alias("best_val")
+        F.round("total_s", 6).alias("total_s"), F.round("best_val", 9).alias("best_val")
     )
 
 

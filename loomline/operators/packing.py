@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from loomline.functions.draws import keyed_draw
 from loomline.staging import staged
 
+DRAWS_PER_TASK = 500_000
+
 # With four draws a document, e**-4 of the documents, 2 %, are drawn by none.
 DRAWS_TO_TAKE_ALL = 4
 
@@ -25,11 +27,6 @@ def draw_documents(
 
     n_docs is the size of the row's split.
     """
-    # One narrow row turns into many draws and later their ids, so the examples are
-    # spread first, by the key the packing windows need; the count is given to keep
-    # adaptive execution from merging these small partitions.
-    width = int(examples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    examples = examples.repartition(width, *_EXAMPLE)
     k = F.explode(F.sequence(F.lit(first), F.lit(last))).alias("k")
     split_ord = keyed_draw(
         n_docs, F.lit(seed), F.col("split"), F.col("example"), F.col("k")
@@ -86,6 +83,7 @@ def pack_examples(
     suffice. Most examples need far fewer: the first round draws first_round
     documents for all, a second one the rest of the bound for those still open.
     """
+    spark = examples.sparkSession
     bound = (target_len + 1) // 2
     n_docs = size_of_split(sizes)
     running = (
@@ -93,8 +91,13 @@ def pack_examples(
     )
 
     def one_round(todo: DataFrame, first: int, last: int) -> tuple[DataFrame, DataFrame]:
-        draws = draw_documents(todo, n_docs, first, last, seed)
         n_draws = todo.count() * (last - first + 1)
+        # One narrow row turns into many draws and later their ids, so the examples
+        # are spread first, by the key the packing window needs. The count is given:
+        # adaptive execution would merge partitions that are still this small.
+        tasks = max(n_draws // DRAWS_PER_TASK + 1, spark.sparkContext.defaultParallelism)
+        spread = todo.repartition(tasks, *_EXAMPLE)
+        draws = draw_documents(spread, n_docs, first, last, seed)
         take_all = n_draws >= DRAWS_TO_TAKE_ALL * sum(sizes.values())
         wanted = None if take_all else draws.select(*_DOC).distinct()
         tokens = staged(

@@ -10,7 +10,20 @@ from pyspark.sql import functions as F
 
 from loomline.functions.text import words
 from loomline.sources.vocabulary import Vocabulary
-from loomline.staging import broadcast_if_within
+from loomline.staging import BROADCAST_ROWS
+
+# Beyond the broadcast limit a common word's rows are dealt out over this many keys.
+SALTS = 32
+
+
+def _look_up(placed: DataFrame, vocab: Vocabulary, on: str) -> DataFrame:
+    """placed (with _pos) left-joined with the vocabulary on token or id."""
+    table = vocab.table.select("token", "id")
+    if vocab.rows <= BROADCAST_ROWS:
+        return placed.join(F.broadcast(table), on, "left")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    salted = placed.withColumn("_salt", F.col("_pos") % SALTS)
+    return salted.join(table.select("*", salts), [on, "_salt"], "left")
 
 
 def encode_words(
@@ -21,8 +34,7 @@ def encode_words(
     The gathered group is one document, which was one row before.
     """
     tokens = df.select(*keys, F.posexplode(words(F.col(text))).alias("_pos", "token"))
-    table = broadcast_if_within(vocab.table.select("token", "id"), vocab.rows)
-    placed = tokens.join(table, "token", "left").select(
+    placed = _look_up(tokens, vocab, "token").select(
         *keys, F.struct("_pos", F.coalesce("id", F.lit(vocab.unknown)).alias("id")).alias("_t")
     )
     return placed.groupBy(*keys).agg(
@@ -77,9 +89,8 @@ def decode_ids(
 ) -> DataFrame:
     """Ids back to space-joined tokens; special tokens are left out."""
     placed = df.select(*keys, F.posexplode_outer(ids).alias("_pos", "id"))
-    table = broadcast_if_within(vocab.table.select("token", "id"), vocab.rows)
     token = F.when(~F.col("id").isin(vocab.specials), F.col("token"))
-    found = placed.join(table, "id", "left").select(
+    found = _look_up(placed, vocab, "id").select(
         *keys, F.struct("_pos", token.alias("token")).alias("_t")
     )
     ordered = F.transform(F.array_sort(F.collect_list("_t")), lambda t: t["token"])

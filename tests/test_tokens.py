@@ -90,7 +90,28 @@ def test_template_specials_follow_the_switch(spark, add, want):
     assert df.select(ids.alias("ids")).first().ids == want
 
 
-def test_decode_skips_specials_and_keeps_order(spark, vocab):
+def test_subword_tokenizer_equals_the_library(spark):
+    from tokenizers import Tokenizer, models, pre_tokenizers, trainers
+
+    tokenizer = Tokenizer(models.BPE())
+    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel()
+    trainer = trainers.BpeTrainer(
+        vocab_size=300, special_tokens=["[BOS]", "[EOS]"], show_progress=False,
+        initial_alphabet=pre_tokenizers.ByteLevel.alphabet(),
+    )
+    tokenizer.train_from_iterator(texts(), trainer)
+    known = tokenizer_vocabulary(spark, tokenizer.to_str())
+    assert known.rows == tokenizer.get_vocab_size() and known.bos == tokenizer.token_to_id("[BOS]")
+    rows = list(enumerate([*texts(40), "unseen wörds 😀", "a  b\tc"]))
+    df = spark.createDataFrame(rows, "i int, text string")
+    ids = tokenizer_ids(spark, F.col("text"), tokenizer.to_str())
+    for r in df.select("text", ids.alias("ids")).collect():
+        assert r.ids == tokenizer.encode(r.text).ids
+
+
+@pytest.mark.parametrize("rows", [len(WORDS), 10**9])
+def test_decode_skips_specials_and_keeps_order(spark, vocab, rows):
+    vocab = Vocabulary(vocab.table, rows, vocab.bos, vocab.eos, vocab.unknown)
     rows = [(0, [1, 3, 4, 2]), (1, [0, 5, 5, 6]), (2, [1, 2]), (3, []), (4, None)]
     df = spark.createDataFrame(rows, "i int, ids array<int>")
     got = {r.i: r.text for r in decode_ids(df, vocab, ["i"]).collect()}

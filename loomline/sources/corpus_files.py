@@ -61,6 +61,8 @@ class CorpusIndex:
     """What one pass over a corpus folder found out."""
 
     spark: SparkSession
+    folder: str
+    pattern: str
     files: list[CorpusFile]
     splits: DataFrame  # file_idx, file_name, split_start, first_row, first_doc, ord_base, ...
     bom_files: list[str]
@@ -73,6 +75,11 @@ class CorpusIndex:
             [(len(self.files), self.n_docs)], "files bigint, documents bigint"
         )
 
+    def _lines(self) -> DataFrame:
+        if list_corpus(self.spark, self.folder, self.pattern) != self.files:
+            raise RuntimeError(f"the files of {self.folder} changed after indexing")
+        return _scan(self.spark, self.files)
+
     def _split_table(self, *columns: str) -> DataFrame:
         table = self.splits.select(*_SPLIT, *columns)
         # One row per input split; a plain join is the way beyond the limit.
@@ -88,11 +95,13 @@ class CorpusIndex:
 
     def documents(self) -> DataFrame:
         """ord, file_idx, text of every document. One scan, no shuffle of text."""
-        docs = _document_rows(_scan(self.spark, self.files), self.bare_bom_rows)
+        docs = _document_rows(self._lines(), self.bare_bom_rows)
         docs = docs.join(
-            self._split_table("file_idx", "first_row", "first_doc", "ord_base"), _SPLIT
+            self._split_table("file_idx", "first_row", "first_doc", "n_docs", "ord_base"),
+            _SPLIT,
+            "left",
         ).select(
-            (F.col("ord_base") + F.col("doc") - F.col("first_doc")).alias("ord"),
+            _checked_ord(F.col("doc") - F.col("first_doc")).alias("ord"),
             "file_idx",
             strip_space(self._bom_repair(lossy_utf8(F.col("line")))).alias("text"),
         )
@@ -106,7 +115,7 @@ class CorpusIndex:
 
         The running byte count runs inside one input split, never over a file.
         """
-        sizes = _scan(self.spark, self.files).select(
+        sizes = self._lines().select(
             *_SPLIT,
             "row",
             (F.octet_length("line") + 1).cast("bigint").alias("bytes"),
@@ -122,9 +131,11 @@ class CorpusIndex:
         ).filter("is_doc")
         offset = F.col("byte_base") + F.col("start")
         found = placed.join(
-            self._split_table("file_idx", "ord_base", "byte_base", "bom_bytes"), _SPLIT
+            self._split_table("file_idx", "n_docs", "ord_base", "byte_base", "bom_bytes"),
+            _SPLIT,
+            "left",
         ).select(
-            (F.col("ord_base") + F.col("i")).alias("ord"),
+            _checked_ord(F.col("i")).alias("ord"),
             "file_idx",
             F.when(offset == 0, offset).otherwise(offset + F.col("bom_bytes")).alias("byte_offset"),
         )
@@ -155,6 +166,28 @@ def _scan(spark: SparkSession, files: list[CorpusFile]) -> DataFrame:
     )
 
 
+def _checked_ord(place: Column) -> Column:
+    """Ordinal of the document at a place in its input split.
+
+    Fails the job when files or split sizes are not those the index was made from:
+    then some document has no split in the index, or a place beyond its count.
+    """
+    changed = F.raise_error(F.lit("the corpus or its input splits changed after indexing"))
+    known = (place >= 0) & (place < F.col("n_docs"))
+    return F.when(known, F.col("ord_base") + place).otherwise(changed.cast("bigint"))
+
+
+def _fix_split_layout(spark: SparkSession) -> None:
+    """Keep the session's file splits from following the number of live executors.
+
+    Spark derives split sizes of small corpora from the cores at hand, which change
+    when executors come and go. The value set is the one now in use.
+    """
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set("spark.sql.files.minPartitionNum", str(cores))
+
+
 def _is_document(bare_bom_rows: list[int]) -> Column:
     inked = has_ink(lossy_utf8(F.col("line")))
     return inked | F.col("row").isin(bare_bom_rows) if bare_bom_rows else inked
@@ -189,6 +222,7 @@ def index_corpus(spark: SparkSession, folder: str, pattern: str = "*.json") -> C
     files = list_corpus(spark, folder, pattern)
     require_files([f.name for f in files], folder)
     warn_hidden([f.name for f in files])
+    _fix_split_layout(spark)
 
     stats = staged(_split_stats(_scan(spark, files)), "corpus-splits")
     marked = stats.groupBy("file_name").agg(
@@ -246,5 +280,13 @@ def index_corpus(spark: SparkSession, folder: str, pattern: str = "*.json") -> C
     )
     totals = splits.agg(F.count("*").alias("splits"), F.sum("n_docs").alias("docs")).first()
     return CorpusIndex(
-        spark, files, splits, bom_files, bare_bom_rows, totals.splits, totals.docs or 0
+        spark,
+        folder,
+        pattern,
+        files,
+        splits,
+        bom_files,
+        bare_bom_rows,
+        totals.splits,
+        totals.docs or 0,
     )

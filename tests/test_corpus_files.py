@@ -81,6 +81,29 @@ def test_many_splits_and_packed_small_files(spark, corpus):
         spark.conf.set("spark.sql.files.openCostInBytes", cost)
 
 
+def test_other_split_sizes_fail_the_scan(spark, corpus):
+    folder = corpus({"a.json": b"word\n" * 4000, "b.json": b"word\n" * 900})
+    index = index_corpus(spark, folder)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        for table in (index.documents(), index.positions()):
+            with pytest.raises(Exception, match="changed after indexing"):
+                table.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert index.documents().count() == 4900
+
+
+def test_a_changed_file_is_refused(spark, corpus):
+    folder = corpus({"a.json": b"word\n" * 40})
+    index = index_corpus(spark, folder)
+    with open(f"{folder}/a.json", "ab") as f:
+        f.write(b"more\n")
+    with pytest.raises(RuntimeError, match="changed after indexing"):
+        index.documents()
+
+
 def test_hidden_files_are_listed_and_warned_about(spark, corpus):
     files = {"_h.json": b"one\n", ".d.json": b"two\n", "a.json": b"three\n", "n.txt": b"no\n"}
     folder = corpus(files)

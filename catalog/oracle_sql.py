@@ -223,6 +223,10 @@ ORACLE = {
     "split_docs": f"WITH {SPLIT} SELECT doc_id, line_no, ord, split, split_ord FROM split_lines",
     "split_fraction": limited(part("n_train"), part("(n - n_train)")),
     "split_caps": limited(str(MAX_TRAIN_DOCS), str(MAX_VAL_DOCS)),
+    "split_counts": f"""WITH {SPLIT}
+        SELECT count(*) FILTER (split = 'train') AS train_docs,
+               count(*) FILTER (split = 'val') AS val_docs FROM split_lines""",
+    "special_tokens": f"WITH {VOCAB} SELECT token, id FROM vocab WHERE token IN ('[BOS]', '[EOS]')",
     "vocab": f"WITH {VOCAB} SELECT token, id FROM vocab",
     "vocab_size": f"WITH {VOCAB} SELECT count(*) AS vocab_size FROM vocab",
     "encode_docs": f"WITH {TOKENS} SELECT doc_id, line_no, {joined('ids')} AS ids FROM encoded",

@@ -9,6 +9,7 @@ from catalog import views
 from loomline.functions.schedule import learning_rate
 from loomline.functions.text import html_escape, lossy_utf8, strip_space
 from loomline.operators import chat, runlog
+from loomline.operators.guards import checked_size
 from loomline.operators.ordering import assign_split, limit_splits, split_sizes
 from loomline.operators.packing import draw_documents, shift_pairs, to_batches
 from loomline.operators.tokens import (
@@ -96,17 +97,33 @@ def split_caps(spark: SparkSession, sf: str) -> DataFrame:
     return limit_splits(index, n, views.VAL_FRACTION, None, MAX_TRAIN_DOCS, MAX_VAL_DOCS)
 
 
+def split_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes of both splits; an empty one fails the query."""
+    slots = written_slots(views.documents(spark, sf))
+    counted = slots.agg(F.coalesce(F.sum("n_lines"), F.lit(0)).alias("n"))
+    sizes = split_sizes(F.col("n"), views.VAL_FRACTION)
+    return counted.select(
+        *[checked_size(size, split).alias(f"{split}_docs") for split, size in sizes.items()]
+    )
+
+
 # ---- tokens --------------------------------------------------------------------------
 
 
 def vocab(spark: SparkSession, sf: str) -> DataFrame:
-    return views.word_vocabulary(views.documents(spark, sf))
+    docs = views.documents(spark, sf)
+    return views.word_vocabulary(docs, written_slots(docs))
 
 
 def vocab_size(spark: SparkSession, sf: str) -> DataFrame:
     return vocab(spark, sf).agg(F.count("*").alias("vocab_size"))
 
 
+def special_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    known = views.staged_vocabulary(views.documents(spark, sf))
+    return known.table.filter(F.col("id").isin(known.bos, known.eos))
+
+
 def _encoded(spark: SparkSession, sf: str):
     docs = views.documents(spark, sf)
     known = views.staged_vocabulary(docs)
@@ -156,9 +173,10 @@ def doc_draws(spark: SparkSession, sf: str) -> DataFrame:
 
 def _packed(spark: SparkSession, sf: str) -> DataFrame:
     docs = views.documents(spark, sf)
-    known = views.staged_vocabulary(docs)
+    slots = written_slots(docs)
+    known = views.staged_vocabulary(docs, slots)
     settings = Settings(val_fraction=views.VAL_FRACTION)
-    index = index_table(docs, "doc_id", "text", settings)
+    index = index_table(docs, "doc_id", "text", settings, slots)
     examples = index.positions.select("split", F.col("split_ord").alias("example"))
     return packed_rows(index, examples, known, views.word_tokenizer(known), settings)
 
@@ -319,8 +337,10 @@ QUERIES = {
         split_docs,
         split_fraction,
         split_caps,
+        split_counts,
         vocab,
         vocab_size,
+        special_tokens,
         encode_docs,
         encode_docs_tokenizer,
         decode_docs,

@@ -37,17 +37,16 @@ def line_count(slots: DataFrame) -> Column:
     return slots.agg(F.coalesce(F.sum("n_lines"), F.lit(0))).scalar()
 
 
-def split_lines(docs: DataFrame) -> DataFrame:
+def split_lines(docs: DataFrame, slots: DataFrame) -> DataFrame:
     """doc_id, line_no, text, split."""
-    slots = written_slots(docs)
     return mark_split(
         lines_from_table(docs), slot_positions(slots), line_count(slots), VAL_FRACTION
     )
 
 
-def word_vocabulary(docs: DataFrame) -> DataFrame:
+def word_vocabulary(docs: DataFrame, slots: DataFrame) -> DataFrame:
     """token, id: the specials, then the commonest words of the train lines."""
-    train = split_lines(docs).filter("split = 'train'")
+    train = split_lines(docs, slots).filter("split = 'train'")
     counted = train.select(F.explode(words(F.col("text"))).alias("token")).groupBy("token").count()
     # A vocabulary has a set size; the window below sees only its rows.
     top = counted.orderBy(F.desc("count"), "token").limit(VOCAB_WORDS)
@@ -59,8 +58,9 @@ def word_vocabulary(docs: DataFrame) -> DataFrame:
     return specials.unionByName(ranked)
 
 
-def staged_vocabulary(docs: DataFrame) -> Vocabulary:
-    table = staged(word_vocabulary(docs), "vocabulary")
+def staged_vocabulary(docs: DataFrame, slots: DataFrame | None = None) -> Vocabulary:
+    slots = written_slots(docs) if slots is None else slots
+    table = staged(word_vocabulary(docs, slots), "vocabulary")
     return vocabulary(table, VOCAB_WORDS + 3, UNK)
 
 

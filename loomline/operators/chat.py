@@ -63,7 +63,10 @@ def split_reasoning(messages: DataFrame, content: str = "text") -> DataFrame:
 
 
 def message_html(name: str = "Assistant") -> Column:
-    """A message's markup, from role, reasoning and answer; styling is left out."""
+    """A message's markup, from role, reasoning and answer; styling is left out.
+
+    Fixed values: the class names and the two labels.
+    """
     answer = F.concat(F.lit("<div>"), html_escape(F.col("answer")), F.lit("</div>"))
     thoughts = F.concat(
         F.lit("<details><summary>Reasoning</summary><div>"),

@@ -5,6 +5,9 @@ from __future__ import annotations
 import warnings
 from collections.abc import Mapping, Sequence
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 
 class EmptyCorpusError(ValueError):
     pass
@@ -32,6 +35,12 @@ def require_splits(sizes: Mapping[str, int]) -> None:
             raise EmptyCorpusError(f"the {split} split has no documents")
 
 
+def checked_size(size: Column, split: str) -> Column:
+    """A split's size inside a query; the query fails when it is not positive."""
+    empty = F.raise_error(F.lit(f"the {split} split has no documents"))
+    return F.when(size > 0, size).otherwise(empty.cast("bigint"))
+
+
 def require_specials(ids: Mapping[str, int | None], names: Sequence[str]) -> None:
     missing = [name for name in names if ids.get(name) is None]
     if missing:

@@ -73,10 +73,17 @@ def _counted(wanted: DataFrame) -> tuple[DataFrame, int]:
     return wanted, wanted.count()
 
 
-def index_table(docs: DataFrame, key: str, text: str, settings: Settings) -> SplitIndex:
+def index_table(
+    docs: DataFrame,
+    key: str,
+    text: str,
+    settings: Settings,
+    slots: DataFrame | None = None,
+) -> SplitIndex:
     """Index a document table. The index is narrow and written once; text is
-    read again only for the lines that are wanted."""
-    slots = written_slots(docs, key, text)
+    read again only for the lines that are wanted. slots, the table's line slots,
+    may be given when they are written already."""
+    slots = written_slots(docs, key, text) if slots is None else slots
     n_docs = slots.agg(F.sum("n_lines")).first()[0] or 0
     sizes = _sizes(docs.sparkSession, n_docs, settings)
     rows = _split_rows(slot_positions(slots, key), n_docs, settings)

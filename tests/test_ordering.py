@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from loomline.operators.guards import checked_size
 from loomline.operators.ordering import (
     assign_split,
     exclusive_prefix,
@@ -88,6 +89,13 @@ def test_split_is_a_tail(spark, n, fraction):
     assert [r.split_ord for r in rows] == [*range(n - n_val), *range(n_val)]
 
 
+def test_checked_size_fails_inside_a_query(spark):
+    one = split_sizes(F.lit(1).cast("bigint"))
+    with pytest.raises(Exception, match="train split has no documents"):
+        spark.range(1).select(checked_size(one["train"], "train")).collect()
+    assert spark.range(1).select(checked_size(one["val"], "val")).first()[0] == 1
+
+
 def test_fraction_is_a_double(spark):
     columns = split_sizes(F.lit(100).cast("bigint"), 0.0, 0.29)
     assert spark.range(1).select(columns["train"]).first()[0] == int(100 * 0.29) == 28

@@ -38,6 +38,9 @@ def list_corpus(spark: SparkSession, folder: str, pattern: str = "*.json") -> li
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     root = jvm.org.apache.hadoop.fs.Path(folder)
+    system = root.getFileSystem(conf)
+    if not system.exists(root):
+        return []
     found = [
         CorpusFile(
             s.getPath().getName(),
@@ -45,7 +48,7 @@ def list_corpus(spark: SparkSession, folder: str, pattern: str = "*.json") -> li
             s.getLen(),
             s.getPath().toUri().getRawPath().rpartition("/")[2],
         )
-        for s in root.getFileSystem(conf).listStatus(root)
+        for s in system.listStatus(root)
         if s.isFile() and fnmatch.fnmatchcase(s.getPath().getName(), pattern)
     ]
     return sorted(found, key=lambda f: f.name)

@@ -121,8 +121,9 @@ def test_name_order_is_by_code_point(spark, corpus):
 
 def test_guards(spark, corpus):
     folder = corpus({"a.txt": b"x\n"})
-    with pytest.raises(FileNotFoundError):
-        index_corpus(spark, folder)
+    for missing in (folder, folder + "-none"):
+        with pytest.raises(FileNotFoundError):
+            index_corpus(spark, missing)
     one = index_corpus(spark, folder, "*.txt")
     with pytest.raises(EmptyCorpusError, match="train"):
         index_files(one, Settings())

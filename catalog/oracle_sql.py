@@ -70,6 +70,12 @@ wrapped AS (
   SELECT doc_id, line_no, [1] || ids || [2] AS ids FROM encoded)"""
 
 
+DECODED = f"""WITH {TOKENS}
+  SELECT doc_id, line_no,
+         coalesce(string_agg(vocab.token, ' ' ORDER BY pos) FILTER (vocab.id > 2), '') AS text
+  FROM words LEFT JOIN vocab USING (token) GROUP BY doc_id, line_no"""
+
+
 def draws(last: int) -> str:
     return f"""
 draws AS (
@@ -232,10 +238,8 @@ ORACLE = {
     "encode_docs": f"WITH {TOKENS} SELECT doc_id, line_no, {joined('ids')} AS ids FROM encoded",
     "encode_docs_tokenizer": f"""WITH {TOKENS}
         SELECT doc_id, line_no, {joined('ids')} AS ids FROM encoded""",
-    "decode_docs": f"""WITH {TOKENS}
-        SELECT doc_id, line_no,
-               coalesce(string_agg(vocab.token, ' ' ORDER BY pos) FILTER (vocab.id > 2), '') AS text
-        FROM words LEFT JOIN vocab USING (token) GROUP BY doc_id, line_no""",
+    "decode_docs": DECODED,
+    "decode_docs_tokenizer": DECODED,
     "wrapped_docs": f"WITH {TOKENS} SELECT doc_id, line_no, {joined('ids')} AS ids FROM wrapped",
     "context_window": f"""WITH {TOKENS}
         SELECT doc_id, line_no, {joined('ids[greatest(len(ids) - 127, 1):len(ids)]')} AS ids

@@ -17,6 +17,7 @@ from loomline.operators.tokens import (
     decode_ids,
     encode_words,
     tokenizer_ids,
+    tokenizer_text,
     wrap,
 )
 from loomline.plans.training_rows import Settings, index_table, packed_rows
@@ -150,6 +151,16 @@ def decode_docs(spark: SparkSession, sf: str) -> DataFrame:
     return decode_ids(wrapped, known, LINE)
 
 
+def decode_docs_tokenizer(spark: SparkSession, sf: str) -> DataFrame:
+    docs = views.documents(spark, sf)
+    known = views.staged_vocabulary(docs)
+    tokenizer = views.word_tokenizer(known)
+    ids = tokenizer_ids(spark, F.col("text"), tokenizer)
+    encoded = lines_from_table(docs).select(*LINE, ids.alias("ids"))
+    text = tokenizer_text(spark, wrap(F.col("ids"), known), tokenizer)
+    return encoded.select(*LINE, text.alias("text"))
+
+
 def wrapped_docs(spark: SparkSession, sf: str) -> DataFrame:
     encoded, known = _encoded(spark, sf)
     return encoded.select(*LINE, joined(wrap(F.col("ids"), known)).alias("ids"))
@@ -344,6 +355,7 @@ QUERIES = {
         encode_docs,
         encode_docs_tokenizer,
         decode_docs,
+        decode_docs_tokenizer,
         wrapped_docs,
         doc_draws,
         packed_examples,

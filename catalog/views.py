@@ -67,12 +67,16 @@ def staged_vocabulary(docs: DataFrame, slots: DataFrame | None = None) -> Vocabu
 def word_tokenizer(vocab: Vocabulary) -> str:
     """A tokenizer file for the word vocabulary, at most VOCAB_WORDS + 3 entries."""
     entries = {r.token: r.id for r in vocab.table.collect()}
+    flags = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False}
+    specials = [
+        {"id": entries[t], "content": t, "special": True, **flags} for t in (UNK, BOS, EOS)
+    ]
     return json.dumps(
         {
             "version": "1.0",
             "truncation": None,
             "padding": None,
-            "added_tokens": [],
+            "added_tokens": specials,
             "normalizer": None,
             "pre_tokenizer": {"type": "WhitespaceSplit"},
             "post_processor": None,

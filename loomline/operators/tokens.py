@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,46 +42,74 @@ def encode_words(
     )
 
 
-def tokenizer_ids(
+def _tokenizer_column(
     spark: SparkSession,
-    text: Column,
+    column: Column,
     tokenizer_json: str,
-    add_special_tokens: bool = True,
-    slice_rows: int = 256,
+    work: Callable[..., list],
+    returns: str,
+    kind: pa.DataType,
+    slice_rows: int,
 ) -> Column:
-    """Ids by a tokenizer file, in Arrow batches, without a shuffle.
+    """work(tokenizer, values) over a column in Arrow batches, without a shuffle.
 
-    The tokenizer is built once per task. Encodings hold far more than ids, so
-    each batch is encoded in short slices.
+    The tokenizer is sent to each executor once and built once per task. An encoding
+    takes far more memory than its ids, so a batch is worked on in short slices.
+    Everything a task runs is local to this function: executors need no package.
     """
     shared = spark.sparkContext.broadcast(tokenizer_json)
 
-    @F.arrow_udf("array<int>")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf(returns)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import os
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(shared.value)
-        kind = pa.list_(pa.int32())
 
-        def ids(part: list[str | None]) -> pa.Array:
-            encoded = iter(
-                tokenizer.encode_batch_fast(
-                    [t for t in part if t is not None], add_special_tokens=add_special_tokens
-                )
-            )
-            return pa.array([None if t is None else next(encoded).ids for t in part], kind)
+        def part(values: list) -> pa.Array:
+            done = iter(work(tokenizer, [v for v in values if v is not None]))
+            return pa.array([None if v is None else next(done) for v in values], kind)
 
         for batch in batches:
-            parts = [
-                ids(batch.slice(at, slice_rows).to_pylist())
-                for at in range(0, len(batch), slice_rows)
-            ]
+            starts = range(0, len(batch), slice_rows)
+            parts = [part(batch.slice(at, slice_rows).to_pylist()) for at in starts]
             yield pa.concat_arrays(parts) if parts else pa.array([], kind)
 
-    return encode(text)
+    return run(column)
+
+
+def tokenizer_ids(
+    spark: SparkSession,
+    text: Column,
+    tokenizer_json: str,
+    add_special_tokens: bool = True,
+    slice_rows: int = 256,
+) -> Column:
+    """Ids by a tokenizer file."""
+
+    def encode(tokenizer, texts: list[str]) -> list[list[int]]:
+        found = tokenizer.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+        return [e.ids for e in found]
+
+    kind = pa.list_(pa.int32())
+    return _tokenizer_column(spark, text, tokenizer_json, encode, "array<int>", kind, slice_rows)
+
+
+def tokenizer_text(
+    spark: SparkSession,
+    ids: Column,
+    tokenizer_json: str,
+    skip_special_tokens: bool = True,
+    slice_rows: int = 256,
+) -> Column:
+    """Text of ids by a tokenizer file; special tokens are left out unless asked for."""
+
+    def decode(tokenizer, lists: list[list[int]]) -> list[str]:
+        return tokenizer.decode_batch(lists, skip_special_tokens=skip_special_tokens)
+
+    return _tokenizer_column(spark, ids, tokenizer_json, decode, "string", pa.string(), slice_rows)
 
 
 def decode_ids(

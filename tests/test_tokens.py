@@ -14,6 +14,7 @@ from loomline.operators.tokens import (
     decode_ids,
     encode_words,
     tokenizer_ids,
+    tokenizer_text,
     wrap,
 )
 from loomline.sources.vocabulary import (
@@ -105,8 +106,15 @@ def test_subword_tokenizer_equals_the_library(spark):
     rows = list(enumerate([*texts(40), "unseen wörds 😀", "a  b\tc"]))
     df = spark.createDataFrame(rows, "i int, text string")
     ids = tokenizer_ids(spark, F.col("text"), tokenizer.to_str())
-    for r in df.select("text", ids.alias("ids")).collect():
+    encoded = df.select("text", ids.alias("ids"))
+    wrapped = wrap(F.col("ids"), known)
+    whole, bare = (
+        tokenizer_text(spark, wrapped, tokenizer.to_str(), skip, 7) for skip in (False, True)
+    )
+    for r in encoded.select("*", whole.alias("whole"), bare.alias("bare")).collect():
         assert r.ids == tokenizer.encode(r.text).ids
+        assert r.bare == tokenizer.decode([known.bos, *r.ids, known.eos])
+        assert r.whole == tokenizer.decode([known.bos, *r.ids, known.eos], skip_special_tokens=False)
 
 
 @pytest.mark.parametrize("rows", [len(WORDS), 10**9])

@@ -131,6 +131,12 @@ def test_guards(spark, corpus):
         index_files(one, Settings(val_fraction=0))
 
 
+def test_only_hidden_files(spark, corpus):
+    with pytest.warns(UserWarning):
+        index = index_corpus(spark, corpus({"_a.json": b"x\n"}))
+    assert index.summary().first() == (1, 0) and index.positions().count() == 0
+
+
 def test_empty_corpus(spark, corpus):
     index = index_corpus(spark, corpus({"a.json": b"", "b.json": b"\n \n"}))
     assert index.n_docs == 0 and index.documents().count() == 0

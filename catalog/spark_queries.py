@@ -220,7 +220,9 @@ def batches(spark: SparkSession, sf: str) -> DataFrame:
 
 def eval_means(spark: SparkSession, sf: str) -> DataFrame:
     return runlog.eval_means(views.batch_losses(spark, sf)).select(
-        "step", F.round("train_loss", 9).alias("train_loss"), F.round("val_loss", 9).alias("val_loss")
+        "step",
+        F.round("train_loss", 9).alias("train_loss"),
+        F.round("val_loss", 9).alias("val_loss"),
     )
 
 

@@ -119,8 +119,9 @@ def think_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reply_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations in which about every seventh reply is an error text."""
     failed = (F.col("role") == "assistant") & ((F.col("conv_id") * 3 + F.col("turn")) % 7 == 0)
+    error = F.concat(F.lit(ERROR_PREFIX), F.col("text"))
     return conversations(spark, sf_dir).withColumn(
-        "text", F.when(failed, F.concat(F.lit(ERROR_PREFIX), F.col("text"))).otherwise(F.col("text"))
+        "text", F.when(failed, error).otherwise(F.col("text"))
     )
 
 

@@ -34,7 +34,8 @@ def think_block(content: Column) -> Column:
     start = F.position(F.lit(THINK_OPEN), content)
     end = F.position(F.lit(THINK_CLOSE), content, start + len(THINK_OPEN))
     length = end - start + len(THINK_CLOSE)
-    return F.when(F.contains(content, F.lit(THINK_OPEN)) & (end > 0), F.substring(content, start, length))
+    closed = F.contains(content, F.lit(THINK_OPEN)) & (end > 0)
+    return F.when(closed, F.substring(content, start, length))
 
 
 def split_reasoning(messages: DataFrame, content: str = "text") -> DataFrame:
@@ -74,7 +75,8 @@ def message_html(name: str = "Assistant") -> Column:
         F.lit("</div></details>"),
     )
     reply = F.concat(
-        F.lit(f'<div class="message assistant-message"><span class="message-label">{name} reply</span>'),
+        F.lit('<div class="message assistant-message"><span class="message-label">'),
+        F.lit(f"{name} reply</span>"),
         F.coalesce(thoughts, F.lit("")),
         answer,
         F.lit("</div>"),
@@ -100,8 +102,8 @@ def _last_is_user() -> Column:
     The flag rides in the lowest bit of the turn, so the aggregate is one number
     and combines on the map side by hash, without a sort.
     """
-    coded = F.col("turn") * 2 + (F.col("role") == "user").cast("bigint")
-    return F.max(coded)
+    from_user = F.coalesce(F.col("role") == "user", F.lit(False))
+    return F.max(F.col("turn").cast("bigint") * 2 + from_user.cast("bigint"))
 
 
 def chat_parts(messages: DataFrame, part_turns: int = 1000) -> DataFrame:
@@ -131,7 +133,13 @@ def chat_parts(messages: DataFrame, part_turns: int = 1000) -> DataFrame:
 
 
 def _join_pieces(
-    pieces: DataFrame, parts: DataFrame, part_turns: int, head: Column, between: str, tail: str, out: str
+    pieces: DataFrame,
+    parts: DataFrame,
+    part_turns: int,
+    head: Column,
+    between: str,
+    tail: str,
+    out: str,
 ) -> DataFrame:
     """Concatenate (conv_id, turn, piece) in turn order, part by part.
 
@@ -159,7 +167,10 @@ def _join_pieces(
 
 
 def transcripts(
-    messages: DataFrame, name: str = "Assistant", title: str = "Conversation", part_turns: int = 1000
+    messages: DataFrame,
+    name: str = "Assistant",
+    title: str = "Conversation",
+    part_turns: int = 1000,
 ) -> DataFrame:
     """Chat markup as (conv_id, part, html)."""
     pieces = split_reasoning(messages).select(

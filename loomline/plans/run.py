@@ -38,11 +38,13 @@ def run_examples(spark: SparkSession, run: RunSettings, batch_size: int = 64) ->
     """
     eval_batches = run.n_evals * run.eval_iters
     wanted = {"train": run.max_steps + 1 + eval_batches, "val": eval_batches}
-    parts = [
-        spark.range(n * batch_size).select(F.lit(split).alias("split"), F.col("id").alias("example"))
+    train, val = (
+        spark.range(n * batch_size).select(
+            F.lit(split).alias("split"), F.col("id").alias("example")
+        )
         for split, n in wanted.items()
-    ]
-    return parts[0].unionByName(parts[1])
+    )
+    return train.unionByName(val)
 
 
 def run_report(losses: DataFrame, run: RunSettings) -> DataFrame:

@@ -187,8 +187,9 @@ def _fix_split_layout(spark: SparkSession) -> None:
     when executors come and go. The value set is the one now in use.
     """
     if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        cores = spark.sparkContext.defaultParallelism
-        spark.conf.set("spark.sql.files.minPartitionNum", str(cores))
+        cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
+        cores = cores or str(spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.files.minPartitionNum", cores)
 
 
 def _is_document(bare_bom_rows: list[int]) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loomline.llm.common import table
+from loomline.llm.near_dedup import near_duplicates
+from loomline.llm.quality import quality_verdicts
 from loomline.llm.secrets import document_secrets
 
 
@@ -14,6 +16,16 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_secrets(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secret_scan": op5_secret_scan,
+    "op9_near_dedup": op9_near_dedup,
+    "op10_quality_outliers": op10_quality_outliers,
 }

@@ -38,7 +38,7 @@ STEPS = 4
 #: Groups with fewer rows are estimated together.
 MIN_GROUP = 200
 #: Probability of a row within the cutoff, were the vectors normal.
-CUTOFF = 1 - 1e-9
+CUTOFF = 1 - 1e-6
 # Distances are sorted into bins of 1/BINS of a natural logarithm.
 BINS = 32
 

@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loomline.llm.common import table
+from loomline.llm.mixing import mix
 from loomline.llm.near_dedup import near_duplicates
 from loomline.llm.quality import quality_verdicts
 from loomline.llm.secrets import document_secrets
 
 
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).drop("source")
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_secrets(table(spark, sf_dir, "documents"))
 
@@ -25,6 +30,7 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_mix_sources": op4_mix_sources,
     "op5_secret_scan": op5_secret_scan,
     "op9_near_dedup": op9_near_dedup,
     "op10_quality_outliers": op10_quality_outliers,

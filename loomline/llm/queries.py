@@ -12,6 +12,11 @@ from loomline.llm.mixing import mix
 from loomline.llm.near_dedup import near_duplicates
 from loomline.llm.quality import quality_verdicts
 from loomline.llm.secrets import document_secrets
+from loomline.llm.toxicity import score_documents
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +40,7 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op4_mix_sources": op4_mix_sources,
     "op5_secret_scan": op5_secret_scan,
     "op7_language_id": op7_language_id,

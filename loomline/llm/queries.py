@@ -7,14 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loomline.llm.common import table
+from loomline.llm.decontaminate import decontaminated
 from loomline.llm.langid import predict_languages
 from loomline.llm.mixing import mix
 from loomline.llm.near_dedup import near_duplicates
 from loomline.llm.quality import quality_verdicts
 from loomline.llm.secrets import document_secrets
+from loomline.llm.token_files import token_digest
 from loomline.llm.toxicity import score_documents
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """The place of a public tokenizer file, which every machine has installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,10 +40,18 @@ def op10_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digest(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -43,7 +60,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op4_mix_sources": op4_mix_sources,
     "op5_secret_scan": op5_secret_scan,
+    "op6_token_files": op6_token_files,
     "op7_language_id": op7_language_id,
+    "op8_decontaminate": op8_decontaminate,
     "op9_near_dedup": op9_near_dedup,
     "op10_quality_outliers": op10_quality_outliers,
 }

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,3 +35,19 @@ def text_or_empty(name: str = "text") -> Column:
 def word_list(text: Column) -> Column:
     """The words of a text in order."""
     return F.filter(F.split(text, BLANK_RUN, -1), lambda w: w != "")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of a session, once."""
+    context = spark.sparkContext
+    if any(name.endswith("/loomline-tasks.zip") for name in context.listFiles):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = os.path.join(tempfile.mkdtemp(prefix="loomline-"), "loomline-tasks.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(os.path.join(top, "loomline")):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, top))
+    context.addPyFile(path)

@@ -41,11 +41,11 @@ _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[c for c in range(0x21, 0x7F) if not chr(c).isalnum()]] = True
 
 
-def plain_words(text: bytes | None) -> np.ndarray:
+def plain_words(text: str | None) -> np.ndarray:
     """Hashes of the words of a text, in lower case, without ASCII punctuation."""
     if not text:
         return np.empty(0, U64)
-    data = np.frombuffer(text, np.uint8)
+    data = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8)
     return word_hashes(data[~_PUNCTUATION[data]].tobytes())
 
 
@@ -165,14 +165,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     items = written(
-        benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("binary").alias("text"))
+        benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
         .mapInArrow(_item_words, "item_id bigint, words binary")
         .filter(F.octet_length("words") >= 8 * LEAST_WORDS),
         "benchmark-items",
     )
     total = items.agg(F.coalesce(F.sum(F.octet_length("words") / 8), F.lit(0))).first()[0]
     blocks = int(max(1, -(-total // BLOCK_WORDS)))
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     found = []
     for block in range(blocks):
         # one block is some megabytes, whatever the size of the benchmark

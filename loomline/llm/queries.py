@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomline.llm.common import table
+from loomline.llm.common import ship_package, table
 from loomline.llm.decontaminate import decontaminated
 from loomline.llm.langid import predict_languages
 from loomline.llm.mixing import mix
@@ -56,7 +56,18 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_OWN: dict[str, Query] = {
     "op2_toxicity": op2_toxicity,
     "op4_mix_sources": op4_mix_sources,
     "op5_secret_scan": op5_secret_scan,
@@ -66,3 +77,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_dedup": op9_near_dedup,
     "op10_quality_outliers": op10_quality_outliers,
 }
+
+QUERIES: dict[str, Query] = {name: _shipped(query) for name, query in _OWN.items()}

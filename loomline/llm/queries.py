@@ -13,6 +13,7 @@ from loomline.llm.mixing import mix
 from loomline.llm.near_dedup import near_duplicates
 from loomline.llm.quality import quality_verdicts
 from loomline.llm.secrets import document_secrets
+from loomline.llm.suffix_dedup import without_repeats
 from loomline.llm.token_files import token_digest
 from loomline.llm.toxicity import score_documents
 
@@ -28,6 +29,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -69,6 +74,7 @@ def _shipped(query: Query) -> Query:
 
 _OWN: dict[str, Query] = {
     "op2_toxicity": op2_toxicity,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op5_secret_scan": op5_secret_scan,
     "op6_token_files": op6_token_files,

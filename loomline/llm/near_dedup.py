@@ -8,11 +8,8 @@ only. Texts that meet in a table are checked on their full shingle sets.
 At a similarity of 0.8 a pair misses all tables with probability
 1 - (1 - (1 - 0.8**WIDTH)**GROUPS)**2, which is 7e-5 here.
 
-Equal texts are one node from the start. In a table's bucket the members are
-checked against a few leaders first; only while a bucket's members lie in
-several components are more leaders taken, four times as many each round, until
-every pair of members is in one component or was checked. So a large group of
-copies costs one check for each member, and no link is left out.
+Equal texts are one node from the start. Members of a bucket are checked and
+linked as in clusters.py.
 """
 
 from __future__ import annotations
@@ -24,63 +21,46 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomline.llm.clusters import similar_components, word_sets
 from loomline.llm.common import written
-from loomline.llm.components import connected_components
-from loomline.llm.wordhash import U64, minhashes, mix, sequence_hash, shingle_hashes, word_hashes
+from loomline.llm.wordhash import U64, minhashes, mix, sequence_hash
 
 SHINGLE = 4
 PERCENT = 80
 GROUPS = 10
 WIDTH = 2
 HASHES = 2 * GROUPS * WIDTH
-#: Of HASHES minhashes, how many must agree before full sets are fetched. A pair
-#: at the similarity limit has fewer with probability 2e-6.
-AGREE = HASHES // 2
-
 _GENERATOR = np.random.Generator(np.random.PCG64(9))
 XORS = _GENERATOR.integers(0, 2**63, HASHES, dtype=U64)
 FACTORS = _GENERATOR.integers(0, 2**63, HASHES, dtype=U64) * U64(2) + U64(1)
 
 
-def similar(common: int, a: int, b: int, percent: int = PERCENT) -> bool:
-    return 100 * common >= percent * (a + b - common)
-
-
-def _sets(text: bytes | None, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    words = word_hashes(text)
-    return words, np.unique(shingle_hashes(words, shingle))
-
-
-def _signed(values: np.ndarray) -> list[int]:
-    return values.view(np.int64).tolist()
+def bands(words: np.ndarray, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The band hashes of the two collections; none without shingles."""
+    if not len(shingles):
+        return shingles[:0], shingles[:0]
+    mins = mix(minhashes(shingles, XORS, FACTORS)).reshape(2 * GROUPS, WIDTH)
+    band = np.arange(2 * GROUPS, dtype=U64)
+    for k in range(WIDTH):
+        band = mix(band * U64(0x9E3779B97F4A7C15) + mins[:, k])
+    return band[:GROUPS], band[GROUPS:]
 
 
 def _signatures(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[list] = [[] for _ in range(7)]
+            rows: list[list] = [[] for _ in range(6)]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                words, shingles = _sets(text.as_py(), shingle)
-                a = b = None
-                bands: list[int] = []
-                least: bytes | None = None
-                if len(shingles):
-                    a, b = sequence_hash(words)
-                    mins = minhashes(shingles, XORS, FACTORS)
-                    pairs = mix(mins).reshape(2 * GROUPS, WIDTH)
-                    place = np.arange(2 * GROUPS, dtype=U64)
-                    band = place
-                    for k in range(WIDTH):
-                        band = mix(band * U64(0x9E3779B97F4A7C15) + pairs[:, k])
-                    bands = _signed(band)
-                    least = (mix(mins) & U64(0xFFFF)).astype("<u2").tobytes()
+                words, shingles = word_sets(text.as_py(), shingle)
+                a, b = sequence_hash(words) if len(words) else (None, None)
+                first, second = (x.view(np.int64).tolist() for x in bands(words, shingles))
                 for column, value in zip(
-                    rows, (doc_id, len(shingles), a, b, bands[:GROUPS], bands[GROUPS:], least)
+                    rows, (doc_id, len(shingles), a, b, first, second)
                 ):
                     column.append(value)
             longs = pa.list_(pa.int64())
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), longs, longs, pa.binary())
-            names = ("doc_id", "n_shingles", "h1", "h2", "first", "second", "least")
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), longs, longs)
+            names = ("doc_id", "n_shingles", "h1", "h2", "first", "second")
             yield pa.RecordBatch.from_arrays(
                 [pa.array(r, k) for r, k in zip(rows, kinds)], names=list(names)
             )
@@ -90,113 +70,10 @@ def _signatures(shingle: int):
 
 SIGNATURE = (
     "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, "
-    "first array<bigint>, second array<bigint>, least binary"
+    "first array<bigint>, second array<bigint>"
 )
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs (a, b) whose sizes and minhashes allow a link."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        left = np.frombuffer(b"".join(batch.column("la").to_pylist()), "<u2").reshape(-1, HASHES)
-        right = np.frombuffer(b"".join(batch.column("lb").to_pylist()), "<u2").reshape(-1, HASHES)
-        keep = (left == right).sum(axis=1) >= AGREE
-        yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-
-def _set_bytes(shingle: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [_sets(t.as_py(), shingle)[1].astype("<u8").tobytes() for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"]
-            )
-
-    return run
-
-
-def _checked(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("sa"), batch.column("sb")):
-                a, b = np.frombuffer(x.as_py(), "<u8"), np.frombuffer(y.as_py(), "<u8")
-                both = np.concatenate([a, b])
-                both.sort()
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(similar(common, len(a), len(b), percent))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
-def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Those of pairs (a, b) whose full sets are similar."""
-    side = lambda n: nodes.select(
-        F.col("node").alias(n), F.col("least").alias(f"l{n}"), F.col("n_shingles").alias(f"n{n}")
-    )
-    sized = pairs.join(side("a"), "a").join(side("b"), "b")
-    near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    likely = written(
-        sized.filter(near).select("a", "b", "la", "lb").mapInArrow(_agreeing, "a bigint, b bigint"),
-        "near-pairs",
-    )
-    needed = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    texts = docs.join(needed, docs["doc_id"] == needed["node"]).select("node", "text")
-    # one text for a node, should its id be repeated
-    sets = written(
-        texts.mapInArrow(_set_bytes(shingle), "node bigint, shingles binary").dropDuplicates(["node"]),
-        "near-sets",
-    )
-    full = likely.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"
-    )
-    return full.select("a", "b", "sa", "sb").mapInArrow(_checked(percent), "a bigint, b bigint")
-
-
-def _components(
-    buckets: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, percent: int
-) -> DataFrame | None:
-    """node, component over all links among the members of each bucket; None without links."""
-    open_ = buckets.withColumn("component", F.col("node"))
-    links = labels = None
-    checked, leaders = 1, 1
-    while True:
-        order = F.xxhash64("node", "key")
-        state = open_.groupBy("key").agg(
-            F.count("*").alias("n"),
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.min(F.struct(order.alias("o"), F.col("node").alias("node"))).alias("first"),
-        )
-        state = state.filter((F.col("low") != F.col("high")) & (F.col("n") > checked))
-        open_ = written(
-            open_.join(state.select("key", "n", F.col("first.node").alias("first")), "key"), "near-open"
-        )
-        if open_.isEmpty():
-            return labels
-        # Leaders differ between tables, so one round checks most pairs.
-        leads = F.col("node") == F.col("first") if leaders == 1 else F.pmod(order, F.col("n")) < leaders
-        chosen = open_.filter(leads).select("key", F.col("node").alias("lead"), F.col("component").alias("lc"))
-        pairs = (
-            open_.join(chosen, "key")
-            .filter(F.col("component") != F.col("lc"))
-            .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
-            .distinct()
-        )
-        fresh = _linked(pairs, nodes, docs, shingle, percent)
-        links = written(fresh if links is None else links.union(fresh), "near-links")
-        labels = None if links.isEmpty() else connected_components(links)
-        open_ = open_.select("key", "node")
-        if labels is not None:
-            open_ = open_.join(labels, "node", "left")
-            open_ = open_.withColumn("component", F.coalesce("component", "node"))
-        else:
-            open_ = open_.withColumn("component", F.col("node"))
-        checked, leaders = max(2, leaders), leaders * 8
-
-
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of docs.
 
@@ -216,23 +93,26 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         .groupBy("h1", "h2")
         .agg(
             F.min("doc_id").alias("node"),
-            F.first("n_shingles").alias("n_shingles"),
             F.first("first").alias("first"),
             F.first("second").alias("second"),
-            F.first("least").alias("least"),
         ),
         "near-classes",
     )
-    nodes = classes.select("node", "n_shingles", "least")
-    table = F.explode(
-        F.flatten(
-            F.transform("first", lambda x: F.transform("second", lambda y: F.xxhash64(x, y)))
-        )
-    ).alias("key")
-    members = classes.select(table, "node")
+    tables = F.transform(
+        "first",
+        lambda x, i: F.transform(
+            "second",
+            lambda y, j: F.struct(F.xxhash64(x, y).alias("key"), i.alias("i"), j.alias("j")),
+        ),
+    )
+    members = classes.select(F.explode(F.flatten(tables)).alias("t"), "node").select("t.*", "node")
     shared = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     buckets = written(members.join(shared, "key"), "near-buckets")
-    labels = _components(buckets, nodes, texts, shingle, percent)
+    members = buckets.select("node").distinct()
+    # one text for a node, should its id be repeated
+    own = texts.join(members, F.col("doc_id") == F.col("node")).select("node", "text")
+    own = written(own.dropDuplicates(["node"]), "near-texts")
+    labels = similar_components(buckets, own, bands, shingle, percent)
     of_class = classes.select("h1", "h2", "node")
     if labels is not None:
         of_class = of_class.join(labels, "node", "left")

@@ -11,6 +11,7 @@ from loomline.llm.decontaminate import decontaminated
 from loomline.llm.langid import predict_languages
 from loomline.llm.mixing import mix
 from loomline.llm.near_dedup import near_duplicates
+from loomline.llm.paragraph_dedup import without_repeated_paragraphs
 from loomline.llm.quality import quality_verdicts
 from loomline.llm.secrets import document_secrets
 from loomline.llm.suffix_dedup import without_repeats
@@ -29,6 +30,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op1_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"))
 
@@ -73,6 +78,7 @@ def _shipped(query: Query) -> Query:
 
 
 _OWN: dict[str, Query] = {
+    "op1_paragraph_dedup": op1_paragraph_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_mix_sources": op4_mix_sources,

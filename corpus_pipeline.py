@@ -21,7 +21,7 @@ from loomline.llm.token_files import token_digest
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document stays if its text is in one of the learned languages so surely.
-LEAST_SCORE = 0.3
+LEAST_SCORE = 0.2
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

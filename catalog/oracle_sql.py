@@ -8,7 +8,7 @@ from catalog.spark_queries import (
     MAX_VAL_DOCS,
     SYSTEM_TEXT,
 )
-from catalog.views import BLANKS, VOCAB_WORDS
+from catalog.views import BLANKS
 from loomline.functions.text import SPACE_CLASS
 from loomline.operators.chat import ERROR_PREFIX, GREETINGS
 
@@ -56,7 +56,7 @@ vocab AS (
   FROM (SELECT token, count(*) AS c
         FROM (SELECT unnest(regexp_split_to_array(text, '[{SPACE_CLASS}]+')) AS token
               FROM split_lines WHERE split = 'train')
-        GROUP BY token ORDER BY c DESC, token LIMIT {VOCAB_WORDS}))"""
+        GROUP BY token ORDER BY c DESC, token))"""
 
 TOKENS = f"""{VOCAB},
 words AS (

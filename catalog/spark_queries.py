@@ -189,7 +189,7 @@ def _packed(spark: SparkSession, sf: str) -> DataFrame:
     settings = Settings(val_fraction=views.VAL_FRACTION)
     index = index_table(docs, "doc_id", "text", settings, slots)
     examples = index.positions.select("split", F.col("split_ord").alias("example"))
-    return packed_rows(index, examples, known, views.word_tokenizer(known), settings)
+    return packed_rows(index, examples, known, None, settings)
 
 
 def packed_examples(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,18 +8,18 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.functions.text import words
 from loomline.operators.chat import ERROR_PREFIX
-from loomline.operators.ordering import mark_split
+from loomline.operators.ordering import mark_split, rank_rows
+from loomline.operators.tokens import VOCABULARY_BYTES
 from loomline.sources.tables import lines_from_table, read_table, slot_positions, written_slots
-from loomline.sources.vocabulary import BOS, EOS, Vocabulary, vocabulary
+from loomline.sources.vocabulary import BOS, EOS, Vocabulary, measured, vocabulary
 from loomline.staging import staged
 
 UNK = "[UNK]"
-VOCAB_WORDS = 32_000
 VAL_FRACTION = 0.05
 # Code points of blanks a strip must remove, one of each kind.
 BLANKS = (0x09, 0x0A, 0x0D, 0x1C, 0x1F, 0x20, 0x85, 0xA0, 0x1680, 0x2003, 0x2028, 0x202F, 0x3000)
@@ -48,10 +48,8 @@ def word_vocabulary(docs: DataFrame, slots: DataFrame) -> DataFrame:
     """token, id: the specials, then the commonest words of the train lines."""
     train = split_lines(docs, slots).filter("split = 'train'")
     counted = train.select(F.explode(words(F.col("text"))).alias("token")).groupBy("token").count()
-    # A vocabulary has a set size; the window below sees only its rows.
-    top = counted.orderBy(F.desc("count"), "token").limit(VOCAB_WORDS)
-    place = Window.orderBy(F.desc("count"), "token")
-    ranked = top.select("token", (F.row_number().over(place) + 2).alias("id"))
+    ranked = rank_rows(counted, [F.desc("count"), F.col("token")], "place")
+    ranked = ranked.select("token", (F.col("place") + 3).cast("int").alias("id"))
     specials = docs.sparkSession.createDataFrame(
         [(UNK, 0), (BOS, 1), (EOS, 2)], "token string, id int"
     )
@@ -61,11 +59,13 @@ def word_vocabulary(docs: DataFrame, slots: DataFrame) -> DataFrame:
 def staged_vocabulary(docs: DataFrame, slots: DataFrame | None = None) -> Vocabulary:
     slots = written_slots(docs) if slots is None else slots
     table = staged(word_vocabulary(docs, slots), "vocabulary")
-    return vocabulary(table, VOCAB_WORDS + 3, UNK)
+    return vocabulary(table, measured(table), UNK)
 
 
 def word_tokenizer(vocab: Vocabulary) -> str:
-    """A tokenizer file for the word vocabulary, at most VOCAB_WORDS + 3 entries."""
+    """A tokenizer file for the word vocabulary, which must be small enough for one."""
+    if vocab.size_bytes > VOCABULARY_BYTES:
+        raise ValueError("the vocabulary is too large for a tokenizer file")
     entries = {r.token: r.id for r in vocab.table.collect()}
     flags = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False}
     specials = [

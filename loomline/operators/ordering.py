@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomline.staging import staged
 
 # Rows the one table that is summed in a single task may have.
 TOP_ROWS = 1_000_000
@@ -54,6 +55,29 @@ def exclusive_prefix(
     )
 
 
+def rank_rows(df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """Add `out`: the place of each row from 0 on, in an order that has no ties.
+
+    Rows are dealt out by ranges of the order and written. A row's place is its
+    place in its part plus the rows of the parts before; only the number of rows
+    of each part is summed in one task.
+    """
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The id's upper bits are the part, its lower 33 bits the place in it.
+    placed = staged(dealt.withColumn("_id", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright("_id", 33)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
+    place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_base")
+    return (
+        placed.withColumn("_part", part)
+        .join(F.broadcast(bases), "_part")
+        .withColumn(out, place)
+        .drop("_id", "_part", "_base")
+    )
+
+
 def holdout_size(n: Column, val_fraction: float) -> Column:
     """Documents held out: the truncated fraction, but at least one if it is positive
     and there is one."""

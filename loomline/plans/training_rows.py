@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loomline.operators.guards import require_splits
 from loomline.operators.ordering import assign_split, limit_splits, split_sizes
 from loomline.operators.packing import pack_examples
-from loomline.operators.tokens import tokenizer_ids, wrap
+from loomline.operators.tokens import encode_words, tokenizer_ids, wrap
 from loomline.sources.corpus_files import CorpusIndex
 from loomline.sources.tables import pick_lines, slot_positions, written_slots
 from loomline.sources.vocabulary import Vocabulary
@@ -127,17 +127,23 @@ def packed_rows(
     index: SplitIndex,
     examples: DataFrame,
     vocab: Vocabulary,
-    tokenizer_json: str,
+    tokenizer_json: str | None,
     settings: Settings,
     add_special_tokens: bool = True,
 ) -> DataFrame:
-    """(split, example, ids): block_size + 1 ids for each asked (split, example)."""
+    """(split, example, ids): block_size + 1 ids for each asked (split, example).
+
+    Without a tokenizer file the vocabulary gives the ids of words.
+    """
 
     def fetch_ids(wanted: DataFrame | None) -> DataFrame:
         found = index.fetch_text(wanted)
         if wanted is not None:
             # A scan of very many splits leaves a few wanted texts in each task.
             found = found.hint("rebalance")
+        if tokenizer_json is None:
+            encoded = encode_words(found, vocab, ["split", "split_ord"], out="_ids")
+            return encoded.select("split", "split_ord", wrap(F.col("_ids"), vocab).alias("ids"))
         ids = tokenizer_ids(
             found.sparkSession, F.col("text"), tokenizer_json, add_special_tokens
         )

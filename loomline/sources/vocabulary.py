@@ -15,10 +15,10 @@ BOS, EOS = "[BOS]", "[EOS]"
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """token, id table with a known row bound and the ids of its special tokens."""
+    """token, id table, its measured size and the ids of its special tokens."""
 
     table: DataFrame
-    rows: int
+    size_bytes: int
     bos: int
     eos: int
     unknown: int | None = None
@@ -35,10 +35,15 @@ def special_ids(table: DataFrame, names: Sequence[str] = (BOS, EOS)) -> dict[str
     return found
 
 
-def vocabulary(table: DataFrame, rows: int, unknown: str | None = "[UNK]") -> Vocabulary:
+def measured(table: DataFrame) -> int:
+    """Bytes the tokens and ids of a table take, about."""
+    return table.agg(F.coalesce(F.sum(F.octet_length("token") + 16), F.lit(0))).first()[0]
+
+
+def vocabulary(table: DataFrame, size_bytes: int, unknown: str | None = "[UNK]") -> Vocabulary:
     names = [BOS, EOS] + ([unknown] if unknown else [])
     ids = special_ids(table, names)
-    return Vocabulary(table, rows, ids[BOS], ids[EOS], ids[unknown] if unknown else None)
+    return Vocabulary(table, size_bytes, ids[BOS], ids[EOS], ids[unknown] if unknown else None)
 
 
 def read_tokenizer(spark: SparkSession, path: str) -> str:
@@ -64,7 +69,7 @@ def tokenizer_vocabulary(
     table = spark.createDataFrame(entries, "token string, id int")
     return Vocabulary(
         table,
-        tokenizer.get_vocab_size(with_added_tokens=True),
+        sum(len(token.encode()) + 16 for token, _ in entries),
         ids[BOS],
         ids[EOS],
         tokenizer.token_to_id(unknown) if unknown else None,

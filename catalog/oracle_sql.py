@@ -6,6 +6,7 @@ from catalog.spark_queries import (
     DATA_FRACTION,
     MAX_TRAIN_DOCS,
     MAX_VAL_DOCS,
+    PART_TURNS,
     SYSTEM_TEXT,
 )
 from catalog.views import BLANKS
@@ -106,17 +107,17 @@ def joined(ids: str) -> str:
 
 LOSSES = """
 losses AS (
-  SELECT 200 * (event_id // 60) AS step,
+  SELECT user_id % 4 AS run_id, 200 * (event_id // 60) AS step,
          CASE WHEN event_id % 60 < 30 THEN 'train' ELSE 'val' END AS split,
          value AS loss, ts
   FROM events),
 means AS (
-  SELECT step, avg(loss) FILTER (split = 'train') AS train_loss,
+  SELECT run_id, step, avg(loss) FILTER (split = 'train') AS train_loss,
          avg(loss) FILTER (split = 'val') AS val_loss, max(ts) AS ts
-  FROM losses GROUP BY step),
+  FROM losses GROUP BY run_id, step),
 marked AS (
-  SELECT *, min(val_loss) OVER (ORDER BY step ROWS UNBOUNDED PRECEDING) AS best_val,
-         val_loss < coalesce(min(val_loss) OVER (ORDER BY step
+  SELECT *, min(val_loss) OVER (PARTITION BY run_id ORDER BY step ROWS UNBOUNDED PRECEDING) AS best_val,
+         val_loss < coalesce(min(val_loss) OVER (PARTITION BY run_id ORDER BY step
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 'Infinity'::DOUBLE) AS is_best
   FROM means)"""
 
@@ -129,9 +130,9 @@ def rate(step: str, last: str) -> str:
 
 EVAL_LOG = f"""{LOSSES},
 log AS (
-  SELECT step, round(train_loss, 9) AS train_loss, round(val_loss, 9) AS val_loss,
+  SELECT run_id, step, round(train_loss, 9) AS train_loss, round(val_loss, 9) AS val_loss,
          round({rate('step', '(SELECT max(step) FROM losses)')}, 12) AS lr,
-         round((epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM losses)) / 1e6, 6) AS elapsed_s,
+         round((epoch_us(ts) - (SELECT min(epoch_us(l.ts)) FROM losses l WHERE l.run_id = marked.run_id)) / 1e6, 6) AS elapsed_s,
          round(best_val, 9) AS best_val, is_best
   FROM marked WHERE step % 200 = 0)"""
 
@@ -255,16 +256,18 @@ ORACLE = {
                {joined('ids[1:128]')} AS input_ids, {joined('ids[2:129]')} AS target_ids
         FROM packed""",
     "eval_means": f"""WITH {LOSSES}
-        SELECT step, round(train_loss, 9) AS train_loss, round(val_loss, 9) AS val_loss
+        SELECT run_id, step, round(train_loss, 9) AS train_loss, round(val_loss, 9) AS val_loss
         FROM means""",
     "lr_schedule": f"""SELECT event_id AS step,
         round({rate('event_id', '(SELECT max(event_id) FROM events)')}, 12) AS lr FROM events""",
     "eval_steps": "SELECT event_id AS step, value AS loss FROM events WHERE event_id % 200 = 0",
-    "best_steps": f"WITH {LOSSES} SELECT step, round(best_val, 9) AS best_val, is_best FROM marked",
+    "best_steps": f"""WITH {LOSSES}
+        SELECT run_id, step, round(best_val, 9) AS best_val, is_best FROM marked""",
     "eval_log": f"WITH {EVAL_LOG} SELECT * FROM log",
     "eval_log_written": f"WITH {EVAL_LOG} SELECT * FROM log",
     "run_summary": f"""WITH {EVAL_LOG}
-        SELECT max(elapsed_s) AS total_s, min(val_loss) AS best_val FROM log""",
+        SELECT run_id, max(elapsed_s) AS total_s, min(val_loss) AS best_val
+        FROM log GROUP BY run_id""",
     "think_split": f"WITH {THINK_SPLIT} SELECT conv_id, turn, role, reasoning, answer FROM thought",
     "escaped_texts": f"SELECT page_id, {escaped('html')} AS html FROM pages",
     "transcripts": f"""WITH {THINK_SPLIT},
@@ -277,9 +280,12 @@ ORACLE = {
             ELSE '<div class="message user-message">{_label}Your message</span><div>'
               || {escaped('answer')} || '</div></div>' END AS piece
           FROM thought)
-        SELECT conv_id, 0::BIGINT AS part,
-               '{_shell}' || string_agg(piece, '' ORDER BY turn) || '</div>' AS html
-        FROM blocks_html GROUP BY conv_id""",
+        SELECT conv_id, turn // {PART_TURNS} AS part,
+               CASE WHEN part = min(part) OVER (PARTITION BY conv_id) THEN '{_shell}' ELSE '' END
+               || string_agg(piece, '' ORDER BY turn)
+               || CASE WHEN part = max(part) OVER (PARTITION BY conv_id) THEN '</div>' ELSE '' END
+                 AS html
+        FROM blocks_html GROUP BY conv_id, turn // {PART_TURNS}""",
     "pending_chats": f"WITH {PENDING} SELECT conv_id, last_turn FROM pending",
     "error_replies": f"""WITH {REPLY_TURNS}
         SELECT turn, count(*) AS replies,
@@ -288,16 +294,19 @@ ORACLE = {
                  AS error_rate
         FROM reply_turns WHERE role = 'assistant' GROUP BY turn""",
     "prompts": f"""WITH {THINK_TURNS}, {PENDING}
-        SELECT conv_id, 0::BIGINT AS part,
-               '[' || to_json({{'role': 'system', 'content': '{SYSTEM_TEXT}'}}) || ','
+        SELECT conv_id, turn // {PART_TURNS} AS part,
+               '[' || CASE WHEN part = min(part) OVER (PARTITION BY conv_id)
+                 THEN to_json({{'role': 'system', 'content': '{SYSTEM_TEXT}'}}) || ',' ELSE '' END
                || string_agg(to_json({{'role': role, 'content': text}})::VARCHAR, ',' ORDER BY turn)
                || ']' AS prompt
-        FROM think_turns JOIN pending USING (conv_id) GROUP BY conv_id""",
+        FROM think_turns JOIN pending USING (conv_id) GROUP BY conv_id, turn // {PART_TURNS}""",
     "append_turns": f"""WITH {PENDING}
         SELECT conv_id, turn, role, text FROM conversations
         UNION ALL
         SELECT conv_id, turn + 1, 'assistant', 'You asked: ' || text
-        FROM conversations JOIN pending USING (conv_id) WHERE turn = last_turn""",
+        FROM conversations JOIN pending USING (conv_id) WHERE turn = last_turn
+        UNION ALL
+        SELECT conv_id, last_turn + 2, 'user', 'Thanks.' FROM pending WHERE conv_id % 2 = 0""",
     "chat_segments": f"""WITH {SEGMENTS}
         SELECT event_id, user_id, action, is_reset, chat_seq, chat_id FROM segments""",
     "seed_greetings": f"""WITH {SEGMENTS},

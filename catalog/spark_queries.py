@@ -26,7 +26,10 @@ from loomline.sources.tables import line_slots, lines_from_table, slot_positions
 from loomline.staging import new_folder
 
 LINE = ["doc_id", "line_no"]
+RUN = ["run_id"]
 DATA_FRACTION = 0.29
+PART_TURNS = 4
+ACTIONS_PER_BUCKET = 1_000
 MAX_TRAIN_DOCS, MAX_VAL_DOCS = 5_000, 100
 SYSTEM_TEXT = "Think inside <think>...</think> tags, then answer."
 
@@ -219,7 +222,8 @@ def batches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def eval_means(spark: SparkSession, sf: str) -> DataFrame:
-    return runlog.eval_means(views.batch_losses(spark, sf)).select(
+    return runlog.eval_means(views.batch_losses(spark, sf), RUN).select(
+        *RUN,
         "step",
         F.round("train_loss", 9).alias("train_loss"),
         F.round("val_loss", 9).alias("val_loss"),
@@ -243,17 +247,20 @@ def eval_steps(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def best_steps(spark: SparkSession, sf: str) -> DataFrame:
-    marked = runlog.mark_best(runlog.eval_means(views.batch_losses(spark, sf)))
-    return marked.select("step", F.round("best_val", 9).alias("best_val"), "is_best")
+    means = runlog.eval_means(views.batch_losses(spark, sf), RUN)
+    # small blocks, so that the best so far crosses their borders
+    marked = runlog.mark_best(means, 1_000, RUN)
+    return marked.select(*RUN, "step", F.round("best_val", 9).alias("best_val"), "is_best")
 
 
 def _eval_log(spark: SparkSession, sf: str) -> DataFrame:
     losses = views.batch_losses(spark, sf)
-    return runlog.eval_log(losses, max_steps=losses.agg(F.max("step")).scalar())
+    return runlog.eval_log(losses, keys=RUN, max_steps=losses.agg(F.max("step")).scalar())
 
 
 def _rounded_log(log: DataFrame) -> DataFrame:
     return log.select(
+        *RUN,
         "step",
         F.round("train_loss", 9).alias("train_loss"),
         F.round("val_loss", 9).alias("val_loss"),
@@ -277,8 +284,8 @@ def eval_log_written(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return runlog.run_summary(_eval_log(spark, sf)).select(
-        F.round("total_s", 6).alias("total_s"), F.round("best_val", 9).alias("best_val")
+    return runlog.run_summary(_eval_log(spark, sf), RUN).select(
+        *RUN, F.round("total_s", 6).alias("total_s"), F.round("best_val", 9).alias("best_val")
     )
 
 
@@ -298,7 +305,7 @@ def escaped_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def transcripts(spark: SparkSession, sf: str) -> DataFrame:
-    return chat.transcripts(views.think_turns(spark, sf))
+    return chat.transcripts(views.think_turns(spark, sf), part_turns=PART_TURNS)
 
 
 def pending_chats(spark: SparkSession, sf: str) -> DataFrame:
@@ -312,30 +319,35 @@ def error_replies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def prompts(spark: SparkSession, sf: str) -> DataFrame:
-    return chat.prompts(views.think_turns(spark, sf), SYSTEM_TEXT)
+    return chat.prompts(views.think_turns(spark, sf), SYSTEM_TEXT, PART_TURNS)
 
 
 def append_turns(spark: SparkSession, sf: str) -> DataFrame:
-    """Every pending chat gets a reply that quotes its last message."""
+    """Every pending chat gets a reply that quotes its last message, every other one
+    an answer to it."""
     messages = views.conversations(spark, sf)
     asked = chat.pending_chats(messages).withColumnRenamed("last_turn", "turn")
     replies = messages.join(asked, ["conv_id", "turn"]).select(
         "conv_id",
         F.lit("assistant").alias("role"),
         F.concat(F.lit("You asked: "), "text").alias("text"),
+        F.lit(0).alias("nth"),
     )
-    return chat.append_turns(messages, replies)
+    thanks = asked.filter("conv_id % 2 = 0").select(
+        "conv_id", F.lit("user").alias("role"), F.lit("Thanks.").alias("text"), F.lit(1).alias("nth")
+    )
+    return chat.append_turns(messages, replies.unionByName(thanks), ["nth"])
 
 
 def chat_segments(spark: SparkSession, sf: str) -> DataFrame:
-    return chat.chat_segments(views.actions(spark, sf)).select(
+    return chat.chat_segments(views.actions(spark, sf), ACTIONS_PER_BUCKET).select(
         "event_id", "user_id", "action", "is_reset", "chat_seq", "chat_id"
     )
 
 
 def seed_greetings(spark: SparkSession, sf: str) -> DataFrame:
     actions = views.actions(spark, sf)
-    return chat.seed_greetings(chat.chat_segments(actions), actions)
+    return chat.seed_greetings(chat.chat_segments(actions, ACTIONS_PER_BUCKET), actions)
 
 
 QUERIES = {

@@ -20,6 +20,7 @@ from loomline.sources.vocabulary import BOS, EOS, Vocabulary, measured, vocabula
 from loomline.staging import staged
 
 UNK = "[UNK]"
+RUNS = 4
 VAL_FRACTION = 0.05
 # Code points of blanks a strip must remove, one of each kind.
 BLANKS = (0x09, 0x0A, 0x0D, 0x1C, 0x1F, 0x20, 0x85, 0xA0, 0x1680, 0x2003, 0x2028, 0x202F, 0x3000)
@@ -87,9 +88,10 @@ def word_tokenizer(vocab: Vocabulary) -> str:
 
 
 def batch_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """step, split, iter, loss, ts: thirty batches a split at every 200th step."""
+    """run_id, step, split, iter, loss, ts: batches of four runs at every 200th step."""
     event = F.col("event_id")
     return table(spark, sf_dir, "events").select(
+        (F.col("user_id") % RUNS).alias("run_id"),
         (F.expr("event_id div 60") * 200).alias("step"),
         F.when(event % 60 < 30, "train").otherwise("val").alias("split"),
         (event % 30).alias("iter"),

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import math
+from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.functions.text import html_escape, strip_space
-from loomline.functions.times import seconds_between
+from loomline.operators.ordering import rank_rows
 
 # Tags and texts that must equal the chat page's.
 THINK_OPEN, THINK_CLOSE = "<think>", "</think>"
@@ -20,8 +19,6 @@ GREETINGS = {
     "cleared": "Conversation reset. How can I help?",
 }
 
-MAX_BUCKETS = 1000
-
 
 # ---- single messages -------------------------------------------------------------
 
@@ -63,14 +60,14 @@ def split_reasoning(messages: DataFrame, content: str = "text") -> DataFrame:
     )
 
 
-def message_html(name: str = "Assistant") -> Column:
+def message_html(name: str = "Assistant", label: str = "Reasoning") -> Column:
     """A message's markup, from role, reasoning and answer; styling is left out.
 
-    Fixed values: the class names and the two labels.
+    Fixed values: the class names and the two message labels.
     """
     answer = F.concat(F.lit("<div>"), html_escape(F.col("answer")), F.lit("</div>"))
     thoughts = F.concat(
-        F.lit("<details><summary>Reasoning</summary><div>"),
+        F.lit(f"<details><summary>{label}</summary><div>"),
         html_escape(F.col("reasoning")),
         F.lit("</div></details>"),
     )
@@ -96,6 +93,11 @@ def _with_part(messages: DataFrame, part_turns: int) -> DataFrame:
     return messages.withColumn("part", F.expr(f"turn div {part_turns}"))
 
 
+def _same_chat(left: str, right: str) -> Column:
+    """One chat; messages without a conv_id are one chat too."""
+    return F.col(f"{left}.conv_id").eqNullSafe(F.col(f"{right}.conv_id"))
+
+
 def _last_is_user() -> Column:
     """Aggregate: does the message of the highest turn come from the user?
 
@@ -123,8 +125,9 @@ def chat_parts(messages: DataFrame, part_turns: int = 1000) -> DataFrame:
         F.max("part").alias("_last_part"),
         (F.max("_last") % 2 != 0).alias("waiting"),
     )
-    return parts.join(ends, "conv_id").select(
-        "conv_id",
+    joined = parts.alias("p").join(ends.alias("e"), _same_chat("p", "e"))
+    return joined.select(
+        "p.conv_id",
         "part",
         (F.col("part") == F.col("_first_part")).alias("opens"),
         (F.col("part") == F.col("_last_part")).alias("closes"),
@@ -138,30 +141,28 @@ def _join_pieces(
     part_turns: int,
     head: Column,
     between: str,
-    tail: str,
+    tail: Column,
     out: str,
 ) -> DataFrame:
     """Concatenate (conv_id, turn, piece) in turn order, part by part.
 
-    The join and the grouping share one shuffle on (conv_id, part). The parts of
-    a chat, put one after the other, are its whole text.
+    The join and the grouping share one shuffle on (conv_id, part). head and tail
+    stand around each part; they may look at opens and closes.
     """
     keys = ["conv_id", "part", "opens", "closes"]
     ordered = F.array_sort(F.collect_list(F.struct("turn", "piece")))
     body = F.array_join(F.transform(ordered, lambda p: p["piece"]), between)
     return (
         _with_part(pieces, part_turns)
-        .join(parts.select(*keys), ["conv_id", "part"])
+        .alias("p")
+        .join(parts.select(*keys).alias("k"), _same_chat("p", "k") & (F.col("p.part") == F.col("k.part")))
+        .select("k.*", "turn", "piece")
         .groupBy(*keys)
         .agg(body.alias("_body"))
         .select(
             "conv_id",
             "part",
-            F.concat(
-                F.when(F.col("opens"), head).otherwise(F.lit(between)),
-                "_body",
-                F.when(F.col("closes"), F.lit(tail)).otherwise(F.lit("")),
-            ).alias(out),
+            F.concat(head, "_body", tail).alias(out),
         )
     )
 
@@ -171,14 +172,21 @@ def transcripts(
     name: str = "Assistant",
     title: str = "Conversation",
     part_turns: int = 1000,
+    label: str = "Reasoning",
 ) -> DataFrame:
-    """Chat markup as (conv_id, part, html)."""
+    """Chat markup as (conv_id, part, html).
+
+    Every chat comes in parts of part_turns turns; its parts, put one after the
+    other, are its whole markup.
+    """
     pieces = split_reasoning(messages).select(
-        "conv_id", "turn", message_html(name).alias("piece")
+        "conv_id", "turn", message_html(name, label).alias("piece")
     )
-    head = F.lit(f'<div class="chat-shell"><div class="chat-title">{title}</div>')
+    shell = F.lit(f'<div class="chat-shell"><div class="chat-title">{title}</div>')
+    head = F.when(F.col("opens"), shell).otherwise("")
+    tail = F.when(F.col("closes"), F.lit("</div>")).otherwise("")
     parts = chat_parts(messages, part_turns)
-    return _join_pieces(pieces, parts, part_turns, head, "", "</div>", "html")
+    return _join_pieces(pieces, parts, part_turns, head, "", tail, "html")
 
 
 def pending_chats(messages: DataFrame) -> DataFrame:
@@ -192,18 +200,24 @@ def pending_chats(messages: DataFrame) -> DataFrame:
 
 
 def prompts(messages: DataFrame, system_text: str, part_turns: int = 1000) -> DataFrame:
-    """Model input of pending chats as (conv_id, part, prompt): a JSON list of
-    role and content, the system message first, then the whole history."""
+    """Model input of pending chats as (conv_id, part, prompt).
+
+    Each part of part_turns turns is a JSON list of role and content; the system
+    message comes first in a chat's first part. The lists of a chat, joined in
+    order, are its whole history.
+    """
 
     def record(role: Column, content: Column) -> Column:
-        return F.to_json(F.struct(role.alias("role"), content.alias("content")))
+        pair = F.struct(role.alias("role"), content.alias("content"))
+        return F.to_json(pair, {"ignoreNullFields": "false"})
 
     waiting = chat_parts(messages, part_turns).filter("waiting")
     pieces = messages.select(
         "conv_id", "turn", record(F.col("role"), F.col("text")).alias("piece")
     )
-    head = F.concat(F.lit("["), record(F.lit("system"), F.lit(system_text)), F.lit(","))
-    return _join_pieces(pieces, waiting, part_turns, head, ",", "]", "prompt")
+    system = F.concat(record(F.lit("system"), F.lit(system_text)), F.lit(","))
+    head = F.concat(F.lit("["), F.when(F.col("opens"), system).otherwise(""))
+    return _join_pieces(pieces, waiting, part_turns, head, ",", F.lit("]"), "prompt")
 
 
 def error_replies(messages: DataFrame, by: str) -> DataFrame:
@@ -217,11 +231,19 @@ def error_replies(messages: DataFrame, by: str) -> DataFrame:
     )
 
 
-def append_turns(messages: DataFrame, new: DataFrame) -> DataFrame:
-    """Add one message (conv_id, role, text) per chat after its last turn."""
+def append_turns(
+    messages: DataFrame, new: DataFrame, order: Sequence[str] = ("role", "text")
+) -> DataFrame:
+    """Add messages (conv_id, role, text) after the last turn of their chats.
+
+    Several messages of one chat follow each other in the order of the columns
+    named in order.
+    """
     ends = messages.groupBy("conv_id").agg(F.max("turn").alias("_last"))
-    placed = new.join(ends, "conv_id", "left").select(
-        "conv_id", F.coalesce(F.col("_last") + 1, F.lit(0)).alias("turn"), "role", "text"
+    nth = F.row_number().over(Window.partitionBy("conv_id").orderBy(*order))
+    numbered = new.withColumn("_nth", nth.cast("bigint")).alias("n")
+    placed = numbered.join(ends.alias("e"), _same_chat("n", "e"), "left").select(
+        "n.conv_id", (F.coalesce("_last", F.lit(-1)) + F.col("_nth")).alias("turn"), "role", "text"
     )
     return messages.select("conv_id", "turn", "role", "text").unionByName(placed)
 
@@ -235,22 +257,14 @@ def chat_id(user: Column, seq: Column) -> Column:
 
 
 def _with_bucket(actions: DataFrame, rows_per_bucket: int) -> DataFrame:
-    """Add bucket: time ranges of about equally many rows of all users together.
+    """Add _place, the place of a row in the order of all, and bucket, its block.
 
-    The borders are quantiles, so neither a busy hour nor a stray date fills one
-    bucket. Only they, at most MAX_BUCKETS numbers, come to the driver. Up to
-    rows_per_bucket rows there is a single bucket.
+    Rows without a time come first. Many rows of one instant are told apart by
+    event_id, so no bucket has more than rows_per_bucket rows.
     """
-    n_buckets = min(math.ceil(actions.count() / rows_per_bucket), MAX_BUCKETS)
-    if n_buckets <= 1:
-        return actions.withColumn("bucket", F.lit(0))
-    started = actions.agg(F.min("ts")).scalar()
-    timed = actions.withColumn("_t", seconds_between(F.col("ts"), started))
-    shares = [i / n_buckets for i in range(1, n_buckets)]
-    borders = sorted(set(timed.approxQuantile("_t", shares, 1 / (4 * n_buckets))))
-    splits = [-math.inf, *borders, math.inf]
-    bucketed = Bucketizer(splits=splits, inputCol="_t", outputCol="bucket").transform(timed)
-    return bucketed.withColumn("bucket", F.col("bucket").cast("int")).drop("_t")
+    order = [F.col("ts").asc_nulls_first(), F.col("event_id").asc_nulls_first(), F.col("user_id").asc_nulls_first()]
+    placed = rank_rows(actions, order, "_place")
+    return placed.withColumn("bucket", F.expr(f"_place div {rows_per_bucket}"))
 
 
 def chat_segments(actions: DataFrame, rows_per_bucket: int = 1_000_000) -> DataFrame:
@@ -259,12 +273,13 @@ def chat_segments(actions: DataFrame, rows_per_bucket: int = 1_000_000) -> DataF
     new_chat starts a chat at once. yes starts one only when the last action
     before it, new_chat left aside, is clear.
 
-    One user may own a third of the rows, so a user's stream is cut into time
-    buckets. Windows run inside a bucket; what one bucket hands to the next is one
-    row each. The actions are shuffled once.
+    One user may own a third of the rows, so a user's stream is cut into buckets
+    of the order of all actions. Windows run inside a bucket; what one bucket
+    hands to the next is one row each. Actions without a user are one user's,
+    those without a time come first.
     """
     chunk = ["user_id", "bucket"]
-    order = Window.partitionBy(*chunk).orderBy("ts", "event_id")
+    order = Window.partitionBy(*chunk).orderBy("_place")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     moves = F.when(F.col("action") != "new_chat", F.col("action"))
     local = _with_bucket(
@@ -273,8 +288,7 @@ def chat_segments(actions: DataFrame, rows_per_bucket: int = 1_000_000) -> DataF
 
     # What each bucket looks like from outside: its first and last move, and the
     # resets that do not depend on what came before it.
-    at = F.struct("ts", "event_id")
-    moved = F.when(moves.isNotNull(), at)
+    moved = F.when(moves.isNotNull(), F.col("_place"))
     resets_alone = (F.col("action") == "new_chat") | (
         (F.col("action") == "yes") & F.coalesce(F.col("prior") == "clear", F.lit(False))
     )
@@ -304,8 +318,11 @@ def chat_segments(actions: DataFrame, rows_per_bucket: int = 1_000_000) -> DataF
     )
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
     seq = F.col("carried_resets") + F.count(F.when(F.col("is_reset"), 1)).over(upto)
+    same = F.col("l.user_id").eqNullSafe(F.col("c.user_id")) & (F.col("l.bucket") == F.col("c.bucket"))
     return (
-        local.join(carried, chunk)
+        local.alias("l")
+        .join(carried.alias("c"), same)
+        .select("l.*", "carried_move", "carried_resets")
         .withColumn("is_reset", is_reset)
         .withColumn("chat_seq", seq)
         .withColumn("chat_id", chat_id(F.col("user_id"), F.col("chat_seq")))

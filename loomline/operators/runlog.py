@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.functions.schedule import learning_rate
@@ -15,36 +18,49 @@ def eval_steps(df: DataFrame, eval_every: int = 200) -> DataFrame:
     return df.filter(F.col("step") % eval_every == 0)
 
 
-def eval_means(losses: DataFrame) -> DataFrame:
-    """Mean loss of each step's train and val batches; ts is the last batch's time."""
+def _same(keys: Sequence[str], left: str, right: str) -> Column:
+    """Equal keys, nulls too."""
+    pairs = [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+    return reduce(lambda a, b: a & b, pairs, F.lit(True))
+
+
+def eval_means(losses: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Mean loss of each step's train and val batches; ts is the last batch's time.
+
+    keys tell the runs of a table apart.
+    """
     means = {
         f"{split}_loss": F.avg(F.when(F.col("split") == split, F.col("loss")))
         for split in ("train", "val")
     }
     extra = [F.max("ts").alias("ts")] if "ts" in losses.columns else []
-    return losses.groupBy("step").agg(*[c.alias(n) for n, c in means.items()], *extra)
+    return losses.groupBy(*keys, "step").agg(*[c.alias(n) for n, c in means.items()], *extra)
 
 
-def mark_best(log: DataFrame, steps_per_block: int = 1_000_000) -> DataFrame:
+def mark_best(
+    log: DataFrame, steps_per_block: int = 1_000_000, keys: Sequence[str] = ()
+) -> DataFrame:
     """Add best_val (lowest val_loss so far) and is_best (strictly below all earlier).
 
-    NaN never wins. Steps are unique, so a block of consecutive steps bounds every
-    window; only one minimum per block is compared in a single task.
+    NaN never wins. Steps are unique in a run, so a block of consecutive steps
+    bounds every window; only one minimum per block of a run is compared at once.
     """
     usable = F.when(~F.isnan("val_loss"), F.col("val_loss"))
     blocked = log.withColumn("_block", F.expr(f"step div {steps_per_block}"))
-    past = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    past = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        blocked.groupBy("_block")
+        blocked.groupBy(*keys, "_block")
         .agg(F.min(usable).alias("_low"))
-        .select("_block", F.min("_low").over(past).alias("_carried"))
+        .select(*keys, "_block", F.min("_low").over(past).alias("_carried"))
     )
     inside = (
-        Window.partitionBy("_block").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys, "_block").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
     )
     before = F.least(F.min(usable).over(inside), F.col("_carried"), F.lit(_INF))
     return (
-        blocked.join(carried, "_block")
+        blocked.alias("l")
+        .join(carried.alias("c"), _same([*keys, "_block"], "l", "c"))
+        .select("l.*", "c._carried")
         .withColumn("_before", before)
         .withColumn("is_best", F.coalesce(usable < F.col("_before"), F.lit(False)))
         .withColumn("best_val", F.least(usable, F.col("_before")))
@@ -52,10 +68,19 @@ def mark_best(log: DataFrame, steps_per_block: int = 1_000_000) -> DataFrame:
     )
 
 
-def eval_log(losses: DataFrame, eval_every: int = 200, **schedule) -> DataFrame:
-    """step, train_loss, val_loss, lr, elapsed_s, best_val, is_best of a run."""
-    started = losses.agg(F.min("ts")).scalar()
-    return mark_best(eval_means(eval_steps(losses, eval_every))).select(
+def eval_log(
+    losses: DataFrame, eval_every: int = 200, keys: Sequence[str] = (), **schedule
+) -> DataFrame:
+    """keys, step, train_loss, val_loss, lr, elapsed_s, best_val, is_best of each run.
+
+    Elapsed time counts from a run's own first batch.
+    """
+    starts = losses.groupBy(*keys).agg(F.min("ts").alias("_started"))
+    marked = mark_best(eval_means(eval_steps(losses, eval_every), keys), keys=keys)
+    timed = marked.alias("l").join(starts.alias("s"), _same(keys, "l", "s"))
+    started = F.col("_started")
+    return timed.select("l.*", "_started").select(
+        *keys,
         "step",
         "train_loss",
         "val_loss",
@@ -70,8 +95,8 @@ def append_log(log: DataFrame, path: str) -> None:
     log.write.mode("append").parquet(path)
 
 
-def run_summary(log: DataFrame) -> DataFrame:
-    return log.agg(
+def run_summary(log: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    return log.groupBy(*keys).agg(
         F.max("elapsed_s").alias("total_s"),
         F.min(F.when(~F.isnan("val_loss"), F.col("val_loss"))).alias("best_val"),
     )

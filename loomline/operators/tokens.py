@@ -178,7 +178,7 @@ def decode_ids(
             None,
             "array<string>",
         )
-        return df.select(*keys, F.array_join(tokens, " ").alias(out))
+        return df.select(*keys, F.coalesce(F.array_join(tokens, " "), F.lit("")).alias(out))
     placed = df.select(*keys, F.posexplode_outer(ids).alias("_pos", "id"))
     token = F.when(~F.col("id").isin(vocab.specials), F.col("token"))
     found = _look_up(placed, vocab, "id").select(

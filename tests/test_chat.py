@@ -10,6 +10,8 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from loomline.operators import chat
 
 EDGE = [
@@ -104,8 +106,11 @@ def test_transcripts_and_prompts_in_parts(spark, part_turns):
     waiting = {c: turns for c, turns in by_chat(rows).items() if turns[-1][2] == "user"}
     pending = {r.conv_id: r.last_turn for r in chat.pending_chats(df).collect()}
     assert pending == {c: turns[-1][1] for c, turns in waiting.items()}
-    prompts = put_together(chat.prompts(df, 'be "good"', part_turns), "prompt")
-    assert {c: json.loads(p) for c, p in prompts.items()} == {
+    parts = chat.prompts(df, 'be "good"', part_turns).orderBy("conv_id", "part").collect()
+    prompts = {}
+    for r in parts:
+        prompts.setdefault(r.conv_id, []).extend(json.loads(r.prompt))
+    assert prompts == {
         c: [{"role": "system", "content": 'be "good"'}]
         + [{"role": r[2], "content": r[3]} for r in turns]
         for c, turns in waiting.items()
@@ -208,3 +213,49 @@ def test_segments_across_buckets_with_a_hot_user(spark, kind, per_bucket):
                 else "Conversation reset. How can I help?"
             )
     assert {ids[r.user_id, 0].text for r in got} == {"Hello! I am Bot."}
+
+
+def test_chats_without_an_id_and_texts_without_words(spark):
+    rows = [(None, 0, "user", "a"), (None, 5, "user", None), (1, 0, "user", "b")]
+    df = messages(spark, rows)
+    assert {r.conv_id for r in chat.transcripts(df, part_turns=4).collect()} == {None, 1}
+    found = {(r.conv_id, r.part): json.loads(r.prompt) for r in chat.prompts(df, "s", 4).collect()}
+    assert found == {
+        (None, 0): [{"role": "system", "content": "s"}, {"role": "user", "content": "a"}],
+        (None, 1): [{"role": "user", "content": None}],
+        (1, 0): [{"role": "system", "content": "s"}, {"role": "user", "content": "b"}],
+    }
+
+
+def test_append_several_turns(spark):
+    old = messages(spark, [(1, 3, "user", "a"), (None, 0, "user", "n")])
+    new = spark.createDataFrame(
+        [(1, "user", "z", 1), (1, "assistant", "y", 0), (2, "user", "x", 0), (None, "user", "w", 0)],
+        "conv_id long, role string, text string, nth int",
+    )
+    got = {(r.conv_id, r.turn): r.text for r in chat.append_turns(old, new, ["nth"]).collect()}
+    assert got == {(1, 3): "a", (None, 0): "n", (1, 4): "y", (1, 5): "z", (2, 0): "x", (None, 1): "w"}
+
+
+def test_reasoning_label(spark):
+    df = messages(spark, [(1, 0, "assistant", "<think>why</think>so")])
+    assert "<summary>Thoughts</summary>" in chat.transcripts(df, label="Thoughts").first().html
+
+
+@pytest.mark.parametrize("per_bucket", [10, 10_000])
+def test_segments_lose_no_action(spark, per_bucket):
+    """Null users and times, and a thousand actions of one instant."""
+    kinds = ["new_chat", "clear", "yes", "cancel", "prompt"]
+    rows = [(None if k % 7 == 0 else k % 3, None if k % 11 == 0 else k, k, kinds[k % 5]) for k in range(60)]
+    rows += [(1, 500, 1000 + k, kinds[(k * k) % 5]) for k in range(1000)]
+    df = spark.createDataFrame(rows, "user_id long, ts long, event_id long, action string")
+    df = df.withColumn("ts", F.timestamp_seconds("ts").cast("timestamp_ntz"))
+    got = {r.event_id: (r.is_reset, r.chat_seq) for r in chat.chat_segments(df, per_bucket).collect()}
+    want, last, seq = {}, {}, {}
+    for user, ts, event, action in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2])):
+        reset = action == "new_chat" or (action == "yes" and last.get(user) == "clear")
+        seq[user] = seq.get(user, 0) + reset
+        if action != "new_chat":
+            last[user] = action
+        want[event] = (reset, seq[user])
+    assert got == want

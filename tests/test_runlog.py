@@ -89,3 +89,17 @@ def test_eval_log_sink_and_summary(spark, tmp_path):
         assert r.best_val == best
     summary = runlog.run_summary(log).first()
     assert (summary.total_s, summary.best_val) == (600.5, best)
+
+
+def test_runs_are_told_apart(spark):
+    rows = [(run, step, split, 0, 1.0 + run * 5 + step / 200) for run in (1, 2) for step in (0, 200) for split in ("train", "val")]
+    df = spark.createDataFrame(rows, "run_id int, step int, split string, iter int, loss double")
+    df = df.withColumn("ts", F.timestamp_seconds(F.col("run_id") * 1000 + F.col("step")).cast("timestamp_ntz"))
+    log = runlog.eval_log(df, keys=["run_id"], max_steps=200)
+    got = {(r.run_id, r.step): (r.val_loss, r.elapsed_s, r.is_best) for r in log.collect()}
+    assert got == {
+        (1, 0): (6.0, 0.0, True), (1, 200): (7.0, 200.0, False),
+        (2, 0): (11.0, 0.0, True), (2, 200): (12.0, 200.0, False),
+    }
+    best = {r.run_id: r.best_val for r in runlog.run_summary(log, ["run_id"]).collect()}
+    assert best == {1: 6.0, 2: 11.0}

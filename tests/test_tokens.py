@@ -102,7 +102,8 @@ def test_subword_tokenizer_equals_the_library(spark):
     )
     tokenizer.train_from_iterator(texts(), trainer)
     known = tokenizer_vocabulary(spark, tokenizer.to_str())
-    assert known.rows == tokenizer.get_vocab_size() and known.bos == tokenizer.token_to_id("[BOS]")
+    assert known.table.count() == tokenizer.get_vocab_size()
+    assert known.bos == tokenizer.token_to_id("[BOS]")
     rows = list(enumerate([*texts(40), "unseen wörds 😀", "a  b\tc"]))
     df = spark.createDataFrame(rows, "i int, text string")
     ids = tokenizer_ids(spark, F.col("text"), tokenizer.to_str())
@@ -145,7 +146,8 @@ def test_missing_specials_and_files(spark, vocab, tmp_path):
     path = tmp_path / "tok.json"
     path.write_text(tokenizer_json(), encoding="utf-8")
     known = tokenizer_vocabulary(spark, read_tokenizer(spark, str(path)), "[UNK]")
-    assert (known.rows, known.bos, known.eos, known.unknown) == (len(WORDS), 1, 2, 0)
+    assert (known.bos, known.eos, known.unknown) == (1, 2, 0)
+    assert known.size_bytes == sum(len(w.encode()) + 16 for w in WORDS)
     assert {r.token: r.id for r in known.table.collect()} == WORDS
     broken = json.loads(tokenizer_json())
     del broken["model"]["vocab"]["[BOS]"]

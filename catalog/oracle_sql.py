@@ -213,6 +213,7 @@ def part(text: str) -> str:
     return f"floor({DATA_FRACTION}::DOUBLE * {text})"
 
 
+# Markup that must equal the chat page's.
 _blanks = " || ".join(f"chr({c})" for c in BLANKS)
 _shell = '<div class="chat-shell"><div class="chat-title">Conversation</div>'
 _label = '<span class="message-label">'
@@ -223,6 +224,9 @@ ORACLE = {
         SELECT (SELECT count(*) FROM documents) AS files, count(*) AS documents FROM lines""",
     "corpus_files": f"""WITH {LINES}
         SELECT text, count(*) AS copies FROM lines GROUP BY text""",
+    "corpus_positions": f"""WITH {LINES}
+        SELECT count(*) AS documents, (count(*) * (count(*) - 1) // 2)::BIGINT AS ord_sum,
+               count(*) AS places FROM lines""",
     "lossy_decode": """SELECT doc_id, chr(65533) || chr(65533) || text || chr(65533) AS text
         FROM documents""",
     "text_strip": f"SELECT doc_id, {strip(f'{_blanks} || text || {_blanks}')} AS text FROM documents",
@@ -248,6 +252,8 @@ ORACLE = {
     "doc_draws": f"""WITH {SPLIT},{draws(64)}
         SELECT split, example, k::INT AS k, split_ord FROM draws""",
     "packed_examples": f"WITH {PACKED} SELECT split, example, {joined('ids')} AS ids FROM packed",
+    "first_batch": f"""WITH {PACKED}
+        SELECT split, example, {joined('ids')} AS ids FROM packed WHERE example < 64""",
     "shifted_pairs": f"""WITH {PACKED}
         SELECT split, example, {joined('ids[1:128]')} AS input_ids,
                {joined('ids[2:129]')} AS target_ids FROM packed""",

@@ -59,6 +59,18 @@ def corpus_files(spark: SparkSession, sf: str) -> DataFrame:
     return lines.groupBy("text").agg(F.count("*").alias("copies"))
 
 
+def corpus_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals over the file index: documents, the sum of their ordinals, the places
+    in files they start at, each its own."""
+    folder = new_folder(spark, "corpus")
+    views.documents(spark, sf).select("text").write.text(folder)
+    return index_corpus(spark, folder, "*.txt").positions().agg(
+        F.count("*").alias("documents"),
+        F.sum("ord").alias("ord_sum"),
+        F.count_distinct("file_idx", "byte_offset").alias("places"),
+    )
+
+
 def lossy_decode(spark: SparkSession, sf: str) -> DataFrame:
     """Texts with broken bytes put round them, decoded."""
     broken = F.concat(
@@ -78,7 +90,8 @@ def text_strip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_ordinals(spark: SparkSession, sf: str) -> DataFrame:
-    return slot_positions(written_slots(views.documents(spark, sf)))
+    """The order of all lines, in blocks narrow enough for their borders to count."""
+    return slot_positions(written_slots(views.documents(spark, sf)), width=100)
 
 
 def _split_index(spark: SparkSession, sf: str) -> tuple[DataFrame, Column]:
@@ -185,13 +198,17 @@ def doc_draws(spark: SparkSession, sf: str) -> DataFrame:
     return draw_documents(examples, n_docs, 0, 64)
 
 
-def _packed(spark: SparkSession, sf: str) -> DataFrame:
+def _packed(spark: SparkSession, sf: str, batch: int | None = None) -> DataFrame:
     docs = views.documents(spark, sf)
     slots = written_slots(docs)
     known = views.staged_vocabulary(docs, slots)
     settings = Settings(val_fraction=views.VAL_FRACTION)
     index = index_table(docs, "doc_id", "text", settings, slots)
-    examples = index.positions.select("split", F.col("split_ord").alias("example"))
+    if batch is None:
+        examples = index.positions.select("split", F.col("split_ord").alias("example"))
+    else:
+        splits = F.explode(F.array(F.lit("train"), F.lit("val"))).alias("split")
+        examples = spark.range(batch).select(splits, F.col("id").alias("example"))
     return packed_rows(index, examples, known, None, settings)
 
 
@@ -199,6 +216,11 @@ def packed_examples(spark: SparkSession, sf: str) -> DataFrame:
     return _packed(spark, sf).select("split", "example", joined("ids").alias("ids"))
 
 
+def first_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """The first batch of each split: only the documents it draws are fetched."""
+    return _packed(spark, sf, 64).select("split", "example", joined("ids").alias("ids"))
+
+
 def shifted_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return shift_pairs(_packed(spark, sf)).select(
         "split",
@@ -356,6 +378,7 @@ QUERIES = {
         corpus_lines,
         corpus_stats,
         corpus_files,
+        corpus_positions,
         lossy_decode,
         text_strip,
         doc_ordinals,
@@ -373,6 +396,7 @@ QUERIES = {
         wrapped_docs,
         doc_draws,
         packed_examples,
+        first_batch,
         shifted_pairs,
         batches,
         eval_means,

@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.functions.draws import keyed_draw
-from loomline.staging import staged
+from loomline.staging import BROADCAST_BYTES, staged
 
 DRAWS_PER_TASK = 500_000
+# Bytes of a row without its ids.
+ROW_BYTES = 48
 
 # With four draws a document, e**-4 of the documents, 2 %, are drawn by none.
 DRAWS_TO_TAKE_ALL = 4
@@ -70,7 +72,7 @@ def pack_examples(
     target_len: int = 129,
     seed: int = 0,
     first_round: int = 16,
-    broadcast_docs: int = 100_000,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Fill each (split, example) with drawn documents up to target_len ids.
 
@@ -84,6 +86,8 @@ def pack_examples(
     documents for all, a second one the rest of the bound for those still open.
     """
     spark = examples.sparkSession
+    # documents whose ids, target_len of them at most, may be broadcast
+    wide = broadcast_bytes // (ROW_BYTES + 4 * target_len)
     bound = (target_len + 1) // 2
     n_docs = size_of_split(sizes)
     running = (
@@ -109,7 +113,7 @@ def pack_examples(
             ),
             "drawn-tokens",
         )
-        sized = _gather(draws, tokens.select(*_DOC, "len"), sizes, broadcast_docs)
+        sized = _gather(draws, tokens.select(*_DOC, "len"), sizes, broadcast_bytes // ROW_BYTES)
         start = F.col("have") + F.coalesce(F.sum("len").over(running), F.lit(0))
         used = staged(
             sized.withColumn("start", start)
@@ -117,7 +121,7 @@ def pack_examples(
             .select(*_EXAMPLE, "k", "split_ord", "start", "len"),
             "used-draws",
         )
-        pieces = _gather(used, tokens.select(*_DOC, "ids"), sizes, broadcast_docs).select(
+        pieces = _gather(used, tokens.select(*_DOC, "ids"), sizes, wide).select(
             *_EXAMPLE, "k", F.slice("ids", F.lit(1), target_len - F.col("start")).alias("ids")
         )
         still_open = (

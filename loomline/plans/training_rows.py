@@ -17,9 +17,8 @@ from loomline.sources.tables import pick_lines, slot_positions, written_slots
 from loomline.sources.vocabulary import Vocabulary
 from loomline.staging import broadcast_if_within, staged
 
-# Wanted positions are three numbers and a short string: 1.5 M rows are below 200 MB.
-# The first round of a full run wants 1.39 M at most.
-FETCH_BROADCAST_ROWS = 1_500_000
+# A wanted position is three numbers and a short string.
+WANTED_BYTES = 48
 
 
 @dataclass(frozen=True)
@@ -95,12 +94,12 @@ def index_table(
         else:
             wanted, n = _counted(wanted)
             places = rows.join(
-                broadcast_if_within(wanted, n, FETCH_BROADCAST_ROWS), ["split", "split_ord"]
+                broadcast_if_within(wanted, n, WANTED_BYTES), ["split", "split_ord"]
             )
         per_row = places.groupBy(key).agg(
             F.collect_list(F.struct("split", "split_ord", "line_no")).alias("places")
         )
-        return pick_lines(docs, broadcast_if_within(per_row, n, FETCH_BROADCAST_ROWS), key, text)
+        return pick_lines(docs, broadcast_if_within(per_row, n, WANTED_BYTES), key, text)
 
     return SplitIndex(rows, sizes, fetch_text)
 
@@ -116,7 +115,7 @@ def index_files(corpus: CorpusIndex, settings: Settings) -> SplitIndex:
         found = documents
         if wanted is not None:
             wanted, n = _counted(wanted)
-            wanted = broadcast_if_within(wanted, n, FETCH_BROADCAST_ROWS)
+            wanted = broadcast_if_within(wanted, n, WANTED_BYTES)
             found = found.join(wanted, ["split", "split_ord"])
         return found.select("split", "split_ord", "text")
 

@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 
 from loomline.functions.text import BOM, has_ink, lossy_utf8, strip_space
 from loomline.operators.guards import require_files, warn_hidden
-from loomline.staging import BROADCAST_ROWS, staged
+from loomline.staging import broadcast_if_within, staged
 
 _SPLIT = ["file_name", "split_start"]
+# A split's row: a file name and some numbers.
+SPLIT_BYTES = 160
 
 
 @dataclass(frozen=True)
@@ -68,7 +70,6 @@ class CorpusIndex:
     pattern: str
     files: list[CorpusFile]
     splits: DataFrame  # file_idx, file_name, split_start, first_row, first_doc, ord_base, ...
-    bom_files: list[str]
     bare_bom_rows: list[int]
     n_splits: int
     n_docs: int
@@ -86,21 +87,19 @@ class CorpusIndex:
     def _split_table(self, *columns: str) -> DataFrame:
         table = self.splits.select(*_SPLIT, *columns)
         # One row per input split; a plain join is the way beyond the limit.
-        return F.broadcast(table) if self.n_splits <= BROADCAST_ROWS else table
+        return broadcast_if_within(table, self.n_splits, SPLIT_BYTES)
 
     def _bom_repair(self, line: Column) -> Column:
         """Put back the byte order mark Spark drops from a file's first line."""
-        if not self.bom_files:
-            return line
         at_top = (F.col("row") == F.col("first_row")) & (F.col("split_start") == 0)
-        marked = at_top & F.col("file_name").isin(self.bom_files)
+        marked = at_top & (F.col("bom_bytes") > 0)
         return F.when(marked, F.concat(F.lit(BOM), line)).otherwise(line)
 
     def documents(self) -> DataFrame:
         """ord, file_idx, text of every document. One scan, no shuffle of text."""
         docs = _document_rows(self._lines(), self.bare_bom_rows)
         docs = docs.join(
-            self._split_table("file_idx", "first_row", "first_doc", "n_docs", "ord_base"),
+            self._split_table("file_idx", "first_row", "first_doc", "n_docs", "ord_base", "bom_bytes"),
             _SPLIT,
             "left",
         ).select(
@@ -232,10 +231,12 @@ def index_corpus(spark: SparkSession, folder: str, pattern: str = "*.json") -> C
     marked = stats.groupBy("file_name").agg(
         (F.first("file_size") - F.sum("bytes") >= 2).alias("has_bom")
     )
-    bom_files = sorted(r.file_name for r in marked.filter("has_bom").collect())
-    has_bom = F.col("file_name").isin(bom_files) if bom_files else F.lit(False)
+    # one row for each file, and each split keeps whether its file has a mark
+    stats = staged(stats.join(marked, "file_name"), "corpus-marks")
+    has_bom = F.col("has_bom")
     bare_mark = has_bom & (F.col("split_start") == 0) & F.col("first_blank")
-    bare_bom_rows = [r.first_row for r in stats.filter(bare_mark).collect()] if bom_files else []
+    # files whose first line is nothing but a mark
+    bare_bom_rows = [r.first_row for r in stats.filter(bare_mark).select("first_row").collect()]
 
     listing = spark.createDataFrame(
         [(i, f.scan_name, f.size) for i, f in enumerate(files) if not f.hidden],
@@ -278,7 +279,7 @@ def index_corpus(spark: SparkSession, folder: str, pattern: str = "*.json") -> C
             (F.shiftleft(task, 33) + total("n_docs", in_task)).alias("first_doc"),
             total("bytes", in_file).alias("byte_base"),
             total("n_docs", overall).alias("ord_base"),
-            F.when(has_bom, 3).otherwise(0).alias("bom_bytes"),
+            F.when(has_bom | F.col("bom_only"), 3).otherwise(0).alias("bom_bytes"),
         ),
         "corpus-index",
     )
@@ -289,7 +290,6 @@ def index_corpus(spark: SparkSession, folder: str, pattern: str = "*.json") -> C
         pattern,
         files,
         splits,
-        bom_files,
         bare_bom_rows,
         totals.splits,
         totals.docs or 0,

@@ -11,23 +11,9 @@ from loomline.operators.ordering import exclusive_prefix, prefix_levels
 from loomline.staging import staged
 
 
-SPREAD_BYTES = 256 * 1024 * 1024
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table; a small one is spread over all cores.
-
-    A parquet row group is read by one task. A small table may be a single row
-    group, so its text work would run on one core. Up to SPREAD_BYTES of files
-    one cheap shuffle mends that; a larger table has row groups enough and is
-    left as it is.
-    """
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    table = spark.read.parquet(path)
-    if files.getContentSummary(place).getLength() > SPREAD_BYTES:
-        return table
-    return table.repartition(spark.sparkContext.defaultParallelism)
+    """A parquet table, read in the same way at every size."""
+    return spark.read.parquet(path)
 
 
 def lines_from_table(

@@ -8,8 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows a narrow table may have and still be broadcast: at 50 bytes a row, 50 MB.
-BROADCAST_ROWS = 1_000_000
+# Bytes a table may have and still be broadcast.
+BROADCAST_BYTES = 64 << 20
+
+# Folders this process has written, by application.
+_written: dict[str, list[str]] = {}
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -30,7 +33,9 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{work_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = f"{work_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -47,6 +52,19 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def broadcast_if_within(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when the known row count is within the limit."""
-    return F.broadcast(df) if rows <= limit else df
+def broadcast_if_within(
+    df: DataFrame, rows: int, row_bytes: int, limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Hint a broadcast when the counted rows of known width are within the limit."""
+    return F.broadcast(df) if rows * row_bytes <= limit else df
+
+
+def remove_staged(spark: SparkSession) -> int:
+    """Delete what this process has staged for the session's application, when a job
+    has written its results. Returns the number of folders; tables over them are gone."""
+    context = spark.sparkContext
+    folders = _written.pop(context.applicationId, [])
+    for folder in folders:
+        place = context._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+    return len(folders)

@@ -60,7 +60,7 @@ def test_packed_rows_equal_the_plain_loop(spark, limit, longest, first_round, ro
     docs = make_docs(rng, {"train": 60, "val": 3}, longest)
     examples = [("train", e) for e in range(40)] + [("val", e) for e in range(15)]
     got, fetches = run(
-        spark, docs, examples, 33, seed=7, first_round=first_round, broadcast_docs=limit
+        spark, docs, examples, 33, seed=7, first_round=first_round, broadcast_bytes=limit * 180
     )
     assert len(fetches) == rounds
     for (split, example), ids in got.items():

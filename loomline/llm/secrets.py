@@ -60,7 +60,7 @@ def blob_id(text: str = "text") -> Column:
     return F.sha2(text_or_empty(text), 256)
 
 
-def _long_enough(rule: Rule) -> str:
+def long_enough(rule: Rule) -> str:
     """A pattern with a match in a text only if the rule may have a kept one.
 
     For a single class the least length can be put into the pattern itself:
@@ -75,11 +75,11 @@ def _long_enough(rule: Rule) -> str:
 def _pieces(rule: Rule, todo: Column) -> Column:
     """array<struct<kind, version, gap, size, ok>>: the matches of a rule with
     the number of code points between them; null where there is none."""
-    pattern = F.lit(_long_enough(rule))
+    pattern = F.lit(long_enough(rule))
     text = F.col("text")
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     judged = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else found
-    gaps = F.split(text, _long_enough(rule), -1)
+    gaps = F.split(text, long_enough(rule), -1)
     lengths = F.zip_with(
         F.zip_with(found, judged, lambda a, b: F.struct(F.length(a).alias("n"), F.length(b).alias("m"))),
         F.slice(gaps, F.lit(1), F.size(found)),
@@ -91,7 +91,7 @@ def _pieces(rule: Rule, todo: Column) -> Column:
         F.lit(rule.kind).alias("kind"),
         F.lit(rule.version).alias("version"),
         todo.alias("todo"),
-        F.when(todo & text.rlike(_long_enough(rule)), lengths).alias("found"),
+        F.when(todo & text.rlike(long_enough(rule)), lengths).alias("found"),
     )
 
 

@@ -140,7 +140,8 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES, ledger: DataFrame | Non
 
 
 def findings(docs: DataFrame, ledger: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """The columns of docs, and spans: array<struct<start, place, end, kind>>.
+    """The columns of docs, and spans: array<struct<start, place, end, kind>>,
+    which takes the place of a column of that name.
 
     Every row of docs comes back once, repeated rows and null paths included.
     place is the rule's place in `rules`; spans are sorted by start, then place.
@@ -167,7 +168,8 @@ def findings(docs: DataFrame, ledger: DataFrame, rules: Sequence[Rule] = RULES)
     joined = addressed.join(by_blob, "__blob", "left")
     none = F.array().cast("array<struct<start:bigint,place:int,end:bigint,kind:string>>")
     return joined.select(
-        *[F.col(c) for c in docs.columns], F.coalesce("__spans", none).alias("spans")
+        *[F.col(c) for c in docs.columns if c.lower() != "spans"],
+        F.coalesce("__spans", none).alias("spans"),
     )
 
 

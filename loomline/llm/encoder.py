@@ -47,6 +47,7 @@ class Encoder:
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as file:
             parts = json.load(file)
         cuts = parts.get("pre_tokenizer") or {}
@@ -79,11 +80,30 @@ class Encoder:
         if None in found:
             for k, ids in enumerate(found):
                 if ids is None:
-                    part = rest[k]
-                    ids = recent.get(part) or self.older.get(part) or self._lines(" " + part)
-                    found[k] = recent[part] = ids
+                    found[k] = self._after_blank(rest[k])
         return self._lines(first) + b"".join(found)
 
+    def _after_blank(self, part: str) -> bytes:
+        """The ids of a blank and part, remembered."""
+        ids = self.recent.get(part) or self.older.get(part)
+        if ids is None:
+            # a mark after a word is cut off, so the word may be known without it
+            if self.by_model and part[-1:] in _MARKS and part[:-1].isalpha():
+                ids = self._after_blank(part[:-1]) + self._bare(part[-1])
+            else:
+                ids = self._lines(" " + part)
+        self.recent[part] = ids
+        return ids
+
+    def _bare(self, piece: str) -> bytes:
+        """The ids of a piece that follows no blank, remembered."""
+        ids = self.bare.get(piece)
+        if ids is None:
+            if len(self.bare) > REMEMBERED:
+                self.bare.clear()
+            ids = self.bare[piece] = self._piece(piece)
+        return ids
+
     def _whole(self, text: str) -> bytes:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found[0].ids, self.dtype).tobytes()
@@ -94,10 +114,11 @@ class Encoder:
         if "\n" not in piece or not self.by_model:
             return self._piece(piece)
         lines = piece.split("\n")
-        body = [lines[0].lstrip(" "), *lines[1:]]
+        body = [lines[0].removeprefix(" "), *lines[1:]]
         if any(not x or x[0].isspace() or x[-1].isspace() for x in body):
             return self._whole(piece)
-        return self._piece("\n").join(self._piece(x) for x in lines)
+        head = self._after_blank(body[0]) if piece[0] == " " else self._bare(body[0])
+        return self._bare("\n").join([head, *map(self._bare, lines[1:])])
 
     def _piece(self, piece: str) -> bytes:
         if self.by_model:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from conftest import EDGE
+from edge_rows import EDGE
 
 from loomline.llm import decontaminate
 from loomline.llm.decontaminate import decontaminated

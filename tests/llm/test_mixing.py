@@ -7,7 +7,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import EDGE
+from edge_rows import EDGE
 
 from loomline.llm.mixing import flight, land, mix
 

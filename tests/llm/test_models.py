@@ -6,7 +6,7 @@ import random
 import zlib
 
 import numpy as np
-from conftest import EDGE
+from edge_rows import EDGE
 
 from loomline.llm import langid, toxicity
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 import re
 
-from conftest import EDGE
+from edge_rows import EDGE
 
 from loomline.llm.components import connected_components
 from loomline.llm.near_dedup import near_duplicates

@@ -5,7 +5,7 @@ from __future__ import annotations
 import collections
 
 import pytest
-from conftest import EDGE
+from edge_rows import EDGE
 
 import corpus_pipeline as pipeline
 

@@ -7,7 +7,7 @@ import random
 import re
 
 import pytest
-from conftest import EDGE
+from edge_rows import EDGE
 
 from loomline.llm import quality
 

@@ -6,7 +6,7 @@ import hashlib
 import random
 import re
 
-from conftest import EDGE
+from edge_rows import EDGE
 
 from loomline.llm import secrets
 

@@ -6,7 +6,7 @@ import hashlib
 import random
 
 import numpy as np
-from conftest import EDGE
+from edge_rows import EDGE
 
 from loomline.llm import suffix_dedup
 from loomline.llm.suffix_dedup import repeated_suffixes, spans, without_repeats

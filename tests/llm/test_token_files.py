@@ -7,7 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import EDGE
+from edge_rows import EDGE
 
 from loomline.llm import token_files
 from loomline.llm.encoder import Encoder

@@ -4,8 +4,8 @@ In a bucket all members are checked against one leader first, the member that
 comes first in an order that all buckets share, so a large group of copies costs
 one check for each member. Buckets whose members then lie in several components
 are compared in full, in blocks inside tasks: only pairs come out that lie in
-different components, look similar by their sizes and by a sketch of BINS bins,
-and meet in no earlier bucket, so each pair is judged once. All pairs that come
+different components, look similar by their sizes and digests, and meet in no
+earlier bucket, so each pair is judged once. All pairs that come
 out are verified on their full sets.
 """
 
@@ -20,12 +20,14 @@ from pyspark.sql import functions as F
 
 from loomline.llm.common import written
 from loomline.llm.components import connected_components
-from loomline.llm.wordhash import U64, mix, shingle_hashes, word_hashes
+from loomline.llm.wordhash import U64, shingle_hashes, word_hashes
 
-#: A sketch holds the least shingle of each of BINS ranges of the hash, in 16 bits.
+#: The digest of a set of up to SMALL shingles is 32 bits of each; that of a
+#: larger one the least of each of BINS ranges of them, in 16 bits.
+SMALL = 256
 BINS = 256
-#: A pair is checked in full unless its sketch is so many standard deviations
-#: below the limit; a pair at the limit fails this with probability 3e-5.
+#: A pair of larger sets is checked in full unless its digests are so many standard
+#: deviations below the limit; a pair at the limit fails this with probability 3e-5.
 DEVIATIONS = 4.0
 #: Members of a bucket that are compared at a time.
 BLOCK = 2048
@@ -44,16 +46,26 @@ def word_sets(text: bytes | None, shingle: int) -> tuple[np.ndarray, np.ndarray]
     return words, np.unique(shingle_hashes(words, shingle))
 
 
-def sketch(shingles: np.ndarray) -> np.ndarray:
-    """16 bits of the least of sorted shingles in each range; 0 where there is none."""
-    bins = shingles >> U64(64 - BINS.bit_length() + 1)
+def _sketch(heads: np.ndarray) -> np.ndarray:
+    """Of sorted 32-bit numbers, 16 bits of the least in each range; 0 where there is none."""
+    bins = heads >> np.uint32(24)
     first = np.flatnonzero(np.append(True, bins[1:] != bins[:-1]))
     out = np.zeros(BINS, "<u2")
-    out[bins[first].astype(np.int64)] = (mix(shingles[first]) % U64(0xFFFF)).astype("<u2") + 1
+    out[bins[first]] = (heads[first] % np.uint32(0xFFFF)).astype("<u2") + 1
     return out
 
 
-def promising(left: np.ndarray, right: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+def digest(shingles: np.ndarray) -> bytes:
+    """The digest of a sorted set."""
+    heads = (shingles >> U64(32)).astype("<u4")
+    return heads.tobytes() if len(heads) <= SMALL else _sketch(heads).tobytes()
+
+
+def _as_sketch(data: bytes, size: int) -> np.ndarray:
+    return _sketch(np.frombuffer(data, "<u4")) if size <= SMALL else np.frombuffer(data, "<u2")
+
+
+def _similar_sketches(left: np.ndarray, right: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
     """Of rows of sketches: which pairs may be as similar as percent.
 
     sizes is the sum of the sizes of a pair's sets. Of their union, at the
@@ -67,15 +79,40 @@ def promising(left: np.ndarray, right: np.ndarray, sizes: np.ndarray, percent: i
     return equal >= limit * used - slack - 1
 
 
+def promising(
+    own: bytes, size: int, others: list[bytes], sizes: np.ndarray, percent: int
+) -> np.ndarray:
+    """Which others may be as similar to one set as percent, by digests and sizes.
+
+    Two small sets are compared number by number. Shingles that share their 32
+    bits can only make sets look more similar than they are.
+    """
+    out = np.zeros(len(others), bool)
+    small = (sizes <= SMALL) & (size <= SMALL)
+    for exact in (True, False):
+        at = np.flatnonzero(small == exact)
+        if not len(at):
+            continue
+        if exact:
+            heads = np.frombuffer(own, "<u4")
+            every = np.frombuffer(b"".join([others[k] for k in at]), "<u4")
+            place = np.minimum(np.searchsorted(heads, every), len(heads) - 1)
+            starts = np.concatenate([[0], np.cumsum(sizes[at])[:-1]])
+            common = np.add.reduceat((heads[place] == every).astype(np.int64), starts)
+            out[at] = 100 * common >= percent * (size + sizes[at] - common)
+        else:
+            right = np.stack([_as_sketch(others[k], sizes[k]) for k in at])
+            left = np.broadcast_to(_as_sketch(own, size), right.shape)
+            out[at] = _similar_sketches(left, right, size + sizes[at], percent)
+    return out
+
+
 def _promising(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            left = np.frombuffer(b"".join(batch.column("la").to_pylist()), "<u2").reshape(-1, BINS)
-            right = np.frombuffer(b"".join(batch.column("lb").to_pylist()), "<u2").reshape(-1, BINS)
-            sizes = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-            yield batch.select(["a", "b"]).filter(pa.array(promising(left, right, sizes, percent)))
+            rows = zip(*(batch.column(c).to_pylist() for c in ("la", "na", "lb", "nb")))
+            keep = [bool(promising(la, na, [lb], np.array([nb]), percent)[0]) for la, na, lb, nb in rows]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -115,13 +152,14 @@ class _Bucket:
 
     def __init__(self, percent: int) -> None:
         self.percent = percent
-        self.parts: list[dict[str, np.ndarray]] = []
+        self.parts: list[dict] = []
 
     def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        digests = [x for p in self.parts for x in p.pop("least")]
         rows = {k: np.concatenate([p[k] for p in self.parts]) for k in self.parts[0]}
         self.parts = []
         node, component, size, block = (rows[k] for k in ("node", "component", "n_shingles", "block"))
-        first, second, least = rows["first"], rows["second"], rows["least"]
+        first, second = rows["first"], rows["second"]
         i, j = int(rows["i"][0]), int(rows["j"][0])
         across = bool(rows["x"][0] != rows["y"][0])
         for k in range(len(node) - 1):
@@ -134,8 +172,8 @@ class _Bucket:
             good &= ~(second[after, :j] == second[k, :j]).any(axis=1)
             other = np.flatnonzero(good) + k + 1
             if len(other):
-                left = np.broadcast_to(least[k], (len(other), BINS))
-                other = other[promising(left, least[other], size[other] + size[k], self.percent)]
+                near = [digests[x] for x in other]
+                other = other[promising(digests[k], int(size[k]), near, size[other], self.percent)]
                 ends = node[other]
                 yield np.minimum(ends, node[k]), np.maximum(ends, node[k])
 
@@ -161,7 +199,7 @@ def _compared(percent: int):
                 for c in ("key", "x", "y", "block", "node", "component", "n_shingles", "i", "j")
             }
             n = batch.num_rows
-            rows["least"] = np.frombuffer(b"".join(batch.column("least").to_pylist()), "<u2").reshape(n, BINS)
+            rows["least"] = batch.column("least").to_pylist()
             for c in ("first", "second"):
                 rows[c] = np.frombuffer(b"".join(batch.column(c).to_pylist()), "<i8").reshape(n, -1)
             group = np.stack([rows["key"], rows["x"], rows["y"]])
@@ -196,18 +234,18 @@ def _linked(likely: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
 def _sketches(shingle: int, banding: Banding):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, sketches, first, second = [], [], [], []
+            sizes, digests, first, second = [], [], [], []
             for text in batch.column("text"):
                 words, shingles = word_sets(text.as_py(), shingle)
                 sizes.append(len(shingles))
-                sketches.append(sketch(shingles).tobytes())
+                digests.append(digest(shingles))
                 for column, bands in zip((first, second), banding(words, shingles)):
                     column.append(bands.astype("<u8").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("node"),
                     pa.array(sizes, pa.int64()),
-                    *[pa.array(c, pa.binary()) for c in (sketches, first, second)],
+                    *[pa.array(c, pa.binary()) for c in (digests, first, second)],
                 ],
                 names=["node", "n_shingles", "least", "first", "second"],
             )

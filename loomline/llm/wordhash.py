@@ -54,7 +54,11 @@ def word_hashes(text: bytes | None, lower: bool = True) -> np.ndarray:
     if not text:
         return np.empty(0, U64)
     data = np.frombuffer(text, np.uint8)
-    starts, _ = word_bounds(data)
+    return hashes_at(data, word_bounds(data)[0], lower)
+
+
+def hashes_at(data: np.ndarray, starts: np.ndarray, lower: bool = True) -> np.ndarray:
+    """The hashes of the words that start there; a word's place does not matter."""
     if not len(starts):
         return np.empty(0, U64)
     up, down = powers(len(data))
@@ -76,12 +80,26 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix(total)
 
 
+def _mixed(x: int) -> int:
+    """mix() of one number, as a signed one."""
+    x &= 2**64 - 1
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 % 2**64
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB % 2**64
+    x ^= x >> 31
+    return x - 2**64 if x >> 63 else x
+
+
+def sequence_key(words: np.ndarray) -> int:
+    """A signed 64-bit hash of a whole sequence of words."""
+    up, _ = powers(len(words))
+    return _mixed(int(np.sum(words * up[: len(words)], dtype=U64)) + len(words))
+
+
 def sequence_hash(words: np.ndarray) -> tuple[int, int]:
-    """Two 64-bit hashes of a whole sequence of words, as signed numbers."""
+    """Two such hashes."""
     up, _ = powers(len(words))
-    a = mix(np.sum(words * up[: len(words)], keepdims=True, dtype=U64) + U64(len(words)))
-    b = mix(np.sum(mix(words ^ _PLACES[0]) * up[: len(words)], keepdims=True, dtype=U64))
-    return int(a.view(np.int64)[0]), int(b.view(np.int64)[0])
+    second = np.sum(mix(words ^ _PLACES[0]) * up[: len(words)], dtype=U64)
+    return sequence_key(words), _mixed(int(second))
 
 
 def minhashes(shingles: np.ndarray, xors: np.ndarray, factors: np.ndarray) -> np.ndarray:

@@ -29,16 +29,18 @@ SYMBOLS = "#*$%&|<>"
 # Statistics are whole numbers of 1/UNIT, so that sums are exact.
 UNIT = 512
 STATISTICS = ("log_words", "log_word_length", "symbol_share", "dup_line_share", "repeat_share")
-#: Smallest standard deviation of each statistic, in its own units: a statistic
-#: that is nearly constant in a group is not held against small departures.
-FLOORS = (0.5, 0.05, 0.1, 0.15, 0.15)
+#: Smallest standard deviation of each statistic, in its own units. It takes the
+#: place of a smaller one only: a statistic that does not scatter at all in a
+#: group is not held against a last digit.
+FLOORS = (0.1, 0.02, 0.05, 0.08, 0.08)
 #: Share of a group's rows that an estimate is made of.
 CORE = 0.75
 STEPS = 4
-#: Groups with fewer rows are estimated together.
+#: A group with fewer rows is held against its whole language, a language with
+#: fewer against all rows.
 MIN_GROUP = 200
 #: Probability of a row within the cutoff, were the vectors normal.
-CUTOFF = 1 - 1e-6
+CUTOFF = 0.999
 # Distances are sorted into bins of 1/BINS of a natural logarithm.
 BINS = 32
 
@@ -187,13 +189,17 @@ def _first_estimate(rows: DataFrame) -> DataFrame:
 
 
 def _factors(estimate: DataFrame) -> DataFrame:
-    """Adds the lower Cholesky factor l{i}{j} of the floored covariance."""
+    """Adds the lower Cholesky factor l{i}{j} of the covariance.
+
+    The scatter that a statistic has beside the ones before it is its own or the
+    floor, whichever is larger.
+    """
     for i, j in PAIRS:
-        least = (FLOORS[i] * UNIT) ** 2 if i == j else 0.0
-        rest = F.col(f"c{i}{j}") + F.lit(least)
+        rest = F.col(f"c{i}{j}")
         for k in range(j):
             rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-        value = F.sqrt(F.greatest(rest, F.lit(1.0))) if i == j else rest / F.col(f"l{j}{j}")
+        least = F.lit((FLOORS[i] * UNIT) ** 2)
+        value = F.sqrt(F.greatest(rest, least)) if i == j else rest / F.col(f"l{j}{j}")
         estimate = estimate.withColumn(f"l{i}{j}", value)
     return estimate.select("g", *[f"m{k}" for k in range(P)], *[f"l{i}{j}" for i, j in PAIRS])
 
@@ -250,33 +256,51 @@ def _next_estimate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     )
 
 
+def _levels(rows: DataFrame) -> DataFrame:
+    """pair, g, groups: whose estimate a pair's rows are held against (null: none),
+    and the estimates that they are part of."""
+    counts = rows.groupBy("pair", "language").agg(F.sum((~F.col("base_failed")).cast("bigint")).alias("n_pair"))
+    counts = written(counts, "quality-counts")
+    of_language = counts.groupBy("language").agg(
+        F.sum("n_pair").alias("n_language"), (F.min("n_pair") < MIN_GROUP).alias("use_language")
+    )
+    of_all = of_language.agg(
+        F.sum("n_language").alias("n_all"), (F.min("n_language") < MIN_GROUP).alias("use_all")
+    )
+    levels = counts.join(of_language, "language").crossJoin(F.broadcast(of_all))
+    pair = F.when(F.col("n_pair") >= MIN_GROUP, F.col("pair"))
+    language = F.when((F.col("n_language") >= MIN_GROUP) & F.col("use_language"), F.col("language"))
+    everything = F.when((F.col("n_all") >= MIN_GROUP) & F.col("use_all"), F.lit("all"))
+    return levels.select(
+        "pair",
+        F.coalesce(pair, language, everything).alias("g"),
+        F.array_compact(F.array(pair, language, everything)).alias("groups"),
+    )
+
+
 def quality_verdicts(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, distance2, kept: one row for each row of docs.
 
     A row is kept if it passes the base rules and its distance is within the
     cutoff. Estimates are made of the rows that pass the base rules only. Null
-    languages and sources are values of their own. Groups of fewer than
-    MIN_GROUP rows are estimated together; if all of those are fewer too, they
-    have no estimate, their distance is null and the base rules decide alone.
-    Null and empty texts fail the base rules. An empty table gives no rows.
+    languages and sources are values of their own. A language and source with
+    fewer than MIN_GROUP of them is held against the estimate of all rows of its
+    language, a language with fewer against that of all rows; if those are fewer
+    too, there is no estimate, the distance is null and the base rules decide
+    alone. Null and empty texts fail the base rules. An empty table gives no rows.
     """
     rows = text_statistics(docs).select("*", base_failed().alias("base_failed"), *_vector())
     # JSON leaves nulls out, so a null and a value never make the same key.
-    rows = rows.withColumn("pair", F.to_json(F.struct("lang", "source")))
-    rows = written(rows, "quality-statistics")
-    good = rows.filter("not base_failed")
-    large = good.groupBy("pair").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_GROUP)
-    large = large.select("pair", F.lit(True).alias("large"))
-    rows = rows.join(large, "pair", "left").withColumn("g", F.when(F.col("large"), F.col("pair")).otherwise(""))
-    rows = written(rows.drop("pair", "large", "lang", "source"), "quality-groups")
-    good = rows.filter("not base_failed").select("g", *[f"x{k}" for k in range(P)])
-    enough = good.groupBy("g").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_GROUP).select("g")
-    estimate = written(_first_estimate(good).join(enough, "g", "left_semi"), "quality-estimate")
+    rows = rows.withColumn("pair", F.concat(F.lit("pair"), F.to_json(F.struct("lang", "source"))))
+    rows = rows.withColumn("language", F.concat(F.lit("language"), F.to_json(F.struct("lang"))))
+    rows = written(rows.drop("lang", "source"), "quality-statistics")
+    rows = rows.join(_levels(rows), "pair").drop("pair", "language")
+    rows = written(rows, "quality-groups")
+    good = rows.filter("not base_failed").select(F.explode("groups").alias("g"), *[f"x{k}" for k in range(P)])
+    estimate = written(_first_estimate(good), "quality-estimate")
     for _ in range(STEPS):
-        estimate = written(
-            _next_estimate(good, estimate).join(enough, "g", "left_semi"), "quality-estimate"
-        )
+        estimate = written(_next_estimate(good, estimate), "quality-estimate")
     judged = _distances(rows, estimate)
     within = F.coalesce(F.col("d2") <= chi2_quantile(CUTOFF, P), F.lit(True))
     return judged.select(

@@ -47,6 +47,38 @@ def test_planted_outliers_go_and_clean_rows_stay(docs):
     assert not any(kept[i] for i, *_ in junk)
 
 
+def lines(rng, n, low, high):
+    """n different lines of ten words of low to high letters, no window of words twice."""
+    return [" ".join("x" * rng.randint(low, high) + str(rng.randint(10**5, 10**6)) for _ in range(10)) for _ in range(n)]
+
+
+def test_moderate_junk_goes(docs):
+    rng = random.Random(8)
+    clean = [(k, "\n".join(lines(rng, rng.randint(20, 30), 1, 4)), "en", "s") for k in range(400)]
+    junk = []
+    for k in range(10):
+        body = lines(rng, 24, 1, 4)
+        junk.append((1000 + k, "\n".join(body[:18] + body[:6]), "en", "s"))  # a quarter of the lines twice
+        junk.append((2000 + k, "\n".join(x + " " + "#|" * 5 for x in body), "en", "s"))  # 8 % symbols
+    kept = {r.doc_id: r.kept for r in quality.quality_verdicts(docs([*clean, *junk])).collect()}
+    assert sum(kept[i] for i, *_ in clean) >= 0.99 * len(clean)
+    assert not any(kept[i] for i, *_ in junk)
+
+
+def test_small_groups_are_held_against_their_language(docs):
+    rng = random.Random(9)
+    rows = []
+    for lang, low, high in (("en", 1, 3), ("de", 9, 12)):
+        for k in range(240):  # sources of 80 rows
+            rows.append((len(rows), "\n".join(lines(rng, rng.randint(20, 30), low, high)), lang, f"s{k % 3}"))
+    rows += [(5000 + k, "\n".join(lines(rng, 25, 9, 12)), "en", "s0") for k in range(3)]  # of the other language
+    rows += [(6000 + k, "\n".join(lines(rng, 25, 1, 3)), "fr", None) for k in range(3)]  # too few: all rows
+    got = {r.doc_id: r for r in quality.quality_verdicts(docs(rows)).collect()}
+    assert sum(got[i].kept for i in range(480)) >= 0.99 * 480
+    assert not any(got[5000 + k].kept for k in range(3))
+    assert all(got[6000 + k].distance2 is not None for k in range(3))
+
+
 def test_empty_and_small_tables(docs):
     assert quality.quality_verdicts(docs([])).count() == 0
     text = " ".join(f"w{k}" for k in range(80))

@@ -20,20 +20,18 @@ from loomline.llm.queries import tokenizer_path
 from loomline.llm.token_files import token_digest
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A document stays if its text is in one of the learned languages so surely.
-LEAST_SCORE = 0.2
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a learned language: no letter, no language, no stay.
+    """Documents whose text is in a learned language: no letter, no language, no stay.
 
-    The language that is predicted with a probability of LEAST_SCORE or more is
-    enough; the column lang stays as it was.
+    Which it is does not matter, and the column lang stays as it was. The least
+    probability is calibrated on held-back rows (langid._least).
     """
     ship_package(spark)
     docs = docs.select(*COLUMNS)
     found = with_language(docs, train(docs), COLUMNS)
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= LEAST_SCORE)).select(*COLUMNS)
+    return found.filter((F.col("lang_pred") != UNKNOWN) & F.col("lang_sure")).select(*COLUMNS)
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

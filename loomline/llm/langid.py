@@ -28,6 +28,8 @@ EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 2e-3, 1e-3
 CHUNK = 1 << 18
 UNKNOWN = "und"
+#: Share of held-back rows that may lie below the score that sets Model.least.
+CLEAN_LOSS = 0.01
 
 
 @functools.cache
@@ -79,6 +81,9 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
+    #: Untempered probability of the likeliest language from which a text counts
+    #: as one of the learned languages.
+    least: float = 0.0
 
     def logits(self, counts: np.ndarray) -> np.ndarray:
         used = np.flatnonzero(counts)
@@ -169,6 +174,18 @@ def _temperature(model: Model, rows: list[tuple[np.ndarray, np.ndarray, int]]) -
     return min(np.geomspace(0.02, 20, 121).tolist(), key=loss)
 
 
+def _least(model: Model, rows: list[tuple[np.ndarray, np.ndarray, int]]) -> float:
+    """Midway between chance and what all but CLEAN_LOSS of the held-back rows reach.
+
+    Only rows whose language is found count. The temperature stays out of it: on
+    rows that are told apart without an error it makes any text a sure one.
+    """
+    chance = 1 / len(model.languages)
+    found = [softmax(values @ model.weights[slots] + model.bias) for slots, values, _ in rows]
+    tops = [float(p.max()) for p, (_, _, label) in zip(found, rows) if int(p.argmax()) == label]
+    return (chance + float(np.quantile(tops, CLEAN_LOSS))) / 2 if tops else chance
+
+
 def learnable() -> F.Column:
     """Rows that may be learned from: those whose crc32 of the id is not 2 modulo 4."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 != 2, F.lit(False))
@@ -210,39 +227,47 @@ def train(docs: DataFrame) -> Model:
     held, used = rows[::5], [r for k, r in enumerate(rows) if k % 5]
     weights, bias = ftrl(used, len(languages))
     model = Model(languages, idf, weights, bias)
-    return Model(languages, idf, weights, bias, _temperature(model, held))
+    return Model(languages, idf, weights, bias, _temperature(model, held), _least(model, held))
 
 
 def _predict(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for batch in batches:
-            names, scores = [], []
+            names, scores, sure = [], [], []
             for text in batch.column("text"):
                 counts = gram_counts(text.as_py())
                 if counts is None or not m.languages:
                     names.append(UNKNOWN)
                     scores.append(0.0)
+                    sure.append(False)
                     continue
-                p = softmax(m.logits(counts))
+                logits = m.logits(counts)
+                p = softmax(logits)
                 best = int(p.argmax())
                 names.append(m.languages[best])
                 scores.append(float(p[best]))
+                # a little room for rounding: a model of one language is always sure
+                sure.append(float(softmax(logits * m.temperature)[best]) >= m.least - 1e-9)
             kept = [batch.column(c) for c in batch.schema.names]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names, "lang_pred", "lang_score"],
+                [*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sure, pa.bool_())],
+                names=[*batch.schema.names, "lang_pred", "lang_score", "lang_sure"],
             )
 
     return run
 
 
 def with_language(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
-    """columns of docs (text among them), lang_pred, lang_score."""
+    """columns of docs (text among them), lang_pred, lang_score, lang_sure.
+
+    lang_sure says if the text is in a learned language: its untempered
+    probability is model.least or more.
+    """
     chosen = docs.select(*columns)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return chosen.mapInArrow(_predict(shared), f"{fields}, lang_pred string, lang_score double")
+    return chosen.mapInArrow(_predict(shared), f"{fields}, lang_pred string, lang_score double, lang_sure boolean")
 
 
 def predict_languages(docs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import random
 
 import pytest
 from edge_rows import EDGE
@@ -23,6 +24,25 @@ def test_stages_take_edge_rows(spark, docs, name, stage, rows):
         assert out.count() <= len(rows) * 3
 
 
+def test_language_stage_rejects_what_was_not_learned(spark):
+    rng = random.Random(3)
+    foreign = [
+        "Это обычный русский текст о погоде и людях, которые живут в большом городе. " * 5,
+        "今天天气很好我们一起去公园散步吧大家都很高兴" * 5,
+        "Tämä on tavallinen suomenkielinen teksti ihmisistä, jotka asuvat suuressa kaupungissa. " * 5,
+        "To jest zwykły polski tekst o ludziach, którzy mieszkają w dużym mieście. " * 5,
+        *("".join(rng.choices("abcdefghijklmnopqrstuvwxyz   ", k=900)) for _ in range(5)),
+        "1234 5678",
+    ]
+    clean = spark.read.parquet(f"{SF}/documents.parquet").select(*pipeline.COLUMNS)
+    # without a label nothing is learned from them
+    rows = [(10**6 + k, t, None, "x", len(t)) for k, t in enumerate(foreign)]
+    every = clean.unionByName(spark.createDataFrame(rows, clean.schema))
+    kept = {r.doc_id for r in pipeline.identify_language(spark, every, SF).select("doc_id").collect()}
+    assert not [k for k in range(len(foreign)) if 10**6 + k in kept]
+    assert len(kept) >= 0.99 * clean.count()
+
+
 def test_near_copies_stay_once(spark, docs):
     kept = pipeline.remove_near_copies(spark, docs(EDGE), SF).collect()
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [1, 2, 3, 4, 6, 7]

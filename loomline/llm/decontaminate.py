@@ -25,10 +25,20 @@ from pyspark.sql import functions as F
 from loomline.llm.common import written
 from loomline.llm.wordhash import U64, mix, word_hashes
 
-# Masks of eleven words, seven of them compared; 1 is compared.
-MASKS = ("11101001011", "11011000111", "10110110101")
-#: Items of fewer words are never looked for.
-LEAST_WORDS = 5
+# Masks of a window or a whole item of so many words; 1 is compared. They are
+# chosen by enumeration: whichever words a verified window may have changed, some
+# mask at some place avoids them all. Shorter items are compared whole.
+MASKS = {
+    5: ("1111", "11101", "11011", "10111"),
+    6: ("1111", "11011"),
+    7: ("11111", "111011", "110111"),
+    8: ("11111", "111011"),
+    9: ("1111011", "1101111"),
+    10: ("1111011", "11001111", "110110011", "11110101", "10101111"),
+    11: ("1110111", "111001011", "1011111", "111111"),
+    12: ("11101011", "101100111", "111111"),
+    13: ("11101011", "11001111"),
+}
 #: A window of so many words, or a whole shorter item, must agree in PERCENT of its words.
 WINDOW = 13
 PERCENT = 80
@@ -52,9 +62,8 @@ def plain_words(text: str | None) -> np.ndarray:
 @functools.cache
 def _seeds(length: int) -> tuple[tuple[int, ...], ...]:
     """The compared places of each mask for an item of so many words."""
-    if length >= len(MASKS[0]):
-        return tuple(tuple(k for k, c in enumerate(m) if c == "1") for m in MASKS)
-    return (tuple(range(length)),)
+    masks = MASKS.get(min(length, WINDOW), ("1" * length,))
+    return tuple(tuple(k for k, c in enumerate(m) if c == "1") for m in masks)
 
 
 def seed_hashes(words: np.ndarray, places: tuple[int, ...]) -> np.ndarray:
@@ -84,7 +93,7 @@ def item_block(rows: list[tuple[int, bytes]]) -> Items:
     ids, words, seeds, parts = [], [], set(), []
     for item_id, data in rows:
         own = np.frombuffer(data, "<u8").astype(U64)
-        if len(own) < LEAST_WORDS:
+        if not len(own):
             continue
         for places in _seeds(len(own)):
             seeds.add(places)
@@ -158,8 +167,8 @@ def _scan(shared):
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, n_equal: which items a document holds.
 
-    Null and empty texts and items of fewer than LEAST_WORDS words have no
-    overlap. Repeated items and documents count once for each id. An item that
+    Null and empty texts and items without a word have no overlap. Items of one
+    to four words must be held word for word. Repeated items and documents count once for each id. An item that
     is longer than a block's size is a block by itself.
     """
     spark = docs.sparkSession
@@ -167,7 +176,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = written(
         benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
         .mapInArrow(_item_words, "item_id bigint, words binary")
-        .filter(F.octet_length("words") >= 8 * LEAST_WORDS),
+        .filter(F.octet_length("words") > 0),
         "benchmark-items",
     )
     total = items.agg(F.coalesce(F.sum(F.octet_length("words") / 8), F.lit(0))).first()[0]

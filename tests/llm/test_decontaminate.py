@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 
+import numpy as np
+import pytest
 from edge_rows import EDGE
 
 from loomline.llm import decontaminate
@@ -49,6 +52,45 @@ def test_near_misses_stay(spark, docs):
     assert got == {1: True, 2: True, 3: False, 4: True}
 
 
+@pytest.mark.parametrize("length", range(1, 17))
+def test_every_allowed_change_meets_a_seed(length):
+    window = min(decontaminate.WINDOW, length)
+    item = np.arange(1, length + 1, dtype=np.uint64)
+    block = decontaminate.item_block([(7, item.astype("<u8").tobytes())])
+    allowed = window * (100 - decontaminate.PERCENT) // 100
+    for changed in itertools.combinations(range(window), allowed):
+        for at in range(length - window + 1):  # the rest of the item is another text
+            text = np.arange(100, 110 + length, dtype=np.uint64)
+            text[5 + at : 5 + at + window] = item[at : at + window]
+            text[[5 + at + k for k in changed]] = 99
+            assert decontaminate.matches(text, block) == {0: window - allowed}
+
+
+def brute(words, item):
+    window = min(decontaminate.WINDOW, len(item))
+    return any(
+        100 * sum(a == b for a, b in zip(words[i : i + window], item[j : j + window])) >= decontaminate.PERCENT * window
+        for i in range(len(words) - window + 1)
+        for j in range(len(item) - window + 1)
+    )
+
+
+def test_changed_items_against_brute_force(spark, docs):
+    rng = random.Random(4)
+    items = [words(rng, n) for n in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 16, 20)]
+    rows = []
+    for k in range(480):
+        part = [w if rng.random() > 0.15 else "changed" for w in items[k % len(items)]]
+        body = words(rng, 12)
+        at = rng.randint(0, 12)
+        rows.append((k, body[:at] + part + body[at:]))
+    want = {(k, i) for k, body in rows for i, item in enumerate(items) if brute(body, item)}
+    table = docs([(k, " ".join(body)) for k, body in rows])
+    got = decontaminated(table, bench(spark, [(i, " ".join(item)) for i, item in enumerate(items)])).collect()
+    assert {(r.doc_id, i) for r in got for i in r.item_ids} == want
+    assert len({i for _, i in want}) == len(items)
+
+
 def test_edge_rows(spark, docs):
     items = bench(spark, [(1, None), (2, ""), (3, "one two three four five six"), (3, "one two three four five six"), (None, "a b c d")])
     got = decontaminated(docs(EDGE), items).collect()

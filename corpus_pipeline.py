@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.llm.common import ship_package, table, written
-from loomline.llm.decontaminate import decontaminated
+from loomline.llm.decontaminate import overlaps
 from loomline.llm.langid import UNKNOWN, train, with_language
 from loomline.llm.mixing import mix
 from loomline.llm.near_dedup import near_duplicates
@@ -34,40 +34,61 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.filter((F.col("lang_pred") != UNKNOWN) & F.col("lang_sure")).select(*COLUMNS)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """COLUMNS and row_key, a hash of them: rows with one key agree in every column."""
+    # a null leaves a hash as it is, so where the nulls are is hashed too
+    nulls = [F.col(c).isNull() for c in COLUMNS]
+    return docs.select(*COLUMNS, F.xxhash64(*COLUMNS, *nulls).alias("row_key"))
+
+
+def _as_documents(keyed: DataFrame) -> DataFrame:
+    """The keyed rows as documents of their own: doc_id is the row's key."""
+    return keyed.select(F.col("row_key").alias("doc_id"), "text", "source")
+
+
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one of least doc_id, and once.
+    """One row of each group of near copies, the one of least doc_id, and once.
 
-    Rows with a null doc_id are linked with nothing and all stay.
+    Rows are compared whatever their doc_id: those with a null one come last in
+    their group, and rows with one doc_id and different texts are no copies. Rows
+    without a word are linked with nothing; of equal ones with a doc_id one stays.
     """
     ship_package(spark)
-    kept = near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.select(*COLUMNS).filter("doc_id is null"))
+    keyed = _keyed(docs)
+    found = near_duplicates(_as_documents(keyed)).select(F.col("doc_id").alias("row_key"), "component_id", "n_shingles")
+    found = written(found.distinct(), "pipeline-copies").join(keyed.select("row_key", "doc_id").distinct(), "row_key")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key", "n_shingles")
+    least = found.groupBy("component_id").agg(F.min(rank).alias("least")).select("least.row_key", "least.n_shingles")
+    kept = keyed.join(least, "row_key")
+    wordless = (F.col("n_shingles") == 0) & F.col("doc_id").isNull()
+    once = kept.filter(~wordless).dropDuplicates(["row_key"])
+    return once.select(*COLUMNS).unionByName(kept.filter(wordless).select(*COLUMNS))
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
+    """Rows that hold no item of the benchmark, each judged by its own text."""
     ship_package(spark)
-    held = decontaminated(docs, table(spark, sf_dir, "benchmark")).filter("not kept")
-    held = held.select(F.col("doc_id").alias("held")).distinct()
-    return docs.select(*COLUMNS).join(held, F.col("doc_id").eqNullSafe(F.col("held")), "left_anti")
+    keyed = _keyed(docs)
+    held = overlaps(_as_documents(keyed), table(spark, sf_dir, "benchmark"))
+    held = held.select(F.col("doc_id").alias("row_key")).distinct()
+    return keyed.join(held, "row_key", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it; not at all if it takes none.
+    """Each row as many times as the mix takes it; not at all if it takes none.
 
-    Rows that agree in doc_id and source share their copies: one row of them
-    comes out so many times. Documents without a word are not taken.
+    Rows that agree in every column share their copies. Documents without a word
+    are not taken.
     """
     ship_package(spark)
+    keyed = _keyed(docs)
     taken = (
-        mix(docs)
+        mix(_as_documents(keyed))
         .filter("copies > 0")
-        .groupBy(F.col("doc_id").alias("d"), F.col("source").alias("s"))
+        .groupBy(F.col("doc_id").alias("row_key"))
         .agg(F.sum("copies").cast("int").alias("copies"))
     )
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & F.col("source").eqNullSafe(F.col("s"))
-    rows = docs.select(*COLUMNS).dropDuplicates(["doc_id", "source"]).join(taken, same)
+    rows = keyed.dropDuplicates(["row_key"]).join(taken, "row_key")
     return rows.withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 

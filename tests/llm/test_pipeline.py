@@ -49,6 +49,63 @@ def test_near_copies_stay_once(spark, docs):
     assert sum(r.doc_id is None for r in kept) == 2
 
 
+def rows_of(table):
+    return collections.Counter((r.doc_id, r.text, r.lang, r.source) for r in table.collect())
+
+
+def prose(rng, n):
+    return " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(n))
+
+
+def test_near_copies_of_rows_without_or_with_one_id(spark, docs):
+    rng = random.Random(21)
+    a, b, c, d = (prose(rng, 100) for _ in range(4))
+    rows = [
+        (5, a, "en", "s"),
+        (None, a + " more", "en", "s"),  # a copy of 5
+        (8, b, "en", "s"),
+        (8, c, "en", "s"),  # the same id, another text
+        (None, d, "en", "s"),
+        (None, d + " more", "en", "s"),  # a copy of the row before
+        (9, d + " more words", "en", "s"),  # and of one with an id, which stays
+        (None, "", "en", None),
+        (None, "", None, "en"),
+        (None, "", None, "en"),
+    ]
+    got = rows_of(pipeline.remove_near_copies(spark, docs(rows), SF))
+    assert got == collections.Counter(rows[k] for k in (0, 2, 3, 6, 7, 8, 9))
+
+
+def test_benchmark_judges_each_row(spark, docs):
+    rng = random.Random(22)
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").select("text").collect()
+    item = max((r.text for r in items), key=len)
+    rows = []
+    for doc_id in (None, 7):
+        rows += [(doc_id, prose(rng, 50), "en", "s"), (doc_id, f"{prose(rng, 20)} {item}", "en", "s"), (doc_id, prose(rng, 50), "en", "s")]
+    got = rows_of(pipeline.remove_benchmark(spark, docs(rows), SF))
+    assert got == collections.Counter(r for r in rows if item not in r[1])
+
+
+def test_mix_keeps_rows_without_or_with_one_id(spark, docs):
+    rng = random.Random(23)
+    # one source: its target is all of its words, so each row is taken once
+    rows = [(None if k % 2 else 3, prose(rng, rng.randint(5, 50)), "en" if k % 3 else None, "s") for k in range(40)]
+    rows += rows[:3]
+    assert rows_of(pipeline.mix_sources(spark, docs(rows), SF)) == collections.Counter(rows)
+    # three sources: the words of each meet its target
+    rows = [(None, prose(rng, rng.randint(5, 50)), "en", f"s{k % 3}") for k in range(300)]
+    got = rows_of(pipeline.mix_sources(spark, docs(rows), SF))
+    assert set(got) <= set(rows) and max(got.values()) <= 3
+    size = collections.Counter()
+    taken = collections.Counter()
+    for row in rows:
+        size[row[3]] += len(row[1].split())
+        taken[row[3]] += got[row] * len(row[1].split())
+    for source, weight in (("s0", 1), ("s1", 2), ("s2", 3)):
+        assert abs(taken[source] - size.total() * weight / 6) <= 50
+
+
 def test_run(spark):
     rows = pipeline.run(spark, SF).collect()
     documents = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}

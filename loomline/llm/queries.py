@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loomline.llm.byte_network import score_quality
 from loomline.llm.common import ship_package, table
 from loomline.llm.decontaminate import decontaminated
 from loomline.llm.langid import predict_languages
 from loomline.llm.mixing import mix
 from loomline.llm.near_dedup import near_duplicates
 from loomline.llm.paragraph_dedup import without_repeated_paragraphs
+from loomline.llm.prefix_trie import trie_nodes
 from loomline.llm.quality import quality_verdicts
+from loomline.llm.repair import repair_report
 from loomline.llm.secrets import document_secrets
 from loomline.llm.suffix_dedup import without_repeats
 from loomline.llm.token_files import token_digest
@@ -66,6 +69,18 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_byte_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_nodes(table(spark, sf_dir, "conversations"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(table(spark, sf_dir, "conversations"))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -88,6 +103,9 @@ _OWN: dict[str, Query] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_near_dedup": op9_near_dedup,
     "op10_quality_outliers": op10_quality_outliers,
+    "op11_byte_quality": op11_byte_quality,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_repair": op13_repair,
 }
 
 QUERIES: dict[str, Query] = {name: _shipped(query) for name, query in _OWN.items()}

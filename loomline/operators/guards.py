@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -17,18 +16,11 @@ class MissingTokenError(KeyError):
     pass
 
 
-def require_files(names: Sequence[str], where: str) -> None:
-    if not names:
+def require_files(n_files: int, where: str) -> None:
+    if not n_files:
         raise FileNotFoundError(f"no corpus files in {where}")
 
 
-def warn_hidden(names: Sequence[str]) -> None:
-    """Spark's file scans skip names starting with '_' or '.'; say so."""
-    hidden = [name for name in names if name.startswith(("_", "."))]
-    if hidden:
-        warnings.warn(f"Spark does not read these hidden files: {hidden}", stacklevel=3)
-
-
 def require_splits(sizes: Mapping[str, int]) -> None:
     for split in ("train", "val"):
         if not sizes.get(split):

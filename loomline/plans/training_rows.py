@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.operators.guards import require_splits
-from loomline.operators.ordering import assign_split, limit_splits, split_sizes
+from loomline.operators.ordering import assign_split, holdout_size, limit_splits, split_sizes
 from loomline.operators.packing import pack_examples
 from loomline.operators.tokens import encode_words, tokenizer_ids, wrap
 from loomline.sources.corpus_files import CorpusIndex
@@ -105,21 +105,23 @@ def index_table(
 
 
 def index_files(corpus: CorpusIndex, settings: Settings) -> SplitIndex:
-    """Split an indexed corpus folder; ordinals come with the scan, so neither the
-    index nor the text is shuffled to number the documents."""
+    """Split an indexed corpus folder; ordinals come with the reading, so neither the
+    index nor the text is shuffled to number the documents. Wanted documents are read
+    from the byte ranges they are in, and no others."""
     sizes = _sizes(corpus.spark, corpus.n_docs, settings)
-    documents = _split_rows(corpus.documents(), corpus.n_docs, settings)
-    rows = documents.select("split", "split_ord")
+    rows = _split_rows(corpus.positions(), corpus.n_docs, settings)
+    n = F.lit(corpus.n_docs).cast("bigint")
+    first_val = n - holdout_size(n, settings.val_fraction)
 
     def fetch_text(wanted: DataFrame | None) -> DataFrame:
-        found = documents
-        if wanted is not None:
-            wanted, n = _counted(wanted)
-            wanted = broadcast_if_within(wanted, n, WANTED_BYTES)
-            found = found.join(wanted, ["split", "split_ord"])
-        return found.select("split", "split_ord", "text")
+        if wanted is None:
+            found = corpus.documents()
+        else:
+            base = F.when(F.col("split") == "val", first_val).otherwise(F.lit(0))
+            found = corpus.fetch(wanted.select((F.col("split_ord") + base).alias("ord")))
+        return _split_rows(found, corpus.n_docs, settings).select("split", "split_ord", "text")
 
-    return SplitIndex(rows, sizes, fetch_text)
+    return SplitIndex(rows.select("split", "split_ord"), sizes, fetch_text)
 
 
 def packed_rows(
@@ -137,9 +139,6 @@ def packed_rows(
 
     def fetch_ids(wanted: DataFrame | None) -> DataFrame:
         found = index.fetch_text(wanted)
-        if wanted is not None:
-            # A scan of very many splits leaves a few wanted texts in each task.
-            found = found.hint("rebalance")
         if tokenizer_json is None:
             encoded = encode_words(found, vocab, ["split", "split_ord"], out="_ids")
             return encoded.select("split", "split_ord", wrap(F.col("_ids"), vocab).alias("ids"))

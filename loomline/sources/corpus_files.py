@@ -1,64 +1,36 @@
 """Corpus folders: text files with one document per line.
 
-The index of a folder is one row per input split (128 MB of text by default),
-not one row per document. With it, every later scan gives each document its
-dense ordinal without a shuffle: base of the split + place within the split.
+The index of a folder is one row per byte range, not one row per document, written
+once and read in tasks only: neither the files nor the ranges are listed on the
+driver. It holds how many documents begin in each range and the ordinal of the first,
+so a later pass gives each document its dense ordinal and its byte offset as it reads,
+without a join or a shuffle of text, and a few wanted documents are read from their
+ranges alone.
 """
 
 from __future__ import annotations
 
-import fnmatch
-import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.functions.text import BOM, has_ink, lossy_utf8, strip_space
-from loomline.operators.guards import require_files, warn_hidden
-from loomline.staging import broadcast_if_within, staged
+from loomline.functions.text import lossy_utf8, strip_space
+from loomline.operators.guards import require_files
+from loomline.operators.ordering import exclusive_prefix
+from loomline.sources import byte_ranges
+from loomline.staging import staged
 
-_SPLIT = ["file_name", "split_start"]
-# A split's row: a file name and some numbers.
-SPLIT_BYTES = 160
+# Documents in one block of the join of wanted ordinals with ranges.
+ORD_BLOCK = 10_000
 
 
-@dataclass(frozen=True)
-class CorpusFile:
-    name: str
-    path: str
-    size: int
-    scan_name: str  # the name as Spark's file metadata spells it, percent-encoded
-
-    @property
-    def hidden(self) -> bool:
-        return self.name.startswith(("_", "."))
-
-
-def list_corpus(spark: SparkSession, folder: str, pattern: str = "*.json") -> list[CorpusFile]:
-    """Files of the folder itself that match, in name order, empty and hidden ones too."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(folder)
-    system = root.getFileSystem(conf)
-    if not system.exists(root):
-        return []
-    found = [
-        CorpusFile(
-            s.getPath().getName(),
-            s.getPath().toString(),
-            s.getLen(),
-            s.getPath().toUri().getRawPath().rpartition("/")[2],
-        )
-        for s in system.listStatus(root)
-        if s.isFile() and fnmatch.fnmatchcase(s.getPath().getName(), pattern)
-    ]
-    return sorted(found, key=lambda f: f.name)
+def list_corpus(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
+    """file_idx, name, size of the folder's own files that match, in name order.
 
-
-def _literal_path(path: str) -> str:
-    """Escape the characters a Spark path would treat as a glob."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+    Empty files and names that begin with `_` or `.` are files like all others.
+    """
+    return byte_ranges.file_table(spark, folder, pattern)
 
 
 @dataclass(frozen=True)
@@ -67,230 +39,71 @@ class CorpusIndex:
 
     spark: SparkSession
     folder: str
-    pattern: str
-    files: list[CorpusFile]
-    splits: DataFrame  # file_idx, file_name, split_start, first_row, first_doc, ord_base, ...
-    bare_bom_rows: list[int]
-    n_splits: int
+    ranges: DataFrame  # range_no, file_idx, name, size, start, length, cost, n_docs, ord_base
+    n_files: int
     n_docs: int
 
     def summary(self) -> DataFrame:
         return self.spark.createDataFrame(
-            [(len(self.files), self.n_docs)], "files bigint, documents bigint"
+            [(self.n_files, self.n_docs)], "files bigint, documents bigint"
         )
 
-    def _lines(self) -> DataFrame:
-        if list_corpus(self.spark, self.folder, self.pattern) != self.files:
-            raise RuntimeError(f"the files of {self.folder} changed after indexing")
-        return _scan(self.spark, self.files)
+    def _read(self, ranges: DataFrame, with_text: bool) -> DataFrame:
+        return byte_ranges.documents_of(byte_ranges.dealt(ranges), self.folder, with_text)
 
-    def _split_table(self, *columns: str) -> DataFrame:
-        table = self.splits.select(*_SPLIT, *columns)
-        # One row per input split; a plain join is the way beyond the limit.
-        return broadcast_if_within(table, self.n_splits, SPLIT_BYTES)
-
-    def _bom_repair(self, line: Column) -> Column:
-        """Put back the byte order mark Spark drops from a file's first line."""
-        at_top = (F.col("row") == F.col("first_row")) & (F.col("split_start") == 0)
-        marked = at_top & (F.col("bom_bytes") > 0)
-        return F.when(marked, F.concat(F.lit(BOM), line)).otherwise(line)
+    def _every(self) -> DataFrame:
+        return self.ranges.filter("n_docs > 0").withColumn("picked", F.lit(None).cast("array<bigint>"))
 
     def documents(self) -> DataFrame:
-        """ord, file_idx, text of every document. One scan, no shuffle of text."""
-        docs = _document_rows(self._lines(), self.bare_bom_rows)
-        docs = docs.join(
-            self._split_table("file_idx", "first_row", "first_doc", "n_docs", "ord_base", "bom_bytes"),
-            _SPLIT,
-            "left",
-        ).select(
-            _checked_ord(F.col("doc") - F.col("first_doc")).alias("ord"),
-            "file_idx",
-            strip_space(self._bom_repair(lossy_utf8(F.col("line")))).alias("text"),
-        )
-        alone = self.splits.filter("bom_only").select(
-            F.col("ord_base").alias("ord"), "file_idx", F.lit(BOM).alias("text")
-        )
-        return docs.unionByName(alone)
+        """ord, file_idx, text of every document. One pass, no shuffle of text."""
+        return _texts(self._read(self._every(), True))
 
     def positions(self) -> DataFrame:
-        """ord, file_idx, byte_offset of every document; the text is never shuffled.
-
-        The running byte count runs inside one input split, never over a file.
-        """
-        sizes = self._lines().select(
-            *_SPLIT,
-            "row",
-            (F.octet_length("line") + 1).cast("bigint").alias("bytes"),
-            _is_document(self.bare_bom_rows).alias("is_doc"),
-        )
-        order = Window.partitionBy(*_SPLIT).orderBy("row")
-        before = order.rowsBetween(Window.unboundedPreceding, -1)
-        placed = sizes.withColumns(
-            {
-                "start": F.coalesce(F.sum("bytes").over(before), F.lit(0)),
-                "i": F.count(F.when(F.col("is_doc"), 1)).over(before),
-            }
-        ).filter("is_doc")
-        offset = F.col("byte_base") + F.col("start")
-        found = placed.join(
-            self._split_table("file_idx", "n_docs", "ord_base", "byte_base", "bom_bytes"),
-            _SPLIT,
-            "left",
-        ).select(
-            _checked_ord(F.col("i")).alias("ord"),
-            "file_idx",
-            F.when(offset == 0, offset).otherwise(offset + F.col("bom_bytes")).alias("byte_offset"),
-        )
-        alone = self.splits.filter("bom_only").select(
-            F.col("ord_base").alias("ord"), "file_idx", F.lit(0).cast("bigint").alias("byte_offset")
-        )
-        return found.unionByName(alone)
+        """ord, file_idx, byte_offset of every document; no text leaves the tasks."""
+        return self._read(self._every(), False).select("ord", "file_idx", "byte_offset")
 
+    def fetch(self, wanted: DataFrame) -> DataFrame:
+        """ord, file_idx, text of the documents whose ord is in wanted, each once.
 
-def _scan(spark: SparkSession, files: list[CorpusFile]) -> DataFrame:
-    """Raw lines; `row` grows along each file, as long as no shuffle came before it."""
-    paths = [_literal_path(f.path) for f in files if f.size and not f.hidden]
-    if not paths:
-        return spark.createDataFrame(
-            [], "file_name string, file_size bigint, split_start bigint, line string, row bigint"
-        )
-    return (
-        spark.read.format("text")
-        .option("lineSep", "\n")
-        .load(paths)
-        .select(
-            F.col("_metadata.file_name").alias("file_name"),
-            F.col("_metadata.file_size").alias("file_size"),
-            F.col("_metadata.file_block_start").alias("split_start"),
-            F.col("value").alias("line"),
-            F.monotonically_increasing_id().alias("row"),
+        Only the ranges that hold one are opened, and only the wanted texts leave
+        the tasks. An ordinal without a document is left out.
+        """
+        block = F.expr(f"ord_base div {ORD_BLOCK}"), F.expr(f"(ord_base + n_docs - 1) div {ORD_BLOCK}")
+        held = self.ranges.filter("n_docs > 0").withColumn("block", F.explode(F.sequence(*block)))
+        asked = wanted.select("ord").distinct().withColumn("block", F.expr(f"ord div {ORD_BLOCK}"))
+        inside = (F.col("ord") >= F.col("ord_base")) & (F.col("ord") < F.col("ord_base") + F.col("n_docs"))
+        found = held.join(asked, "block").filter(inside)
+        picked = found.groupBy("range_no").agg(
+            F.collect_list(F.col("ord") - F.col("ord_base")).alias("picked")
         )
-    )
+        # a row for each range that is read, with at most its own documents' places
+        ranges = staged(self.ranges.join(picked, "range_no"), "wanted-ranges")
+        return _texts(self._read(ranges, True))
 
 
-def _checked_ord(place: Column) -> Column:
-    """Ordinal of the document at a place in its input split.
-
-    Fails the job when files or split sizes are not those the index was made from:
-    then some document has no split in the index, or a place beyond its count.
-    """
-    changed = F.raise_error(F.lit("the corpus or its input splits changed after indexing"))
-    known = (place >= 0) & (place < F.col("n_docs"))
-    return F.when(known, F.col("ord_base") + place).otherwise(changed.cast("bigint"))
+def _texts(read: DataFrame) -> DataFrame:
+    text = strip_space(lossy_utf8(F.col("line")))
+    return read.select("ord", F.col("file_idx").cast("int").alias("file_idx"), text.alias("text"))
 
 
-def _fix_split_layout(spark: SparkSession) -> None:
-    """Keep the session's file splits from following the number of live executors.
+def index_corpus(
+    spark: SparkSession,
+    folder: str,
+    pattern: str = "*.json",
+    range_bytes: int = byte_ranges.RANGE_BYTES,
+) -> CorpusIndex:
+    """Read a corpus folder once and return its index.
 
-    Spark derives split sizes of small corpora from the cores at hand, which change
-    when executors come and go. The value set is the one now in use.
-    """
-    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
-        cores = cores or str(spark.sparkContext.defaultParallelism)
-        spark.conf.set("spark.sql.files.minPartitionNum", cores)
-
-
-def _is_document(bare_bom_rows: list[int]) -> Column:
-    inked = has_ink(lossy_utf8(F.col("line")))
-    return inked | F.col("row").isin(bare_bom_rows) if bare_bom_rows else inked
-
-
-def _document_rows(lines: DataFrame, bare_bom_rows: list[int]) -> DataFrame:
-    """Non-blank lines with `doc`, which counts only them along the scan."""
-    return lines.filter(_is_document(bare_bom_rows)).withColumn(
-        "doc", F.monotonically_increasing_id()
-    )
-
-
-def _split_stats(lines: DataFrame) -> DataFrame:
-    """One row per input split, from one scan of the text."""
-    inked = has_ink(lossy_utf8(F.col("line")))
-    return lines.groupBy(*_SPLIT).agg(
-        F.first("file_size").alias("file_size"),
-        F.sum(F.octet_length("line") + 1).alias("bytes"),
-        F.count_if(inked).alias("inked"),
-        F.min("row").alias("first_row"),
-        F.min_by(~inked, "row").alias("first_blank"),
-    )
-
-
-def index_corpus(spark: SparkSession, folder: str, pattern: str = "*.json") -> CorpusIndex:
-    """Scan a corpus folder once and return its index.
-
-    A byte order mark at a file's start, which Spark's reader drops, shows as two
-    or three bytes missing from the file's size. It is text here, so its line
-    counts as a document even when nothing else is on it.
+    A line is a document when something is left of it after a Unicode strip. A byte
+    order mark is text, so a line with nothing else on it is a document too.
     """
+    place = byte_ranges.qualified(spark, folder)
     files = list_corpus(spark, folder, pattern)
-    require_files([f.name for f in files], folder)
-    warn_hidden([f.name for f in files])
-    _fix_split_layout(spark)
-
-    stats = staged(_split_stats(_scan(spark, files)), "corpus-splits")
-    marked = stats.groupBy("file_name").agg(
-        (F.first("file_size") - F.sum("bytes") >= 2).alias("has_bom")
-    )
-    # one row for each file, and each split keeps whether its file has a mark
-    stats = staged(stats.join(marked, "file_name"), "corpus-marks")
-    has_bom = F.col("has_bom")
-    bare_mark = has_bom & (F.col("split_start") == 0) & F.col("first_blank")
-    # files whose first line is nothing but a mark
-    bare_bom_rows = [r.first_row for r in stats.filter(bare_mark).select("first_row").collect()]
-
-    listing = spark.createDataFrame(
-        [(i, f.scan_name, f.size) for i, f in enumerate(files) if not f.hidden],
-        "file_idx int, file_name string, listed_size bigint",
-    )
-    # A file that holds nothing but a mark gives the reader no line at all.
-    alone = (
-        listing.filter("listed_size = 3")
-        .join(stats, "file_name", "left_anti")
-        .select(
-            "file_name",
-            F.lit(0).cast("bigint").alias("split_start"),
-            F.lit(0).cast("bigint").alias("bytes"),
-            F.lit(1).cast("bigint").alias("n_docs"),
-            F.lit(True).alias("bom_only"),
-        )
-    )
-    known = stats.withColumns(
-        {"n_docs": F.col("inked") + bare_mark.cast("bigint"), "bom_only": F.lit(False)}
-    ).unionByName(alone, allowMissingColumns=True)
-    # One row per input split: small enough for a window over each file's splits
-    # and one over all of them. An id's upper bits are the task it was made in, so
-    # a task's first document id is known, and the next split it read follows on.
-    until = (Window.unboundedPreceding, -1)
-    in_file = Window.partitionBy("file_name").orderBy("split_start").rowsBetween(*until)
-    overall = Window.orderBy("file_idx", "split_start").rowsBetween(*until)
-    task = F.shiftright("first_row", 33)
-    in_task = Window.partitionBy(task).orderBy("first_row").rowsBetween(*until)
-
-    def total(column: str, window) -> Column:
-        return F.coalesce(F.sum(column).over(window), F.lit(0))
-
-    splits = staged(
-        known.join(listing, "file_name").select(
-            "file_idx",
-            *_SPLIT,
-            "first_row",
-            "n_docs",
-            "bom_only",
-            (F.shiftleft(task, 33) + total("n_docs", in_task)).alias("first_doc"),
-            total("bytes", in_file).alias("byte_base"),
-            total("n_docs", overall).alias("ord_base"),
-            F.when(has_bom | F.col("bom_only"), 3).otherwise(0).alias("bom_bytes"),
-        ),
-        "corpus-index",
-    )
-    totals = splits.agg(F.count("*").alias("splits"), F.sum("n_docs").alias("docs")).first()
-    return CorpusIndex(
-        spark,
-        folder,
-        pattern,
-        files,
-        splits,
-        bare_bom_rows,
-        totals.splits,
-        totals.docs or 0,
-    )
+    n_files = files.count()
+    require_files(n_files, folder)
+    ranges = staged(byte_ranges.ranges_of(files, range_bytes), "corpus-ranges")
+    counts = byte_ranges.counted(byte_ranges.dealt(ranges), place)
+    known = exclusive_prefix(ranges.join(counts, "range_no"), "range_no", "n_docs", "ord_base")
+    known = staged(known, "corpus-index")
+    n_docs = known.agg(F.sum("n_docs")).first()[0] or 0
+    return CorpusIndex(spark, place, known, n_files, n_docs)

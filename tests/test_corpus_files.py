@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import io
+import os
 import random
 
 import pytest
 
 from loomline.operators.guards import EmptyCorpusError
 from loomline.plans.training_rows import Settings, index_files
+from loomline.sources.byte_ranges import RANGE_BYTES
 from loomline.sources.corpus_files import index_corpus, list_corpus
 
 
@@ -17,8 +19,6 @@ def plain_reading(files: dict[str, bytes]):
     names = sorted(files)
     found = []
     for number, name in enumerate(names):
-        if name.startswith(("_", ".")):
-            continue
         at = 0
         for line in io.BytesIO(files[name]):
             text = line.decode("utf-8", errors="replace").strip()
@@ -28,8 +28,8 @@ def plain_reading(files: dict[str, bytes]):
     return [(i, *row) for i, row in enumerate(found)]
 
 
-def assert_same(spark, folder, files, pattern="*.json"):
-    index = index_corpus(spark, folder, pattern)
+def assert_same(spark, folder, files, pattern="*.json", range_bytes=RANGE_BYTES):
+    index = index_corpus(spark, folder, pattern, range_bytes)
     want = plain_reading(files)
     assert index.n_docs == len(want)
     docs = {r.ord: (r.file_idx, r.text) for r in index.documents().collect()}
@@ -69,54 +69,76 @@ def test_many_splits_and_packed_small_files(spark, corpus):
     files = {f"f{i:02}.json": lines(rng.randint(0, 40)) for i in range(12)}
     files["big.json"] = lines(3000)
     files["marked.json"] = b"\xef\xbb\xbf\n" + lines(1500)
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    cost = spark.conf.get("spark.sql.files.openCostInBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
-    try:
-        index = assert_same(spark, corpus(files), files)
-        assert index.n_splits > len(files)
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-        spark.conf.set("spark.sql.files.openCostInBytes", cost)
-
-
-def test_other_split_sizes_fail_the_scan(spark, corpus):
-    folder = corpus({"a.json": b"word\n" * 4000, "b.json": b"word\n" * 900})
-    index = index_corpus(spark, folder)
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
-    try:
-        for table in (index.documents(), index.positions()):
-            with pytest.raises(Exception, match="changed after indexing"):
-                table.collect()
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert index.documents().count() == 4900
-
-
-def test_a_changed_file_is_refused(spark, corpus):
+    folder = corpus(files)
+    for range_bytes in (1000, 20_000, RANGE_BYTES):
+        assert_same(spark, folder, files, range_bytes=range_bytes)
+
+
+def test_ranges_of_a_few_bytes(spark, corpus):
+    files = {
+        "a.json": b"\xef\xbb\xbfone\n\ntwo \xe2\x82\xac\nthree",
+        "b.json": b"\n\n",
+        "c.json": "no end é".encode(),
+        "d.json": b"x\n" * 20 + b"a long line " * 9 + b"\n",
+    }
+    folder = corpus(files)
+    for range_bytes in (1, 2, 7, 64):
+        assert_same(spark, folder, files, range_bytes=range_bytes)
+
+
+@pytest.mark.parametrize("change", [b"word\n" * 41, b"word\n" * 39, b"wor\n" * 50])
+def test_a_changed_file_is_refused(spark, corpus, change):
     folder = corpus({"a.json": b"word\n" * 40})
     index = index_corpus(spark, folder)
-    with open(f"{folder}/a.json", "ab") as f:
-        f.write(b"more\n")
-    with pytest.raises(RuntimeError, match="changed after indexing"):
-        index.documents()
+    with open(f"{folder}/a.json", "wb") as f:
+        f.write(change)
+    for table in (index.documents(), index.positions()):
+        with pytest.raises(Exception, match="changed after indexing"):
+            table.collect()
 
 
-def test_hidden_files_are_listed_and_warned_about(spark, corpus):
+def test_hidden_files_are_read(spark, corpus):
     files = {"_h.json": b"one\n", ".d.json": b"two\n", "a.json": b"three\n", "n.txt": b"no\n"}
     folder = corpus(files)
-    assert [f.name for f in list_corpus(spark, folder)] == [".d.json", "_h.json", "a.json"]
-    with pytest.warns(UserWarning, match="_h.json"):
-        index = index_corpus(spark, folder)
-    assert [r.text for r in index.documents().collect()] == ["three"]
+    assert names(spark, folder) == [".d.json", "_h.json", "a.json"]
+    del files["n.txt"]
+    assert_same(spark, folder, files)
+
+
+def names(spark, folder):
+    return [r.name for r in list_corpus(spark, folder).orderBy("file_idx").collect()]
 
 
 def test_name_order_is_by_code_point(spark, corpus):
     folder = corpus({n: b"x\n" for n in ("a.json", "B.json", "é.json", "_.json")})
-    names = [f.name for f in list_corpus(spark, folder)]
-    assert names == ["B.json", "_.json", "a.json", "é.json"]
+    assert names(spark, folder) == ["B.json", "_.json", "a.json", "é.json"]
+
+
+def test_very_many_empty_files(spark, corpus):
+    folder = corpus({"m.json": b"only\nlines\n"})
+    for k in range(100_000):
+        open(f"{folder}/e{k}.json", "wb").close()
+    index = index_corpus(spark, folder)
+    assert (index.n_files, index.n_docs) == (100_001, 2)
+    assert index.ranges.count() == 1
+    assert [r.text for r in index.documents().orderBy("ord").collect()] == ["only", "lines"]
+    assert index.documents().first().file_idx == 100_000
+
+
+def test_wanted_documents_open_their_ranges_only(spark, corpus):
+    files = {f"f{i}.json": b"".join(b"%d %d\n" % (i, k) for k in range(2000)) for i in range(4)}
+    folder = corpus(files)
+    index = index_corpus(spark, folder, range_bytes=500)
+    want = {r[0]: r[3] for r in plain_reading(files)}
+    wanted = [0, 1, 1, 3999, 4000, 7999, 123_456]
+    # files without a wanted document may be gone
+    os.remove(f"{folder}/f0.json")
+    os.remove(f"{folder}/f3.json")
+    asked = spark.createDataFrame([(k,) for k in wanted[3:5]], "ord bigint")
+    assert {r.ord: r.text for r in index.fetch(asked).collect()} == {k: want[k] for k in (3999, 4000)}
+    (open(f"{folder}/f0.json", "wb").write(files["f0.json"]), open(f"{folder}/f3.json", "wb").write(files["f3.json"]))
+    asked = spark.createDataFrame([(k,) for k in wanted], "ord bigint")
+    assert {r.ord: r.text for r in index.fetch(asked).collect()} == {k: want[k] for k in wanted if k in want}
 
 
 def test_guards(spark, corpus):
@@ -131,12 +153,6 @@ def test_guards(spark, corpus):
         index_files(one, Settings(val_fraction=0))
 
 
-def test_only_hidden_files(spark, corpus):
-    with pytest.warns(UserWarning):
-        index = index_corpus(spark, corpus({"_a.json": b"x\n"}))
-    assert index.summary().first() == (1, 0) and index.positions().count() == 0
-
-
 def test_empty_corpus(spark, corpus):
     index = index_corpus(spark, corpus({"a.json": b"", "b.json": b"\n \n"}))
     assert index.n_docs == 0 and index.documents().count() == 0

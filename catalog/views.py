@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from loomline.functions.text import words
 from loomline.operators.chat import ERROR_PREFIX
 from loomline.operators.ordering import mark_split, rank_rows
-from loomline.operators.tokens import VOCABULARY_BYTES
 from loomline.sources.tables import lines_from_table, read_table, slot_positions, written_slots
-from loomline.sources.vocabulary import BOS, EOS, Vocabulary, measured, vocabulary
+from loomline.sources.vocabulary import BOS, EOS, Vocabulary, vocabulary
 from loomline.staging import staged
 
 UNK = "[UNK]"
 RUNS = 4
+# Words of the tokenizer file; the rest is unknown to it, as to any file of fixed size.
+TOKENIZER_WORDS = 200_000
 VAL_FRACTION = 0.05
 # Code points of blanks a strip must remove, one of each kind.
 BLANKS = (0x09, 0x0A, 0x0D, 0x1C, 0x1F, 0x20, 0x85, 0xA0, 0x1680, 0x2003, 0x2028, 0x202F, 0x3000)
@@ -60,14 +61,13 @@ def word_vocabulary(docs: DataFrame, slots: DataFrame) -> DataFrame:
 def staged_vocabulary(docs: DataFrame, slots: DataFrame | None = None) -> Vocabulary:
     slots = written_slots(docs) if slots is None else slots
     table = staged(word_vocabulary(docs, slots), "vocabulary")
-    return vocabulary(table, measured(table), UNK)
+    return vocabulary(table, UNK)
 
 
 def word_tokenizer(vocab: Vocabulary) -> str:
-    """A tokenizer file for the word vocabulary, which must be small enough for one."""
-    if vocab.size_bytes > VOCABULARY_BYTES:
-        raise ValueError("the vocabulary is too large for a tokenizer file")
-    entries = {r.token: r.id for r in vocab.table.collect()}
+    """A tokenizer file of the specials and the TOKENIZER_WORDS commonest words."""
+    known = vocab.table.filter(F.col("id") < TOKENIZER_WORDS + 3)
+    entries = {r.token: r.id for r in known.collect()}
     flags = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False}
     specials = [
         {"id": entries[t], "content": t, "special": True, **flags} for t in (UNK, BOS, EOS)

@@ -10,87 +10,19 @@ from pyspark.sql import functions as F
 
 from loomline.functions.text import words
 from loomline.sources.vocabulary import Vocabulary
-
-# A vocabulary within so many bytes goes to every worker. Of a larger one, whose
-# ids are by falling frequency, the tokens with the first HOT_TOKENS ids do.
-VOCABULARY_BYTES = 64 << 20
-HOT_TOKENS = 500_000
-
-
-def _sent(vocab: Vocabulary) -> list[tuple[str, int]]:
-    """The entries of a vocabulary that was measured as small."""
-    return [(r.token, r.id) for r in vocab.table.select("token", "id").collect()]
-
-
-def _array_look_up(
-    spark: SparkSession, lists: Column, known: list, values: list, kinds: tuple, missing, returns: str
-) -> Column:
-    """Each element of an array column replaced by its value, whole arrays in place.
-
-    Runs on Arrow batches; no row is exploded and nothing is shuffled. Everything
-    a task runs is local to this function: executors need no package.
-    """
-    shared = spark.sparkContext.broadcast((known, values))
-
-    @F.arrow_udf(returns)
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        import numpy as np
-        import pyarrow.compute as pc
-
-        keys, found = (pa.array(v, k) for v, k in zip(shared.value, kinds))
-        for batch in batches:
-            sizes = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
-            flat = found.take(pc.index_in(batch.flatten().cast(kinds[0]), value_set=keys))
-            if missing is not None:
-                flat = pc.fill_null(flat, missing)
-            mask = batch.is_null() if batch.null_count else None
-            yield pa.ListArray.from_arrays(offsets, flat, mask=mask)
-
-    return run(lists)
-
-
-def _look_up(placed: DataFrame, vocab: Vocabulary, on: str) -> DataFrame:
-    """placed (with _pos) left-joined with a large vocabulary on token or id.
-
-    Frequent tokens are looked up by broadcast; only rows of the others, none of
-    which is frequent, are shuffled.
-    """
-    table = vocab.table.select("token", "id")
-    other = "id" if on == "token" else "token"
-    hot = placed.join(F.broadcast(table.filter(F.col("id") < HOT_TOKENS)), on, "left")
-    cold = hot.filter(F.col(other).isNull()).drop(other)
-    rest = cold.join(table.filter(F.col("id") >= HOT_TOKENS).hint("shuffle_merge"), on, "left")
-    return hot.filter(F.col(other).isNotNull()).unionByName(rest)
+from loomline.sources.word_files import ids_of, words_of
 
 
 def encode_words(
     df: DataFrame, vocab: Vocabulary, keys: Sequence[str], text: str = "text", out: str = "ids"
 ) -> DataFrame:
-    """Word ids from the vocabulary table; the whole text is encoded.
+    """Word ids from the vocabulary, whatever its size; the whole text is encoded.
 
-    With a large vocabulary each word is a row for the time of the join; the
-    group gathered again is one document, told by keys.
+    Words are looked up in place, in files that workers map into memory: no row is
+    exploded and nothing is shuffled.
     """
-    if vocab.size_bytes <= VOCABULARY_BYTES:
-        entries = _sent(vocab)
-        ids = _array_look_up(
-            df.sparkSession,
-            words(F.col(text)),
-            [token for token, _ in entries],
-            [i for _, i in entries],
-            (pa.string(), pa.int32()),
-            vocab.unknown,
-            "array<int>",
-        )
-        return df.select(*keys, ids.alias(out))
-    tokens = df.select(*keys, F.posexplode(words(F.col(text))).alias("_pos", "token"))
-    placed = _look_up(tokens, vocab, "token").select(
-        *keys, F.struct("_pos", F.coalesce("id", F.lit(vocab.unknown)).alias("id")).alias("_t")
-    )
-    return placed.groupBy(*keys).agg(
-        F.transform(F.array_sort(F.collect_list("_t")), lambda t: t["id"]).alias(out)
-    )
+    ids = ids_of(words(F.col(text)), vocab.by_word, vocab.unknown)
+    return df.select(*keys, ids.alias(out))
 
 
 def _tokenizer_column(
@@ -166,26 +98,9 @@ def tokenizer_text(
 def decode_ids(
     df: DataFrame, vocab: Vocabulary, keys: Sequence[str], ids: str = "ids", out: str = "text"
 ) -> DataFrame:
-    """Ids back to space-joined tokens; special tokens are left out."""
-    if vocab.size_bytes <= VOCABULARY_BYTES:
-        entries = [(token, i) for token, i in _sent(vocab) if i not in vocab.specials]
-        tokens = _array_look_up(
-            df.sparkSession,
-            F.col(ids),
-            [i for _, i in entries],
-            [token for token, _ in entries],
-            (pa.int64(), pa.string()),
-            None,
-            "array<string>",
-        )
-        return df.select(*keys, F.coalesce(F.array_join(tokens, " "), F.lit("")).alias(out))
-    placed = df.select(*keys, F.posexplode_outer(ids).alias("_pos", "id"))
-    token = F.when(~F.col("id").isin(vocab.specials), F.col("token"))
-    found = _look_up(placed, vocab, "id").select(
-        *keys, F.struct("_pos", token.alias("token")).alias("_t")
-    )
-    ordered = F.transform(F.array_sort(F.collect_list("_t")), lambda t: t["token"])
-    return found.groupBy(*keys).agg(F.array_join(ordered, " ").alias(out))
+    """Ids back to space-joined tokens; special tokens and unknown ids are left out."""
+    tokens = words_of(F.col(ids), vocab.by_id, vocab.specials)
+    return df.select(*keys, F.coalesce(F.array_join(tokens, " "), F.lit("")).alias(out))
 
 
 def wrap(ids: Column, vocab: Vocabulary) -> Column:

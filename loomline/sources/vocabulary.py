@@ -4,21 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.operators.guards import require_specials
+from loomline.sources.word_files import LookUp, id_look_up, word_look_up
 
 BOS, EOS = "[BOS]", "[EOS]"
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """token, id table, its measured size and the ids of its special tokens."""
+    """token, id table and the ids of its special tokens.
+
+    Its look-up files are written when they are first asked for.
+    """
 
     table: DataFrame
-    size_bytes: int
     bos: int
     eos: int
     unknown: int | None = None
@@ -27,6 +31,14 @@ class Vocabulary:
     def specials(self) -> list[int]:
         return [i for i in (self.unknown, self.bos, self.eos) if i is not None]
 
+    @cached_property
+    def by_word(self) -> LookUp:
+        return word_look_up(self.table)
+
+    @cached_property
+    def by_id(self) -> LookUp:
+        return id_look_up(self.table)
+
 
 def special_ids(table: DataFrame, names: Sequence[str] = (BOS, EOS)) -> dict[str, int]:
     """Ids of the named tokens; a clear error when one has none."""
@@ -35,15 +47,10 @@ def special_ids(table: DataFrame, names: Sequence[str] = (BOS, EOS)) -> dict[str
     return found
 
 
-def measured(table: DataFrame) -> int:
-    """Bytes the tokens and ids of a table take, about."""
-    return table.agg(F.coalesce(F.sum(F.octet_length("token") + 16), F.lit(0))).first()[0]
-
-
-def vocabulary(table: DataFrame, size_bytes: int, unknown: str | None = "[UNK]") -> Vocabulary:
+def vocabulary(table: DataFrame, unknown: str | None = "[UNK]") -> Vocabulary:
     names = [BOS, EOS] + ([unknown] if unknown else [])
     ids = special_ids(table, names)
-    return Vocabulary(table, size_bytes, ids[BOS], ids[EOS], ids[unknown] if unknown else None)
+    return Vocabulary(table, ids[BOS], ids[EOS], ids[unknown] if unknown else None)
 
 
 def read_tokenizer(spark: SparkSession, path: str) -> str:
@@ -69,7 +76,6 @@ def tokenizer_vocabulary(
     table = spark.createDataFrame(entries, "token string, id int")
     return Vocabulary(
         table,
-        sum(len(token.encode()) + 16 for token, _ in entries),
         ids[BOS],
         ids[EOS],
         tokenizer.token_to_id(unknown) if unknown else None,

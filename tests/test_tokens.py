@@ -17,6 +17,7 @@ from loomline.operators.tokens import (
     tokenizer_text,
     wrap,
 )
+from loomline.sources import word_files
 from loomline.sources.vocabulary import (
     Vocabulary,
     read_tokenizer,
@@ -55,7 +56,7 @@ def tokenizer_json(template: bool = False) -> str:
 
 @pytest.fixture
 def vocab(spark) -> Vocabulary:
-    return vocabulary(spark.createDataFrame(list(WORDS.items()), "token string, id int"), len(WORDS))
+    return vocabulary(spark.createDataFrame(list(WORDS.items()), "token string, id int"))
 
 
 def texts(n=200):
@@ -68,14 +69,47 @@ def plain_ids(text):
     return [WORDS.get(w, 0) for w in text.split()]
 
 
-@pytest.mark.parametrize("rows", [len(WORDS), 10**9])
-def test_encode_with_and_without_broadcast(spark, vocab, rows):
-    sized = Vocabulary(vocab.table, rows, vocab.bos, vocab.eos, vocab.unknown)
+@pytest.mark.parametrize("part_bytes", [word_files.PART_BYTES, 40])
+def test_words_to_ids(spark, vocab, monkeypatch, part_bytes):
+    monkeypatch.setattr(word_files, "PART_BYTES", part_bytes)
+    rows = [*enumerate(texts()), (-1, None)]
+    df = spark.createDataFrame(rows, "i int, text string")
+    got = {r.i: r.ids for r in encode_words(df, vocab, ["i"]).collect()}
+    assert got == {i: None if t is None else plain_ids(t) for i, t in rows}
+    assert len(vocab.by_word.parts) > (part_bytes < 100)
+
+
+def test_words_with_one_hash_are_told_apart(spark, monkeypatch):
+    def same_for_all():
+        return lambda: lambda array: __import__("numpy").full(len(array), 5)
+
+    monkeypatch.setattr(word_files, "_hasher", same_for_all)
+    known = vocabulary(spark.createDataFrame(list(WORDS.items()), "token string, id int"))
     df = spark.createDataFrame(list(enumerate(texts())), "i int, text string")
-    got = {r.i: r.ids for r in encode_words(df, sized, ["i"]).collect()}
+    got = {r.i: r.ids for r in encode_words(df, known, ["i"]).collect()}
     assert got == {i: plain_ids(t) for i, t in enumerate(texts())}
 
 
+def test_unknown_words_without_an_id(spark, vocab):
+    bare = Vocabulary(vocab.table.filter("id > 0"), vocab.bos, vocab.eos)
+    df = spark.createDataFrame([("the dog \u2003 cat" + "x" * 5000,)], "text string")
+    assert encode_words(df, bare, []).first().ids == [3, None, None]
+
+
+def test_many_words_both_ways(spark):
+    rng = random.Random(4)
+    pool = sorted({"".join(rng.choices("abcdeé漢😀", k=rng.randint(1, 9))) for _ in range(20_000)})
+    entries = [*list(WORDS.items())[:3], *((w, 10 * k + 7) for k, w in enumerate(pool))]
+    known = vocabulary(spark.createDataFrame(entries, "token string, id int"))
+    ids = dict(entries)
+    rows = [(i, " ".join(rng.choices(pool, k=rng.randint(1, 400)))) for i in range(100)]
+    df = spark.createDataFrame(rows, "i int, text string").repartition(5)
+    encoded = encode_words(df, known, ["i"])
+    assert {r.i: r.ids for r in encoded.collect()} == {i: [ids[w] for w in t.split()] for i, t in rows}
+    assert {r.i: r.text for r in decode_ids(encoded, known, ["i"]).collect()} == dict(rows)
+    assert known.by_word is known.by_word
+
+
 def test_tokenizer_column_equals_word_join(spark):
     rows = [*enumerate(texts()), (-1, None), (-2, "")]
     df = spark.createDataFrame(rows, "i int, text string")
@@ -118,13 +152,13 @@ def test_subword_tokenizer_equals_the_library(spark):
         assert r.whole == tokenizer.decode([known.bos, *r.ids, known.eos], skip_special_tokens=False)
 
 
-@pytest.mark.parametrize("rows", [len(WORDS), 10**9])
-def test_decode_skips_specials_and_keeps_order(spark, vocab, rows):
-    vocab = Vocabulary(vocab.table, rows, vocab.bos, vocab.eos, vocab.unknown)
-    rows = [(0, [1, 3, 4, 2]), (1, [0, 5, 5, 6]), (2, [1, 2]), (3, []), (4, None)]
+@pytest.mark.parametrize("part_bytes", [word_files.PART_BYTES, 40])
+def test_decode_skips_specials_and_keeps_order(spark, vocab, monkeypatch, part_bytes):
+    monkeypatch.setattr(word_files, "PART_BYTES", part_bytes)
+    rows = [(0, [1, 3, 4, 2]), (1, [0, 5, 5, 6]), (2, [1, 2]), (3, []), (4, None), (5, [99, 3, None])]
     df = spark.createDataFrame(rows, "i int, ids array<int>")
     got = {r.i: r.text for r in decode_ids(df, vocab, ["i"]).collect()}
-    assert got == {0: "the cat", 1: "sat sat é", 2: "", 3: "", 4: ""}
+    assert got == {0: "the cat", 1: "sat sat é", 2: "", 3: "", 4: "", 5: "the"}
 
 
 def test_wrap_and_context_window(spark, vocab):
@@ -147,7 +181,6 @@ def test_missing_specials_and_files(spark, vocab, tmp_path):
     path.write_text(tokenizer_json(), encoding="utf-8")
     known = tokenizer_vocabulary(spark, read_tokenizer(spark, str(path)), "[UNK]")
     assert (known.bos, known.eos, known.unknown) == (1, 2, 0)
-    assert known.size_bytes == sum(len(w.encode()) + 16 for w in WORDS)
     assert {r.token: r.id for r in known.table.collect()} == WORDS
     broken = json.loads(tokenizer_json())
     del broken["model"]["vocab"]["[BOS]"]

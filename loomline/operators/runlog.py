@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from loomline.functions.schedule import learning_rate
 from loomline.functions.times import seconds_between
 
 _INF = float("inf")
+_ATTEMPT = "_attempt"
 
 
 def eval_steps(df: DataFrame, eval_every: int = 200) -> DataFrame:
@@ -91,8 +94,55 @@ def eval_log(
     )
 
 
-def append_log(log: DataFrame, path: str) -> None:
-    log.write.mode("append").parquet(path)
+def append_log(log: DataFrame, path: str, batch: str) -> None:
+    """Append a log's rows under a batch name, such as a run and its part, once only.
+
+    Rows are written first, with a mark of this attempt; then the manifest gets one row
+    that names the attempt. Rows without a manifest row are never read, so an append that
+    died may be repeated, and a batch that is in the manifest is not written again.
+    """
+    spark = log.sparkSession
+    if not _committed(spark, path).filter(F.col("batch") == batch).isEmpty():
+        return
+    attempt = uuid.uuid4().hex
+    _write_rows(log, path, attempt)
+    _commit(spark, path, batch, attempt)
+
+
+def _write_rows(log: DataFrame, path: str, attempt: str) -> None:
+    log.withColumn(_ATTEMPT, F.lit(attempt)).write.mode("append").parquet(f"{path}/rows")
+
+
+def _commit(spark: SparkSession, path: str, batch: str, attempt: str) -> None:
+    entry = spark.createDataFrame([(batch, attempt)], "batch string, attempt string")
+    entry = entry.withColumn("at", F.current_timestamp())
+    entry.coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def _committed(spark: SparkSession, path: str) -> DataFrame:
+    """batch, attempt of each batch in the manifest: its first attempt, should two
+    writers have appended it at the same time."""
+    schema = "batch string, attempt string, at timestamp"
+    if not _exists(spark, f"{path}/manifest"):
+        return spark.createDataFrame([], schema).drop("at")
+    entries = spark.read.schema(schema).parquet(f"{path}/manifest")
+    first = F.min(F.struct("at", "attempt")).alias("first")
+    return entries.groupBy("batch").agg(first).select("batch", "first.attempt")
+
+
+def read_log(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of every batch in the manifest of a log that append_log has written."""
+    if not _exists(spark, f"{path}/manifest"):
+        return spark.createDataFrame([], schema)
+    wide = StructType([*schema.fields, StructField(_ATTEMPT, StringType())])
+    rows = spark.read.schema(wide).parquet(f"{path}/rows")
+    known = _committed(spark, path).select(F.col("attempt").alias(_ATTEMPT))
+    return rows.join(known, _ATTEMPT, "left_semi").select(*schema.names)
 
 
 def run_summary(log: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

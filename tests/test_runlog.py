@@ -74,9 +74,9 @@ def test_eval_log_sink_and_summary(spark, tmp_path):
     rows, df = losses(spark)
     log = runlog.eval_log(df, 200, max_steps=600)
     path = str(tmp_path / "log")
-    runlog.append_log(log.filter("step < 400"), path)
-    runlog.append_log(log.filter("step >= 400"), path)
-    got = sorted(spark.read.parquet(path).collect(), key=lambda r: r.step)
+    runlog.append_log(log.filter("step < 400"), path, "run/0")
+    runlog.append_log(log.filter("step >= 400"), path, "run/1")
+    got = sorted(runlog.read_log(spark, path, log.schema).collect(), key=lambda r: r.step)
     assert [r.step for r in got] == [0, 200, 400, 600]
     best = math.inf
     for r in got:
@@ -103,3 +103,31 @@ def test_runs_are_told_apart(spark):
     }
     best = {r.run_id: r.best_val for r in runlog.run_summary(log, ["run_id"]).collect()}
     assert best == {1: 6.0, 2: 11.0}
+
+
+def test_a_repeated_append_adds_nothing(spark, tmp_path, monkeypatch):
+    _, df = losses(spark)
+    log = runlog.eval_log(df, 200, max_steps=600)
+    path = str(tmp_path / "log")
+    assert runlog.read_log(spark, path, log.schema).count() == 0
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        # the job dies between its rows and its manifest
+        m.setattr(runlog, "_commit", killed)
+        with pytest.raises(KeyboardInterrupt):
+            runlog.append_log(log, path, "run/0")
+    assert spark.read.parquet(f"{path}/rows").count() == 4
+    assert runlog.read_log(spark, path, log.schema).count() == 0
+    for _ in range(3):
+        runlog.append_log(log, path, "run/0")
+    got = runlog.read_log(spark, path, log.schema)
+    assert got.columns == log.columns and sorted(r.step for r in got.collect()) == [0, 200, 400, 600]
+    # two writers of one batch at the same time: the first in the manifest counts
+    runlog._write_rows(log, path, "other")
+    runlog._commit(spark, path, "run/0", "other")
+    assert got.count() == 4
+    runlog.append_log(log, path, "run/1")
+    assert runlog.read_log(spark, path, log.schema).count() == 8

@@ -9,7 +9,7 @@ from catalog.spark_queries import (
     PART_TURNS,
     SYSTEM_TEXT,
 )
-from catalog.views import BLANKS
+from catalog.views import BLANKS, TOKENIZER_WORDS
 from loomline.functions.text import SPACE_CLASS
 from loomline.operators.chat import ERROR_PREFIX, GREETINGS
 
@@ -71,12 +71,18 @@ wrapped AS (
   SELECT doc_id, line_no, [1] || ids || [2] AS ids FROM encoded)"""
 
 
-DECODED = f"""WITH {TOKENS}
+def decoded(end: int = 2**31) -> str:
+    return f"""WITH {TOKENS}
   SELECT doc_id, line_no,
-         coalesce(string_agg(vocab.token, ' ' ORDER BY pos) FILTER (vocab.id > 2), '') AS text
+         coalesce(string_agg(vocab.token, ' ' ORDER BY pos)
+                  FILTER (vocab.id > 2 AND vocab.id < {end}), '') AS text
   FROM words LEFT JOIN vocab USING (token) GROUP BY doc_id, line_no"""
 
 
+def known_to_file(ids: str) -> str:
+    return f"list_transform({ids}, lambda i: CASE WHEN i < {TOKENIZER_WORDS + 3} THEN i ELSE 0 END)"
+
+
 def draws(last: int) -> str:
     return f"""
 draws AS (
@@ -224,6 +230,10 @@ ORACLE = {
         SELECT (SELECT count(*) FROM documents) AS files, count(*) AS documents FROM lines""",
     "corpus_files": f"""WITH {LINES}
         SELECT text, count(*) AS copies FROM lines GROUP BY text""",
+    "corpus_hidden": f"""WITH {LINES}
+        SELECT text, count(*) AS copies, count(*) AS places FROM lines GROUP BY text""",
+    "corpus_first_batch": f"""WITH {PACKED}
+        SELECT split, example, {joined('ids')} AS ids FROM packed WHERE example < 64""",
     "corpus_positions": f"""WITH {LINES}
         SELECT count(*) AS documents, (count(*) * (count(*) - 1) // 2)::BIGINT AS ord_sum,
                count(*) AS places FROM lines""",
@@ -242,9 +252,9 @@ ORACLE = {
     "vocab_size": f"WITH {VOCAB} SELECT count(*) AS vocab_size FROM vocab",
     "encode_docs": f"WITH {TOKENS} SELECT doc_id, line_no, {joined('ids')} AS ids FROM encoded",
     "encode_docs_tokenizer": f"""WITH {TOKENS}
-        SELECT doc_id, line_no, {joined('ids')} AS ids FROM encoded""",
-    "decode_docs": DECODED,
-    "decode_docs_tokenizer": DECODED,
+        SELECT doc_id, line_no, {joined(known_to_file('ids'))} AS ids FROM encoded""",
+    "decode_docs": decoded(),
+    "decode_docs_tokenizer": decoded(TOKENIZER_WORDS + 3),
     "wrapped_docs": f"WITH {TOKENS} SELECT doc_id, line_no, {joined('ids')} AS ids FROM wrapped",
     "context_window": f"""WITH {TOKENS}
         SELECT doc_id, line_no, {joined('ids[greatest(len(ids) - 127, 1):len(ids)]')} AS ids

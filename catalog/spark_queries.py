@@ -20,10 +20,10 @@ from loomline.operators.tokens import (
     tokenizer_text,
     wrap,
 )
-from loomline.plans.training_rows import Settings, index_table, packed_rows
+from loomline.plans.training_rows import Settings, index_files, index_table, packed_rows
 from loomline.sources.corpus_files import index_corpus
 from loomline.sources.tables import line_slots, lines_from_table, slot_positions, written_slots
-from loomline.staging import new_folder
+from loomline.staging import new_folder, staged
 
 LINE = ["doc_id", "line_no"]
 RUN = ["run_id"]
@@ -59,6 +59,43 @@ def corpus_files(spark: SparkSession, sf: str) -> DataFrame:
     return lines.groupBy("text").agg(F.count("*").alias("copies"))
 
 
+def _hidden_corpus(spark: SparkSession, sf: str) -> str:
+    """The documents as text files, every second one under a name that Spark's own
+    scans skip."""
+    folder = new_folder(spark, "corpus")
+    views.documents(spark, sf).select("text").repartition(6).write.text(folder)
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(context._jsc.hadoopConfiguration())
+    parts = sorted(s.getPath().getName() for s in system.listStatus(path(folder)))
+    for k, name in enumerate(n for n in parts if n.startswith("part-")):
+        if k % 2:
+            system.rename(path(folder, name), path(folder, f"{'_' if k % 4 == 1 else '.'}{name}"))
+    return folder
+
+
+def corpus_hidden(spark: SparkSession, sf: str) -> DataFrame:
+    """A corpus folder with hidden files: all documents, and the places they start at."""
+    index = index_corpus(spark, _hidden_corpus(spark, sf), "*.txt")
+    placed = index.documents().join(index.positions().drop("file_idx"), "ord")
+    return placed.groupBy("text").agg(
+        F.count("*").alias("copies"), F.count_distinct("file_idx", "byte_offset").alias("places")
+    )
+
+
+def corpus_first_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """The first batch of each split, its documents read from a corpus folder by seeking."""
+    docs = views.documents(spark, sf)
+    folder = new_folder(spark, "corpus")
+    docs.orderBy("doc_id").select("text").write.text(folder)
+    settings = Settings(val_fraction=views.VAL_FRACTION)
+    index = index_files(index_corpus(spark, folder, "*.txt"), settings)
+    splits = F.explode(F.array(F.lit("train"), F.lit("val"))).alias("split")
+    examples = spark.range(64).select(splits, F.col("id").alias("example"))
+    packed = packed_rows(index, examples, views.staged_vocabulary(docs), None, settings)
+    return packed.select("split", "example", joined("ids").alias("ids"))
+
+
 def corpus_positions(spark: SparkSession, sf: str) -> DataFrame:
     """Totals over the file index: documents, the sum of their ordinals, the places
     in files they start at, each its own."""
@@ -298,11 +335,13 @@ def eval_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def eval_log_written(spark: SparkSession, sf: str) -> DataFrame:
-    """The log appended to a table, then read back."""
+    """The log appended run by run, the first run twice as by a job that is repeated,
+    then read back."""
     path = new_folder(spark, "eval-log")
-    log = _eval_log(spark, sf)
-    runlog.append_log(log, path)
-    return _rounded_log(spark.read.schema(log.schema).parquet(path))
+    log = staged(_eval_log(spark, sf), "eval-log-rows")
+    for run in (0, *range(views.RUNS)):
+        runlog.append_log(log.filter(F.col("run_id") == run), path, f"run-{run}")
+    return _rounded_log(runlog.read_log(spark, path, log.schema))
 
 
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -378,7 +417,9 @@ QUERIES = {
         corpus_lines,
         corpus_stats,
         corpus_files,
+        corpus_hidden,
         corpus_positions,
+        corpus_first_batch,
         lossy_decode,
         text_strip,
         doc_ordinals,

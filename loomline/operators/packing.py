@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.functions.draws import keyed_draw
-from loomline.staging import BROADCAST_BYTES, staged
+from loomline.staging import BROADCAST_BYTES, bucketed, staged
 
 DRAWS_PER_TASK = 500_000
-# Bytes of a row without its ids.
+# Bytes of a row without its ids, and of the rows of a bucket.
 ROW_BYTES = 48
+BUCKET_BYTES = 128 << 20
 
 # With four draws a document, e**-4 of the documents, 2 %, are drawn by none.
 DRAWS_TO_TAKE_ALL = 4
@@ -104,13 +105,18 @@ def pack_examples(
         draws = draw_documents(spread, n_docs, first, last, seed)
         take_all = n_draws >= DRAWS_TO_TAKE_ALL * sum(sizes.values())
         wanted = None if take_all else draws.select(*_DOC).distinct()
-        tokens = staged(
+        # Dealt out by document when they are written: the joins below read them where
+        # they are, and only the draws move to them.
+        n_wanted = min(n_draws, sum(sizes.values()))
+        tokens = bucketed(
             fetch_ids(wanted).select(
                 *_DOC,
                 # target_len ids of a document are the most an example can hold
                 F.slice("ids", 1, target_len).alias("ids"),
                 F.least(F.size("ids"), F.lit(target_len)).alias("len"),
             ),
+            _DOC,
+            n_wanted * (ROW_BYTES + 4 * target_len) // BUCKET_BYTES + 1,
             "drawn-tokens",
         )
         sized = _gather(draws, tokens.select(*_DOC, "len"), sizes, broadcast_bytes // ROW_BYTES)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 # Bytes a table may have and still be broadcast.
 BROADCAST_BYTES = 64 << 20
 
-# Folders this process has written, by application.
+# Folders this process has written and tables it has named, by application.
 _written: dict[str, list[str]] = {}
+_named: dict[str, list[str]] = {}
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -52,6 +54,23 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def bucketed(df: DataFrame, keys: Sequence[str], n_buckets: int, label: str) -> DataFrame:
+    """Write df to the shared folder once, dealt out by keys, and return the table.
+
+    Later joins and groupings on the keys read it in place: only their other side
+    is shuffled. n_buckets is raised to the session's shuffle partitions, as the
+    planner shuffles a side of fewer again.
+    """
+    spark = df.sparkSession
+    n_buckets = max(n_buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path = new_folder(spark, label)
+    name = f"{label.replace('-', '_')}_{uuid.uuid4().hex}"
+    _named.setdefault(spark.sparkContext.applicationId, []).append(name)
+    dealt = df.repartition(n_buckets, *keys)
+    dealt.write.bucketBy(n_buckets, *keys).option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def broadcast_if_within(
     df: DataFrame, rows: int, row_bytes: int, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
@@ -63,6 +82,8 @@ def remove_staged(spark: SparkSession) -> int:
     """Delete what this process has staged for the session's application, when a job
     has written its results. Returns the number of folders; tables over them are gone."""
     context = spark.sparkContext
+    for name in _named.pop(context.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     folders = _written.pop(context.applicationId, [])
     for folder in folders:
         place = context._jvm.org.apache.hadoop.fs.Path(folder)

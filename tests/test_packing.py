@@ -77,6 +77,32 @@ def test_few_draws_read_only_what_they_need(spark, n_examples, takes_all):
         assert ids == plain_pack(docs[split], split, example, 65, 0)
 
 
+def test_drawn_tokens_are_not_shuffled_again(spark):
+    rng = random.Random(3)
+    docs = make_docs(rng, {"train": 400}, 30)
+    rows = [(s, i, ids) for s, many in docs.items() for i, ids in enumerate(many)]
+    table = spark.createDataFrame(rows, "split string, split_ord bigint, ids array<int>")
+    asked = spark.createDataFrame([("train", e) for e in range(50)], "split string, example bigint")
+
+    def fetch(wanted):
+        return table if wanted is None else table.join(wanted, ["split", "split_ord"])
+
+    packed = pack_examples(asked, {"train": 400}, fetch, 65, broadcast_bytes=0)
+    plan = packed._jdf.queryExecution().executedPlan().toString().split("\n")
+    scans = [k for k, line in enumerate(plan) if "Scan parquet" in line and "drawn_tokens" in line]
+    assert scans
+
+    def depth(line):
+        return len(line) - len(line.lstrip(" :+-"))
+
+    for k in scans:
+        # the operators from the scan up to its join
+        at = k
+        while "SortMergeJoin" not in plan[at]:
+            assert "Exchange" not in plan[at]
+            at = next(j for j in range(at - 1, -1, -1) if depth(plan[j]) < depth(plan[at]))
+
+
 def test_one_document_split_takes_every_draw(spark):
     docs = {"train": [[1, 9, 2]] * 5, "val": [[1, 8, 8, 2]]}
     examples = [("val", e) for e in range(300)]
@@ -134,7 +160,7 @@ def test_corpus_to_batches(spark, corpus, settings, source, n_train, n_val):
             {f"{n}.json": ("\n\n".join(part) + "\n").encode() for n, part in zip("ab", halves)}
         )
         index = index_files(index_corpus(spark, folder), settings)
-    vocab = vocabulary(spark.createDataFrame(list(WORDS.items()), "token string, id int"), 7)
+    vocab = vocabulary(spark.createDataFrame(list(WORDS.items()), "token string, id int"))
     asked = [("train", e) for e in range(n_train)] + [("val", e) for e in range(n_val)]
     examples = spark.createDataFrame(asked, "split string, example bigint")
     packed = packed_rows(index, examples, vocab, tokenizer_json(), settings)

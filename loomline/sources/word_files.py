@@ -111,7 +111,8 @@ def _written(entries: DataFrame, folder: str, n_bytes: int) -> LookUp:
         )
 
     parts = max(1, -(-n_bytes // PART_BYTES))
-    dealt = entries.repartitionByRange(parts, "key").sortWithinPartitions("key", "id")
+    dealt = entries.repartitionByRange(parts, "key") if parts > 1 else entries.coalesce(1)
+    dealt = dealt.sortWithinPartitions("key", "id")
     made = dealt.mapInArrow(run, "first bigint, name string, n bigint").collect()
     found = LookUp(folder, tuple(sorted((r["first"], r["name"], r["n"]) for r in made)))
     if not folder.startswith("file:/"):

@@ -3,10 +3,13 @@
 In a bucket all members are checked against one leader first, the member that
 comes first in an order that all buckets share, so a large group of copies costs
 one check for each member. Buckets whose members then lie in several components
-are compared in full, in blocks inside tasks: only pairs come out that lie in
-different components, look similar by their sizes and digests, and meet in no
-earlier bucket, so each pair is judged once. All pairs that come
-out are verified on their full sets.
+are compared in full, in blocks inside tasks: pairs that lie in different
+components, look similar by their sizes and digests, and meet in no earlier bucket
+are taken as links, and their components are one from there on. So a block puts out a
+forest, fewer pairs than it has members, however many of its members are alike. All
+pairs that come out are verified on their full sets. Where one fails, what it stood
+for is not known: those buckets are compared once more with the full sets at hand, and
+only verified links join components there.
 """
 
 from __future__ import annotations
@@ -29,8 +32,11 @@ BINS = 256
 #: A pair of larger sets is checked in full unless its digests are so many standard
 #: deviations below the limit; a pair at the limit fails this with probability 3e-5.
 DEVIATIONS = 4.0
-#: Members of a bucket that are compared at a time.
+#: Members of a bucket that are compared at a time, by digests and by full sets.
 BLOCK = 2048
+EXACT_BLOCK = 256
+
+NODES = "node bigint, n_shingles bigint, least binary, first binary, second binary"
 
 #: From words and shingles of a text to its band hashes in two collections.
 Banding = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -128,16 +134,28 @@ def _set_bytes(shingle: int):
     return run
 
 
+def sets_of(texts: DataFrame, shingle: int) -> Callable[[DataFrame], DataFrame]:
+    """Full sets of the nodes that are asked for, from a table of node, text."""
+
+    def needed(nodes: DataFrame) -> DataFrame:
+        own = texts.join(nodes, "node").select("node", "text")
+        return own.mapInArrow(_set_bytes(shingle), "node bigint, shingles binary")
+
+    return needed
+
+
+def _alike(x: bytes, y: bytes, percent: int) -> bool:
+    a, b = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+    both = np.concatenate([a, b])
+    both.sort()
+    return similar(int(np.count_nonzero(both[1:] == both[:-1])), len(a), len(b), percent)
+
+
 def _checked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("sa"), batch.column("sb")):
-                a, b = np.frombuffer(x.as_py(), "<u8"), np.frombuffer(y.as_py(), "<u8")
-                both = np.concatenate([a, b])
-                both.sort()
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(similar(common, len(a), len(b), percent))
+            sides = zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())
+            keep = [_alike(x, y, percent) for x, y in sides]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -154,11 +172,14 @@ class _Bucket:
         self.percent = percent
         self.parts: list[dict] = []
 
-    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(self) -> Iterator[tuple[int, int]]:
+        """The links of a forest over the members; sure ones where there are full sets."""
         digests = [x for p in self.parts for x in p.pop("least")]
+        sets = [x for p in self.parts for x in p.pop("shingles", ())]
         rows = {k: np.concatenate([p[k] for p in self.parts]) for k in self.parts[0]}
         self.parts = []
-        node, component, size, block = (rows[k] for k in ("node", "component", "n_shingles", "block"))
+        node, size, block = (rows[k] for k in ("node", "n_shingles", "block"))
+        component = np.unique(rows["component"], return_inverse=True)[1]
         first, second = rows["first"], rows["second"]
         i, j = int(rows["i"][0]), int(rows["j"][0])
         across = bool(rows["x"][0] != rows["y"][0])
@@ -171,25 +192,26 @@ class _Bucket:
             good &= ~(first[after, :i] == first[k, :i]).any(axis=1)
             good &= ~(second[after, :j] == second[k, :j]).any(axis=1)
             other = np.flatnonzero(good) + k + 1
-            if len(other):
-                near = [digests[x] for x in other]
-                other = other[promising(digests[k], int(size[k]), near, size[other], self.percent)]
-                ends = node[other]
-                yield np.minimum(ends, node[k]), np.maximum(ends, node[k])
+            if not len(other):
+                continue
+            near = [digests[x] for x in other]
+            for x in other[promising(digests[k], int(size[k]), near, size[other], self.percent)].tolist():
+                if component[x] == component[k] or (sets and not _alike(sets[k], sets[x], self.percent)):
+                    continue
+                component[component == component[x]] = component[k]
+                yield min(node[k], node[x]), max(node[k], node[x])
 
 
 def _compared(percent: int):
-    """Rows in order of (key, x, y): promising pairs a < b of each such group."""
+    """Rows in order of (key, x, y): links a < b of a forest of each such group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, last = _Bucket(percent), None
 
         def out() -> pa.RecordBatch:
             found = list(held.pairs())
-            empty = [np.empty(0, np.int64)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([*empty, *(f[k] for f in found)])) for k in (0, 1)], names=["a", "b"]
-            )
+            columns = [[last[0]] * len(found), [a for a, _ in found], [b for _, b in found]]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["key", "a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -199,7 +221,9 @@ def _compared(percent: int):
                 for c in ("key", "x", "y", "block", "node", "component", "n_shingles", "i", "j")
             }
             n = batch.num_rows
-            rows["least"] = batch.column("least").to_pylist()
+            for c in ("least", "shingles"):
+                if c in batch.schema.names:
+                    rows[c] = batch.column(c).to_pylist()
             for c in ("first", "second"):
                 rows[c] = np.frombuffer(b"".join(batch.column(c).to_pylist()), "<i8").reshape(n, -1)
             group = np.stack([rows["key"], rows["x"], rows["y"]])
@@ -208,7 +232,7 @@ def _compared(percent: int):
                 own = tuple(group[:, start].tolist())
                 if own != last and held.parts:
                     yield out()
-                last = own
+                last = own  # the group that is held now
                 held.parts.append({c: v[start:end] for c, v in rows.items() if c != "key"})
         if held.parts:
             yield out()
@@ -216,21 +240,21 @@ def _compared(percent: int):
     return run
 
 
-def _linked(likely: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _linked(likely: DataFrame, sets_of_nodes: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Those of pairs (a, b) whose full sets are similar."""
     needed = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    sets = written(
-        texts.join(needed, "node").select("node", "text").mapInArrow(
-            _set_bytes(shingle), "node bigint, shingles binary"
-        ),
-        "near-sets",
-    )
+    sets = written(sets_of_nodes(needed), "near-sets")
     full = likely.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"
     )
     return full.select("a", "b", "sa", "sb").mapInArrow(_checked(percent), "a bigint, b bigint")
 
 
+def sketched(texts: DataFrame, shingle: int, banding: Banding) -> DataFrame:
+    """node, n_shingles, digest and band hashes of a table of node, text."""
+    return texts.select("node", "text").mapInArrow(_sketches(shingle, banding), NODES)
+
+
 def _sketches(shingle: int, banding: Banding):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,8 +296,11 @@ def _led(buckets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return sized.filter(near).mapInArrow(_promising(percent), "a bigint, b bigint")
 
 
-def _unled(buckets: DataFrame, nodes: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
-    """Promising pairs across components in buckets that have several."""
+def _unled(
+    buckets: DataFrame, nodes: DataFrame, labels: DataFrame | None, percent: int, block: int, least: int = 3
+) -> DataFrame:
+    """key, a, b: a forest of promising pairs across components, in buckets of at least
+    so many members that lie in several; sure links where nodes have their full sets."""
     rows = buckets
     if labels is None:
         rows = rows.withColumn("component", F.col("node"))
@@ -282,43 +309,48 @@ def _unled(buckets: DataFrame, nodes: DataFrame, labels: DataFrame | None, perce
     state = rows.groupBy("key").agg(
         F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
     )
-    # two members were compared already, when one led the other
-    state = state.filter((F.col("low") != F.col("high")) & (F.col("n") > 2)).select("key", "n")
-    open_ = rows.join(state, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    state = state.filter((F.col("low") != F.col("high")) & (F.col("n") >= least)).select("key", "n")
+    open_ = rows.join(state, "key").withColumn("blocks", F.ceil(F.col("n") / block))
     open_ = open_.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     # each pair of blocks of a bucket is a group of its own
     open_ = open_.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     open_ = open_.withColumn("x", F.least("block", "with")).withColumn("y", F.greatest("block", "with"))
+    known = ["n_shingles", "least", "first", "second", *(["shingles"] if "shingles" in nodes.columns else [])]
     dealt = (
         open_.join(nodes, "node")
-        .select("key", "x", "y", "block", "node", "component", "n_shingles", "i", "j", "least", "first", "second")
+        .select("key", "x", "y", "block", "node", "component", "i", "j", *known)
         .repartition("key", "x", "y")
         .sortWithinPartitions("key", "x", "y", "node")
     )
-    return dealt.mapInArrow(_compared(percent), "a bigint, b bigint")
+    return dealt.mapInArrow(_compared(percent), "key bigint, a bigint, b bigint")
 
 
 def similar_components(
-    buckets: DataFrame, texts: DataFrame, banding: Banding, shingle: int, percent: int
+    buckets: DataFrame, nodes: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int
 ) -> DataFrame | None:
     """node, component over all links among the members of each bucket; None without links.
 
     buckets has key, node, and i and j, the bands of the two collections that
-    make the key; texts has one row for each node: node and text, in bytes. A
-    link is a pair in one bucket whose sets of word shingles have a Jaccard
-    similarity of percent or more.
+    make the key; nodes has a row for each node, as sketched() makes them, in a written
+    table; sets gives node and shingles, its full sorted set in bytes, of the nodes it is
+    asked for. A link is a pair in one bucket whose sets have a Jaccard similarity of
+    percent or more.
     """
-    nodes = written(
-        texts.select("node", "text").mapInArrow(
-            _sketches(shingle, banding),
-            "node bigint, n_shingles bigint, least binary, first binary, second binary",
-        ),
-        "near-nodes",
-    )
-    links = labels = None
-    for turn in range(2):
-        likely = _unled(buckets, nodes, labels, percent) if turn else _led(buckets, nodes, percent)
-        fresh = _linked(written(likely, "near-pairs"), texts, shingle, percent)
-        links = written(fresh if links is None else links.union(fresh), "near-links")
-        labels = None if links.isEmpty() else connected_components(links)
+    likely = written(_led(buckets, nodes, percent), "near-pairs")
+    links = written(_linked(likely, sets, percent), "near-links")
+    labels = None if links.isEmpty() else connected_components(links)
+    # two members of a bucket were compared already, when one led the other
+    taken = written(_unled(buckets, nodes, labels, percent, BLOCK), "near-pairs")
+    fresh = written(_linked(taken.select("a", "b").distinct(), sets, percent), "near-links")
+    wrong = written(taken.join(fresh, ["a", "b"], "left_anti").select("key").distinct(), "near-again")
+    if not fresh.isEmpty():
+        links = links.union(fresh)
+        labels = connected_components(links)
+    if not wrong.isEmpty():
+        again = written(buckets.join(wrong, "key"), "near-buckets")
+        members = again.select("node").distinct()
+        full = nodes.join(sets(members), "node")
+        sure = written(_unled(again, full, labels, percent, EXACT_BLOCK), "near-links").select("a", "b")
+        if not sure.isEmpty():
+            labels = connected_components(links.union(sure))
     return labels

@@ -44,6 +44,8 @@ WINDOW = 13
 PERCENT = 80
 #: Words of one block of items, about: its hashes are some megabytes.
 BLOCK_WORDS = 200_000
+#: Hits of seeds that are taken together.
+HITS = 1 << 18
 # A table of bits that tells most hashes that no item has.
 FILTER_BITS = 20
 
@@ -112,16 +114,24 @@ def item_block(rows: list[tuple[int, bytes]]) -> Items:
 
 def matches(words: np.ndarray, items: Items) -> dict[int, int]:
     """Items that a document holds, with the most equal words along one line."""
-    lines: set[tuple[int, int]] = set()
+    # a line is an item and the place of its first word in the document
+    codes = [np.empty(0, np.int64)]
+    span = 2 * (len(words) + max(map(len, items.words), default=0)) + 1
     for places in items.seeds:
         found = seed_hashes(words, places)
         near = np.flatnonzero(items.bits[(found >> U64(64 - FILTER_BITS)).astype(np.int64)])
         left = np.searchsorted(items.hashes, found[near], "left")
         right = np.searchsorted(items.hashes, found[near], "right")
-        for at, a, b in zip(near[right > left].tolist(), left[right > left].tolist(), right[right > left].tolist()):
-            lines.update((int(items.item[k]), at - int(items.place[k])) for k in range(a, b))
+        count = right - left
+        # hits at a time; a periodic text meets a periodic item at every place
+        for part in np.split(np.arange(len(near)), np.flatnonzero(np.diff(np.cumsum(count) // HITS)) + 1):
+            times = count[part]
+            at = np.repeat(near[part], times)
+            k = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times - left[part], times)
+            codes.append(np.unique(items.item[k] * span + at - items.place[k] + span // 2))
     best: dict[int, int] = {}
-    for item, shift in lines:
+    for code in np.unique(np.concatenate(codes)).tolist():
+        item, shift = code // span, code % span - span // 2
         own = items.words[item]
         first, last = max(0, -shift), min(len(own), len(words) - shift)
         window = min(WINDOW, len(own))

@@ -20,6 +20,8 @@ import numpy as np
 
 #: Pieces remembered by a worker in each of two generations.
 REMEMBERED = 400_000
+#: Longer pieces are not remembered, so what a worker remembers has a bound in bytes.
+LONGEST = 64
 _MARKS = frozenset(string.punctuation)
 _SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 
@@ -92,7 +94,8 @@ class Encoder:
                 ids = self._after_blank(part[:-1]) + self._bare(part[-1])
             else:
                 ids = self._lines(" " + part)
-        self.recent[part] = ids
+        if len(part) <= LONGEST:
+            self.recent[part] = ids
         return ids
 
     def _bare(self, piece: str) -> bytes:
@@ -101,7 +104,9 @@ class Encoder:
         if ids is None:
             if len(self.bare) > REMEMBERED:
                 self.bare.clear()
-            ids = self.bare[piece] = self._piece(piece)
+            ids = self._piece(piece)
+            if len(piece) <= LONGEST:
+                self.bare[piece] = ids
         return ids
 
     def _whole(self, text: str) -> bytes:

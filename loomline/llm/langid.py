@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 BITS = 15
 SLOTS = 1 << BITS
 ORDERS = (1, 2, 3)
+#: Languages that are learned at most: those with the most documents.
+MOST_LANGUAGES = 128
 #: At most about so many documents, spread evenly over languages, train the model.
 TRAIN_ROWS = 1600
 EPOCHS = 4
@@ -195,10 +197,12 @@ def train(docs: DataFrame) -> Model:
     """A model of the languages of learnable documents with a language and a letter.
 
     With no such document the model knows no language; with one language it
-    always answers it.
+    always answers it. Of more than MOST_LANGUAGES languages those with the most
+    documents are learned; the weights have that many columns at most.
     """
     known = docs.select("doc_id", "lang", "text").filter(learnable() & F.col("lang").isNotNull())
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    counted = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    sizes = {r["lang"]: r["count"] for r in counted.collect()}
     languages = tuple(sorted(sizes))
     if not languages:
         return Model((), np.ones(SLOTS), np.zeros((SLOTS, 0)), np.zeros(0))

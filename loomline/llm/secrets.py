@@ -49,7 +49,15 @@ BASE_RULES = (
 # Kinds this library adds: key file headers and signed web tokens.
 MORE_RULES = (
     Rule("pem", 1, "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
-    Rule("jwt", 1, "eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}"),
+    # The first part is taken whether or not the others follow, and only a match with
+    # them is kept: a long run of `eyJeyJ...` is then read once, not once for each start.
+    Rule(
+        "jwt",
+        1,
+        "eyJ[A-Za-z0-9_-]{8,}(\\.[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,})?",
+        group=1,
+        least=18,
+    ),
 )
 RULES = BASE_RULES + MORE_RULES
 

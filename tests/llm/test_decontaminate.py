@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -98,3 +99,14 @@ def test_edge_rows(spark, docs):
     assert sorted({r.doc_id for r in got if not r.kept}) == [4, 5]
     assert decontaminated(docs([]), items).count() == 0
     assert all(r.kept for r in decontaminated(docs(EDGE), bench(spark, [])).collect())
+
+
+def test_periodic_texts_are_quick_and_right(spark, docs):
+    item = "tick tock " * 1000
+    rows = [(1, "tick tock " * 1500), (2, "tock " * 30), (3, "other words " * 20)]
+    block = decontaminate.item_block([(0, decontaminate.plain_words(item).astype("<u8").tobytes())])
+    start = time.perf_counter()
+    found = decontaminate.matches(decontaminate.plain_words(rows[0][1]), block)
+    assert found == {0: 2000} and time.perf_counter() - start < 3
+    got = {r.doc_id: r.kept for r in decontaminated(docs(rows), bench(spark, [(0, item)])).collect()}
+    assert got == {1: False, 2: True, 3: True}

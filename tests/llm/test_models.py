@@ -61,6 +61,14 @@ def test_language_edge_rows(docs):
     assert [(r.lang_pred, r.score) for r in unlabelled] == [("und", 0.0)]
 
 
+def test_junk_languages_do_not_grow_the_model(docs, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 3)
+    rows, _ = labelled(200)
+    junk = [(1000 + k, "some words of no language", f"junk{k}") for k in range(50)]
+    model = langid.train(docs([*rows, *junk]))
+    assert set(model.languages) == set(SYLLABLES) and model.weights.shape[1] == 3
+
+
 def test_chunks_do_not_change_the_grams(monkeypatch):
     text = "Ab, cd é 12 x" * 50 + "zzz"
     whole = langid.gram_counts(text)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 from edge_rows import EDGE
 
@@ -74,3 +75,22 @@ def test_ledger_scans_only_what_is_new(docs):
 
 def test_empty_table(docs):
     assert secrets.document_secrets(docs([])).count() == 0
+
+
+JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+
+
+def test_web_tokens(docs):
+    rng = random.Random(8)
+    bits = ["eyJ", "eyJabcdefgh", ".", "abcdefgh", "short", " ", "_-", "eyJabcdefgh.abcdefgh.abcdefgh", "."]
+    rows = [(k, "".join(rng.choices(bits, k=rng.randint(1, 14)))) for k in range(200)]
+    got = {r.doc_id: r.spans for r in secrets.document_secrets(docs(rows)).collect()}
+    for k, text in rows:
+        found = [x for x in got[k].split(",") if x.startswith("jwt:")]
+        assert found == [f"jwt:{m.start()}:{m.end()}" for m in JWT.finditer(text)], text
+
+
+def test_a_long_run_of_token_starts_is_quick(docs):
+    start = time.perf_counter()
+    row = secrets.document_secrets(docs([(1, "eyJ" * 400_000 + ". " + "eyJabcdefgh." * 20_000)])).first()
+    assert row.spans.count("jwt:") == 20_000 // 3 and time.perf_counter() - start < 60

@@ -45,6 +45,8 @@ RATIO = 5
 #: Words of clean sentences with the highest values that join the negatives each round.
 HARD = 1000
 PENALTY = 2000.0
+#: Shorter words count as nothing: a few letters are part of too many words.
+LEAST = 4
 CHUNK = 1 << 18
 _CUT, _DROP = 0, 255
 _OFFSETS = [(a, b, c) for c in range(3, SPAN) for b in range(2, c) for a in range(1, b)]
@@ -120,7 +122,8 @@ def word_sums(line: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarr
     for weight, key, inside in _keys(line):
         total[: len(key)] += np.where(inside, table[key], 0.0) * weight
     lengths = np.diff(cuts) - 1
-    return cuts[:-1] + 1, lengths, np.add.reduceat(total, cuts)[:-1] * scales(lengths)
+    values = np.add.reduceat(total, cuts)[:-1] * scales(lengths)
+    return cuts[:-1] + 1, lengths, np.where(lengths < LEAST, 0.0, values)
 
 
 class Vectors:
@@ -273,7 +276,7 @@ def sentences(text: str) -> list[str]:
 def bag(text: str) -> frozenset[bytes]:
     """The distinct words of the sentences of a text."""
     words = (w for s in sentences(text) for w in symbols(s).tobytes().split(b"\0"))
-    return frozenset(w for w in words if 3 <= len(w) <= 64)
+    return frozenset(w for w in words if LEAST <= len(w) <= 64)
 
 
 def fit(rows: list[tuple[frozenset[bytes], int]]) -> Machine:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import collections
+import itertools
 import random
 import zlib
 
@@ -102,7 +104,7 @@ def test_toxicity_edge_rows(spark, docs):
 
 
 def test_folded_machine_equals_the_kernel():
-    words = [b"\x01\x02\x03\x04", b"\x02\x03\x04\x05\x06", b"\x07\x08\x09"]
+    words = [b"\x01\x02\x03\x04", b"\x02\x03\x04\x05\x06", b"\x07\x08\x09\x07"]
     marks = [b"\x01\x02\x03\x05", b"\x07\x08\x09\x0a"]
     table = np.zeros(toxicity.KEYS)
     vectors = toxicity.Vectors(marks)
@@ -112,3 +114,32 @@ def test_folded_machine_equals_the_kernel():
     line = np.frombuffer(b"\0" + b"\0".join(words) + b"\0", np.uint8)
     direct = toxicity.kernel(words, marks) @ np.array([0.5, -2.0])
     assert np.allclose(toxicity.word_sums(line, table)[2], direct)
+
+
+def enumerated(word):
+    """Weights of all subsequences of four characters, ends included, by looking at each."""
+    line = b"\0" + word + b"\0"
+    found = collections.Counter()
+    for places in itertools.combinations(range(len(line)), 4):
+        span = places[-1] - places[0] + 1
+        if span <= toxicity.SPAN:
+            found[bytes(line[k] for k in places)] += toxicity.DECAY**span
+    return found
+
+
+def test_kernel_equals_the_sum_over_all_subsequences():
+    rng = random.Random(6)
+    words = [bytes(rng.choices(range(1, 6), k=n)) for n in (1, 2, 3, 4, 5, 7, 9, 12, 4, 6)]
+    scale = [float(toxicity.scales(np.array([len(w)]))[0]) for w in words]
+    sums = [enumerated(w) for w in words]
+    want = [
+        [sum(v * b[k] for k, v in a.items()) * x * y for b, y in zip(sums, scale)] for a, x in zip(sums, scale)
+    ]
+    assert np.allclose(toxicity.kernel(words, words), want)
+
+
+def test_short_words_are_no_witnesses():
+    rows, labels = labelled(400)
+    machine = toxicity.fit([(toxicity.bag(r[1]), lab[2]) for r, lab in zip(rows, labels)])
+    # letters that an insult begins with, but fewer than LEAST of them
+    assert machine.score("scu mor idi") == machine.score("theand") < 0.5

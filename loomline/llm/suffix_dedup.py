@@ -8,16 +8,23 @@ of suffixes with one minimiser are kept as one span of text. Only buckets with
 spans of different texts, or several spans of one, are sorted.
 
 Buckets are sorted one block at a time. Inside a block the suffixes are sorted
-by some of their words; long ties are resolved by precomputed ranks of a sample
-of positions that is a difference cover modulo 7: for any two suffixes there is
-a shift below 7 that takes both to sampled positions, and there two ranks of
+by some of their words and a fingerprint; long ties are resolved by precomputed ranks
+of a sample of positions that is a difference cover modulo 7: for any two suffixes
+there is a shift below 7 that takes both to sampled positions, and there two ranks of
 56-byte strings settle the rest. Memory holds one block's spans and ranks.
+
+A bucket of more than BLOCK_BYTES, such as that of a line in very many texts, is not
+sorted whole. Equal strings have their minimiser at the same place, so its suffixes
+are parted by that place into two halves, and each half by a hash of the bytes that
+all its suffixes hold; equal spans become one again, and what is still too large is
+halved again. When a half is one place wide, its suffixes are equal or apart.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +32,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.llm.common import written
-from loomline.llm.wordhash import U64, mix, powers
+from loomline.llm.wordhash import U64, mix, powers, sliding_least
+from loomline.staging import broadcast_if_within
 
 LENGTH = 100
 GRAM = 32
@@ -61,34 +69,25 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return mix((sums[GRAM:] - sums[:n]) * down[:n])
 
 
-def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
-    """The least of each run of `width` values."""
-    n = len(values)
-    padded = np.full(-(-n // width) * width, U64(2**64 - 1))
-    padded[:n] = values
-    blocks = padded.reshape(-1, width)
-    forward = np.minimum.accumulate(blocks, axis=1).ravel()
-    backward = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(backward[: n - width + 1], forward[width - 1 : n])
-
-
-def spans(text: bytes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Minimiser hash, first suffix and number of suffixes of the spans of a text."""
-    hashes, firsts, counts = [], [], []
+def spans(text: bytes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Minimiser hash, first suffix and number of suffixes of the spans of a text, and
+    how far the minimiser is from the first suffix."""
+    hashes, firsts, counts, grams_at = [], [], [], []
     size = len(text or b"")
     for at in range(0, max(0, size - LENGTH + 1), CHUNK):
         data = np.frombuffer(text, np.uint8)[at : min(size, at + CHUNK + LENGTH - 1)]
         grams = gram_hashes(data)
         # the place in the low bits: of equal hashes the first wins
         marked = (grams >> U64(20) << U64(20)) | np.arange(len(grams), dtype=U64)
-        owner = (_sliding_least(marked, REACH) & U64((1 << 20) - 1)).astype(np.int64)
+        owner = (sliding_least(marked, REACH) & U64((1 << 20) - 1)).astype(np.int64)
         first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
         hashes.append(grams[owner[first]])
         firsts.append(first + at)
+        grams_at.append(owner[first] - first)
         counts.append(np.diff(np.append(first, len(owner))))
     if not hashes:
-        return np.empty(0, U64), np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(hashes), np.concatenate(firsts), np.concatenate(counts)
+        return np.empty(0, U64), *[np.empty(0, np.int64)] * 3
+    return tuple(np.concatenate(x) for x in (hashes, firsts, counts, grams_at))
 
 
 def _minimisers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,6 +106,12 @@ def _minimisers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
+SPANS = (
+    "h bigint, d bigint, t bigint, lo bigint, n bigint, bytes binary, "
+    "gram bigint, least bigint, end bigint"
+)
+
+
 def _cut_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The spans of a text whose minimisers are listed, with their bytes."""
     for batch in batches:
@@ -114,9 +119,9 @@ def _cut_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch.column("d").to_pylist(), batch.column("t").to_pylist(), batch.column("text"), batch.column("hs")
         ):
             data = text.as_py()
-            found, first, count = spans(data)
-            wanted = np.isin(found.view(np.int64), listed.values.to_numpy(zero_copy_only=False))
-            found, first, count = found[wanted], first[wanted], count[wanted]
+            found = spans(data)
+            wanted = np.isin(found[0].view(np.int64), listed.values.to_numpy(zero_copy_only=False))
+            found, first, count, gram = (x[wanted] for x in found)
             n = len(found)
             if not n:
                 continue
@@ -129,11 +134,40 @@ def _cut_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(first, pa.int64()),
                     pa.array(count, pa.int64()),
                     pa.array(pieces, pa.binary()),
+                    pa.array(gram, pa.int64()),
+                    pa.array(np.zeros(n, np.int64)),
+                    pa.array(np.full(n, REACH, np.int64)),
                 ],
-                names=["h", "d", "t", "lo", "n", "bytes"],
+                names=[c.split()[0] for c in SPANS.split(", ")],
             )
 
 
+def _halved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of large buckets, parted by how far their suffixes are from the minimiser.
+
+    The suffixes of a span that are at least `least` and less than `end` before it all
+    hold the bytes from least before the minimiser to the end of the last of them.
+    """
+    names = [c.split()[0] for c in SPANS.split(", ")]
+    for batch in batches:
+        out = []
+        for h, d, t, lo, n, data, gram, least, end in zip(*(batch.column(c).to_pylist() for c in names)):
+            middle = (least + end) // 2
+            for low, high in ((middle, end), (least, middle)):
+                # suffix k of the span is gram - k before the minimiser
+                first, last = max(0, gram - high + 1), min(n - 1, gram - low)
+                if low >= high or first > last:
+                    continue
+                held = data[gram - low : gram - high + 1 + LENGTH]
+                name = hashlib.blake2b(b"%d %d %d " % (h, low, high) + held, digest_size=8).digest()
+                part = int.from_bytes(name, "little", signed=True)
+                bytes_ = data[first : last + LENGTH]
+                out.append((part, d, t, lo + first, last - first + 1, bytes_, gram - first, low, high))
+        kinds = [*[pa.int64()] * 5, pa.binary(), *[pa.int64()] * 3]
+        columns = zip(*out) if out else [[]] * len(kinds)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+
 def _words(data: np.ndarray) -> np.ndarray:
     """The eight bytes from each position as one number, in byte order."""
     out = np.zeros(len(data) - 7, U64)
@@ -162,7 +196,12 @@ def repeated_suffixes(buffer: np.ndarray, at: np.ndarray) -> np.ndarray:
     padded = np.concatenate([buffer, np.zeros(DEPTH + 8, np.uint8)])
     words = _words(padded)
     ranks = cover_ranks(words, size)
-    keys = [words[at + k] for k in (LENGTH - 8, 72, 48, 24, 0)]
+    # equal suffixes have equal fingerprints, so ties of different ones are rare
+    up, down = powers(size + 1)
+    sums = np.zeros(size + 1, U64)
+    np.cumsum(_VALUES[buffer] * up[:size], out=sums[1:])
+    finger = mix((sums[at + LENGTH] - sums[at]) * down[at])
+    keys = [finger, *(words[at + k] for k in (LENGTH - 8, 72, 48, 24, 0))]
     order = np.lexsort([np.arange(len(at)), *keys])
     change = np.zeros(len(at), bool)
     change[:1] = True
@@ -301,30 +340,57 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     cut = (
         rows.join(wanted.hint("shuffle_hash"), ["t", "u", "d"])
         .select("d", "t", "text", "hs")
-        .mapInArrow(_cut_spans, "h bigint, d bigint, t bigint, lo bigint, n bigint, bytes binary")
-    )
-    # Equal spans are sorted once: all but the first are repeated from end to end.
-    spread = written(
-        cut.withColumn("s", F.xxhash64("bytes")).withColumn("v", F.xxhash64(F.lit("second"), "bytes")),
-        "suffix-spans",
+        .mapInArrow(_cut_spans, SPANS)
     )
-    same = spread.groupBy("h", "s", "v").agg(
-        F.min(F.struct("d", "t", "lo")).alias("first"), F.count("*").alias("times"), F.first("n").alias("n"), F.first("bytes").alias("bytes")
-    )
-    same = written(same, "suffix-buckets")
-    copies = (
-        spread.select("h", "s", "v", "d", "t", "lo", "n")
-        .join(same.filter("times > 1").select("h", "s", "v", "first"), ["h", "s", "v"])
-        .filter(F.struct("d", "t", "lo") != F.col("first"))
-        .select("d", "t", "lo", "n")
-    )
-    sorted_ = (
-        same.select("h", "first.d", "first.t", "first.lo", "n", "bytes")
-        .repartition("h")
-        .sortWithinPartitions("h")
-        .mapInArrow(_sort_buckets, "d bigint, t bigint, lo bigint, n bigint")
-    )
-    return written(copies.unionByName(sorted_), "suffix-runs")
+    return written(_settled(cut), "suffix-runs")
+
+
+def _settled(cut: DataFrame) -> DataFrame:
+    """d, t, lo, n of the repeated runs of suffixes of spans.
+
+    Each turn halves the buckets that are still larger than a block; a class of REACH
+    places is one place wide after seven.
+    """
+    parts = []
+    while True:
+        # Equal spans are sorted once: all but the first are repeated from end to end.
+        spread = written(
+            cut.withColumn("s", F.xxhash64("bytes")).withColumn("v", F.xxhash64(F.lit("second"), "bytes")),
+            "suffix-spans",
+        )
+        same = spread.groupBy("h", "s", "v").agg(
+            F.min(F.struct("d", "t", "lo")).alias("place"),
+            F.count("*").alias("times"),
+            *[F.first(c).alias(c) for c in ("n", "bytes", "gram", "least", "end")],
+        )
+        same = written(same, "suffix-buckets")
+        copies = (
+            spread.select("h", "s", "v", "d", "t", "lo", "n")
+            .join(same.filter("times > 1").select("h", "s", "v", "place"), ["h", "s", "v"])
+            .filter(F.struct("d", "t", "lo") != F.col("place"))
+            .select("d", "t", "lo", "n")
+        )
+        parts.append(copies)
+        sizes = same.groupBy("h").agg(F.sum(F.octet_length("bytes")).alias("size"))
+        large = written(sizes.filter(F.col("size") > BLOCK_BYTES).select("h"), "suffix-large")
+        n_large = large.count()
+        alone = same.select("h", "place.d", "place.t", "place.lo", "n", "bytes", "gram", "least", "end")
+        small = alone
+        if n_large:
+            # at most one row for each BLOCK_BYTES of spans
+            held = broadcast_if_within(large, n_large, 8)
+            small = alone.join(held, "h", "left_anti")
+        parts.append(
+            small.select("h", "d", "t", "lo", "n", "bytes")
+            .repartition("h")
+            .sortWithinPartitions("h")
+            .mapInArrow(_sort_buckets, "d bigint, t bigint, lo bigint, n bigint")
+        )
+        if not n_large:
+            return reduce(DataFrame.unionByName, parts)
+        cut = alone.join(held, "h", "left_semi").select(*[c.split()[0] for c in SPANS.split(", ")]).mapInArrow(
+            _halved, SPANS
+        )
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

@@ -109,3 +109,14 @@ def minhashes(shingles: np.ndarray, xors: np.ndarray, factors: np.ndarray) -> np
         block = (shingles[None, at : at + 2048] ^ xors[:, None]) * factors[:, None]
         np.minimum(best, block.min(axis=1), out=best)
     return best
+
+
+def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of each run of `width` values."""
+    n = len(values)
+    padded = np.full(-(-n // width) * width, U64(2**64 - 1))
+    padded[:n] = values
+    blocks = padded.reshape(-1, width)
+    forward = np.minimum.accumulate(blocks, axis=1).ravel()
+    backward = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(backward[: n - width + 1], forward[width - 1 : n])

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import numpy as np
 from edge_rows import EDGE
 
 from loomline.llm import suffix_dedup
+from loomline.llm.common import written
 from loomline.llm.suffix_dedup import repeated_suffixes, spans, without_repeats
 
 
@@ -63,10 +65,63 @@ def test_blocks_of_suffixes():
 
 def test_spans_cover_a_text_in_chunks(monkeypatch):
     text = bytes(random.Random(2).choices(b"abcdef ", k=5000))
-    hashes, first, count = spans(text)
+    hashes, first, count, _ = spans(text)
     assert first[0] == 0 and (first[1:] == first[:-1] + count[:-1]).all() and first[-1] + count[-1] == 4901
     whole = dict(zip(np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count), np.repeat(hashes, count)))
     monkeypatch.setattr(suffix_dedup, "CHUNK", 700)
-    hashes, first, count = spans(text)
+    hashes, first, count, gram = spans(text)
     parts = dict(zip(np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count), np.repeat(hashes, count)))
     assert parts == whole
+    # the minimiser is where it is said to be
+    for h, a, g in zip(hashes.tolist(), first.tolist(), gram.tolist()):
+        data = np.frombuffer(text[a + g : a + g + suffix_dedup.GRAM], np.uint8)
+        assert suffix_dedup.gram_hashes(data).tolist() == [h]
+
+
+def templated(rng, n, line):
+    """Texts that share a line, with other words before and after it, and a template."""
+    word = lambda k: "".join(rng.choices("abcdefgh ", k=k))
+    return [f"{word(rng.randint(0, 120))}{line}{word(rng.randint(0, 120))} {k} {line[:60]}{k % 7}{line[60:]}" for k in range(n)]
+
+
+def test_large_buckets_equal_brute_force(docs, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 3000)
+    rng = random.Random(3)
+    line = "".join(rng.choices("abcdefghijklmnop ", k=180))
+    rows = list(enumerate([*templated(rng, 70, line), "z" * 5000, line * 3, line]))
+    got = {r.doc_id: tuple(r)[1:] for r in without_repeats(docs(rows)).collect()}
+    assert got == expected(rows)
+
+
+def test_no_block_is_much_larger_than_asked(spark, monkeypatch):
+    rng = random.Random(5)
+    line = "".join(rng.choices("abcdefghijklmnop ", k=180))
+    texts = templated(rng, 400, line)
+    cut = []
+    for d, text in enumerate(texts):
+        data = text.encode()
+        for h, a, n, g in zip(*(x.tolist() for x in (spans(data)[0].view(np.int64), *spans(data)[1:]))):
+            cut.append((h, d, d, a, n, bytearray(data[a : a + n + 99]), g, 0, suffix_dedup.REACH))
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 20_000)
+    largest = []
+
+    def seen(df, label):
+        out = written(df, label)
+        if label == "suffix-large":
+            largest.append(out.count())
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "written", seen)
+    assert suffix_dedup._settled(spark.createDataFrame(cut, suffix_dedup.SPANS)).count() > 0
+    assert largest[0] > 0 and largest[-1] == 0 and len(largest) <= 8
+
+
+def test_ties_of_many_different_strings_are_quick():
+    # alike in all the words that are sorted by, different between them
+    base = bytes(random.Random(1).choices(b"abcdefgh", k=100))
+    rows = [base[:12] + b"%08d" % k + base[20:] for k in range(4000)] * 2
+    buffer = np.frombuffer(b"".join(rows), np.uint8)
+    start = time.perf_counter()
+    repeated = repeated_suffixes(buffer, np.arange(8000) * 100)
+    assert repeated.tolist() == [False] * 4000 + [True] * 4000
+    assert time.perf_counter() - start < 2

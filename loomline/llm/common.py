@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,31 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a written table that no later step reads."""
+    files = df.inputFiles()
+    if files:
+        context = df.sparkSession.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(context._jvm.java.net.URI(files[0])).getParent()
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextlib.contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when the job that wrote them has ended, not when the driver next
+    collects garbage: for operators whose steps are all written tables."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

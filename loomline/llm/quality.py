@@ -35,7 +35,13 @@ STATISTICS = ("log_words", "log_word_length", "symbol_share", "dup_line_share",
 FLOORS = (0.1, 0.02, 0.05, 0.08, 0.08)
 #: Share of a group's rows that an estimate is made of.
 CORE = 0.75
-STEPS = 4
+#: Starts of each estimate: quartiles, all rows, and rows drawn by the hash of their
+#: vector, one of DRAWN each. All take STEPS steps; the one of least determinant goes on
+#: until its determinant falls by less than LEAST_FALL of a natural logarithm.
+STARTS = 5
+DRAWN = 8
+STEPS = 2
+LEAST_FALL = 1e-9
 #: A group with fewer rows is held against its whole language, a language with
 #: fewer against all rows.
 MIN_GROUP = 200
@@ -223,6 +229,7 @@ def _next_estimate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     reached, so rows at equal distance are taken together.
     """
     d = _distances(rows, estimate)
+    d = d.filter("d2 is not null")  # of starts that no row was drawn for
     binned = d.withColumn("bin", F.floor(F.log(F.col("d2") + 1e-3) * BINS))
     sums = binned.groupBy("g", "bin").agg(
         F.count("*").alias("n"),
@@ -242,6 +249,20 @@ def _next_estimate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
         # products of many rows: decimals do not overflow
         *[F.sum(F.col(f"q{i}{j}").cast("decimal(38,0)")).alias(f"q{i}{j}") for i, j in PAIRS],
     )
+    return _moments(total)
+
+
+def _sums(rows: DataFrame) -> DataFrame:
+    """Number, sums and sums of products of the rows of each group."""
+    return rows.groupBy("g").agg(
+        F.count("*").alias("n"),
+        *[F.sum(f"x{k}").alias(f"s{k}") for k in range(P)],
+        *[F.sum((F.col(f"x{i}") * F.col(f"x{j}")).cast("decimal(38,0)")).alias(f"q{i}{j}") for i, j in PAIRS],
+    )
+
+
+def _moments(total: DataFrame) -> DataFrame:
+    """Mean and covariance of each group from its sums."""
     n = F.col("n").cast("double")
     return total.select(
         "g",
@@ -256,6 +277,62 @@ def _next_estimate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     )
 
 
+def _starts(rows: DataFrame) -> DataFrame:
+    """The starts of each group, whose names are then `start:group`."""
+    named = lambda k: F.concat(F.lit(f"{k}:"), F.col("g")).alias("g")
+    columns = [f"m{k}" for k in range(P)] + [f"c{i}{j}" for i, j in PAIRS]
+    found = _first_estimate(rows).select(named(0), *columns)
+    # one scan: a row is in the sums of all rows, and of the draw that takes it
+    drawn = F.pmod(F.xxhash64(*[f"x{k}" for k in range(P)]), F.lit(DRAWN))
+    taken = F.array_compact(
+        F.array(F.lit(1), *[F.when(drawn == k - 2, F.lit(k)) for k in range(2, STARTS)])
+    )
+    parts = rows.withColumn("start", F.explode(taken))
+    parts = parts.withColumn("g", F.concat(F.col("start").cast("string"), F.lit(":"), F.col("g")))
+    return found.unionByName(_moments(_sums(parts)).select("g", *columns))
+
+
+def _with_determinant(estimate: DataFrame) -> DataFrame:
+    """Adds the logarithm of the determinant, floors included."""
+    factors = _factors(estimate)
+    log_det = reduce(lambda a, b: a + b, [2 * F.log(f"l{i}{i}") for i in range(P)])
+    return estimate.join(factors.select("g", log_det.alias("log_det")), "g")
+
+
+def least_determinant(rows: DataFrame) -> DataFrame:
+    """g, means m{k} and covariances c{i}{j} of rows g, x{k}: of several starts the one
+    whose nearest CORE of the rows has the least determinant, taken to its end.
+
+    A step whose determinant is no lower leaves a group as it is, so the steps end.
+    """
+    every = F.array(*[F.concat(F.lit(f"{k}:"), F.col("g")) for k in range(STARTS)])
+    spread = rows.withColumn("g", F.explode(every))
+    estimate = written(_starts(rows), "quality-estimate")
+    for _ in range(STEPS):
+        estimate = written(_next_estimate(spread, estimate), "quality-estimate")
+    columns = [f"m{k}" for k in range(P)] + [f"c{i}{j}" for i, j in PAIRS]
+    cut = F.locate(":", F.col("g"))
+    group = F.expr("substring(g, locate(':', g) + 1)")
+    start = F.substring("g", F.lit(1), cut - 1).cast("int")
+    # of equal determinants the first start
+    order = F.struct("log_det", start.alias("start"))
+    best = _with_determinant(estimate).groupBy(group.alias("name")).agg(
+        F.min_by(F.struct(*columns, "log_det"), order).alias("best")
+    )
+    current = written(best.select(F.col("name").alias("g"), "best.*"), "quality-estimate")
+    while True:
+        fresh = _with_determinant(_next_estimate(rows, current)).select(
+            "g", F.struct(*columns, "log_det").alias("fresh")
+        )
+        falls = F.coalesce(F.col("fresh.log_det") < F.col("log_det") - LEAST_FALL, F.lit(False))
+        chosen = F.when(falls, F.col("fresh")).otherwise(F.struct(*columns, "log_det"))
+        stepped = current.join(fresh, "g", "left").select("g", falls.alias("falls"), chosen.alias("best"))
+        stepped = written(stepped.select("g", "best.*", "falls"), "quality-estimate")
+        if stepped.filter("falls").isEmpty():
+            return current
+        current = stepped.drop("falls")
+
+
 def _levels(rows: DataFrame) -> DataFrame:
     """pair, g, groups: whose estimate a pair's rows are held against (null: none),
     and the estimates that they are part of."""
@@ -298,10 +375,7 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
     rows = rows.join(_levels(rows), "pair").drop("pair", "language")
     rows = written(rows, "quality-groups")
     good = rows.filter("not base_failed").select(F.explode("groups").alias("g"), *[f"x{k}" for k in range(P)])
-    estimate = written(_first_estimate(good), "quality-estimate")
-    for _ in range(STEPS):
-        estimate = written(_next_estimate(good, estimate), "quality-estimate")
-    judged = _distances(rows, estimate)
+    judged = _distances(rows, least_determinant(good))
     within = F.coalesce(F.col("d2") <= chi2_quantile(CUTOFF, P), F.lit(True))
     return judged.select(
         "doc_id",

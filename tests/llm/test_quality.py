@@ -5,8 +5,11 @@ from __future__ import annotations
 import collections
 import random
 import re
+import struct
 
+import numpy as np
 import pytest
+import xxhash
 from edge_rows import EDGE
 
 from loomline.llm import quality
@@ -47,6 +50,98 @@ def test_planted_outliers_go_and_clean_rows_stay(docs):
     assert not any(kept[i] for i, *_ in junk)
 
 
+class Plain:
+    """The estimate of one group in NumPy, step for step."""
+
+    def __init__(self, x):
+        self.x = np.array(x, float)
+        n = len(self.x)
+        starts = [self.quartiles(), self.moments(np.ones(n, bool))]
+        drawn = np.array([self.drawn(v) for v in x])
+        starts += [self.moments(drawn == k - 2) for k in range(2, quality.STARTS) if (drawn == k - 2).any()]
+        for _ in range(quality.STEPS):
+            starts = [self.step(*s) for s in starts]
+        self.best = min(starts, key=self.log_det)
+        while self.log_det(fresh := self.step(*self.best)) < self.log_det(self.best) - quality.LEAST_FALL:
+            self.best = fresh
+
+    @staticmethod
+    def drawn(v):
+        seed = 42
+        for value in v:
+            seed = xxhash.xxh64(struct.pack("<q", value), seed=seed).intdigest()
+        return (seed - 2**64 if seed >> 63 else seed) % quality.DRAWN
+
+    def quartiles(self):
+        ordered = np.sort(self.x, axis=0)
+        at = lambda q: ordered[int(np.ceil(q * len(ordered))) - 1]
+        return at(0.5), np.diag(((at(0.75) - at(0.25)) / 1.349) ** 2)
+
+    def moments(self, rows):
+        own = self.x[rows]
+        centre = own.mean(axis=0)
+        return centre, (own.T @ own / len(own) - np.outer(centre, centre)) / quality.consistency(quality.CORE, quality.P)
+
+    @staticmethod
+    def factor(cov):
+        low = np.zeros_like(cov)
+        for i in range(len(cov)):
+            for j in range(i):
+                low[i, j] = (cov[i, j] - low[i, :j] @ low[j, :j]) / low[j, j]
+            low[i, i] = max(cov[i, i] - low[i, :i] @ low[i, :i], (quality.FLOORS[i] * quality.UNIT) ** 2) ** 0.5
+        return low
+
+    def distances(self, centre, cov):
+        return (np.linalg.solve(self.factor(cov), (self.x - centre).T) ** 2).sum(axis=0)
+
+    def step(self, centre, cov):
+        bins = np.floor(np.log(self.distances(centre, cov) + 1e-3) * quality.BINS)
+        taken = np.sort(bins)[int(np.ceil(quality.CORE * len(bins))) - 1]
+        return self.moments(bins <= taken)
+
+    def log_det(self, estimate):
+        return 2 * np.log(np.diag(self.factor(estimate[1]))).sum()
+
+
+def vectors(rng, n, kind):
+    """n whole vectors; most of one kind, some of another, some kinds all alike."""
+    draw = np.random.Generator(np.random.PCG64(rng))
+    mixed = draw.normal(size=(n, 5)) @ draw.normal(size=(5, 5)) * 300 + 2000
+    if kind == "planted":
+        far = draw.random(n) < 0.2
+        mixed[far] = draw.normal(size=(far.sum(), 5)) * 40 + [9000, 100, 5000, 0, 7000]
+    if kind == "alike":
+        mixed[:, 2:] = 0
+        mixed[: n // 10, 3] = 200
+    return np.round(mixed).astype(int).tolist()
+
+
+def test_estimates_equal_numpy(spark):
+    groups = {f"g{k}": vectors(k, 150 + 70 * k, kind) for k, kind in enumerate(["plain", "planted", "alike", "planted"])}
+    rows = [(g, *map(int, v)) for g, many in groups.items() for v in many]
+    table = spark.createDataFrame(rows, "g string, x0 long, x1 long, x2 long, x3 long, x4 long").repartition(5)
+    estimate = quality.least_determinant(table)
+    got = collections.defaultdict(list)
+    for r in quality._distances(table, estimate).collect():
+        got[r.g].append((r.x0, r.x1, r.x2, r.x3, r.x4, r.d2))
+    for g, many in groups.items():
+        plain = Plain(many)
+        want = sorted((*v, d) for v, d in zip(many, plain.distances(*plain.best)))
+        assert len(got[g]) == len(want)
+        for a, b in zip(sorted(got[g]), want):
+            assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], rel=1e-6)
+
+
+def test_planted_rows_do_not_hide_behind_one_another(spark):
+    """A fifth of the rows far away in a crowd: the estimate of least determinant leaves it out."""
+    many = vectors(7, 600, "planted")
+    table = spark.createDataFrame([("g", *map(int, v)) for v in many], "g string, x0 long, x1 long, x2 long, x3 long, x4 long")
+    limit = quality.chi2_quantile(quality.CUTOFF, quality.P)
+    found = {tuple(r)[1:6]: r.d2 > limit for r in quality._distances(table, quality.least_determinant(table)).collect()}
+    assert all(found[tuple(v)] for v in many if v[0] > 7000)
+    assert sum(found[tuple(v)] for v in many if v[0] < 7000) < 0.05 * len(many)
+
+
 def lines(rng, n, low, high):
     """n different lines of ten words of low to high letters, no window of words twice."""
     return [" ".join("x" * rng.randint(low, high) + str(rng.randint(10**5, 10**6)) for _ in range(10)) for _ in range(n)]

@@ -54,7 +54,9 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def bucketed(df: DataFrame, keys: Sequence[str], n_buckets: int, label: str) -> DataFrame:
+def bucketed(
+    df: DataFrame, keys: Sequence[str], n_buckets: int, label: str, compression: str = "snappy"
+) -> DataFrame:
     """Write df to the shared folder once, dealt out by keys, and return the table.
 
     Later joins and groupings on the keys read it in place: only their other side
@@ -66,8 +68,8 @@ def bucketed(df: DataFrame, keys: Sequence[str], n_buckets: int, label: str) ->
     path = new_folder(spark, label)
     name = f"{label.replace('-', '_')}_{uuid.uuid4().hex}"
     _named.setdefault(spark.sparkContext.applicationId, []).append(name)
-    dealt = df.repartition(n_buckets, *keys)
-    dealt.write.bucketBy(n_buckets, *keys).option("path", path).format("parquet").saveAsTable(name)
+    dealt = df.repartition(n_buckets, *keys).write.bucketBy(n_buckets, *keys)
+    dealt.option("path", path).option("compression", compression).format("parquet").saveAsTable(name)
     return spark.table(name)
 
 

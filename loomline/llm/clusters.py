@@ -113,11 +113,31 @@ def promising(
     return out
 
 
+def _small_pairs(left: list[bytes], right: list[bytes], sizes: np.ndarray, percent: int) -> np.ndarray:
+    """promising() of pairs of small sets, one pair for each place of the lists.
+
+    sizes is the sum of the sizes of a pair's sets.
+    """
+    heads = np.frombuffer(b"".join(x for pair in zip(left, right) for x in pair), "<u4")
+    pair = np.repeat(np.arange(len(left), dtype=U64), sizes)
+    every = np.sort((pair << U64(32)) | heads)
+    twice = every[1:][every[1:] == every[:-1]] >> U64(32)
+    common = np.bincount(twice.astype(np.int64), minlength=len(left))
+    return 100 * common >= percent * (sizes - common)
+
+
 def _promising(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("la", "na", "lb", "nb")))
-            keep = [bool(promising(la, na, [lb], np.array([nb]), percent)[0]) for la, na, lb, nb in rows]
+            na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
+            la, lb = (batch.column(c).to_pylist() for c in ("la", "lb"))
+            keep = np.zeros(batch.num_rows, bool)
+            small = (na <= SMALL) & (nb <= SMALL)
+            at = np.flatnonzero(small)
+            if len(at):
+                keep[at] = _small_pairs([la[k] for k in at], [lb[k] for k in at], (na + nb)[at], percent)
+            for k in np.flatnonzero(~small).tolist():
+                keep[k] = promising(la[k], int(na[k]), [lb[k]], nb[k : k + 1], percent)[0]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run

@@ -7,18 +7,18 @@ of its own, inside a longer one or wrapped over several: line ends do not count,
 run of WORDS + SPREAD - 1 words that occurs twice has a paragraph in common for sure. A
 text's first and last WORDS words are paragraphs too.
 
-Paragraphs whose first shingle begins no other paragraph are set aside. Of the others,
-equal ones are one node, and nodes meet in bands of their MinHash signatures; pairs that
-meet are verified by the exact Jaccard similarity of their shingle sets and clustered by
-connected components. In each cluster the paragraphs of the document that comes first in the
-corpus stay; the words of all others are removed from their documents, as spans of bytes.
-What a document repeats of itself only, such as a junk text of one word, is left to the
-quality rules.
-
-With BANDS bands of ROWS hashes a pair at the similarity limit of 0.8 misses all
-bands with probability (1 - 0.8**ROWS)**BANDS, which is 0.013 here, one at 0.9 with 4e-4,
-and most passages have several paragraphs; a pair at 0.3, such as two paragraphs with one
-common sentence, meets in a given band with probability 0.03.
+Equal paragraphs are one node, and nodes meet in the bands of a one-permutation MinHash:
+the hashes of a set of shingles fall into BANDS parts, and a band is the hash of all that
+fall into one of them. Nodes that meet are verified by the exact Jaccard similarity of their
+shingle sets and clustered by connected components. In each cluster the paragraphs of the
+document that comes first in the corpus stay; the words of all others are removed from their
+documents, as spans of bytes. What a document repeats of itself only, such as a junk text of
+one word, is left to the quality rules.
+
+Two sets of at most 24 shingles with a similarity of 0.8 differ in at most 5 shingles: one
+of 6 parts holds none of these and is the same in both, so they meet, wherever in the
+paragraphs the difference is. Only a part without a shingle makes no band: sets that have
+one go into TABLES tables of parts, each by hashes of its own.
 """
 
 from __future__ import annotations
@@ -38,14 +38,18 @@ from loomline.staging import bucketed
 
 SHINGLE = 5
 PERCENT = 80
+#: Parts of the hashes in each table.
 BANDS = 6
-ROWS = 3
+TABLES = 3
 #: Words of a paragraph, and places of which one begins a paragraph.
 WORDS = 28
 SPREAD = 23
+#: Blocks of band hashes that are held against each other, of 1 / GROUPS of all hashes, and
+#: paragraphs whose bands are made at a time.
+GROUPS = 2048
+AT_ONCE = 100_000
 _GENERATOR = np.random.Generator(np.random.PCG64(1))
-XORS = _GENERATOR.integers(0, 2**63, BANDS * ROWS, dtype=U64)
-FACTORS = _GENERATOR.integers(0, 2**63, BANDS * ROWS, dtype=U64) * U64(2) + U64(1)
+XORS = _GENERATOR.integers(0, 2**63, TABLES, dtype=U64)
 ORDER = U64(0xA24BAED4963EE407)
 LOW = U64((1 << 20) - 1)
 
@@ -84,14 +88,25 @@ def paragraph_hashes(words: np.ndarray, places: np.ndarray) -> tuple[np.ndarray,
 
 
 def bands(sets: np.ndarray) -> np.ndarray:
-    """The band hashes of the sets in the rows of a matrix."""
-    out = np.empty((len(sets), BANDS), U64)
-    for band in range(BANDS):
-        key = np.full(len(sets), U64(band))
-        for k in range(band * ROWS, (band + 1) * ROWS):
-            least = ((sets ^ XORS[k]) * FACTORS[k]).min(axis=1)
-            key = mix(key * U64(0x9E3779B97F4A7C15) + mix(least))
-        out[:, band] = key
+    """The band hashes of the sets in sorted rows, BANDS for each table; 0 for none."""
+    out = np.zeros((len(sets), TABLES * BANDS), U64)
+    for at in range(0, len(sets), 4096):
+        rows = np.arange(at, min(at + 4096, len(sets)))
+        columns = np.ascontiguousarray(sets[rows].T)
+        # a repeated number counts once
+        values = columns.copy()
+        values[1:][columns[1:] == columns[:-1]] = 0
+        for table in range(TABLES):
+            part = (mix(columns ^ XORS[table]) if table else columns) >> U64(32)
+            part = (part * U64(BANDS) >> U64(32)).astype(np.uint8)
+            empty = np.zeros(len(rows), bool)
+            for k in range(BANDS):
+                inside = part == k
+                total = (values * inside).sum(axis=0, dtype=U64)
+                none = ~inside.any(axis=0)
+                out[rows, table * BANDS + k] = np.where(none, U64(0), mix(total + U64(table * BANDS + k)))
+                empty |= none
+            rows, columns, values = rows[empty], columns[:, empty], values[:, empty]
     return out
 
 
@@ -100,39 +115,129 @@ def _table(columns: list, names: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in names.split(", ")])
 
 
-HEADS = "d bigint, t bigint, place bigint, head bigint"
+_SET = WORDS - SHINGLE + 1
+KEYS = "part int, keys binary, i binary, nodes binary, sets binary"
 
 
-def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first shingle of each paragraph of each text."""
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bands of all paragraphs, in a row for each group of them."""
+    none = [np.empty((0, _SET), U64), np.empty(0, np.int64), np.empty(0, U64)]
+    held: list[list] = [[x] for x in none]
+    n = 0
     for batch in batches:
-        out = [[np.empty(0, np.int64)] for _ in range(4)]
         for d, t, text in zip(*(batch.column(c).to_pylist() for c in ("d", "t", "text"))):
             words, shingles = word_and_shingle_hashes(text)
             places = beginnings(shingles, len(words))
-            row = (np.full(len(places), d), np.full(len(places), t), places, shingles[places].view(np.int64))
-            for column, value in zip(out, row):
-                column.append(value)
-        yield _table([np.concatenate(c) for c in out], HEADS)
+            if not len(places):
+                continue
+            held[0].append(np.lib.stride_tricks.sliding_window_view(shingles, _SET)[places])
+            held[1].append(paragraph_hashes(words, places)[0])
+            held[2].append(np.full(len(places), mix(np.array([d], np.int64).view(U64)) + np.array([t], np.int64).view(U64)))
+            n += len(places)
+            if n >= AT_ONCE:
+                yield _grouped(*map(np.concatenate, held))
+                held, n = [[x] for x in none], 0
+    if n:
+        yield _grouped(*map(np.concatenate, held))
+
+
+def _joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least of n numbers that each can reach over links."""
+    label = np.arange(n)
+    while True:
+        la, lb = label[a], label[b]
+        if (la == lb).all():
+            return label
+        least = np.minimum(la, lb)
+        np.minimum.at(label, la, least)
+        np.minimum.at(label, lb, least)
+        while (label[label] != label).any():
+            label = label[label]
+
+
+def _grouped(sets: np.ndarray, nodes: np.ndarray, texts: np.ndarray) -> pa.RecordBatch:
+    node, first, at = np.unique(nodes, return_index=True, return_inverse=True)
+    made = bands(np.sort(sets[first], axis=1))[at]
+    row, i = np.nonzero(made)
+    keys = made[row, i]
+    # paragraphs of one text that meet are one set
+    own = mix(keys + texts[row])
+    order = np.argsort(own)
+    twins = np.flatnonzero(own[order[1:]] == own[order[:-1]])
+    label = _joined(len(nodes), row[order[twins]], row[order[twins + 1]])
+    group = mix(texts + mix(nodes[label].view(U64)))
+    part = (keys >> U64(53)).astype(np.uint16)
+    order = np.argsort(part, kind="stable")
+    cuts = np.flatnonzero(np.append(True, np.diff(part[order]) != 0)) if len(order) else order
+    columns = (
+        (keys & U64(2**32 - 1)).astype("<u4"),
+        i.astype("u1"),
+        nodes[row].astype("<i8"),
+        (group[row] >> U64(32)).astype("<u4"),
+    )
+    cut = [[x.tobytes() for x in np.split(column[order], cuts[1:])] for column in columns]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[order][cuts].astype(np.int32)), *[pa.array(c, pa.binary()) for c in cut]],
+        names=["part", "keys", "i", "nodes", "sets"],
+    )
+
+
+MET = "key bigint, node bigint, i int, set bigint, across boolean"
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in order of part: the nodes and sets that meet in a band."""
+    held: list[tuple] = []
+    last = None
+    for batch in batches:
+        for part, *row in zip(*(batch.column(c).to_pylist() for c in ("part", "keys", "i", "nodes", "sets"))):
+            if part != last and held:
+                yield from _of_group(last, held)
+                held = []
+            last = part
+            held.append(row)
+    if held:
+        yield from _of_group(last, held)
+
+
+def _of_group(part: int, rows: list) -> Iterator[pa.RecordBatch]:
+    kinds = ("<u4", "u1", "<i8", "<u4")
+    keys, i, nodes, sets = (np.frombuffer(b"".join(c), kind) for c, kind in zip(zip(*rows), kinds))
+    key = (keys.astype(np.int64) << 5) | i
+    who = mix(nodes.view(U64) + mix(sets.astype(U64)))
+    order = np.argsort((key.view(U64) << U64(27)) | (who & U64(2**27 - 1)))
+    key, who = key[order], who[order]
+    # several rows of one node and set in one band are one
+    order = order[np.append(True, (key[1:] != key[:-1]) | (who[1:] != who[:-1]))]
+    key = (keys[order].astype(np.int64) << 5) | i[order]
+    met = [(np.int64(part) << 37) | key, nodes[order], i[order].astype(np.int32), sets[order].astype(np.int64)]
+    met = _table(met, "key, node, i, set")
+    met = pa.Table.from_batches(_several(iter([met])), met.schema).combine_chunks()
+    key, set_ = (met.column(c).to_numpy() for c in ("key", "set"))
+    if len(key):
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        across = np.minimum.reduceat(set_, starts) != np.maximum.reduceat(set_, starts)
+        across = np.repeat(across, np.diff(np.append(starts, len(key))))
+        yield from met.append_column("across", pa.array(across)).to_batches()
 
 
 PARAGRAPHS = "d bigint, t bigint, place bigint, h1 bigint, h2 bigint"
 
 
 def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of texts with the places of paragraphs: the hashes of each."""
+    """The paragraphs of each text, and the hashes of each."""
     for batch in batches:
         out = [[np.empty(0, np.int64)] for _ in range(5)]
-        for d, t, places, text in zip(*(batch.column(c).to_pylist() for c in ("d", "t", "places", "text"))):
-            places = np.unique(np.array(places, np.int64))
-            hashes = paragraph_hashes(word_and_shingle_hashes(text)[0], places)
+        for d, t, text in zip(*(batch.column(c).to_pylist() for c in ("d", "t", "text"))):
+            words, shingles = word_and_shingle_hashes(text)
+            places = beginnings(shingles, len(words))
+            hashes = paragraph_hashes(words, places)
             for column, value in zip(out, (np.full(len(places), d), np.full(len(places), t), places, *hashes)):
                 column.append(value)
         yield _table([np.concatenate(c) for c in out], PARAGRAPHS)
 
 
 SETS = "node bigint, shingles binary"
-_SET = WORDS - SHINGLE + 1
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,8 +276,12 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = _matrix(batch)
         size, least = _distinct(sets, "<u4")
-        first = bands(sets).astype("<u8")
-        rows = pa.Array.from_buffers(pa.binary(8 * BANDS), len(first), [None, pa.py_buffer(first.tobytes())])
+        first = bands(sets)
+        # where there is no band, a number that no other node has
+        own = batch.column("node").to_numpy().view(U64)[:, None] * U64(32) + np.arange(first.shape[1], dtype=U64)
+        first = np.where(first == 0, mix(own), first).astype("<u8")
+        width = pa.binary(8 * first.shape[1])
+        rows = pa.Array.from_buffers(width, len(first), [None, pa.py_buffer(first.tobytes())])
         second = pa.array([bytes(8)] * len(first), pa.binary())
         yield _table([batch.column("node"), size, pa.array(least, pa.binary()), rows.cast(pa.binary()), second], NODES)
 
@@ -199,15 +308,6 @@ def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield held
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each band of each node."""
-    for batch in batches:
-        sets = _matrix(batch)
-        node = np.repeat(batch.column("node").to_numpy(), BANDS)
-        i = np.tile(np.arange(BANDS, dtype=np.int32), len(sets))
-        yield _table([bands(sets).reshape(-1).view(np.int64), node, i], "key, node, i")
-
-
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64())), pa.string())
     names = ("doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept_sha256")
@@ -241,30 +341,44 @@ def removed_spans(data: bytes, places: list[int]) -> list[list[int]]:
     return [[int(edges[a]), int(edges[b])] for a, b in runs]
 
 
-def repeated_paragraphs(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """d, t, place, h1, h2 of the paragraphs whose first shingle begins another one, of a
-    table of d, t (which tell texts apart) and text; texts is the same, dealt out by d, t."""
-    heads = written(rows.mapInArrow(_heads, HEADS), "paragraph-heads")
-    shared = heads.groupBy("head").agg(F.count("*").alias("n")).filter("n > 1").select("head")
-    found = heads.join(shared, "head").groupBy("d", "t").agg(F.collect_set("place").alias("places"))
-    joined = texts.join(found.hint("shuffle_hash"), ["d", "t"]).select("d", "t", "places", "text")
-    made = written(joined.mapInArrow(_paragraphs, PARAGRAPHS), "paragraphs")
-    discard(heads)
-    return made
-
-
-def paragraph_classes(found: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """h1, h2, node of the different paragraphs; and their sets, each made from the
-    first text that has it."""
-    equal = found.groupBy("h1", "h2").agg(F.min(F.struct("d", "t", "place")).alias("at"))
-    classes = written(equal.withColumn("node", F.monotonically_increasing_id()), "paragraph-classes")
-    made = classes.groupBy("at.d", "at.t").agg(F.collect_list(F.struct("at.place", "node")).alias("found"))
+def meeting_paragraphs(texts: DataFrame) -> DataFrame:
+    """key, node, i of the paragraphs that meet another one in a band, of a table of d, t and
+    text. node is a paragraph's first hash.
+
+    Paragraphs of one text that meet, as neighbours do that overlap, are a set. Sets that meet
+    no other set are left out whole: their clusters are in one document.
+    """
+    keys = texts.select("d", "t", "text").mapInArrow(_keys, KEYS)
+    met = written(keys.repartition("part").sortWithinPartitions("part").mapInArrow(_met, MET), "paragraphs-met")
+    across = met.filter("across").select("set").distinct()
+    used = written(met.join(across, "set").select("key", "node", "i").distinct(), "paragraphs-met")
+    discard(met)
+    return used
+
+
+def repeated_paragraphs(rows: DataFrame, met: DataFrame) -> DataFrame:
+    """d, t, place, h1, h2 of the paragraphs whose first hash is a node of met, of a table of
+    d, t (which tell texts apart) and text."""
+    every = rows.mapInArrow(_paragraphs, PARAGRAPHS)
+    own = met.select(F.col("node").alias("h1")).distinct()
+    return written(every.join(own.hint("shuffle_hash"), "h1").select("d", "t", "place", "h1", "h2"), "paragraphs")
+
+
+def paragraph_classes(found: DataFrame) -> DataFrame:
+    """h1, h2, node of the different paragraphs, and d, t, place of one text that has it."""
+    # columns of one row: they are taken together
+    equal = found.groupBy("h1", "h2").agg(*[F.first(c).alias(c) for c in ("d", "t", "place")])
+    return written(equal.withColumn("node", F.monotonically_increasing_id()), "paragraph-classes")
+
+
+def paragraph_sets(classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """node and shingles of paragraphs, each made from the text it is said to be in."""
+    made = classes.groupBy("d", "t").agg(F.collect_list(F.struct("place", "node")).alias("found"))
     joined = texts.join(made.hint("shuffle_hash"), ["d", "t"])
     if not texts.groupBy("d", "t").count().filter("count > 1").isEmpty():
         # rows with one id and one text: each paragraph once
         joined = joined.dropDuplicates(["d", "t"])
-    joined = joined.select("found", "text")
-    return classes.select("h1", "h2", "node"), written(joined.mapInArrow(_sets, SETS), "paragraph-sets")
+    return written(joined.select("found", "text").mapInArrow(_sets, SETS), "paragraph-sets")
 
 
 def without_repeated_paragraphs(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -291,14 +405,17 @@ def _without_repeated(docs: DataFrame, percent: int) -> DataFrame:
     rows = rows.select("doc_id", "d", "t", "text")
     # Texts are dealt out once: the joins with what is found about them read them in place.
     texts = bucketed(rows, ["d", "t"], 1, "paragraph-texts", "zstd")
-    found = repeated_paragraphs(rows.select("d", "t", "text"), texts)
-    named, sets = paragraph_classes(found, texts)
-    keys = "key bigint, node bigint, i int"
-    meeting = sets.mapInArrow(_keys, keys).repartition("key").sortWithinPartitions("key").mapInArrow(_several, keys)
-    buckets = written(meeting.withColumn("j", F.lit(0)), "paragraph-buckets")
-    # only paragraphs that meet another one are compared
-    every, sets = sets, written(sets.join(buckets.select("node").distinct(), "node").select("node", "shingles"), "paragraph-sets")
-    discard(every)
+    met = meeting_paragraphs(rows)
+    found = repeated_paragraphs(rows.select("d", "t", "text"), met)
+    classes = paragraph_classes(found)
+    named = classes.select("h1", "h2", "node")
+    pairs = met.withColumnRenamed("node", "h1").join(classes.select("h1", "node"), "h1")
+    # paragraphs that are equal to all that they meet have nothing to be compared with
+    several = pairs.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
+    pairs = pairs.join(several.select("key"), "key")
+    buckets = written(pairs.select("key", "node", "i", F.lit(0).alias("j")), "paragraph-buckets")
+    discard(met)
+    sets = paragraph_sets(classes.join(buckets.select("node").distinct(), "node"), texts)
     full = lambda wanted: sets.join(wanted, "node").select("node", "shingles").mapInArrow(_full, SETS)
     labels = similar_components(buckets, sets.mapInArrow(_nodes, NODES), full, percent)
     if labels is not None:

@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomline.functions.arrays import packed_ids, running_starts, unpacked_ids
 from loomline.functions.draws import keyed_draw
+from loomline.sources.length_files import Lengths, lengths_of, written_lengths
 from loomline.staging import BROADCAST_BYTES, bucketed, staged
 
 DRAWS_PER_TASK = 500_000
@@ -66,6 +68,39 @@ def _gather(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _used_in_place(
+    examples: DataFrame,
+    n_docs: Column,
+    lengths: Lengths,
+    first: int,
+    last: int,
+    seed: int,
+    target_len: int,
+) -> DataFrame:
+    """Of draws first..last of each example those it has room for, with their place in it.
+
+    Lengths are looked up where the draws are made: those that are not used, most of
+    them, are never rows.
+    """
+    number = lambda k: keyed_draw(
+        n_docs, F.lit(seed), F.col("split"), F.col("example"), k
+    )
+    drawn = examples.withColumn("ords", F.transform(F.sequence(F.lit(first), F.lit(last)), number))
+    drawn = drawn.withColumn("lens", lengths_of(F.col("split"), F.col("ords"), lengths))
+    drawn = drawn.withColumn("starts", running_starts(F.col("lens").cast("array<bigint>")))
+    every = F.transform(
+        "ords",
+        lambda split_ord, i: F.struct(
+            (i + first).alias("k"),
+            split_ord.alias("split_ord"),
+            (F.col("have") + F.get("starts", i)).alias("start"),
+            F.get("lens", i).alias("len"),
+        ),
+    )
+    used = F.filter(every, lambda d: (d["start"] < target_len) & (d["len"] > 0))
+    return drawn.select(*_EXAMPLE, F.explode(used).alias("_d")).select(*_EXAMPLE, "_d.*")
+
+
 def pack_examples(
     examples: DataFrame,
     sizes: Mapping[str, int],
@@ -112,24 +147,27 @@ def pack_examples(
             fetch_ids(wanted).select(
                 *_DOC,
                 # target_len ids of a document are the most an example can hold
-                F.slice("ids", 1, target_len).alias("ids"),
+                packed_ids(F.slice("ids", 1, target_len)).alias("ids"),
                 F.least(F.size("ids"), F.lit(target_len)).alias("len"),
             ),
             _DOC,
             n_wanted * (ROW_BYTES + 4 * target_len) // BUCKET_BYTES + 1,
             "drawn-tokens",
         )
-        sized = _gather(draws, tokens.select(*_DOC, "len"), sizes, broadcast_bytes // ROW_BYTES)
-        start = F.col("have") + F.coalesce(F.sum("len").over(running), F.lit(0))
-        used = staged(
-            sized.withColumn("start", start)
-            .filter(F.col("start") < target_len)
-            .select(*_EXAMPLE, "k", "split_ord", "start", "len"),
-            "used-draws",
-        )
-        pieces = _gather(used, tokens.select(*_DOC, "ids"), sizes, wide).select(
-            *_EXAMPLE, "k", F.slice("ids", F.lit(1), target_len - F.col("start")).alias("ids")
-        )
+        # With all documents at hand their lengths are files that tasks map, and only the
+        # draws that are used are rows; documents of one number are told apart by a join.
+        lengths = written_lengths(tokens.select(*_DOC, "len"), target_len) if take_all else None
+        if lengths is not None and not lengths.repeats:
+            taken = _used_in_place(spread, n_docs, lengths, first, last, seed, target_len)
+        else:
+            sized = _gather(draws, tokens.select(*_DOC, "len"), sizes, broadcast_bytes // ROW_BYTES)
+            start = F.col("have") + F.coalesce(F.sum("len").over(running), F.lit(0))
+            taken = sized.withColumn("start", start).filter(F.col("start") < target_len)
+        used = staged(taken.select(*_EXAMPLE, "k", "split_ord", "start", "len"), "used-draws")
+        # packed: what moves is the ids of all used draws
+        room = (target_len - F.col("start")).cast("int").alias("room")
+        drawn = used.select(*_EXAMPLE, "k", "split_ord", room)
+        pieces = _gather(drawn, tokens.select(*_DOC, "ids"), sizes, wide).select(*_EXAMPLE, "k", "ids", "room")
         still_open = (
             used.groupBy(*_EXAMPLE)
             .agg(F.max(F.col("start") + F.col("len")).alias("have"))
@@ -142,10 +180,9 @@ def pack_examples(
     if first_round < bound and not still_open.isEmpty():
         rest, _ = one_round(still_open, first_round, bound - 1)
         pieces = pieces.unionByName(rest)
-    in_order = F.array_sort(F.collect_list(F.struct("k", "ids")))
-    return pieces.groupBy(*_EXAMPLE).agg(
-        F.flatten(F.transform(in_order, lambda p: p["ids"])).alias("ids")
-    )
+    in_order = F.array_sort(F.collect_list(F.struct("k", "ids", "room")))
+    grouped = pieces.groupBy(*_EXAMPLE).agg(in_order.alias("parts"))
+    return grouped.select(*_EXAMPLE, unpacked_ids(F.col("parts.ids"), F.col("parts.room")).alias("ids"))
 
 
 def shift_pairs(packed: DataFrame, block_size: int = 128) -> DataFrame:

@@ -6,11 +6,16 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from loomline.functions.arrays import packed_ids, unpacked_ids
+from loomline.operators import packing
 from loomline.operators.packing import pack_examples, shift_pairs, to_batches
 from loomline.plans.training_rows import Settings, index_files, index_table, packed_rows
+from loomline.sources import length_files
 from loomline.sources.corpus_files import index_corpus
 from loomline.sources.vocabulary import vocabulary
+from loomline.staging import staged
 
 from test_tokens import WORDS, tokenizer_json
 
@@ -174,3 +179,70 @@ def test_corpus_to_batches(spark, corpus, settings, source, n_train, n_val):
         assert r.input_ids[0] == vocab.bos and r.input_ids[1:] == r.target_ids[:-1]
     rows = {(r.split, r.batch_id, r.row_in_batch) for r in to_batches(pairs, 64).collect()}
     assert rows == {(s, e // 64, e % 64) for s, e in asked}
+
+
+def test_draws_that_are_not_used_are_never_rows(spark, monkeypatch):
+    """The lengths of all documents decide in place: nothing of every draw is shuffled."""
+    rng = random.Random(12)
+    docs = make_docs(rng, {"train": 300, "val": 4}, 40)
+    examples = [("train", e) for e in range(200)] + [("val", e) for e in range(5)]
+    seen = {}
+
+    def kept(df, label):
+        seen[label] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, label)
+
+    monkeypatch.setattr(packing, "staged", kept)
+    got, fetches = run(spark, docs, examples, 65, seed=4, broadcast_bytes=0)
+    assert fetches[0]
+    assert "Join" not in seen["used-draws"] and "Window" not in seen["used-draws"]
+    for (split, example), ids in got.items():
+        assert ids == plain_pack(docs[split], split, example, 65, 4)
+
+
+def test_documents_of_one_number_are_told_apart_by_a_join(spark):
+    # as before: both are taken by a draw, and no length is lost in a file
+    docs = spark.createDataFrame(
+        [("train", k, [1, 5 + k, 2]) for k in (0, 1, 1, 2)], "split string, split_ord bigint, ids array<int>"
+    )
+    asked = spark.createDataFrame([("train", e) for e in range(20)], "split string, example bigint")
+    packed = pack_examples(asked, {"train": 3}, lambda wanted: docs, 13, 0)
+    for row in packed.collect():
+        drawn = [draw(0, "train", row.example, k, 3) for k in range(7)]
+        starts, at = [], 0
+        for n in drawn:
+            starts.append([at, at + 3] if n == 1 else [at])
+            at += 3 * len(starts[-1])
+        plain = []
+        for n, own in zip(drawn, starts):
+            # each of two rows that are used finds both documents again
+            rooms = sorted(13 - x for x in own if x < 13 for _ in own)
+            plain += [x for room in rooms for x in [1, 5 + n, 2][:room]]
+        assert row.ids == plain
+
+
+def test_packed_ids_come_back(spark):
+    rng = random.Random(13)
+    lists = [[rng.choice([rng.randrange(1 << b) for b in (6, 8, 14, 21, 31)]) for _ in range(rng.randint(0, 30))] for _ in range(200)]
+    lists += [[], [0, None, 2**31 - 1, -1, -(2**31)], [126, 127, 128, 16382, 16383, 16384]]
+    rows = spark.createDataFrame([(i, ids) for i, ids in enumerate(lists)], "i int, ids array<int>")
+    parts = rows.repartition(3).select("i", packed_ids(F.col("ids")).alias("p")).filter("p is not null")
+    both = unpacked_ids(F.array("p", "p"), F.array(F.lit(40), F.lit(7)))
+    assert {r.i: r.ids for r in parts.select("i", both.alias("ids")).collect()} == {
+        i: ids + ids[:7] for i, ids in enumerate(lists)
+    }
+
+
+def test_lengths_are_found_in_files(spark, monkeypatch):
+    monkeypatch.setattr(length_files, "BLOCK", 16)
+    rng = random.Random(14)
+    for longest in (200, 300, 70_000):
+        known = {(s, n): rng.randint(2, longest) for s, m in (("train", 100), ("val", 3)) for n in range(m) if n % 7 != 6}
+        rows = spark.createDataFrame([(*k, v) for k, v in known.items()], "split string, split_ord bigint, len int")
+        lengths = length_files.written_lengths(rows.repartition(3), longest)
+        assert lengths.repeats == 0 and len(lengths.parts) == 8
+        asked = [(s, [rng.randrange(110) for _ in range(rng.randint(0, 20))]) for s in ("train", "val", "none") for _ in range(10)]
+        table = spark.createDataFrame(asked, "split string, ords array<bigint>").repartition(2)
+        got = table.select("*", length_files.lengths_of(F.col("split"), F.col("ords"), lengths).alias("lens")).collect()
+        assert len(got) == 30
+        assert all(r.lens == [known.get((r.split, n), 0) for n in r.ords] for r in got)

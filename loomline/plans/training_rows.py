@@ -13,12 +13,14 @@ from loomline.operators.ordering import assign_split, holdout_size, limit_splits
 from loomline.operators.packing import pack_examples
 from loomline.operators.tokens import encode_words, tokenizer_ids, wrap
 from loomline.sources.corpus_files import CorpusIndex
-from loomline.sources.tables import pick_lines, slot_positions, written_slots
+from loomline.sources.tables import all_lines, pick_lines, slot_firsts, slot_positions, written_slots
 from loomline.sources.vocabulary import Vocabulary
 from loomline.staging import broadcast_if_within, staged
 
 # A wanted position is three numbers and a short string.
 WANTED_BYTES = 48
+# The number of a line in its document's slots.
+SLOT_BYTES = 4
 
 
 @dataclass(frozen=True)
@@ -90,12 +92,13 @@ def index_table(
 
     def fetch_text(wanted: DataFrame | None) -> DataFrame:
         if wanted is None:
-            n, places = sum(sizes.values()), rows
-        else:
-            wanted, n = _counted(wanted)
-            places = rows.join(
-                broadcast_if_within(wanted, n, WANTED_BYTES), ["split", "split_ord"]
-            )
+            n_rows = slots.filter("n_lines > 0").count()
+            n_bytes = n_rows * WANTED_BYTES + n_docs * SLOT_BYTES
+            firsts = slot_firsts(slots, key).filter("n_lines > 0").select(key, "_first", "slots")
+            found = all_lines(docs, broadcast_if_within(firsts, 1, n_bytes), key, text)
+            return _split_rows(found, n_docs, settings).select("split", "split_ord", "text")
+        wanted, n = _counted(wanted)
+        places = rows.join(broadcast_if_within(wanted, n, WANTED_BYTES), ["split", "split_ord"])
         per_row = places.groupBy(key).agg(
             F.collect_list(F.struct("split", "split_ord", "line_no")).alias("places")
         )

@@ -86,9 +86,26 @@ def table_positions(
     return slot_positions(line_slots(docs, key, text), key, width)
 
 
+def slot_firsts(slots: DataFrame, key: str = "doc_id", width: int = 10_000) -> DataFrame:
+    """Slots with _first, the ordinal of a row's first line, in the order of key."""
+    return exclusive_prefix(slots, key, "n_lines", "_first", width, prefix_levels(slots, key, width))
+
+
 def slot_positions(slots: DataFrame, key: str = "doc_id", width: int = 10_000) -> DataFrame:
-    levels = prefix_levels(slots, key, width)
-    based = exclusive_prefix(slots, key, "n_lines", "_first", width, levels)
+    based = slot_firsts(slots, key, width)
     return based.select(key, "_first", F.posexplode("slots").alias("_i", "line_no")).select(
         key, "line_no", (F.col("_first") + F.col("_i")).alias("ord")
     )
+
+
+def all_lines(docs: DataFrame, firsts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """All lines in slots, stripped: ord, text. firsts has a row for each row, not for each
+    line, so it can be broadcast where the positions of lines are too many."""
+    found = docs.join(firsts, key).select("_first", "slots", F.split(text, "\n").alias("_raw"))
+    lines = F.transform(
+        "slots",
+        lambda line_no, i: F.struct(
+            (F.col("_first") + i).alias("ord"), strip_space(F.get("_raw", line_no)).alias("text")
+        ),
+    )
+    return found.select(F.explode(lines).alias("_l")).select("_l.*")

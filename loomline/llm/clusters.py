@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import written
+from loomline.llm.common import discard, written
 from loomline.llm.components import connected_components
 from loomline.llm.wordhash import U64, shingle_hashes, word_hashes
 
@@ -261,13 +261,16 @@ def _compared(percent: int):
 
 
 def _linked(likely: DataFrame, sets_of_nodes: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """Those of pairs (a, b) whose full sets are similar."""
+    """Those of pairs (a, b) whose full sets are similar, written."""
     needed = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
     sets = written(sets_of_nodes(needed), "near-sets")
     full = likely.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"
     )
-    return full.select("a", "b", "sa", "sb").mapInArrow(_checked(percent), "a bigint, b bigint")
+    full = full.select("a", "b", "sa", "sb").mapInArrow(_checked(percent), "a bigint, b bigint")
+    links = written(full, "near-links")
+    discard(sets)
+    return links
 
 
 def sketched(texts: DataFrame, shingle: int, banding: Banding) -> DataFrame:
@@ -357,11 +360,12 @@ def similar_components(
     percent or more.
     """
     likely = written(_led(buckets, nodes, percent), "near-pairs")
-    links = written(_linked(likely, sets, percent), "near-links")
+    links = _linked(likely, sets, percent)
+    discard(likely)
     labels = None if links.isEmpty() else connected_components(links)
     # two members of a bucket were compared already, when one led the other
     taken = written(_unled(buckets, nodes, labels, percent, BLOCK), "near-pairs")
-    fresh = written(_linked(taken.select("a", "b").distinct(), sets, percent), "near-links")
+    fresh = _linked(taken.select("a", "b").distinct(), sets, percent)
     wrong = written(taken.join(fresh, ["a", "b"], "left_anti").select("key").distinct(), "near-again")
     if not fresh.isEmpty():
         links = links.union(fresh)

@@ -276,7 +276,8 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = _matrix(batch)
         size, least = _distinct(sets, "<u4")
-        first = bands(sets)
+        # of the first table: two that meet in a later one too are compared there again
+        first = bands(sets)[:, :BANDS]
         # where there is no band, a number that no other node has
         own = batch.column("node").to_numpy().view(U64)[:, None] * U64(32) + np.arange(first.shape[1], dtype=U64)
         first = np.where(first == 0, mix(own), first).astype("<u8")

@@ -194,8 +194,9 @@ def _first_estimate(rows: DataFrame) -> DataFrame:
     )
 
 
-def _factors(estimate: DataFrame) -> DataFrame:
-    """Adds the lower Cholesky factor l{i}{j} of the covariance.
+def _with_factors(estimate: DataFrame) -> DataFrame:
+    """Adds the lower Cholesky factor l{i}{j} of the covariance, and log_det, the logarithm
+    of its determinant, floors included.
 
     The scatter that a statistic has beside the ones before it is its own or the
     floor, whichever is larger.
@@ -207,12 +208,20 @@ def _factors(estimate: DataFrame) -> DataFrame:
         least = F.lit((FLOORS[i] * UNIT) ** 2)
         value = F.sqrt(F.greatest(rest, least)) if i == j else rest / F.col(f"l{j}{j}")
         estimate = estimate.withColumn(f"l{i}{j}", value)
-    return estimate.select("g", *[f"m{k}" for k in range(P)], *[f"l{i}{j}" for i, j in PAIRS])
+    return estimate.withColumn("log_det", reduce(lambda a, b: a + b, [2 * F.log(f"l{i}{i}") for i in range(P)]))
 
 
-def _distances(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    """rows with d2, the squared Mahalanobis distance; null where the group has no estimate."""
-    joined = rows.join(_factors(estimate), "g", "left")
+def _written_estimate(estimate: DataFrame) -> DataFrame:
+    """The estimate with its factors as a table: what is joined with it has columns to
+    read, not the terms they are made of, which would make plans of megabytes."""
+    return written(_with_factors(estimate), "quality-estimate")
+
+
+def _distances(rows: DataFrame, estimate: DataFrame, how: str = "left") -> DataFrame:
+    """rows with d2, the squared Mahalanobis distance by an estimate with factors; null where
+    the group has none."""
+    factors = estimate.select("g", *[f"m{k}" for k in range(P)], *[f"l{i}{j}" for i, j in PAIRS])
+    joined = rows.join(factors, "g", how)
     for i in range(P):
         rest = F.col(f"x{i}") - F.col(f"m{i}")
         for k in range(i):
@@ -228,8 +237,7 @@ def _next_estimate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     The nearest rows are taken up to the bin of distances in which the share is
     reached, so rows at equal distance are taken together.
     """
-    d = _distances(rows, estimate)
-    d = d.filter("d2 is not null")  # of starts that no row was drawn for
+    d = _distances(rows, estimate, "inner")  # not of starts that no row was drawn for
     binned = d.withColumn("bin", F.floor(F.log(F.col("d2") + 1e-3) * BINS))
     sums = binned.groupBy("g", "bin").agg(
         F.count("*").alias("n"),
@@ -292,40 +300,29 @@ def _starts(rows: DataFrame) -> DataFrame:
     return found.unionByName(_moments(_sums(parts)).select("g", *columns))
 
 
-def _with_determinant(estimate: DataFrame) -> DataFrame:
-    """Adds the logarithm of the determinant, floors included."""
-    factors = _factors(estimate)
-    log_det = reduce(lambda a, b: a + b, [2 * F.log(f"l{i}{i}") for i in range(P)])
-    return estimate.join(factors.select("g", log_det.alias("log_det")), "g")
-
-
 def least_determinant(rows: DataFrame) -> DataFrame:
-    """g, means m{k} and covariances c{i}{j} of rows g, x{k}: of several starts the one
-    whose nearest CORE of the rows has the least determinant, taken to its end.
+    """g, means m{k}, covariances c{i}{j} and their factors, of rows g, x{k}: of several starts
+    the one whose nearest CORE of the rows has the least determinant, taken to its end.
 
     A step whose determinant is no lower leaves a group as it is, so the steps end.
     """
     every = F.array(*[F.concat(F.lit(f"{k}:"), F.col("g")) for k in range(STARTS)])
     spread = rows.withColumn("g", F.explode(every))
-    estimate = written(_starts(rows), "quality-estimate")
+    estimate = _written_estimate(_starts(rows))
     for _ in range(STEPS):
-        estimate = written(_next_estimate(spread, estimate), "quality-estimate")
-    columns = [f"m{k}" for k in range(P)] + [f"c{i}{j}" for i, j in PAIRS]
+        estimate = _written_estimate(_next_estimate(spread, estimate))
+    columns = [c for c in estimate.columns if c != "g"]
     cut = F.locate(":", F.col("g"))
     group = F.expr("substring(g, locate(':', g) + 1)")
     start = F.substring("g", F.lit(1), cut - 1).cast("int")
     # of equal determinants the first start
     order = F.struct("log_det", start.alias("start"))
-    best = _with_determinant(estimate).groupBy(group.alias("name")).agg(
-        F.min_by(F.struct(*columns, "log_det"), order).alias("best")
-    )
+    best = estimate.groupBy(group.alias("name")).agg(F.min_by(F.struct(*columns), order).alias("best"))
     current = written(best.select(F.col("name").alias("g"), "best.*"), "quality-estimate")
     while True:
-        fresh = _with_determinant(_next_estimate(rows, current)).select(
-            "g", F.struct(*columns, "log_det").alias("fresh")
-        )
+        fresh = _written_estimate(_next_estimate(rows, current)).select("g", F.struct(*columns).alias("fresh"))
         falls = F.coalesce(F.col("fresh.log_det") < F.col("log_det") - LEAST_FALL, F.lit(False))
-        chosen = F.when(falls, F.col("fresh")).otherwise(F.struct(*columns, "log_det"))
+        chosen = F.when(falls, F.col("fresh")).otherwise(F.struct(*columns))
         stepped = current.join(fresh, "g", "left").select("g", falls.alias("falls"), chosen.alias("best"))
         stepped = written(stepped.select("g", "best.*", "falls"), "quality-estimate")
         if stepped.filter("falls").isEmpty():

@@ -11,6 +11,7 @@ the same, so words that share a hash are told apart.
 
 from __future__ import annotations
 
+import mmap
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -26,6 +27,8 @@ from loomline.sources.byte_ranges import qualified
 from loomline.staging import new_folder
 
 PART_BYTES = 64 << 20
+# Bytes of words that are hashed at a time: each takes some forty bytes meanwhile.
+HASHED_BYTES = 1 << 20
 _ENTRY = "key bigint, id bigint, token string"
 
 
@@ -39,6 +42,7 @@ class LookUp:
 
 def _hasher() -> Callable:
     """A function for tasks: a signed 64-bit hash of each string of an Arrow array."""
+    most = HASHED_BYTES
 
     def made():
         u64 = np.uint64
@@ -47,13 +51,25 @@ def _hasher() -> Callable:
         powers = np.cumprod(np.full(64, u64(0x9E3779B97F4A7C15)), dtype=u64)
 
         def hashes(array: pa.Array) -> np.ndarray:
-            nonlocal powers
-            if not len(array):
-                return np.empty(0, np.int64)
             array = array.cast(pa.large_string())
+            out = np.empty(len(array), np.int64)
+            if not len(array):
+                return out
             _, edges, data = array.buffers()
             edges = np.frombuffer(edges, np.int64)[array.offset : array.offset + len(array) + 1]
-            seen = np.frombuffer(data or b"", np.uint8)[edges[0] : edges[-1]]
+            data = np.frombuffer(data or b"", np.uint8)
+            start = 0
+            while start < len(out):
+                # a word that is longer alone; empty words by number
+                end = int(np.searchsorted(edges, edges[start] + most, side="right")) - 1
+                end = min(max(end, start + 1), start + most, len(out))
+                out[start:end] = some(edges[start : end + 1], data)
+                start = end
+            return out
+
+        def some(edges: np.ndarray, data: np.ndarray) -> np.ndarray:
+            nonlocal powers
+            seen = data[edges[0] : edges[-1]]
             edges = edges - edges[0]
             sizes = np.diff(edges)
             while len(powers) <= sizes.max(initial=0):
@@ -93,21 +109,33 @@ def _written(entries: DataFrame, folder: str, n_bytes: int) -> LookUp:
         import uuid
 
 
-        rows = pa.Table.from_batches(list(batches))
-        if not rows.num_rows:
+        def token_parts(batch) -> tuple:
+            token = batch.column("token").cast(pa.large_string())
+            _, edges, data = token.buffers()
+            edges = np.frombuffer(edges, np.int64)[token.offset : token.offset + len(token) + 1]
+            return edges - edges[0], memoryview(data)[edges[0] : edges[-1]] if data else b""
+
+        # held once, and written batch by batch
+        held = [batch for batch in batches if batch.num_rows]
+        if not held:
             return
-        token = rows.column("token").combine_chunks().cast(pa.large_string())
-        keys, ids = (rows.column(c).to_numpy().astype(np.int64) for c in ("key", "id"))
-        _, edges, data = token.buffers()
         # a repeated task writes a file of its own; only one that ended is listed
         name = f"part-{uuid.uuid4().hex}"
-        edges = np.frombuffer(edges, np.int64)[token.offset : token.offset + len(token) + 1]
         with store(name) as out:
-            for part in (keys, ids, edges - edges[0]):
-                out.write(np.ascontiguousarray(part).tobytes())
-            out.write(memoryview(data)[edges[0] : edges[-1]] if data else b"")
+            for column in ("key", "id"):
+                for batch in held:
+                    out.write(batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64).tobytes())
+            end = np.int64(0)
+            out.write(end.tobytes())
+            for batch in held:
+                edges = token_parts(batch)[0]
+                out.write((edges[1:] + end).tobytes())
+                end += edges[-1]
+            for batch in held:
+                out.write(token_parts(batch)[1])
+        first, n = held[0].column("key")[0].as_py(), sum(batch.num_rows for batch in held)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([int(keys[0])]), pa.array([name]), pa.array([len(keys)])], names=["first", "name", "n"]
+            [pa.array([first]), pa.array([name]), pa.array([n])], names=["first", "name", "n"]
         )
 
     parts = max(1, -(-n_bytes // PART_BYTES))
@@ -162,9 +190,10 @@ def _reader(look_up: LookUp) -> Callable:
     def opened():
         at = place if local else SparkFiles.get(place.rstrip("/").rpartition("/")[2])
         firsts = np.array([first for first, _, _ in files], np.int64)
-        parts = []
+        parts, maps = [], []
         for _, name, n in files:
             data = np.memmap(f"{at}/{name}", np.uint8, "r")
+            maps.append(data.base)
             keys, ids = data[: 8 * n].view(np.int64), data[8 * n : 16 * n].view(np.int64)
             edges, text = data[16 * n : 24 * n + 8], data[24 * n + 8 :]
             buffers = [None, pa.py_buffer(edges), pa.py_buffer(text) if len(text) else pa.py_buffer(b"")]
@@ -175,8 +204,12 @@ def _reader(look_up: LookUp) -> Callable:
             part = np.searchsorted(firsts, wanted, side="right") - 1
             for k, (keys, ids, text) in enumerate(parts):
                 own = np.flatnonzero(part == k) if len(parts) > 1 else np.flatnonzero(part >= 0)
+                if not len(own):
+                    continue
                 where = np.searchsorted(keys, wanted[own])
                 yield keys, ids, text, own, where
+                # the pages stay in the machine's cache, and are no longer this worker's
+                maps[k].madvise(mmap.MADV_DONTNEED)
 
         return places
 

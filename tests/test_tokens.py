@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,3 +188,37 @@ def test_missing_specials_and_files(spark, vocab, tmp_path):
     del broken["model"]["vocab"]["[BOS]"]
     with pytest.raises(MissingTokenError, match="BOS"):
         tokenizer_vocabulary(spark, json.dumps(broken))
+
+
+def test_words_are_hashed_a_bounded_number_at_a_time(monkeypatch):
+    """The hashes of a batch's words took forty bytes and more for each byte of the batch."""
+    words = ["", "é" * 40, "a", *(f"word{k}" for k in range(50)), "", ""]
+    whole = word_files._hasher()()(pa.array(words)).tolist()
+    monkeypatch.setattr(word_files, "HASHED_BYTES", 7)
+    small = word_files._hasher()()
+    assert small(pa.array(words)).tolist() == whole
+    assert small(pa.array(["x", *words]).slice(1)).tolist() == whole
+    assert small(pa.array([], pa.string())).tolist() == []
+    monkeypatch.undo()
+    many = pa.array([f"w{k:011d}" for k in range(600_000)])
+    hashes = word_files._hasher()()
+    tracemalloc.start()
+    hashes(many)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+
+
+def test_a_look_up_in_several_batches_and_parts(spark, monkeypatch):
+    monkeypatch.setattr(word_files, "PART_BYTES", 4000)
+    words = ["", *(f"wörd{k}" * (1 + k % 5) for k in range(400))]
+    table = spark.createDataFrame([(w, k) for k, w in enumerate(words)], "token string, id int")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        look_up = word_files.word_look_up(table)
+        asked = spark.createDataFrame([([*words[k::9], "none"],) for k in range(9)], "words array<string>")
+        got = [r.ids for r in asked.select(word_files.ids_of(F.col("words"), look_up, -5).alias("ids")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(look_up.parts) > 3
+    assert sorted(got) == sorted([*range(k, len(words), 9), -5] for k in range(9))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm.clusters import NODES, similar_components
-from loomline.llm.common import discard, freed_shuffles, written
+from loomline.llm.common import discard, freed_shuffles, short_batches, written
 from loomline.llm.wordhash import U64, hashes_at, mix, powers, shingle_hashes, sliding_least, word_bounds
 from loomline.staging import bucketed
 
@@ -47,7 +47,9 @@ SPREAD = 23
 #: Blocks of band hashes that are held against each other, of 1 / GROUPS of all hashes, and
 #: paragraphs whose bands are made at a time.
 GROUPS = 2048
-AT_ONCE = 100_000
+AT_ONCE = 25_000
+#: Rows that go to Python at a time.
+BATCH = 1_000
 _GENERATOR = np.random.Generator(np.random.PCG64(1))
 XORS = _GENERATOR.integers(0, 2**63, TABLES, dtype=U64)
 ORDER = U64(0xA24BAED4963EE407)
@@ -391,7 +393,7 @@ def without_repeated_paragraphs(docs: DataFrame, percent: int = PERCENT) -> Data
     and have the same result. Null and empty texts and texts of fewer than WORDS words
     lose nothing. Texts of any length are read whole. An empty table gives no rows.
     """
-    with freed_shuffles(docs.sparkSession):
+    with freed_shuffles(docs.sparkSession), short_batches(docs.sparkSession, BATCH):
         return _without_repeated(docs, percent)
 
 

@@ -303,8 +303,8 @@ def _sketches(shingle: int, banding: Banding):
 def _led(buckets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Promising pairs of the first member of each bucket with its others."""
     # The order is the same in all buckets, so a group of copies has few leaders.
-    order = F.struct(F.xxhash64("node").alias("o"), F.col("node").alias("node"))
-    leads = buckets.groupBy("key").agg(F.min(order)["node"].alias("lead"))
+    # No two nodes have one xxhash64: it is one-to-one on numbers of 64 bits.
+    leads = buckets.groupBy("key").agg(F.min_by("node", F.xxhash64("node")).alias("lead"))
     pairs = (
         buckets.join(leads, "key")
         .filter(F.col("node") != F.col("lead"))
@@ -323,7 +323,7 @@ def _unled(
     buckets: DataFrame, nodes: DataFrame, labels: DataFrame | None, percent: int, block: int, least: int = 3
 ) -> DataFrame:
     """key, a, b: a forest of promising pairs across components, in buckets of at least
-    so many members that lie in several; sure links where nodes have their full sets."""
+    so many members that lie in several; sure links where nodes have their full sets. Written."""
     rows = buckets
     if labels is None:
         rows = rows.withColumn("component", F.col("node"))
@@ -335,8 +335,10 @@ def _unled(
     state = state.filter((F.col("low") != F.col("high")) & (F.col("n") >= least)).select("key", "n")
     open_ = rows.join(state, "key").withColumn("blocks", F.ceil(F.col("n") / block))
     open_ = open_.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    # written before digests are dealt out: by then the shuffles of the buckets are gone
+    members = written(open_.drop("n"), "near-open")
     # each pair of blocks of a bucket is a group of its own
-    open_ = open_.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    open_ = members.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     open_ = open_.withColumn("x", F.least("block", "with")).withColumn("y", F.greatest("block", "with"))
     known = ["n_shingles", "least", "first", "second", *(["shingles"] if "shingles" in nodes.columns else [])]
     dealt = (
@@ -345,7 +347,9 @@ def _unled(
         .repartition("key", "x", "y")
         .sortWithinPartitions("key", "x", "y", "node")
     )
-    return dealt.mapInArrow(_compared(percent), "key bigint, a bigint, b bigint")
+    pairs = written(dealt.mapInArrow(_compared(percent), "key bigint, a bigint, b bigint"), "near-pairs")
+    discard(members)
+    return pairs
 
 
 def similar_components(
@@ -364,7 +368,7 @@ def similar_components(
     discard(likely)
     labels = None if links.isEmpty() else connected_components(links)
     # two members of a bucket were compared already, when one led the other
-    taken = written(_unled(buckets, nodes, labels, percent, BLOCK), "near-pairs")
+    taken = _unled(buckets, nodes, labels, percent, BLOCK)
     fresh = _linked(taken.select("a", "b").distinct(), sets, percent)
     wrong = written(taken.join(fresh, ["a", "b"], "left_anti").select("key").distinct(), "near-again")
     if not fresh.isEmpty():
@@ -374,7 +378,7 @@ def similar_components(
         again = written(buckets.join(wrong, "key"), "near-buckets")
         members = again.select("node").distinct()
         full = nodes.join(sets(members), "node")
-        sure = written(_unled(again, full, labels, percent, EXACT_BLOCK), "near-links").select("a", "b")
+        sure = _unled(again, full, labels, percent, EXACT_BLOCK).select("a", "b")
         if not sure.isEmpty():
             labels = connected_components(links.union(sure))
     return labels

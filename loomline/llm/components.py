@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import written
+from loomline.llm.common import discard, written
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -13,7 +13,8 @@ def connected_components(links: DataFrame) -> DataFrame:
 
     Each round every node takes the least label of its neighbours, then the
     label of its label, so labels travel along a chain in doubling steps. The
-    labels are written each round, so a lost executor costs one round's part.
+    labels are written each round, so a lost executor costs one round's part; those
+    of the round before are deleted.
     Only (node, label) pairs move; a node with very many neighbours is reduced
     in the map-side part of the grouping. No links: no rows. Links from a node
     to itself make a component of one.
@@ -37,11 +38,14 @@ def connected_components(links: DataFrame) -> DataFrame:
         )
         stepped = written(stepped, "component-step")
         jump = stepped.select(F.col("node").alias("component"), F.col("component").alias("root"))
+        discard(labels)
         labels = written(
             stepped.join(jump, "component", "left").select(
                 "node", "old", F.least(F.coalesce("root", "component"), "component").alias("component")
             ),
             "component-labels",
         )
+        discard(stepped)
         if labels.filter("old <> component").isEmpty():
+            discard(both)
             return labels.select("node", "component")

@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 from loomline.llm.clusters import NODES, similar_components
 from loomline.llm.common import discard, freed_shuffles, short_batches, written
 from loomline.llm.wordhash import U64, hashes_at, mix, powers, shingle_hashes, sliding_least, word_bounds
-from loomline.staging import bucketed
 
 SHINGLE = 5
 PERCENT = 80
@@ -118,6 +117,8 @@ def _table(columns: list, names: str) -> pa.RecordBatch:
 
 
 _SET = WORDS - SHINGLE + 1
+#: Added to the band of a paragraph whose set has others.
+SEVERAL = 128
 KEYS = "part int, keys binary, i binary, nodes binary, sets binary"
 
 
@@ -168,12 +169,14 @@ def _grouped(sets: np.ndarray, nodes: np.ndarray, texts: np.ndarray) -> pa.Recor
     twins = np.flatnonzero(own[order[1:]] == own[order[:-1]])
     label = _joined(len(nodes), row[order[twins]], row[order[twins + 1]])
     group = mix(texts + mix(nodes[label].view(U64)))
+    different = np.unique(label * len(node) + at) // len(node)
+    several = (np.bincount(different, minlength=len(nodes)) > 1)[label]
     part = (keys >> U64(53)).astype(np.uint16)
     order = np.argsort(part, kind="stable")
     cuts = np.flatnonzero(np.append(True, np.diff(part[order]) != 0)) if len(order) else order
     columns = (
         (keys & U64(2**32 - 1)).astype("<u4"),
-        i.astype("u1"),
+        np.where(several[row], i | SEVERAL, i).astype("u1"),
         nodes[row].astype("<i8"),
         (group[row] >> U64(32)).astype("<u4"),
     )
@@ -184,7 +187,10 @@ def _grouped(sets: np.ndarray, nodes: np.ndarray, texts: np.ndarray) -> pa.Recor
     )
 
 
-MET = "key bigint, node bigint, i int, set bigint, across boolean"
+#: What a row of MET is: a node in a band of several nodes and sets; a node whose band has no
+#: other, only other sets; a set that meets others; a node in a band of several nodes of one set.
+ACROSS, EQUAL, MEETING, OWN = range(4)
+MET = "kind int, key bigint, node bigint, set bigint"
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,33 +200,44 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, *row in zip(*(batch.column(c).to_pylist() for c in ("part", "keys", "i", "nodes", "sets"))):
             if part != last and held:
-                yield from _of_group(last, held)
+                yield _of_group(last, held)
                 held = []
             last = part
             held.append(row)
     if held:
-        yield from _of_group(last, held)
+        yield _of_group(last, held)
 
 
-def _of_group(part: int, rows: list) -> Iterator[pa.RecordBatch]:
+def _of_group(part: int, rows: list) -> pa.RecordBatch:
     kinds = ("<u4", "u1", "<i8", "<u4")
     keys, i, nodes, sets = (np.frombuffer(b"".join(c), kind) for c, kind in zip(zip(*rows), kinds))
-    key = (keys.astype(np.int64) << 5) | i
-    who = mix(nodes.view(U64) + mix(sets.astype(U64)))
-    order = np.argsort((key.view(U64) << U64(27)) | (who & U64(2**27 - 1)))
-    key, who = key[order], who[order]
+    key = (keys.astype(np.int64) << 5) | (i & (SEVERAL - 1))
+    order = np.argsort(key)
+    met = _table([key[order], order], "key, order")
+    met = pa.Table.from_batches(_several(iter([met])), met.schema)
+    key, order = (met.column(c).to_numpy() for c in ("key", "order"))
     # several rows of one node and set in one band are one
-    order = order[np.append(True, (key[1:] != key[:-1]) | (who[1:] != who[:-1]))]
-    key = (keys[order].astype(np.int64) << 5) | i[order]
-    met = [(np.int64(part) << 37) | key, nodes[order], i[order].astype(np.int32), sets[order].astype(np.int64)]
-    met = _table(met, "key, node, i, set")
-    met = pa.Table.from_batches(_several(iter([met])), met.schema).combine_chunks()
-    key, set_ = (met.column(c).to_numpy() for c in ("key", "set"))
-    if len(key):
-        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        across = np.minimum.reduceat(set_, starts) != np.maximum.reduceat(set_, starts)
-        across = np.repeat(across, np.diff(np.append(starts, len(key))))
-        yield from met.append_column("across", pa.array(across)).to_batches()
+    again = np.lexsort((sets[order], nodes[order], key))
+    order, key = order[again], key[again]
+    node, set_, several = nodes[order], sets[order], i[order] >= SEVERAL
+    same_node = np.append(False, (key[1:] == key[:-1]) & (node[1:] == node[:-1]))
+    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else order
+    spread = lambda x: np.repeat(x, np.diff(np.append(starts, len(key))))
+    least = lambda x: spread(np.minimum.reduceat(x, starts)) if len(x) else x
+    most = lambda x: spread(np.maximum.reduceat(x, starts)) if len(x) else x
+    across, nodes_differ = least(set_) != most(set_), least(node) != most(node)
+    key = key | (np.int64(part) << 37)
+    between, inside = across & nodes_differ & ~same_node, ~across & nodes_differ & ~same_node
+    none = np.int64(0)
+    out = [
+        (ACROSS, key[between], node[between], none),
+        (EQUAL, none, np.unique(node[across & ~nodes_differ]), none),
+        (MEETING, none, none, np.unique(set_[across & several])),
+        (OWN, key[inside], node[inside], set_[inside]),
+    ]
+    columns = [np.concatenate(c) for c in zip(*(np.broadcast_arrays(*(np.atleast_1d(x) for x in row)) for row in out))]
+    columns = [columns[0].astype(np.int32), *[c.astype(np.int64) for c in columns[1:]]]
+    return _table(columns, MET)
 
 
 PARAGRAPHS = "d bigint, t bigint, place bigint, h1 bigint, h2 bigint"
@@ -344,41 +361,49 @@ def removed_spans(data: bytes, places: list[int]) -> list[list[int]]:
     return [[int(edges[a]), int(edges[b])] for a, b in runs]
 
 
-def meeting_paragraphs(texts: DataFrame) -> DataFrame:
-    """key, node, i of the paragraphs that meet another one in a band, of a table of d, t and
-    text. node is a paragraph's first hash.
+def meeting_paragraphs(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of a table of d, t and text: key and node of the paragraphs that meet a different one in
+    a band, and node of those and of the ones that meet their equals only. node is a paragraph's
+    first hash. A node may stand in the second table several times.
 
     Paragraphs of one text that meet, as neighbours do that overlap, are a set. Sets that meet
     no other set are left out whole: their clusters are in one document.
     """
     keys = texts.select("d", "t", "text").mapInArrow(_keys, KEYS)
     met = written(keys.repartition("part").sortWithinPartitions("part").mapInArrow(_met, MET), "paragraphs-met")
-    across = met.filter("across").select("set").distinct()
-    used = written(met.join(across, "set").select("key", "node", "i").distinct(), "paragraphs-met")
-    discard(met)
-    return used
+    meeting = met.filter(F.col("kind") == MEETING).select("set").distinct()
+    own = met.filter(F.col("kind") == OWN).join(meeting.hint("shuffle_hash"), "set", "left_semi")
+    own = written(own.select("key", "node"), "paragraphs-own")
+    buckets = met.filter(F.col("kind") == ACROSS).select("key", "node").union(own)
+    return buckets, buckets.select("node").union(met.filter(F.col("kind") == EQUAL).select("node"))
 
 
-def repeated_paragraphs(rows: DataFrame, met: DataFrame) -> DataFrame:
-    """d, t, place, h1, h2 of the paragraphs whose first hash is a node of met, of a table of
+def repeated_paragraphs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """d, t, place, h1, h2 of the paragraphs whose first hash is one of nodes, of a table of
     d, t (which tell texts apart) and text."""
     every = rows.mapInArrow(_paragraphs, PARAGRAPHS)
-    own = met.select(F.col("node").alias("h1")).distinct()
+    own = nodes.select(F.col("node").alias("h1")).distinct()
     return written(every.join(own.hint("shuffle_hash"), "h1").select("d", "t", "place", "h1", "h2"), "paragraphs")
 
 
-def paragraph_classes(found: DataFrame) -> DataFrame:
-    """h1, h2, node of the different paragraphs, and d, t, place of one text that has it."""
+def paragraph_classes(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """h1 and h2 of the different paragraphs, and d, t, place of one text that has it; and h1,
+    h2, other of those whose first hash another one has: all but one of these get other as
+    their node, not the first hash."""
     # columns of one row: they are taken together
     equal = found.groupBy("h1", "h2").agg(*[F.first(c).alias(c) for c in ("d", "t", "place")])
-    return written(equal.withColumn("node", F.monotonically_increasing_id()), "paragraph-classes")
+    equal = written(equal, "paragraph-classes")
+    clashes = equal.groupBy("h1").agg(F.min("h2").alias("low"), F.max("h2").alias("high")).filter("low < high")
+    others = equal.join(F.broadcast(clashes), "h1").filter("h2 <> low")
+    others = written(others.select("h1", "h2", F.xxhash64("h1", "h2").alias("other")), "paragraph-others")
+    return equal, others
 
 
 def paragraph_sets(classes: DataFrame, texts: DataFrame) -> DataFrame:
     """node and shingles of paragraphs, each made from the text it is said to be in."""
     made = classes.groupBy("d", "t").agg(F.collect_list(F.struct("place", "node")).alias("found"))
-    joined = texts.join(made.hint("shuffle_hash"), ["d", "t"])
-    if not texts.groupBy("d", "t").count().filter("count > 1").isEmpty():
+    joined = texts.select("d", "t", "text").join(made.hint("shuffle_hash"), ["d", "t"])
+    if not texts.groupBy("d").count().filter("count > 1").isEmpty():
         # rows with one id and one text: each paragraph once
         joined = joined.dropDuplicates(["d", "t"])
     return written(joined.select("found", "text").mapInArrow(_sets, SETS), "paragraph-sets")
@@ -405,28 +430,30 @@ def _without_repeated(docs: DataFrame, percent: int) -> DataFrame:
         F.xxhash64(text).alias("t"),
         text.cast("binary").alias("text"),
     )
-    rows = rows.select("doc_id", "d", "t", "text")
-    # Texts are dealt out once: the joins with what is found about them read them in place.
-    texts = bucketed(rows, ["d", "t"], 1, "paragraph-texts", "zstd")
-    met = meeting_paragraphs(rows)
-    found = repeated_paragraphs(rows.select("d", "t", "text"), met)
-    classes = paragraph_classes(found)
-    named = classes.select("h1", "h2", "node")
-    pairs = met.withColumnRenamed("node", "h1").join(classes.select("h1", "node"), "h1")
-    # paragraphs that are equal to all that they meet have nothing to be compared with
-    several = pairs.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    pairs = pairs.join(several.select("key"), "key")
-    buckets = written(pairs.select("key", "node", "i", F.lit(0).alias("j")), "paragraph-buckets")
-    discard(met)
-    sets = paragraph_sets(classes.join(buckets.select("node").distinct(), "node"), texts)
+    buckets, nodes = meeting_paragraphs(rows)
+    found = repeated_paragraphs(rows.select("d", "t", "text"), nodes)
+    classes, others = paragraph_classes(found)
+    if not others.isEmpty():
+        more = buckets.join(others.select(F.col("h1").alias("node"), "other"), "node")
+        buckets = buckets.union(more.select("key", F.col("other").alias("node")))
+    # a key ends with its band
+    buckets = buckets.select("key", "node", F.col("key").bitwiseAND(31).cast("int").alias("i"), F.lit(0).alias("j"))
+    own = lambda table: table.join(F.broadcast(others), ["h1", "h2"], "left").withColumn(
+        "node", F.coalesce("other", "h1")
+    )
+    compared = own(classes).join(buckets.select("node").distinct(), "node", "left_semi")
+    sets = paragraph_sets(compared, rows)
+    discard(classes)
     full = lambda wanted: sets.join(wanted, "node").select("node", "shingles").mapInArrow(_full, SETS)
     labels = similar_components(buckets, sets.mapInArrow(_nodes, NODES), full, percent)
+    clustered = own(found)
     if labels is not None:
-        named = named.join(labels, "node", "left").withColumn("cluster", F.coalesce("component", "node"))
+        clustered = clustered.join(labels, "node", "left").withColumn("cluster", F.coalesce("component", "node"))
     else:
-        named = named.withColumn("cluster", F.col("node"))
-    clustered = found.join(named.select("h1", "h2", "cluster"), ["h1", "h2"])
+        clustered = clustered.withColumn("cluster", F.col("node"))
     clustered = written(clustered.select("d", "t", "place", "cluster").distinct(), "clusters")
+    for table in (buckets, sets, found):
+        discard(table)
     document = F.struct("d", "t")
     firsts = clustered.groupBy("cluster").agg(F.min(document).alias("first"), F.max(document).alias("last"))
     gone = (
@@ -436,7 +463,7 @@ def _without_repeated(docs: DataFrame, percent: int) -> DataFrame:
         .agg(F.collect_set("place").alias("gone"))
     )
     gone = written(gone, "paragraphs-gone")
-    joined = texts.join(gone.hint("shuffle_hash"), ["d", "t"], "left")
+    joined = rows.join(gone.hint("shuffle_hash"), ["d", "t"], "left")
     return joined.select("doc_id", "text", "gone").mapInArrow(
         _without,
         "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, "

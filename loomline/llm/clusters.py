@@ -34,6 +34,9 @@ BINS = 256
 DEVIATIONS = 4.0
 #: Members of a bucket that are compared at a time, by digests and by full sets.
 BLOCK = 2048
+#: Buckets of up to so many members are compared many at a time, so many pairs at once.
+FEW = 32
+PAIRS = 20_000
 EXACT_BLOCK = 256
 
 NODES = "node bigint, n_shingles bigint, least binary, first binary, second binary"
@@ -222,17 +225,59 @@ class _Bucket:
                 yield min(node[k], node[x]), max(node[k], node[x])
 
 
+def _links_of_few(rows: dict, starts: np.ndarray, lengths: np.ndarray, percent: int) -> list[tuple[int, int, int]]:
+    """key, a, b: what _Bucket finds in each of many buckets of a few small sets."""
+    at = np.repeat(starts, lengths) + np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    after = np.repeat(starts + lengths, lengths) - at - 1
+    left = np.repeat(at, after)
+    right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
+    size, block, component = rows["n_shingles"], rows["block"], rows["component"]
+    good = (component[left] != component[right]) & _near_sizes(size[left], size[right], percent)
+    good &= (rows["x"][left] == rows["y"][left]) | (block[left] != block[right])
+    left, right = left[good], right[good]
+    for bands, order in (("first", "i"), ("second", "j")):
+        own = rows[bands]
+        earlier = np.arange(own.shape[1]) < rows[order][left][:, None]
+        good = ~((own[left] == own[right]) & earlier).any(axis=1)
+        left, right = left[good], right[good]
+    out, root, last = [], {}, None
+
+    def top(c: int) -> int:
+        while c in root:
+            c = root[c]
+        return c
+
+    digests, key, node = rows["least"], rows["key"], rows["node"]
+    group = np.zeros(len(size), np.int64)
+    group[starts] = 1
+    group = np.cumsum(group)
+    for begin in range(0, len(left), PAIRS):
+        a, b = left[begin : begin + PAIRS], right[begin : begin + PAIRS]
+        sides = ([digests[k] for k in x.tolist()] for x in (a, b))
+        near = _small_pairs(*sides, size[a] + size[b], percent)
+        for k, x in zip(a[near].tolist(), b[near].tolist()):
+            if group[k] != last:
+                root, last = {}, group[k]
+            ck, cx = top(int(component[k])), top(int(component[x]))
+            if ck != cx:
+                root[cx] = ck
+                out.append((key[k], min(node[k], node[x]), max(node[k], node[x])))
+    return out
+
+
 def _compared(percent: int):
     """Rows in order of (key, x, y): links a < b of a forest of each such group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, last = _Bucket(percent), None
 
-        def out() -> pa.RecordBatch:
-            found = list(held.pairs())
-            columns = [[last[0]] * len(found), [a for a, _ in found], [b for _, b in found]]
+        def made(found: list) -> pa.RecordBatch:
+            columns = list(zip(*found)) or [[], [], []]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["key", "a", "b"])
 
+        def out() -> pa.RecordBatch:
+            return made([(last[0], a, b) for a, b in held.pairs()])
+
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -248,7 +293,15 @@ def _compared(percent: int):
                 rows[c] = np.frombuffer(b"".join(batch.column(c).to_pylist()), "<i8").reshape(n, -1)
             group = np.stack([rows["key"], rows["x"], rows["y"]])
             cuts = np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1
-            for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), n]):
+            starts = np.append(0, cuts)
+            lengths = np.diff(np.append(starts, n))
+            few = (lengths <= FEW) & (np.maximum.reduceat(rows["n_shingles"], starts) <= SMALL)
+            # the first and the last may go on in other batches
+            few[0] = few[-1] = False
+            few &= "shingles" not in rows
+            if few.any():
+                yield made(_links_of_few(rows, starts[few], lengths[few], percent))
+            for start, end in zip(starts[~few].tolist(), (starts + lengths)[~few].tolist()):
                 own = tuple(group[:, start].tolist())
                 if own != last and held.parts:
                     yield out()

@@ -372,7 +372,7 @@ def _led(buckets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return sized.filter(near).mapInArrow(_promising(percent), "a bigint, b bigint")
 
 
-def _unled(
+def open_links(
     buckets: DataFrame, nodes: DataFrame, labels: DataFrame | None, percent: int, block: int, least: int = 3
 ) -> DataFrame:
     """key, a, b: a forest of promising pairs across components, in buckets of at least
@@ -421,7 +421,7 @@ def similar_components(
     discard(likely)
     labels = None if links.isEmpty() else connected_components(links)
     # two members of a bucket were compared already, when one led the other
-    taken = _unled(buckets, nodes, labels, percent, BLOCK)
+    taken = open_links(buckets, nodes, labels, percent, BLOCK)
     fresh = _linked(taken.select("a", "b").distinct(), sets, percent)
     wrong = written(taken.join(fresh, ["a", "b"], "left_anti").select("key").distinct(), "near-again")
     if not fresh.isEmpty():
@@ -431,7 +431,7 @@ def similar_components(
         again = written(buckets.join(wrong, "key"), "near-buckets")
         members = again.select("node").distinct()
         full = nodes.join(sets(members), "node")
-        sure = _unled(again, full, labels, percent, EXACT_BLOCK).select("a", "b")
+        sure = open_links(again, full, labels, percent, EXACT_BLOCK).select("a", "b")
         if not sure.isEmpty():
             labels = connected_components(links.union(sure))
     return labels

@@ -9,8 +9,12 @@ text's first and last WORDS words are paragraphs too.
 
 Equal paragraphs are one node, and nodes meet in the bands of a one-permutation MinHash:
 the hashes of a set of shingles fall into BANDS parts, and a band is the hash of all that
-fall into one of them. Nodes that meet are verified by the exact Jaccard similarity of their
-shingle sets and clustered by connected components. In each cluster the paragraphs of the
+fall into one of them. With its bands goes a sketch of the set, BITS bits of which each
+shingle turns one over: sets that differ in k shingles have sketches that differ in k bits at
+most, so where nodes meet those too far apart are told at once, and what is left of a band is
+a forest of links. Links are verified by the exact Jaccard similarity of the shingle sets and
+clustered by connected components; where one fails, what it stood for is not known, and the
+members of its tree are all compared by their sets. In each cluster the paragraphs of the
 document that comes first in the corpus stay; the words of all others are removed from their
 documents, as spans of bytes. What a document repeats of itself only, such as a junk text of
 one word, is left to the quality rules.
@@ -31,8 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.clusters import NODES, similar_components
+from loomline.llm.clusters import EXACT_BLOCK, NODES, open_links
 from loomline.llm.common import discard, freed_shuffles, short_batches, written
+from loomline.llm.components import connected_components, contracted
 from loomline.llm.wordhash import U64, hashes_at, mix, powers, shingle_hashes, sliding_least, word_bounds
 
 SHINGLE = 5
@@ -43,12 +48,18 @@ TABLES = 3
 #: Words of a paragraph, and places of which one begins a paragraph.
 WORDS = 28
 SPREAD = 23
-#: Blocks of band hashes that are held against each other, of 1 / GROUPS of all hashes, and
+#: Blocks of band hashes that are held against each other, of 1 / GROUPS of all hashes, 2 ** 11, and
 #: paragraphs whose bands are made at a time.
 GROUPS = 2048
 AT_ONCE = 25_000
-#: Rows that go to Python at a time.
+#: Rows that go to Python at a time, and bytes of short texts that are hashed at a time.
 BATCH = 1_000
+PIECE = 60_000
+#: Bits of a sketch, members of a band that are held against each other by whole sketches, not
+#: by parts of them, and pairs that are at a time.
+BITS = 58
+WHOLE = 128
+PAIRS = 1 << 19
 _GENERATOR = np.random.Generator(np.random.PCG64(1))
 XORS = _GENERATOR.integers(0, 2**63, TABLES, dtype=U64)
 ORDER = U64(0xA24BAED4963EE407)
@@ -57,18 +68,30 @@ LOW = U64((1 << 20) - 1)
 
 def beginnings(shingles: np.ndarray, n_words: int) -> np.ndarray:
     """Places of the words that begin a paragraph, in order."""
+    return _beginnings(shingles, np.zeros(1, np.int64), np.array([n_words]))[0]
+
+
+def _beginnings(shingles: np.ndarray, first: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same of texts whose words follow one another, each from a first one on: places among
+    all words, and the text of each."""
     last = n_words - WORDS
-    if last < 0:
-        return np.empty(0, np.int64)
-    chosen = np.empty(0, np.int64)
+    text = np.repeat(np.arange(len(first)), n_words)
+    long = last >= 0
+    found = [first[long], (first + last)[long]]
     if len(shingles) >= SPREAD:
         # The place in the low bits: of equal hashes the last one is chosen, so that a
         # repeated word begins few paragraphs.
-        places = np.arange(len(shingles), dtype=U64)
-        marked = (mix(shingles ^ ORDER) & ~LOW) | (LOW - (places & LOW))
-        runs = places[: len(places) - SPREAD + 1]
+        own = text[: len(shingles)]
+        places = np.arange(len(shingles)) - first[own]
+        marked = (mix(shingles ^ ORDER) & ~LOW) | (LOW - (places.view(U64) & LOW))
+        own = own[: len(own) - SPREAD + 1]
+        runs = places[: len(own)].view(U64)
         chosen = (runs + ((LOW - (sliding_least(marked, SPREAD) & LOW) - runs) & LOW)).astype(np.int64)
-    return np.unique(np.concatenate([[0, last], chosen[chosen <= last]]))
+        # runs of one text only
+        good = (places[: len(own)] <= (n_words - SHINGLE + 1 - SPREAD)[own]) & (chosen <= last[own])
+        found.append((first[own] + chosen)[good])
+    every = np.unique(np.concatenate(found))
+    return every, text[every]
 
 
 def word_and_shingle_hashes(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
@@ -77,15 +100,35 @@ def word_and_shingle_hashes(text: bytes | None) -> tuple[np.ndarray, np.ndarray]
     return words, shingle_hashes(words, SHINGLE)
 
 
+def _hashed(texts: list[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts that follow one another, hashed together: the place of the first one in the list,
+    the words and shingles of all, the first word of each and how many it has. Shingles that
+    lie across two texts are in none."""
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end] or b"") < PIECE):
+            size += len(texts[end] or b"") + 1
+            end += 1
+        data = np.frombuffer(b" ".join(x or b"" for x in texts[at:end]), np.uint8)
+        starts = word_bounds(data)[0]
+        sizes = np.array([len(x or b"") + 1 for x in texts[at:end]])
+        first = np.searchsorted(starts, np.cumsum(sizes) - sizes)
+        words = hashes_at(data, starts)
+        yield at, words, shingle_hashes(words, SHINGLE), first, np.diff(np.append(first, len(words)))
+        at = end
+
+
+def _paragraph_hash(words: np.ndarray, places: np.ndarray) -> np.ndarray:
+    up, down = powers(len(words))
+    sums = np.zeros(len(words) + 1, U64)
+    np.cumsum(words * up[: len(words)], out=sums[1:])
+    return mix((sums[places + WORDS] - sums[places]) * down[places]).view(np.int64)
+
+
 def paragraph_hashes(words: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two signed 64-bit hashes of each of the paragraphs at some places."""
-    up, down = powers(len(words))
-    out = []
-    for values in (words, mix(words ^ ORDER)):
-        sums = np.zeros(len(words) + 1, U64)
-        np.cumsum(values * up[: len(words)], out=sums[1:])
-        out.append(mix((sums[places + WORDS] - sums[places]) * down[places]).view(np.int64))
-    return out[0], out[1]
+    return _paragraph_hash(words, places), _paragraph_hash(mix(words ^ ORDER), places)
 
 
 def bands(sets: np.ndarray) -> np.ndarray:
@@ -117,123 +160,296 @@ def _table(columns: list, names: str) -> pa.RecordBatch:
 
 
 _SET = WORDS - SHINGLE + 1
-#: Added to the band of a paragraph whose set has others.
-SEVERAL = 128
-KEYS = "part int, keys binary, i binary, nodes binary, sets binary"
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sketches(sets: np.ndarray) -> np.ndarray:
+    """Of sets in sorted rows: the sketch in BITS bits, above them the size in the 6 low bits."""
+    fresh = np.ones(sets.shape, bool)
+    fresh[:, 1:] = sets[:, 1:] != sets[:, :-1]
+    # not of the bits that tell the parts
+    place = (sets & U64(2**32 - 1)) * U64(BITS) >> U64(32)
+    out = np.bitwise_xor.reduce(np.where(fresh, U64(1) << place, U64(0)), axis=1)
+    return out << U64(6) | fresh.sum(axis=1).astype(U64)
+
+
+def _near(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sketches may be of sets as similar as percent: all that are, and few more."""
+    apart = np.bitwise_count((a ^ b) >> U64(6)).astype(np.int64)
+    size, other = ((x & U64(63)).astype(np.int64) for x in (a, b))
+    near = np.minimum(size, other) * 100 >= np.maximum(size, other) * percent
+    return near & (apart * (100 + percent) <= (size + other) * (100 - percent))
+
+
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sets in sorted rows are as similar as percent."""
+    distinct = lambda x: 1 + (x[:, 1:] != x[:, :-1]).sum(axis=1)
+    either = distinct(np.sort(np.concatenate([a, b], axis=1), axis=1))
+    return 100 * (distinct(a) + distinct(b) - either) >= percent * either
+
+
+def _runs(*sorted_columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Beginnings and lengths of the runs of equal rows."""
+    n = len(sorted_columns[0])
+    changes = np.zeros(max(n - 1, 0), bool)
+    for column in sorted_columns:
+        changes |= column[1:] != column[:-1]
+    starts = np.flatnonzero(np.append(True, changes)) if n else np.empty(0, np.int64)
+    return starts, np.diff(np.append(starts, n))
+
+
+class _Forest:
+    """Links of a spanning forest over numbers, of the pairs that are added."""
+
+    def __init__(self, n: int) -> None:
+        self.label = np.arange(n)
+        self._links = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(np.concatenate(x) for x in zip(*self._links))
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        up = False
+        while True:
+            la, lb = self.label[a], self.label[b]
+            far = la != lb
+            if not far.any():
+                return
+            a, b, la, lb = a[far], b[far], la[far], lb[far]
+            # each tree takes one link to a tree of a lower label, next time of a higher one
+            low, high = np.minimum(la, lb), np.maximum(la, lb)
+            child, parent = (low, high) if up else (high, low)
+            child, at = np.unique(child, return_index=True)
+            self._links.append((a[at], b[at]))
+            root = np.arange(len(self.label))
+            root[child] = parent[at]
+            while (root[root] != root).any():
+                root = root[root]
+            self.label, up = root[self.label], not up
+
+
+def _groupings(group: np.ndarray, sketch: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Numbers of rows in an order, and runs of them, so that near ones are in a run together:
+    groups of up to WHOLE rows, and of larger ones those with a part of the sketch in common."""
+    starts, lengths = _runs(group)
+    whole = np.repeat(lengths <= WHOLE, lengths)
+    order = np.flatnonzero(whole)
+    yield order, *_runs(group[order])
+    # Sketches of near sets differ in at most as many bits as their sizes let them, so of one
+    # part more than that one is the same. Small sets go apart: they fill few bits.
+    size = (sketch & U64(63)).astype(np.int64)
+    most = 2 * _SET * (100 - percent) // (100 + percent)
+    for k in range(most + 1):
+        last = (k + 1) * 100 > _SET * (100 - percent)
+        own = ~whole & (size * (100 - percent) >= k * percent)
+        if not last:
+            own &= size * (100 - percent) < (k + 1) * 100
+        rows = np.flatnonzero(own)
+        parts = most + 1 if last else k + 1
+        edges = np.arange(parts + 1) * BITS // parts + 6
+        for low, high in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            value = sketch[rows] >> U64(low) & U64((1 << (high - low)) - 1)
+            order = np.lexsort((value, group[rows]))
+            yield rows[order], *_runs(group[rows][order], value[order])
+        if last:
+            break
+
+
+def near_links(group: np.ndarray, sketch: np.ndarray, percent: int, sets: np.ndarray | None = None) -> _Forest:
+    """A forest over rows in order of group: trees are what near pairs of one group connect; with
+    their sets in sorted rows, what similar ones do."""
+    forest = _Forest(len(group))
+    if not len(group):
+        return forest
+
+    def add(a: np.ndarray, b: np.ndarray) -> None:
+        good = _near(sketch[a], sketch[b], percent)
+        a, b = a[good], b[good]
+        if sets is not None:
+            good = _similar(sets[a], sets[b], percent)
+            a, b = a[good], b[good]
+        forest.add(a, b)
+
+    ways = list(_groupings(group, sketch, percent))
+    for order, starts, lengths in ways:
+        # the first of each run with the others: most copies are one tree from here on
+        first = np.repeat(order[starts], lengths)
+        others = first != order
+        add(first[others], order[others])
+    for order, starts, lengths in ways:
+        # runs of two are done
+        many = np.repeat(lengths > 2, lengths)
+        run = np.repeat(np.arange(len(starts)), lengths)[many]
+        order = order[many]
+        order = order[np.lexsort((forest.label[order], run))]
+        # each row with those of its run that come after its tree
+        ends = np.cumsum(lengths[lengths > 2])
+        run = np.repeat(ends, lengths[lengths > 2])
+        begins, sizes = _runs(run, forest.label[order])
+        after = np.repeat(begins + sizes, sizes)
+        pairs = np.cumsum(run - after)
+        at = 0
+        while at < len(order):
+            done = pairs[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(pairs, done + PAIRS, "right")))
+            n = (run - after)[at:end]
+            left = np.repeat(np.arange(at, end), n)
+            right = after[left] + np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
+            add(order[left], order[right])
+            at = end
+    return forest
+
+
+#: A row for each band of each node of a text: 27 bits of the band's hash and its number, the
+#: sketch, with SEVERAL if its set has others, the node and the set. In parts from GROUPS on a
+#: row for each link of two nodes of a set, the other one where bands have the sketch.
+ROW = np.dtype([("key", "<u4"), ("sketch", "<u8"), ("node", "<i8"), ("set", "<u4")])
+SEVERAL = U64(32)
+KEYS = "part int, rows binary"
+
+
+def _keys(percent: int):
     """The bands of all paragraphs, in a row for each group of them."""
-    none = [np.empty((0, _SET), U64), np.empty(0, np.int64), np.empty(0, U64)]
-    held: list[list] = [[x] for x in none]
-    n = 0
-    for batch in batches:
-        for d, t, text in zip(*(batch.column(c).to_pylist() for c in ("d", "t", "text"))):
-            words, shingles = word_and_shingle_hashes(text)
-            places = beginnings(shingles, len(words))
-            if not len(places):
-                continue
-            held[0].append(np.lib.stride_tricks.sliding_window_view(shingles, _SET)[places])
-            held[1].append(paragraph_hashes(words, places)[0])
-            held[2].append(np.full(len(places), mix(np.array([d], np.int64).view(U64)) + np.array([t], np.int64).view(U64)))
-            n += len(places)
-            if n >= AT_ONCE:
-                yield _grouped(*map(np.concatenate, held))
-                held, n = [[x] for x in none], 0
-    if n:
-        yield _grouped(*map(np.concatenate, held))
-
-
-def _joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least of n numbers that each can reach over links."""
-    label = np.arange(n)
-    while True:
-        la, lb = label[a], label[b]
-        if (la == lb).all():
-            return label
-        least = np.minimum(la, lb)
-        np.minimum.at(label, la, least)
-        np.minimum.at(label, lb, least)
-        while (label[label] != label).any():
-            label = label[label]
-
-
-def _grouped(sets: np.ndarray, nodes: np.ndarray, texts: np.ndarray) -> pa.RecordBatch:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        n = 0
+        for batch in batches:
+            d, t = (batch.column(c).to_numpy().view(U64) for c in ("d", "t"))
+            own = mix(d) + t
+            for at, words, shingles, first, n_words in _hashed(batch.column("text").to_pylist()):
+                places, text = _beginnings(shingles, first, n_words)
+                if not len(places):
+                    continue
+                sets = np.lib.stride_tricks.sliding_window_view(shingles, _SET)[places]
+                held.append((sets, _paragraph_hash(words, places), own[at + text]))
+                n += len(places)
+                if n >= AT_ONCE:
+                    yield _grouped(*map(np.concatenate, zip(*held)), percent)
+                    held, n = [], 0
+        if n:
+            yield _grouped(*map(np.concatenate, zip(*held)), percent)
+
+    return run
+
+
+def _grouped(sets: np.ndarray, nodes: np.ndarray, texts: np.ndarray, percent: int) -> pa.RecordBatch:
+    # equal paragraphs of one text are one
+    order = np.lexsort((nodes, texts))
+    order = order[_runs(nodes[order], texts[order])[0]]
+    nodes, texts = nodes[order], texts[order]
     node, first, at = np.unique(nodes, return_index=True, return_inverse=True)
-    made = bands(np.sort(sets[first], axis=1))[at]
+    every = np.sort(sets[order[first]], axis=1)
+    made, sketch = bands(every)[at], sketches(every)[at]
     row, i = np.nonzero(made)
     keys = made[row, i]
-    # paragraphs of one text that meet are one set
-    own = mix(keys + texts[row])
-    order = np.argsort(own)
-    twins = np.flatnonzero(own[order[1:]] == own[order[:-1]])
-    label = _joined(len(nodes), row[order[twins]], row[order[twins + 1]])
-    group = mix(texts + mix(nodes[label].view(U64)))
-    different = np.unique(label * len(node) + at) // len(node)
-    several = (np.bincount(different, minlength=len(nodes)) > 1)[label]
-    part = (keys >> U64(53)).astype(np.uint16)
+    label, a, b = _own_links(row, mix(keys + texts[row]), sketch, every, at, percent)
+    several = (np.bincount(label, minlength=len(nodes)) > 1)[label]
+    set_ = mix(texts + mix(nodes[label].view(U64))) >> U64(32)
+    out = np.empty(len(row) + len(a), ROW)
+    bands_, links = out[: len(row)], out[len(row) :]
+    bands_["key"] = (keys & U64(2**27 - 1)) << U64(5) | i.astype(U64)
+    bands_["sketch"] = (sketch | several * SEVERAL)[row]
+    bands_["node"], bands_["set"] = nodes[row], set_[row]
+    links["key"], links["sketch"], links["node"], links["set"] = 0, nodes[b].view(U64), nodes[a], set_[a]
+    part = np.append(keys >> U64(53), GROUPS + (set_[a] >> U64(21))).astype(np.uint16)
     order = np.argsort(part, kind="stable")
-    cuts = np.flatnonzero(np.append(True, np.diff(part[order]) != 0)) if len(order) else order
-    columns = (
-        (keys & U64(2**32 - 1)).astype("<u4"),
-        np.where(several[row], i | SEVERAL, i).astype("u1"),
-        nodes[row].astype("<i8"),
-        (group[row] >> U64(32)).astype("<u4"),
-    )
-    cut = [[x.tobytes() for x in np.split(column[order], cuts[1:])] for column in columns]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(part[order][cuts].astype(np.int32)), *[pa.array(c, pa.binary()) for c in cut]],
-        names=["part", "keys", "i", "nodes", "sets"],
-    )
-
-
-#: What a row of MET is: a node in a band of several nodes and sets; a node whose band has no
-#: other, only other sets; a set that meets others; a node in a band of several nodes of one set.
+    out = out[order]
+    starts, _ = _runs(part[order])
+    cuts = np.append(starts, len(order)).astype(np.int32) * ROW.itemsize
+    rows = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(out)])
+    return pa.RecordBatch.from_arrays([pa.array(part[order][starts].astype(np.int32)), rows], names=["part", "rows"])
+
+
+def _own_links(
+    row: np.ndarray, own: np.ndarray, sketch: np.ndarray, every: np.ndarray, at: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sets of paragraphs, as labels: near ones of one text; and links of a forest over what is
+    similar in each. row is the paragraph of each band, own tells band and text, every[at] are
+    their shingles."""
+    order = np.argsort(own)
+    order = order[_with_company(own[order])]
+    row, own = row[order], own[order]
+    forest = _Forest(len(at))
+    forest.add(*(row[x] for x in near_links(own, sketch[row], percent).links()))
+    label, (a, b) = forest.label, forest.links()
+    wrong = np.zeros(len(at), bool)
+    wrong[label[a[~_similar(every[at[a]], every[at[b]], percent)]]] = True
+    if wrong.any():
+        # what a link stood for that fails is not known: all of its tree once more
+        right, again = ~wrong[label[a]], wrong[label[row]]
+        row, own = row[again], own[again]
+        forest = _Forest(len(at))
+        forest.add(a[right], b[right])
+        forest.add(*(row[x] for x in near_links(own, sketch[row], percent, every[at[row]]).links()))
+        a, b = forest.links()
+    return label, a, b
+
+
+def _with_company(key: np.ndarray) -> np.ndarray:
+    """Which of sorted numbers another one is equal to."""
+    same = key[1:] == key[:-1]
+    return np.append(False, same) | np.append(same, False) if len(key) else np.empty(0, bool)
+
+
+#: What a row of MET is: a link of nodes in a band of several sets; a node whose band has no
+#: near one, only other sets; a set that meets others; a link of nodes of one set.
 ACROSS, EQUAL, MEETING, OWN = range(4)
-MET = "kind int, key bigint, node bigint, set bigint"
+MET = "kind int, key bigint, node bigint, other bigint, set bigint"
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _met(percent: int):
     """Of rows in order of part: the nodes and sets that meet in a band."""
-    held: list[tuple] = []
-    last = None
-    for batch in batches:
-        for part, *row in zip(*(batch.column(c).to_pylist() for c in ("part", "keys", "i", "nodes", "sets"))):
-            if part != last and held:
-                yield _of_group(last, held)
-                held = []
-            last = part
-            held.append(row)
-    if held:
-        yield _of_group(last, held)
-
-
-def _of_group(part: int, rows: list) -> pa.RecordBatch:
-    kinds = ("<u4", "u1", "<i8", "<u4")
-    keys, i, nodes, sets = (np.frombuffer(b"".join(c), kind) for c, kind in zip(zip(*rows), kinds))
-    key = (keys.astype(np.int64) << 5) | (i & (SEVERAL - 1))
-    order = np.argsort(key)
-    met = _table([key[order], order], "key, order")
-    met = pa.Table.from_batches(_several(iter([met])), met.schema)
-    key, order = (met.column(c).to_numpy() for c in ("key", "order"))
-    # several rows of one node and set in one band are one
-    again = np.lexsort((sets[order], nodes[order], key))
-    order, key = order[again], key[again]
-    node, set_, several = nodes[order], sets[order], i[order] >= SEVERAL
-    same_node = np.append(False, (key[1:] == key[:-1]) & (node[1:] == node[:-1]))
-    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else order
-    spread = lambda x: np.repeat(x, np.diff(np.append(starts, len(key))))
-    least = lambda x: spread(np.minimum.reduceat(x, starts)) if len(x) else x
-    most = lambda x: spread(np.maximum.reduceat(x, starts)) if len(x) else x
-    across, nodes_differ = least(set_) != most(set_), least(node) != most(node)
-    key = key | (np.int64(part) << 37)
-    between, inside = across & nodes_differ & ~same_node, ~across & nodes_differ & ~same_node
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+        last = None
+        for batch in batches:
+            for part, rows in zip(*(batch.column(c).to_pylist() for c in ("part", "rows"))):
+                if part != last and held:
+                    yield _of_group(last, held, percent)
+                    held = []
+                last = part
+                held.append(rows)
+        if held:
+            yield _of_group(last, held, percent)
+
+    return run
+
+
+def _of_group(part: int, rows: list[bytes], percent: int) -> pa.RecordBatch:
+    table = np.frombuffer(b"".join(rows), ROW)
+    if part >= GROUPS:
+        node, other, set_ = table["node"], table["sketch"].view(np.int64), table["set"].astype(np.int64)
+        # apart from the keys of bands, and in band 0
+        return _table([np.full(len(table), OWN, np.int32), -32 * (set_ + 1), node, other, set_], MET)
+    order = np.argsort(table["key"])
+    order = order[_with_company(table["key"][order])]
+    key, sketch, node, set_ = (table[c][order] for c in ("key", "sketch", "node", "set"))
+    several = (sketch & SEVERAL) > 0
+    sketch = sketch & ~SEVERAL
+    # rows of one node in one band are one member; of two nodes of one hash each is one
+    order = np.lexsort((sketch, node, key))
+    key, sketch, node, set_, several = (x[order] for x in (key, sketch, node, set_, several))
+    starts, lengths = _runs(key, node, sketch)
+    member_key, member = key[starts], node[starts]
+    forest = near_links(member_key, sketch[starts], percent)
+    label = forest.label
+    low, high = np.full(len(starts), 2**32, np.int64), np.full(len(starts), -1, np.int64)
+    tree = np.repeat(label, lengths)  # of each row
+    np.minimum.at(low, tree, set_)
+    np.maximum.at(high, tree, set_)
+    across, alone = (low != high)[label], (np.bincount(label, minlength=len(label)) == 1)[label]
+    a, b = forest.links()
+    # a tree of one set is among its own links
+    a, b = a[across[a]], b[across[a]]
+    # of one key the trees are told by numbers; those that share one are taken as one
+    number = label - np.repeat(*_runs(member_key))
+    whole = (number & 0xFFFFF) << 43 | np.int64(part) << 32 | member_key.astype(np.int64)
     none = np.int64(0)
     out = [
-        (ACROSS, key[between], node[between], none),
-        (EQUAL, none, np.unique(node[across & ~nodes_differ]), none),
-        (MEETING, none, none, np.unique(set_[across & several])),
-        (OWN, key[inside], node[inside], set_[inside]),
+        (ACROSS, whole[a], member[a], member[b], none),
+        (EQUAL, none, np.unique(member[across & alone]), none, none),
+        (MEETING, none, none, none, np.unique(set_[(low != high)[tree] & several])),
     ]
     columns = [np.concatenate(c) for c in zip(*(np.broadcast_arrays(*(np.atleast_1d(x) for x in row)) for row in out))]
     columns = [columns[0].astype(np.int32), *[c.astype(np.int64) for c in columns[1:]]]
@@ -247,11 +463,11 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The paragraphs of each text, and the hashes of each."""
     for batch in batches:
         out = [[np.empty(0, np.int64)] for _ in range(5)]
-        for d, t, text in zip(*(batch.column(c).to_pylist() for c in ("d", "t", "text"))):
-            words, shingles = word_and_shingle_hashes(text)
-            places = beginnings(shingles, len(words))
+        d, t = (batch.column(c).to_numpy() for c in ("d", "t"))
+        for at, words, shingles, first, n_words in _hashed(batch.column("text").to_pylist()):
+            places, text = _beginnings(shingles, first, n_words)
             hashes = paragraph_hashes(words, places)
-            for column, value in zip(out, (np.full(len(places), d), np.full(len(places), t), places, *hashes)):
+            for column, value in zip(out, (d[at + text], t[at + text], places - first[text], *hashes)):
                 column.append(value)
         yield _table([np.concatenate(c) for c in out], PARAGRAPHS)
 
@@ -262,19 +478,34 @@ SETS = "node bigint, shingles binary"
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of texts with places and nodes: the shingles of each paragraph, in the order of their hashes."""
     for batch in batches:
-        nodes, sets = [np.empty(0, np.int64)], [np.empty((0, _SET), U64)]
-        for found, text in zip(batch.column("found").to_pylist(), batch.column("text").to_pylist()):
-            shingles = word_and_shingle_hashes(text)[1]
-            places = np.array([x["place"] for x in found], np.int64)
-            sets.append(np.lib.stride_tricks.sliding_window_view(shingles, _SET)[places])
-            nodes.append(np.array([x["node"] for x in found], np.int64))
+        sets = [np.empty((0, _SET), U64)]
+        found = batch.column("found")
+        place, node = (found.flatten().field(c).to_numpy() for c in ("place", "node"))
+        counts = found.value_lengths().to_numpy()
+        ends = np.cumsum(counts)
+        for at, _, shingles, first, n_words in _hashed(batch.column("text").to_pylist()):
+            own = slice(ends[at] - counts[at], ends[at + len(first) - 1])
+            places = place[own] + np.repeat(first, counts[at : at + len(first)])
+            if len(places):
+                sets.append(np.lib.stride_tricks.sliding_window_view(shingles, _SET)[places])
         every = np.sort(np.concatenate(sets), axis=1).astype("<u8")
         fixed = pa.Array.from_buffers(pa.binary(8 * _SET), len(every), [None, pa.py_buffer(every.tobytes())])
-        yield _table([np.concatenate(nodes), fixed.cast(pa.binary())], SETS)
+        yield _table([node, fixed.cast(pa.binary())], SETS)
+
+
+def _matrix(batch: pa.RecordBatch, column: str = "shingles") -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column(column).to_pylist()), "<u8").reshape(-1, _SET)
 
 
-def _matrix(batch: pa.RecordBatch) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column("shingles").to_pylist()), "<u8").reshape(-1, _SET)
+def _alike(percent: int):
+    """Of links with the sets of both ends: those that are as similar as percent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = _similar(_matrix(batch, "sa"), _matrix(batch, "sb"), percent)
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return run
 
 
 def _distinct(sets: np.ndarray, kind: str) -> tuple[np.ndarray, list[bytes]]:
@@ -291,7 +522,7 @@ def _distinct(sets: np.ndarray, kind: str) -> tuple[np.ndarray, list[bytes]]:
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sizes, digests and bands of the nodes of sets, as sketched() has them."""
+    """Sizes, digests and bands of the nodes of sets, as sketched() has them, and the full sets."""
     for batch in batches:
         sets = _matrix(batch)
         size, least = _distinct(sets, "<u4")
@@ -303,12 +534,9 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = pa.binary(8 * first.shape[1])
         rows = pa.Array.from_buffers(width, len(first), [None, pa.py_buffer(first.tobytes())])
         second = pa.array([bytes(8)] * len(first), pa.binary())
-        yield _table([batch.column("node"), size, pa.array(least, pa.binary()), rows.cast(pa.binary()), second], NODES)
-
-
-def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield _table([batch.column("node"), pa.array(_distinct(_matrix(batch), "<u8")[1], pa.binary())], SETS)
+        full = pa.array(_distinct(sets, "<u8")[1], pa.binary())
+        columns = [batch.column("node"), size, pa.array(least, pa.binary()), rows.cast(pa.binary()), second, full]
+        yield _table(columns, NODES + ", shingles binary")
 
 
 def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,20 +589,23 @@ def removed_spans(data: bytes, places: list[int]) -> list[list[int]]:
     return [[int(edges[a]), int(edges[b])] for a, b in runs]
 
 
-def meeting_paragraphs(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of a table of d, t and text: key and node of the paragraphs that meet a different one in
-    a band, and node of those and of the ones that meet their equals only. node is a paragraph's
-    first hash. A node may stand in the second table several times.
+def meeting_paragraphs(texts: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Of a table of d, t and text: key, node and other, links both ways between paragraphs that
+    meet in a band and may be as similar as percent; and node of those and of the ones that meet
+    their equals only. node is a paragraph's first hash. The links of a key are a forest, and
+    what is similar of a band is in one key. A node may stand in the second table several times.
 
-    Paragraphs of one text that meet, as neighbours do that overlap, are a set. Sets that meet
+    Paragraphs of one text that meet so, as neighbours do that overlap, are a set. Sets that meet
     no other set are left out whole: their clusters are in one document.
     """
-    keys = texts.select("d", "t", "text").mapInArrow(_keys, KEYS)
-    met = written(keys.repartition("part").sortWithinPartitions("part").mapInArrow(_met, MET), "paragraphs-met")
+    keys = texts.select("d", "t", "text").mapInArrow(_keys(percent), KEYS)
+    met = keys.repartition("part").sortWithinPartitions("part").mapInArrow(_met(percent), MET)
+    met = written(met, "paragraphs-met")
     meeting = met.filter(F.col("kind") == MEETING).select("set").distinct()
     own = met.filter(F.col("kind") == OWN).join(meeting.hint("shuffle_hash"), "set", "left_semi")
-    own = written(own.select("key", "node"), "paragraphs-own")
-    buckets = met.filter(F.col("kind") == ACROSS).select("key", "node").union(own)
+    own = written(own.select("key", "node", "other"), "paragraphs-own")
+    links = met.filter(F.col("kind") == ACROSS).select("key", "node", "other").union(own)
+    buckets = links.union(links.select("key", "other", "node"))
     return buckets, buckets.select("node").union(met.filter(F.col("kind") == EQUAL).select("node"))
 
 
@@ -409,6 +640,34 @@ def paragraph_sets(classes: DataFrame, texts: DataFrame) -> DataFrame:
     return written(joined.select("found", "text").mapInArrow(_sets, SETS), "paragraph-sets")
 
 
+def similar_paragraphs(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """node, component over all pairs of one key as similar as percent; None without any.
+
+    buckets has key, node and other, the links of a forest over what is near in each key, both
+    ways; sets has node and shingles, in a written table.
+    """
+    taken = buckets.filter("node < other").select("key", F.col("node").alias("a"), F.col("other").alias("b"))
+    side = lambda n: sets.select(F.col("node").alias(n), F.col("shingles").alias(f"s{n}"))
+    both = taken.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
+    links = written(both.select("a", "b", "sa", "sb").mapInArrow(_alike(percent), "a bigint, b bigint"), "paragraph-links")
+    labels = None if links.isEmpty() else connected_components(contracted(links))
+    wrong = written(taken.join(links, ["a", "b"], "left_anti").select("key").distinct(), "paragraphs-again")
+    if not wrong.isEmpty():
+        again = written(buckets.join(wrong, "key").select("key", "node").distinct(), "paragraph-buckets")
+        full = sets.join(again.select("node").distinct(), "node").select("node", "shingles")
+        full = full.mapInArrow(_nodes, NODES + ", shingles binary")
+        # a key ends with its band
+        again = again.withColumn("i", F.col("key").bitwiseAND(31).cast("int")).withColumn("j", F.lit(0))
+        sure = open_links(again, full, labels, percent, EXACT_BLOCK).select("a", "b")
+        if not sure.isEmpty():
+            known = labels.select(F.col("node").alias("a"), F.col("component").alias("b")) if labels is not None else links
+            labels = connected_components(contracted(written(known.union(sure), "paragraph-links")))
+        discard(again)
+    discard(links)
+    discard(wrong)
+    return labels
+
+
 def without_repeated_paragraphs(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, spans, kept_sha256: a row for each row of docs.
 
@@ -430,22 +689,24 @@ def _without_repeated(docs: DataFrame, percent: int) -> DataFrame:
         F.xxhash64(text).alias("t"),
         text.cast("binary").alias("text"),
     )
-    buckets, nodes = meeting_paragraphs(rows)
+    buckets, nodes = meeting_paragraphs(rows, percent)
     found = repeated_paragraphs(rows.select("d", "t", "text"), nodes)
     classes, others = paragraph_classes(found)
     if not others.isEmpty():
-        more = buckets.join(others.select(F.col("h1").alias("node"), "other"), "node")
-        buckets = buckets.union(more.select("key", F.col("other").alias("node")))
-    # a key ends with its band
-    buckets = buckets.select("key", "node", F.col("key").bitwiseAND(31).cast("int").alias("i"), F.lit(0).alias("j"))
+        # what is linked with a hash may be with each that has it, and these with each other
+        for end in ("node", "other"):
+            more = buckets.join(others.select(F.col("h1").alias(end), F.col("other").alias("as")), end)
+            buckets = buckets.union(more.withColumn(end, F.col("as")).select("key", "node", "other"))
+        # in band 0
+        both = others.select(F.col("h1").bitwiseAND(-32).alias("key"), F.col("h1").alias("node"), "other")
+        buckets = buckets.union(both).union(both.select("key", "other", "node"))
     own = lambda table: table.join(F.broadcast(others), ["h1", "h2"], "left").withColumn(
         "node", F.coalesce("other", "h1")
     )
     compared = own(classes).join(buckets.select("node").distinct(), "node", "left_semi")
     sets = paragraph_sets(compared, rows)
     discard(classes)
-    full = lambda wanted: sets.join(wanted, "node").select("node", "shingles").mapInArrow(_full, SETS)
-    labels = similar_components(buckets, sets.mapInArrow(_nodes, NODES), full, percent)
+    labels = similar_paragraphs(buckets, sets, percent)
     clustered = own(found)
     if labels is not None:
         clustered = clustered.join(labels, "node", "left").withColumn("cluster", F.coalesce("component", "node"))
